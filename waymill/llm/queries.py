@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymill.llm import exact_dedup, simhash
+from waymill.llm import classifier, exact_dedup, mixing, pieces, simhash
 from waymill.operators.shared import table
 
 
@@ -14,12 +15,25 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of a source in the mix: the square root of its rows; as many rows as there are."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str, model: str = "piece_bpe_32k.model") -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(model))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_mixing, op6_quality_classifier, op9_sentencepiece, op10_simhash_near_dedup)}
 
 ORACLES = {
     "op3_exact_dedup": """
@@ -27,4 +41,16 @@ WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
 SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER (PARTITION BY text_sha256) AS kept, text_sha256
 FROM t""",
+    "op5_mixing": """
+WITH counts AS (SELECT coalesce(source, '') AS s, count(*) AS n FROM documents GROUP BY 1),
+means AS (SELECT s, sqrt(n::DOUBLE) / sum(sqrt(n::DOUBLE)) OVER () * sum(n) OVER () / n AS mean FROM counts),
+parts AS (SELECT s, greatest(1, ceil(mean / 16.0))::INT AS parts, mean / greatest(1, ceil(mean / 16.0)) AS m FROM means),
+steps AS (SELECT s, parts, k, sum(exp(k * ln(m) - m - lgamma(k + 1))) OVER (PARTITION BY s ORDER BY k) AS c
+          FROM parts, LATERAL (SELECT unnest(range(0, ceil(m + 12 * sqrt(m) + 40)::INT + 1)) AS k)),
+tables AS (SELECT s, parts, list(c ORDER BY k) AS t FROM steps GROUP BY s, parts),
+drawn AS (SELECT d.*, list_sum(list_transform(range(1, parts + 1), lambda part: len(list_filter(t, lambda c: c <=
+            ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '') || ':' || part::VARCHAR), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0))))::INT AS copies
+          FROM documents d JOIN tables ON coalesce(source, '') = s)
+SELECT doc_id, text, lang, source, n_chars, copy_no::INT AS copy_no, md5('42:order:' || coalesce(doc_id::VARCHAR, '') || ':' || copy_no::VARCHAR) AS mix_key
+FROM (SELECT *, unnest(range(1, copies + 1)) AS copy_no FROM drawn WHERE copies > 0)""",
 }
