@@ -6,15 +6,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymill.llm import classifier, exact_dedup, mixing, pieces, simhash
+from waymill.llm import classifier, exact_dedup, lm_score, mixing, pieces, pii, preferences, rules, secrets, simhash
 from waymill.operators.shared import table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
+    return rules.judged(table(spark, sf_dir, "documents")).select(*columns)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of a source in the mix: the square root of its rows; as many rows as there are."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -24,6 +37,14 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preferences.format_pairs(preferences.adjacent_pairs(table(spark, sf_dir, "conversations")))
+
+
+def op8_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str, model: str = "piece_bpe_32k.model") -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(model))
 
@@ -33,7 +54,21 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_mixing, op6_quality_classifier, op9_sentencepiece, op10_simhash_near_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secrets,
+        op2_pii,
+        op3_exact_dedup,
+        op4_quality_rules,
+        op5_mixing,
+        op6_quality_classifier,
+        op7_preferences,
+        op8_cross_entropy,
+        op9_sentencepiece,
+        op10_simhash_near_dedup,
+    )
+}
 
 ORACLES = {
     "op3_exact_dedup": """
