@@ -30,6 +30,7 @@ from math import comb
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from waymill.llm.simhash_bits import fingerprint
 from waymill.operators.components import connected_components
@@ -42,7 +43,7 @@ LOW = 0x5555555555555555
 SAME_COUNT = 0.375  # chance that two random two-bit segments have equal counts
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def fingerprint_of(texts: pd.Series) -> pd.Series:
     """The fingerprint as a signed 64-bit integer with the same bits."""
     return pd.Series([f - (1 << 64) if (f := fingerprint(t)) >> 63 else f for t in texts], dtype="int64")
