@@ -88,4 +88,31 @@ drawn AS (SELECT d.*, list_sum(list_transform(range(1, parts + 1), lambda part:
           FROM documents d JOIN tables ON coalesce(source, '') = s)
 SELECT doc_id, text, lang, source, n_chars, copy_no::INT AS copy_no, md5('42:order:' || coalesce(doc_id::VARCHAR, '') || ':' || copy_no::VARCHAR) AS mix_key
 FROM (SELECT *, unnest(range(1, copies + 1)) AS copy_no FROM drawn WHERE copies > 0)""",
+    "op4_quality_rules": r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
+windows AS (SELECT doc_id, i, struct_pack(a := w[i], b := w[i + 1], c := w[i + 2]) AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) >= 3)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, x) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM twice, (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id),
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
+        (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+      FROM t JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+f AS (SELECT *, (n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (n_symbols > 2 * n_words)::INT
+        + 8 * (100 * n_dup_lines > 50 * n_lines)::INT + 16 * (word_chars > 40 * n_words)::INT + 32 * (word_chars < 2 * n_words)::INT AS failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM f""",
+    "op7_preferences": r"""
+WITH t AS (SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+p AS (SELECT pair_id, coalesce(list({'role': role, 'text': text} ORDER BY turn, role, text) FILTER (side = 0), []) AS c,
+        coalesce(list({'role': role, 'text': text} ORDER BY turn, role, text) FILTER (side = 1), []) AS r FROM t GROUP BY pair_id),
+n AS (SELECT *, coalesce(list_min(list_filter(range(1, greatest(len(c), len(r)) + 1), lambda i: c[i] IS DISTINCT FROM r[i])) - 1, len(c)) AS n FROM p),
+parts AS (SELECT pair_id, n, 'prompt' AS part, c[1:n] AS l FROM n UNION ALL SELECT pair_id, n, 'chosen', c[n + 1:] FROM n UNION ALL SELECT pair_id, n, 'rejected', r[n + 1:] FROM n),
+turns AS (SELECT pair_id, part, i, l[i].role AS role, l[i].text AS text, length(l[i].role) + 5 AS head FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM parts)),
+placed AS (SELECT *, sum(head + length(text) + 1) OVER (PARTITION BY pair_id, part ORDER BY i) - length(text) - 1 AS pos FROM turns),
+done AS (SELECT pair_id, part, string_agg('<|' || role || '|>' || chr(10) || text || chr(10), '' ORDER BY i) AS s,
+           string_agg(pos::BIGINT || ':' || (pos + length(text))::BIGINT, ',' ORDER BY i) FILTER (role = 'assistant') AS mask FROM placed GROUP BY ALL)
+SELECT n.pair_id, n::INT AS prompt_turns, coalesce(a.s, '') AS prompt, coalesce(b.s, '') AS chosen, coalesce(b.mask, '') AS chosen_mask,
+  coalesce(d.s, '') AS rejected, coalesce(d.mask, '') AS rejected_mask
+FROM n LEFT JOIN done a ON a.pair_id = n.pair_id AND a.part = 'prompt' LEFT JOIN done b ON b.pair_id = n.pair_id AND b.part = 'chosen'
+LEFT JOIN done d ON d.pair_id = n.pair_id AND d.part = 'rejected'""",
 }

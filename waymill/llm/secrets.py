@@ -9,7 +9,8 @@ against ``MIN_RATIO``, the log odds of one secret in a million tokens.
 
 Defined cases: a null text is the empty text, with no span and the digest of the empty
 string; rows repeated give their rows again; extra columns are ignored; an empty table gives
-an empty result; with no sample of a class its model is uniform by smoothing.
+an empty result; with no sample of a class its model is
+uniform by smoothing.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 SIZE = len(ALPHABET) + 1  # the last symbol separates tokens
 MIN_RATIO = math.log(1e6)
 SMOOTHING = 0.5
+BACKOFF = 8.0  # weight, in counts, of the single-character model behind each context
 
 _SYMBOLS = np.full(256, SIZE - 1, np.int32)
 for _i, _c in enumerate(ALPHABET):
@@ -80,11 +82,13 @@ def train(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"label": pa.array(label, pa.int32()), "step": pa.array(step, pa.int32()), "n": pa.array(total[label, step], pa.int64())})
 
     rows = docs.select("text").mapInArrow(count, "label int, step int, n long").groupBy("label", "step").agg(F.sum("n").alias("n")).collect()
-    counts = np.full((2, SIZE * SIZE), SMOOTHING)
+    counts = np.zeros((2, SIZE * SIZE))
     for r in rows:  # at most 2 * SIZE * SIZE
-        counts[r["label"], r["step"]] += r["n"]
+        counts[r["label"], r["step"]] = r["n"]
     counts = counts.reshape(2, SIZE, SIZE)
-    logs = np.log(counts / counts.sum(axis=2, keepdims=True))
+    single = counts.sum(axis=1) + SMOOTHING
+    single /= single.sum(axis=1, keepdims=True)
+    logs = np.log((counts + BACKOFF * single[:, None, :]) / (counts.sum(axis=2, keepdims=True) + BACKOFF))
     return logs[1] - logs[0]
 
 
