@@ -1,8 +1,8 @@
 """Secret scan: fixed patterns, and character Markov models compared by likelihood.
 
 Two order-1 character models are trained from labelled samples of the corpus: the values
-that the fixed patterns match are random strings, all other runs of token characters are
-ordinary identifiers. Counting is one pass over every whole text; what is gathered is two
+that the fixed patterns match are random strings, all other runs of token characters that
+are too short to be judged are ordinary identifiers. Counting is one pass over every whole text; what is gathered is two
 square tables over a fixed alphabet, whatever the corpus. A second pass scores each long
 token outside the base spans: the sum of the log-likelihood ratios of its transitions
 against ``MIN_RATIO``, the log odds of one secret in a million tokens.
@@ -57,7 +57,7 @@ def _transitions(data: bytes) -> np.ndarray:
 
 
 def sample_counts(texts: Iterator[str | None]) -> np.ndarray:
-    """[label, from, to]: label 1 for values of base spans, 0 for what is left."""
+    """[label, from, to]: label 1 for values of base spans, 0 for the short tokens left."""
     out = np.zeros((2, SIZE * SIZE), np.int64)
     for text in texts:
         text = text if isinstance(text, str) else ""
@@ -67,7 +67,7 @@ def sample_counts(texts: Iterator[str | None]) -> np.ndarray:
             rest.append(text[at : max(at, start)])
             at = max(at, end)
         rest.append(text[at:])
-        out[0] += _transitions(b" " + " ".join(rest).encode("utf-8", "replace") + b" ")
+        out[0] += _transitions(b" " + TOKEN.sub(" ", " ".join(rest)).encode("utf-8", "replace") + b" ")
     return out
 
 
