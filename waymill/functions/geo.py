@@ -82,7 +82,11 @@ def ring_bounds(ring: Column) -> dict[str, Column]:
 
 def ring_mean(ring: Column) -> dict[str, Column]:
     """Mean of the vertices, the closing one included."""
-    return {k: F.aggregate(ring, F.lit(0.0), lambda s, p, k=k: s + p[k]) / F.size(ring) for k in ("lat", "lon")}
+
+    def mean(k: str) -> Column:
+        return F.aggregate(ring, F.lit(0.0), lambda s, p: s + p[k]) / F.size(ring)
+
+    return {"lat": mean("lat"), "lon": mean("lon")}
 
 
 def ring_distance(lat: Column, lon: Column, ring: Column) -> Column:

@@ -107,6 +107,17 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         59 + (n_nationkey * 7 % 25) * 0.06e0 + 0.25e0 + (n_nationkey % 4) * 0.1e0 AS max_lat,
         10 + (n_nationkey * 11 % 25) * 0.06e0 + CASE WHEN n_nationkey = 13 THEN 130 ELSE 0.3e0 + (n_nationkey % 3) * 0.1e0 END AS max_lon FROM {nation}""",
     ),
+    "v_ring_points": (
+        ["v_regions"],
+        """SELECT region_id, v AS vertex, min_lat + fy * (max_lat - min_lat) AS lat, min_lon + fx * (CASE WHEN max_lon - min_lon > 100 THEN 0.5e0 ELSE max_lon - min_lon END) AS lon, 1 + region_id % 2 AS class
+        FROM {v_regions} CROSS JOIN (VALUES (0, 0.0e0, 0.2e0), (1, 0.0e0, 0.8e0), (2, 0.5e0, 1.0e0), (3, 1.0e0, 0.8e0), (4, 1.0e0, 0.2e0), (5, 0.5e0, 0.0e0)) AS f(v, fy, fx)""",
+    ),
+    "v_pois": (["v_nodes"], "SELECT node_id AS poi_id, lat, lon, amenity, tourism, name FROM {v_nodes} WHERE amenity IS NOT NULL"),
+    "v_dem": (
+        ["embeddings"],
+        """SELECT CAST(floor(vec_id / 20.0e0) AS BIGINT) % 10 AS post_row, vec_id % 20 AS post_col, CASE WHEN vec_id % 11 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(vec_id * 37 % 500 + label AS DOUBLE) END AS elev_m
+        FROM {embeddings} WHERE vec_id < 200""",
+    ),
     "v_log": (
         ["events"],
         "SELECT event_id, ts, user_id AS provider, CASE event_type WHEN 'error' THEN 'fail' WHEN 'view' THEN 'unchanged' ELSE 'ok' END AS status, value, props FROM {events}",
