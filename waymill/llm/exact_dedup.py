@@ -83,7 +83,7 @@ class DigestIndex:
         fresh = groups if known is None else groups.join(known.hint("merge"), "digest", "left_anti")
         generation, name = f"g{len(self.tables):06d}", f"waymill_digest_{uuid.uuid4().hex}"
         (
-            fresh.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.bucketBy(self.buckets, "digest").sortBy("digest")
+            fresh.repartition(self.buckets, F.pmod(F.hash("digest"), F.lit(self.buckets))).sortWithinPartitions("digest").write.bucketBy(self.buckets, "digest").sortBy("digest")
             .option("path", f"{self.path}/{generation}").saveAsTable(name)
         )
         self.tables.append(name)
