@@ -122,6 +122,16 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         ["events"],
         "SELECT event_id, ts, user_id AS provider, CASE event_type WHEN 'error' THEN 'fail' WHEN 'view' THEN 'unchanged' ELSE 'ok' END AS status, value, props FROM {events}",
     ),
+    "v_packs": (
+        ["orders"],
+        """SELECT region_id, generation, count(*) AS n, CAST(sum(b) AS BIGINT) AS graph_b, CAST(sum(b % 1000) AS BIGINT) AS poi_b, CAST(sum(b % 100) * (generation % 3) AS BIGINT) AS wetland_b, CAST(sum(k * 7 % 90000) AS BIGINT) AS source_b,
+        CAST(sum(k % 5) AS BIGINT) AS missing, CAST(sum(k % 97) AS BIGINT) AS edges, generation % 7 <> 3 AS has_manifest, (generation + region_id) % 11 = 5 AS in_progress
+        FROM (SELECT o_orderkey AS k, o_custkey % 25 AS region_id, CAST(extract(YEAR FROM o_orderdate) * 100 + extract(MONTH FROM o_orderdate) AS BIGINT) AS generation, CAST(floor(o_totalprice) AS BIGINT) AS b FROM {orders}) o GROUP BY region_id, generation""",
+    ),
+    "v_leaves": (
+        ["orders"],
+        """SELECT DISTINCT o_custkey % 40 AS region_id, o_orderkey % 60 AS leaf_id, (o_orderkey % 60) * 1.5e0 + (o_custkey % 40) * 0.25e0 AS coverage, (o_orderkey % 60 + o_custkey % 40) % 100 AS overspill, CAST(o_orderkey % 3 AS INT) AS version FROM {orders}""",
+    ),
     "v_changes": (
         ["events", "orders"],
         """SELECT event_id AS seq, (event_id * 7919) % (SELECT count(*) + 50 FROM {orders}) AS id,
