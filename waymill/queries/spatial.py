@@ -188,8 +188,16 @@ def _x(a, b, p):
     return _X.format(ax=pt[a][0], ay=pt[a][1], bx=pt[b][0], by=pt[b][1], cx=pt[p][0], cy=pt[p][1])
 
 
-O_J22 = with_views("v_way_nodes", "v_nodes", "v_ring_points") + RING_EDGES + f""", {CHORDS}, m AS (SELECT way_id, region_id, {_x('p', 'q', '1')} AS d1, {_x('p', 'q', '2')} AS d2, {_x('1', '2', 'p')} AS d3, {_x('1', '2', 'q')} AS d4 FROM chords, re)
-SELECT way_id, count(DISTINCT region_id) AS n_regions FROM m WHERE d1 * d2 < 0 AND d3 * d4 < 0 GROUP BY 1"""
+def _on(d, a, b, x, y):
+    return f"({d} = 0 AND {x} BETWEEN least({a}lon, {b}lon) AND greatest({a}lon, {b}lon) AND {y} BETWEEN least({a}lat, {b}lat) AND greatest({a}lat, {b}lat))"
+
+
+def _on2(d, x, y):
+    return f"({d} = 0 AND {x} BETWEEN least(lon1, lon2) AND greatest(lon1, lon2) AND {y} BETWEEN least(lat1, lat2) AND greatest(lat1, lat2))"
+
+
+O_J22 = with_views("v_way_nodes", "v_nodes", "v_ring_points") + RING_EDGES + f""", {CHORDS}, m AS (SELECT way_id, region_id, {_x('p', 'q', '1')} AS d1, {_x('p', 'q', '2')} AS d2, {_x('1', '2', 'p')} AS d3, {_x('1', '2', 'q')} AS d4, alat, alon, blat, blon, lat1, lon1, lat2, lon2 FROM chords, re)
+SELECT way_id, count(DISTINCT region_id) AS n_regions FROM m WHERE (d1 * d2 < 0 AND d3 * d4 < 0) OR {_on('d1', 'a', 'b', 'lon1', 'lat1')} OR {_on('d2', 'a', 'b', 'lon2', 'lat2')} OR {_on2('d3', 'alon', 'alat')} OR {_on2('d4', 'blon', 'blat')} GROUP BY 1"""
 
 
 def j23_snap(spark, sf):

@@ -71,7 +71,7 @@ NODE_TAGS: dict[str, tuple[str, list[str | None]]] = {
     "motor_vehicle": ("n * 5", [None, None, None, "no", None, None, None, "yes", "agricultural"]),
     "foot": ("n * 7", [None, None, None, None, "yes", "no"]),
     "bicycle": ("n * 11", [None, None, "no", None, None]),
-    "amenity": ("n * 13", [None, "drinking_water", None, "toilets", "cafe", None, "parking", "shelter", None, "restaurant", "camping", None, "museum"]),
+    "amenity": ("n * 12", [None, "drinking_water", None, "toilets", "cafe", None, "parking", "shelter", None, "restaurant", "camping", None, "museum"]),
     "tourism": ("n * 17", [None, None, "alpine_hut", "camp_site", None, "hotel", "viewpoint", None, "wilderness_hut", "hostel", None]),
     "natural": ("n * 19", [None, None, None, "spring", None, "peak", None]),
     "operator": ("n * 23", [None, "DNT Oslo", None, "STF", None, "Private", None]),
