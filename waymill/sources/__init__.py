@@ -1 +1 @@
-
+"""Scans that Spark has no reader for."""
