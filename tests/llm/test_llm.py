@@ -19,7 +19,6 @@ import brute  # noqa: E402
 
 from waymill.llm import classifier, exact_dedup, lm_score, mixing, pieces, pii, preferences, queries, rules, secrets, simhash  # noqa: E402
 from waymill.llm.simhash_bits import fingerprint  # noqa: E402
-from waymill.operators.components import connected_components  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, component_id string, fp int, digest string, copy_no string, ids string"
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -147,6 +146,12 @@ def test_mixing_hits_targets_and_is_a_poisson_inverse(spark):
     assert all(abs(got[s] - w) < 5 * w**0.5 for s, w in want.items()), got
 
 
+def test_mixing_of_very_many_sources(odd, monkeypatch):
+    want = Counter((r["doc_id"], r["copy_no"]) for r in mixing.mix(odd).collect())
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert Counter((r["doc_id"], r["copy_no"]) for r in mixing.mix(odd).collect()) == want
+
+
 def test_mixing_odd_rows(odd, none):
     got = mixing.mix(odd, rows=500)
     assert got.columns == [c for c in odd.columns if c != "copy_no"] + ["copy_no", "mix_key"]
@@ -261,7 +266,7 @@ def test_simhash_fingerprints():
 
 
 @pytest.mark.parametrize("groups", [5, 6, 8])
-def test_near_links_give_exact_components(spark, groups):
+def test_near_components_are_exact(spark, groups):
     random.seed(groups)
     fps = {0}
     for _ in range(25):
@@ -275,8 +280,9 @@ def test_near_links_give_exact_components(spark, groups):
     close = [(a, b) for i, a in enumerate(signed) for b in signed[:i] if bin((a ^ b) & (1 << 64) - 1).count("1") <= 4]
     want = union(signed, close)
     frame = spark.createDataFrame([(f,) for f in signed], "fp long")
-    got = {r["node"]: r["component"] for r in connected_components(simhash.near_links(frame, groups=groups)).collect()}
-    assert {f: got.get(f, f) for f in signed} == want
+    got = {r["fp"]: r["comp"] for r in simhash.near_components(frame, groups=groups).collect()}
+    first: dict = {}
+    assert len(got) == len(signed) and all(first.setdefault(got[f], want[f]) == want[f] for f in signed) and len(first) == len(set(want.values()))
 
 
 def test_simhash_odd_rows(odd, none):

@@ -90,8 +90,8 @@ def _cells(fps: DataFrame, groups: int, k: int) -> DataFrame:
     )
 
 
-def near_links(fps: DataFrame, k: int = MAX_BITS, groups: int | None = None) -> DataFrame:
-    """Links (src, dst) between distinct fingerprints that give the exact components at <= k bits."""
+def near_components(fps: DataFrame, k: int = MAX_BITS, groups: int | None = None) -> DataFrame:
+    """(fp, comp) for distinct fingerprints: the exact components of links at <= k bits."""
     groups = groups or grid_groups(fps.count(), k)
 
     def close(a: str, b: str) -> Column:
@@ -105,7 +105,8 @@ def near_links(fps: DataFrame, k: int = MAX_BITS, groups: int | None = None) ->
 
     labels = connected_components(stars)
     labelled = fps.select("fp").join(labels, fps["fp"] == labels["node"], "left").select("fp", F.coalesce("component", "fp").alias("comp"))
-    cells = _cells(materialize(labelled, "labels"), groups, k)
+    labelled = materialize(labelled, "labels")
+    cells = _cells(labelled, groups, k)
     heads = (
         cells.groupBy("no", "cell")
         .agg(F.min_by("comp", "fp").alias("head"), F.min("comp").alias("low"), F.max("comp").alias("high"))
@@ -113,8 +114,9 @@ def near_links(fps: DataFrame, k: int = MAX_BITS, groups: int | None = None) ->
     )
     apart = cells.alias("a").join(heads.alias("h"), same_cell("a", "h") & (F.col("a.comp") != F.col("h.head"))).select("a.*")
     pairs = apart.alias("a").join(cells.alias("b"), same_cell("a", "b") & (F.col("a.comp") != F.col("b.comp")) & close("a", "b"))
-    pairs = pairs.select(F.greatest("a.fp", "b.fp").alias("src"), F.least("a.fp", "b.fp").alias("dst")).distinct()
-    return stars.unionByName(pairs)
+    # What the stars left apart: a graph of components, with few edges.
+    merged = connected_components(pairs.select(F.col("a.comp").alias("src"), F.col("b.comp").alias("dst")))
+    return labelled.join(merged, labelled["comp"] == merged["node"], "left").select("fp", F.coalesce("component", "comp").alias("comp"))
 
 
 def near_groups(docs: DataFrame, k: int = MAX_BITS, groups: int | None = None) -> DataFrame:
@@ -125,8 +127,7 @@ def near_groups(docs: DataFrame, k: int = MAX_BITS, groups: int | None = None) -
 
 def _grouped(rows: DataFrame, k: int, groups: int | None) -> DataFrame:
     fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "distinct")
-    comps = connected_components(near_links(fps, k, groups))
-    named = fps.join(comps, fps["fp"] == comps["node"], "left").select("fp", "least", "n", F.coalesce("component", "fp").alias("comp"))
+    named = fps.join(near_components(fps, k, groups), "fp")
     names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     by_fp = materialize(named.join(names, "comp").select("fp", "n", "component_id"), "components")
     return salted_lookup(rows, by_fp, "fp", "n", rows.count(), F.col("doc_id")).select("doc_id", "fp", "component_id")
