@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from waymill.functions import clock, geo, limits, radio, tags
 from waymill.operators import cells
 from waymill.operators.components import connected_components
+from waymill.operators.ranks import at_rank
 from waymill.operators.skew import salted_lookup
 from waymill.plans import annotate, changes, gates, routing
 
@@ -178,6 +179,13 @@ def test_retention_equals_the_loop(spark):
     assert {r["path"] for r in got.collect()} == {p for p, _ in keep}
 
 
+def test_order_statistics(spark):
+    random.seed(9)
+    values = [round(random.gauss(0, 1), 3) for _ in range(500)] + [0.125] * 50
+    frame = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    assert [at_rank(frame, "v", r, 0.5) for r in (0, 17, 300, 549, 550)] == [*[sorted(values)[r] for r in (0, 17, 300, 549)], None]
+
+
 def test_identity_gate_counts_repeats(spark):
     a, b = spark.createDataFrame([(1,), (1,), (2,)], "x int"), spark.createDataFrame([(1,), (2,), (3,)], "x int")
     assert gates.identical(a, b).first().asDict() == {"only_a": 1, "only_b": 1}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymill.functions import geo, tags
 from waymill.operators import cells
+from waymill.operators.ranks import at_rank
 from waymill.queries import graph as g
 from waymill.queries.views import view, with_views
 
@@ -76,7 +77,7 @@ def j17_j18_smallest_region(spark, sf):
     r = view(spark, sf, "v_regions").withColumns({"coarse": (c("max_lon") - c("min_lon") >= 120), "area": (c("max_lat") - c("min_lat")) * (c("max_lon") - c("min_lon"))})
     p = view(spark, sf, "v_points")
     fine = cells.own_cell(p, "lat", "lon", 0.25).join(cells.box_in_cells(r.filter("not coarse"), 0.25), ["cy", "cx"]).filter(cells.contains(c("lat"), c("lon")))
-    wide = p.crossJoin(F.broadcast(r.filter("coarse").limit(64))).filter(cells.contains(c("lat"), c("lon")))
+    wide = cells.own_cell(p, "lat", "lon", 30.0).join(cells.box_in_cells(r.filter("coarse"), 30.0), ["cy", "cx"]).filter(cells.contains(c("lat"), c("lon")))
     cols = ["point_id", "region_id", "coarse", "area"]
     best = fine.select(*cols).unionByName(wide.select(*cols)).groupBy("point_id").agg(F.min_by("region_id", F.struct("coarse", "area", "region_id")).alias("region_id"), F.count(F.lit(1)).alias("n_covering"))
     return best
@@ -318,18 +319,12 @@ def a9_region_bounds(spark, sf):
     """Order-statistic bounds of node positions, then grown to nodes within a 0.01 degree halo."""
     n = view(spark, sf, "v_nodes").select("lat", "lon")
     total = n.count()
-    ranks = [int((total - 1) * p + 0.5) for p in (0.005, 0.995)] if total else [0, 0]
-
-    def at(name: str) -> DataFrame:
-        counts = n.groupBy(name).agg(F.count(F.lit(1)).alias("k"))
-        upto = counts.withColumn("upto", F.sum("k").over(Window.orderBy(name)))  # one row a distinct value of a fixed grid
-        return upto.agg(*[F.min(F.when(c("upto") > r, c(name))).alias(f"{edge}_{name}") for edge, r in zip(("min", "max"), ranks, strict=True)])
-
-    core = at("lat").join(at("lon"))
+    low, high = (int((total - 1) * p + 0.5) for p in (0.005, 0.995))
+    core = {f"{edge}_{x}": at_rank(n, x, r) for x in ("lat", "lon") for edge, r in (("min", low), ("max", high))}
     halo = 0.01
-    inside = c("lat").between(c("min_lat") - halo, c("max_lat") + halo) & c("lon").between(c("min_lon") - halo, c("max_lon") + halo)
-    grown = n.join(F.broadcast(core)).filter(inside)
-    return grown.agg(*[F.round(F.least(F.min(x), F.first(f"min_{x}")), 6).alias(f"min_{x}") for x in ("lat", "lon")], *[F.round(F.greatest(F.max(x), F.first(f"max_{x}")), 6).alias(f"max_{x}") for x in ("lat", "lon")])
+    edge = lambda k: F.lit(core[k]).cast("double")
+    grown = n.filter(c("lat").between(edge("min_lat") - halo, edge("max_lat") + halo) & c("lon").between(edge("min_lon") - halo, edge("max_lon") + halo))
+    return grown.agg(*[F.round(F.least(F.min(x), edge(f"min_{x}")), 6).alias(f"min_{x}") for x in ("lat", "lon")], *[F.round(F.greatest(F.max(x), edge(f"max_{x}")), 6).alias(f"max_{x}") for x in ("lat", "lon")])
 
 
 O_A9 = with_views("v_nodes") + """ r AS (SELECT lat, lon, row_number() OVER (ORDER BY lat) - 1 AS i, row_number() OVER (ORDER BY lon) - 1 AS j, count(*) OVER () AS n FROM v_nodes),
