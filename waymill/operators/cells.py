@@ -6,6 +6,8 @@ can split a crowded cell and nothing is compared outside its neighbourhood.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +33,6 @@ def within(left: DataFrame, right: DataFrame, metres: float, left_at=("lat", "lo
 
     The cell is as wide as ``metres`` at ``max_lat``, so one ring of neighbours is enough.
     """
-    import math
-
     size = max(metres / (geo.METRES_A_DEGREE * math.cos(math.radians(max_lat))), 1e-4)
     joined = neighbour_cells(left, *left_at, size).join(own_cell(right, *right_at, size), ["cy", "cx"]).drop("cy", "cx")
     d = geo.haversine(*[F.col(x) for x in (*left_at, *right_at)], radius)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymill.functions import places, tags
+from waymill.functions import geo, places, tags
 from waymill.operators.shared import materialize, table
 from waymill.plans import annotate, routing
 from waymill.plans import graph as plan
 from waymill.queries import graph as g
-from waymill.queries import lifecycle
+from waymill.queries import lifecycle, records
 from waymill.queries import tag_rules as t
 from waymill.queries.views import pick, view, with_views
 from waymill.streaming import feeds
@@ -104,8 +104,6 @@ def j4_ferry_inheritance(spark, sf):
     rel = table(spark, sf, "orders").select(c("o_custkey").alias("relation_id"), c("o_orderkey").alias("way_id"))
     at = plan.resolved(refs, nodes)
     order = Window.partitionBy("way_id").orderBy("pos")
-    from waymill.functions import geo
-
     length = at.withColumn("d", geo.haversine(c("lat"), c("lon"), F.lead("lat").over(order), F.lead("lon").over(order), geo.TOOL_RADIUS)).groupBy("way_id").agg(F.coalesce(F.sum("d"), F.lit(0.0)).alias("m"))
     members = rel.join(length, "way_id", "left").withColumn("m", F.coalesce("m", F.lit(0.0)))
     good = members.groupBy("relation_id").agg(F.count(F.lit(1)).alias("n"), F.sum("m").alias("total")).filter("n <= 6 and total <= 15000000")
@@ -130,7 +128,7 @@ def j36_j38_poi_and_buildings(spark, sf):
     return poi.unionByName(house).unionByName(block).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("lat"), 3).alias("lat"), F.round(F.sum("lon"), 3).alias("lon"))
 
 
-_CATS = "(" + " OR ".join(f"coalesce({v}, false)" for v in __import__("waymill.queries.records", fromlist=["_TESTS"])._TESTS.values()) + ")"
+_CATS = "(" + " OR ".join(f"coalesce({v}, false)" for v in records.CATEGORY_SQL.values()) + ")"
 _IN = "(lat BETWEEN 59.3 AND 60.2 AND lon BETWEEN 10.4 AND 11.6)"
 O_J36 = with_views("v_nodes", "v_way_nodes") + f""" a AS (SELECT 'poi' AS kind, lat, lon FROM v_nodes WHERE {_CATS} UNION ALL SELECT 'house', lat, lon FROM v_nodes WHERE building IS NOT NULL AND {_IN}
 UNION ALL SELECT 'block', la, lo FROM (SELECT way_id, avg(lat) AS la, avg(lon) AS lo, bool_or({_IN}) AS i FROM v_way_nodes JOIN v_nodes USING (node_id) WHERE way_id % 5 = 0 GROUP BY 1) WHERE i)
@@ -182,8 +180,6 @@ def i3_boarding(spark, sf):
     ferry = tags.is_ferry(c("route"), c("highway"), c("ferry"))
     order = Window.partitionBy("way_id").orderBy("pos")
     at = plan.resolved(refs, nodes)
-    from waymill.functions import geo
-
     step = at.withColumns({"b": F.lead("node_id").over(order), "length_m": geo.haversine(c("lat"), c("lon"), F.lead("lat").over(order), F.lead("lon").over(order), geo.TOOL_RADIUS)}).filter("b is not null and b <> node_id").select("way_id", c("node_id").alias("a"), "b", "length_m")
     road = ways.filter(~ferry & tags.road_admits(c("highway"), "car")).select("way_id")
     board = ways.filter(tags.boarding_candidate(ferry, c("man_made"), c("highway")) & ~tags.road_admits(c("highway"), "car")).select("way_id")

@@ -195,13 +195,13 @@ def _b(test, name):
 
 _HUT = "tourism IN ('wilderness_hut', 'alpine_hut')"
 _NET = " OR ".join(f"coalesce(operator, network) LIKE '%{n}%'" for n in places.HUT_NETWORKS)
-_TESTS = {
+CATEGORY_SQL = {
     "water": "amenity = 'drinking_water' OR \"natural\" = 'spring'", "restroom": "amenity = 'toilets'", "cabin": "tourism IN ('alpine_hut', 'camp_site', 'wilderness_hut', 'hostel') OR amenity = 'shelter'",
     "overnight": "tourism IN ('alpine_hut', 'camp_site', 'wilderness_hut', 'hostel') OR amenity = 'shelter'", "tent": "tourism = 'camp_site' OR amenity = 'camping'", "general": "amenity IN ('cafe', 'restaurant', 'museum') OR tourism = 'viewpoint'",
     "network_hut": f"{_HUT} AND ({_NET})", "brewery": "shop = 'alcohol'", "fishing": "leisure = 'fishing' OR shop = 'fishing'", "rest_area": "highway IN ('rest_area', 'services') OR (amenity = 'parking' AND hgv IS NOT NULL)", "lodging": "tourism IN ('hotel', 'hostel')",
 }
 O_X17 = with_views("v_nodes") + " x AS (SELECT *, {ic} AS icon FROM v_nodes) SELECT node_id, concat_ws(',', {a}) AS categories, ({m})::INT AS mask, true AS same, icon, coalesce(highway = 'services', false) OR coalesce(icon LIKE '%services%', false) OR coalesce(lower(name) LIKE '%service%', false) AS weekly FROM x".format(
-    ic="coalesce(" + ", ".join(f"'{k}-' || \"{k}\"" for k in ("amenity", "tourism", "shop", "leisure", "highway", "natural")) + ")", a=", ".join(_b(v, k) for k, v in _TESTS.items()), m=" + ".join(f"CASE WHEN {v} THEN {1 << i} ELSE 0 END" for i, v in enumerate(_TESTS.values()))
+    ic="coalesce(" + ", ".join(f"'{k}-' || \"{k}\"" for k in ("amenity", "tourism", "shop", "leisure", "highway", "natural")) + ")", a=", ".join(_b(v, k) for k, v in CATEGORY_SQL.items()), m=" + ".join(f"CASE WHEN {v} THEN {1 << i} ELSE 0 END" for i, v in enumerate(CATEGORY_SQL.values()))
 )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from waymill.functions import geo, tags
 from waymill.operators import cells
 from waymill.operators.ranks import at_rank
+from waymill.plans import graph as plan
 from waymill.queries import graph as g
 from waymill.queries.views import view, with_views
 
@@ -33,7 +34,7 @@ def points_in_rings(points: DataFrame, r: DataFrame, size: float = 0.1) -> DataF
     return cells.own_cell(points, "lat", "lon", size).join(ring_cells(r, size), ["cy", "cx"]).filter(geo.in_ring(c("lat"), c("lon"), c("ring"))).drop("cy", "cx")
 
 
-RING_EDGES = "re AS (SELECT region_id, class, vertex, lat AS alat, lon AS alon, lead(lat, 1, first(lat)) OVER w AS blat0, coalesce(lead(lat) OVER w, first_value(lat) OVER w) AS blat, coalesce(lead(lon) OVER w, first_value(lon) OVER w) AS blon FROM v_ring_points WINDOW w AS (PARTITION BY region_id ORDER BY vertex))".replace("lead(lat, 1, first(lat)) OVER w AS blat0, ", "")
+RING_EDGES = "re AS (SELECT region_id, class, vertex, lat AS alat, lon AS alon, coalesce(lead(lat) OVER w, first_value(lat) OVER w) AS blat, coalesce(lead(lon) OVER w, first_value(lon) OVER w) AS blon FROM v_ring_points WINDOW w AS (PARTITION BY region_id ORDER BY vertex))"
 
 
 def sql_inside(points: str, key: str) -> str:
@@ -67,7 +68,7 @@ def j7_a7_wetland_hazards(spark, sf):
     return joined.groupBy(fate.alias("fate")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(weight), 1).alias("weight"))
 
 
-O_J7 = g.E_SQL.replace("WITH ", "WITH ") .replace("WITH v_ways AS", with_views("v_ring_points").removesuffix(",") + ", v_ways AS", 1) + f""", {RING_EDGES}, p AS (SELECT edge_id, (alat + blat) / 2 AS lat, (alon + blon) / 2 AS lon FROM edges), i AS ({sql_inside('p', 'edge_id')}), m AS (SELECT edge_id, max(class) AS k FROM i GROUP BY 1),
+O_J7 = g.E_SQL.replace("WITH v_ways AS", with_views("v_ring_points").removesuffix(",") + ", v_ways AS", 1) + f""", {RING_EDGES}, p AS (SELECT edge_id, (alat + blat) / 2 AS lat, (alon + blon) / 2 AS lon FROM edges), i AS ({sql_inside('p', 'edge_id')}), m AS (SELECT edge_id, max(class) AS k FROM i GROUP BY 1),
 f AS (SELECT weight, CASE WHEN k IS NULL THEN 'clear' WHEN k = 1 THEN 'soft' WHEN coalesce(lower(bridge) = 'boardwalk', false) OR coalesce(surface = 'wood', false) THEN 'boardwalk' ELSE 'removed' END AS fate FROM edges LEFT JOIN m USING (edge_id))
 SELECT fate, count(*) AS n, round(sum(CASE fate WHEN 'removed' THEN 0 WHEN 'soft' THEN weight * 5 ELSE weight END), 1) AS weight FROM f GROUP BY 1"""
 
@@ -159,8 +160,6 @@ SELECT CASE WHEN point_id IN (SELECT point_id FROM h) THEN 'building' WHEN point
 def way_chords(spark, sf) -> DataFrame:
     """First and last located node of each way."""
     _, refs, nodes = g.parts(spark, sf)
-    from waymill.plans import graph as plan
-
     at = plan.resolved(refs, nodes).groupBy("way_id").agg(F.min_by(F.struct("lat", "lon"), "pos").alias("a"), F.max_by(F.struct("lat", "lon"), "pos").alias("b"))
     return at.select("way_id", c("a.lat").alias("lat1"), c("a.lon").alias("lon1"), c("b.lat").alias("lat2"), c("b.lon").alias("lon2"))
 
