@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymill.functions import clock, tags
+from waymill.functions import clock, geo, tags
+from waymill.functions.sql import register
 from waymill.operators import cells
 from waymill.operators.shared import shared_path, table
 from waymill.plans import graph as plan
@@ -240,10 +241,63 @@ def g6_leaf_set(spark, sf):
 
 O_G6 = "WITH w AS (SELECT DISTINCT c_custkey % 70 AS leaf, true AS w FROM customer), h AS (SELECT DISTINCT o_orderkey % 50 + 10 AS leaf, true AS h FROM orders) SELECT CASE WHEN w IS NULL THEN 'leftover' WHEN h IS NULL THEN 'missing' ELSE 'ok' END AS state, count(*) AS n, sum(leaf)::BIGINT AS ids FROM w FULL JOIN h USING (leaf) GROUP BY 1"
 
+def f34_x30_tag_subset(spark, sf):
+    """Tags kept by prefix or by name, with a composite id and the location of its parts."""
+    w = view(spark, sf, "v_ways")
+    keys = ("toll", "toll_motorcar", "toll_hgv", "toll_bicycle", "name", "ref", "surface", "oneway")
+    m = F.create_map(*[x for k in keys for x in (F.lit(k), c(k))])
+    kept = F.map_filter(m, lambda k, v: v.isNotNull() & (k.startswith("toll") | k.isin("name", "ref")))
+    text = F.array_join(F.array_sort(F.transform(F.map_entries(kept), lambda e: F.concat_ws("=", e["key"], e["value"]))), ";")
+    return w.select("way_id", text.alias("kept"), F.concat_ws(":", c("way_id") % 7, "way_id").alias("composite"), F.concat_ws(", ", F.nullif(F.trim("name"), F.lit("")), F.nullif(F.trim("ref"), F.lit(""))).alias("place"))
+
+
+O_F34 = with_views("v_ways") + """ x AS (SELECT 1) SELECT way_id, array_to_string(list_sort(list_filter(['toll=' || toll, 'toll_motorcar=' || toll_motorcar, 'toll_hgv=' || toll_hgv, 'toll_bicycle=' || toll_bicycle, 'name=' || name, 'ref=' || ref], lambda x: x IS NOT NULL)), ';') AS kept,
+(way_id % 7) || ':' || way_id AS composite, concat_ws(', ', nullif(trim(name), ''), nullif(trim(ref), '')) AS place FROM v_ways"""
+
+
+def a27_merged_counters(spark, sf):
+    """Numeric counters of several extracts summed by key."""
+    l = table(spark, sf, "lineitem")
+    one = l.groupBy((c("l_orderkey") % 6).alias("extract"), "l_returnflag").agg(F.count(F.lit(1)).alias("kept"), F.count_if(c("l_linenumber") > 4).alias("dropped"))
+    return one.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("extracts"), F.sum("kept").alias("kept"), F.sum("dropped").alias("dropped"))
+
+
+O_A27 = "SELECT l_returnflag, count(DISTINCT l_orderkey % 6) AS extracts, count(*) AS kept, count(*) FILTER (l_linenumber > 4) AS dropped FROM lineitem GROUP BY 1"
+
+
+def j38_corridor_load(spark, sf):
+    """Buildings inside the route band only: nodes with a building within 1500 m of the legs between region centres."""
+    legs = spatial.corridor(spark, sf)
+    pad = 1500 / (geo.METRES_A_DEGREE * 0.45)
+    low, high = lambda a, b: F.least(c(a), c(b)) - pad, lambda a, b: F.greatest(c(a), c(b)) + pad
+    boxed = cells.box_in_cells(legs.withColumns({"min_lat": low("lat1", "lat2"), "min_lon": low("lon1", "lon2"), "max_lat": high("lat1", "lat2"), "max_lon": high("lon1", "lon2")}), 0.1).drop("min_lat", "min_lon", "max_lat", "max_lon")
+    houses = view(spark, sf, "v_nodes").filter("building is not null").select("node_id", "building", "lat", "lon")
+    d = geo.segment_distance(*[c(x) for x in ("lat", "lon", "lat1", "lon1", "lat2", "lon2")])
+    near = cells.own_cell(houses, "lat", "lon", 0.1).join(boxed, ["cy", "cx"]).withColumn("d", d).filter("d <= 1500")
+    return near.groupBy("building").agg(F.count_distinct("node_id").alias("n"), F.round(F.min("d"), 2).alias("nearest"))
+
+
+O_J38 = with_views("v_nodes", "v_regions") + spatial._LEGS + f""", x AS (SELECT node_id, building, lat, lon, lat1, lon1, lat2, lon2 FROM v_nodes, legs WHERE building IS NOT NULL), d AS ({spatial.sql_segdist('x', 'node_id, building')})
+SELECT building, count(DISTINCT node_id) AS n, round(min(d), 2) AS nearest FROM d WHERE d <= 1500 GROUP BY 1"""
+
+
+def sql_functions(spark, sf):
+    """The rules called from SQL text."""
+    register(spark)
+    return spark.sql(
+        "SELECT way_road_base(highway) AS base, count(*) AS n, count_if(way_access_no(access)) AS shut, round(sum(way_metric(maxweight)), 4) AS tonnes, round(sum(way_haversine_m(59.0D, 10.0D, 59.0D + way_id % 10, 10.5D, 6371000.0D)), 1) AS metres FROM {w} GROUP BY 1",
+        w=view(spark, sf, "v_ways"),
+    )
+
+
+O_SQL = with_views("v_ways") + f""" x AS (SELECT *, 59.0::DOUBLE + way_id % 10 AS la FROM v_ways) SELECT regexp_replace(highway, '_link$', '') AS base, count(*) AS n, count(*) FILTER (access IN ('no', 'private')) AS shut, round(sum({t.sql_metric('maxweight')}), 4) AS tonnes,
+round(sum({g.hav('59.0::DOUBLE', '10.0::DOUBLE', 'la', '10.5::DOUBLE', '6371000.0::DOUBLE')}), 1) AS metres FROM x GROUP BY 1"""
+
 PAIRS = [
     (s10_u6_leaf_selection, O_S10), (s11_s12_export_documents, O_S11), (s16_height_grids, O_S16), (k2_k10_layer_sinks, O_K2), (k11_publish_projection, O_K11), (f25_f30_exclusions, O_F25), (x27_stop_roles, O_X27), (m26_tile_grid, O_M26),
     (j9_segments_in_rings, O_J9), (j11_ambiguous_lookup, O_J11), (j14_wrong_admissions, O_J14), (j27_superroute_chain, O_J27), (j30_j32_a19_overrides, O_J30), (a5_exclusion_counts, O_A5), (a16_u5_road_cells, O_A16), (u2_u3_merged_parts, O_U2),
     (t5_t10_terminal_order, O_T5), (g6_leaf_set, O_G6),
+    (f34_x30_tag_subset, O_F34), (a27_merged_counters, O_A27), (j38_corridor_load, O_J38), (sql_functions, O_SQL),
 ]
 QUERIES = {f.__name__: f for f, _ in PAIRS}
 ORACLES = {f.__name__: sql for f, sql in PAIRS}

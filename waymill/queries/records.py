@@ -296,7 +296,7 @@ def j25_f23_network_membership(spark, sf):
 O_J25 = with_views("v_way_nodes") + """ n AS (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) >= 3) SELECT node_id, count(DISTINCT o_custkey) AS n_networks, min(o_custkey) AS first_network FROM orders JOIN n USING (o_custkey) JOIN v_way_nodes ON way_id = o_orderkey GROUP BY 1"""
 
 
-def j26_a27_way_centroids(spark, sf):
+def j26_way_centroids(spark, sf):
     """Mean of a way's distinct nodes, beside the mean of all refs (building rule)."""
     at = view(spark, sf, "v_way_nodes").join(view(spark, sf, "v_nodes").select("node_id", "lat", "lon"), "node_id")
     distinct = at.select("way_id", "node_id", "lat").distinct().groupBy("way_id").agg(F.round(F.avg("lat"), 6).alias("lat"), F.count(F.lit(1)).alias("n_nodes"))
@@ -308,7 +308,7 @@ SELECT d.*, ref_lat, n_refs FROM d JOIN (SELECT way_id, round(avg(lat), 6) AS re
 
 PAIRS = [
     (x11_x13_radio_fields, O_X11), (s3_x14_text_lines, O_S3), (s2_xml_elements, O_S2), (s4_x10_road_features, O_S4), (s5_s6_json_documents, O_S5), (s7_polygon_text, O_S7), (s8_region_list, O_S8), (s14_t7_page_links, O_S14), (s13_document_validation, O_S13),
-    (x17_x19_poi_classes, O_X17), (x15_t8_search_stubs, O_X15), (f20_x16_t11_named_routes, O_F20), (x24_x26_region_names, O_X24), (a32_x31_country_plans, O_A32), (j24_x30_locator_join, O_J24), (j25_f23_network_membership, O_J25), (j26_a27_way_centroids, O_J26),
+    (x17_x19_poi_classes, O_X17), (x15_t8_search_stubs, O_X15), (f20_x16_t11_named_routes, O_F20), (x24_x26_region_names, O_X24), (a32_x31_country_plans, O_A32), (j24_x30_locator_join, O_J24), (j25_f23_network_membership, O_J25), (j26_way_centroids, O_J26),
 ]
 QUERIES = {f.__name__: f for f, _ in PAIRS}
 ORACLES = {f.__name__: sql for f, sql in PAIRS}
