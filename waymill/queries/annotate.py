@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymill.functions import geo, places, tags
+from waymill.operators.components import connected_components
 from waymill.operators.shared import materialize, table
 from waymill.plans import annotate, routing
 from waymill.plans import graph as plan
@@ -164,12 +165,13 @@ O_F33 = with_views("v_ways", "v_way_nodes", "v_nodes") + " u AS (SELECT node_id
 
 
 def i2_batch_paths(spark, sf):
-    """Cheapest paths between graph nodes, a pair for each region group; blocked barriers are not passed."""
+    """Cheapest paths inside the giant component, a pair for each region group; blocked barriers are not passed."""
     e = materialize(g.edges(spark, sf).select("edge_id", "src", "dst", "weight", "surface_rank"), "edges")
-    ends = e.select("src").distinct()
-    ranked = ends.withColumn("h", F.xxhash64("src"))
+    comps = materialize(connected_components(e), "components")
+    giant = comps.groupBy("component").agg(F.count(F.lit(1)).alias("n")).agg(F.max_by("component", F.struct("n", -c("component"))).alias("component"))
+    ranked = comps.join(F.broadcast(giant), "component").withColumn("h", F.xxhash64("node"))
     five = table(spark, sf, "region").select(c("r_regionkey").cast("long").alias("query"))
-    low = ranked.groupBy(F.pmod("h", F.lit(5)).cast("long").alias("query")).agg(F.min_by("src", "h").alias("start"), F.max_by("src", "h").alias("goal"))
+    low = ranked.groupBy(F.pmod("h", F.lit(5)).cast("long").alias("query")).agg(F.min_by("node", "h").alias("start"), F.max_by("node", "h").alias("goal"))
     blocked = view(spark, sf, "v_nodes").filter(tags.barrier_blocks(c("barrier"), "car", *[c(x) for x in plan.ACCESS])).select("node_id")
     return routing.shortest_paths(e, low.join(five, "query"), blocked)
 
