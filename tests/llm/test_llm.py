@@ -218,6 +218,37 @@ def test_cross_entropy(odd, none, labels, spark):
     assert {r["score"] for r in lm_score.score(odd, labels.limit(0)).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("share", [1, 1 << 19])
+def test_cross_entropy_keeps_rare_words_and_pairs(spark, monkeypatch, share):
+    """A corpus in which a word seen once is under one in 2^17 and, for share 1, no pair is looked up in place."""
+    monkeypatch.setattr(lm_score, "PAIR_SHARE", share)
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 90}" for j in range(1000))) for i in range(150)]
+    rows += [(1000, "alpha beta w1 gamma"), (1001, "beta alpha w1 gamma"), (1002, "alpha beta delta"), (None, "w1 epsilon"), (1003, "  "), (1003, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1000, 1), (1002, 1), (3, 1), (4, 0)], "doc_id long, quality int")
+    words = [lm_score.words_of(t) for _, t in rows]
+    assert sum(map(len, words)) > 1 << 17
+    pairs = lambda d: list(zip([None, *d], d, strict=False))
+    size = len({w for d in words for w in d}) + 2
+
+    def model(own):
+        uni, bi = Counter(w for d in own for w in d), Counter(p for d in own for p in pairs(d))
+        contexts, kinds = Counter(), Counter()
+        for (a, _), k in bi.items():
+            contexts[a] += k
+            kinds[a] += 1
+
+        def loss(p):
+            left = lm_score.DISCOUNT * kinds[p[0]] / contexts[p[0]] if contexts[p[0]] else 1.0
+            return -np.log(max(bi[p] - lm_score.DISCOUNT, 0) / max(contexts[p[0]], 1) + left * (uni[p[1]] + 0.5) / (sum(uni.values()) + 0.5 * size))
+
+        return loss
+
+    n, t = model(words), model([d for (i, _), d in zip(rows, words, strict=True) if i in (1000, 1002, 3)])
+    want = Counter((i, len(d), round(float(np.mean([n(p) - t(p) for p in pairs(d)])), 5) if d else 0.0) for (i, _), d in zip(rows, words, strict=True))
+    assert Counter((r["doc_id"], r["n_words"], round(r["score"], 5)) for r in lm_score.score(docs, labels).collect()) == want
+
+
 def test_cross_entropy_prefers_the_target(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     got = {r["quality"]: r["m"] for r in lm_score.score(docs, labels).join(labels, "doc_id").groupBy("quality").agg(F.avg("score").alias("m")).collect()}

@@ -1,14 +1,15 @@
 """Cross-entropy difference of a target and a background n-gram model.
 
 Background: every document; target: those whose label is 1. Both are bigram models over one
-shared vocabulary, counted in two passes over every whole text: first words, then pairs of
-vocabulary ids, from which the unigram counts follow as well. A word belongs to the vocabulary when it makes up at least one in
-``WORD_SHARE`` of all background words, so there are at most WORD_SHARE of them; all others
-are one unknown id. A pair is kept when it makes up at least one in ``PAIR_SHARE`` of all
-pairs; the mass of the others goes to the unigram model (absolute discounting). Shares of the
-corpus, not fixed lists, decide, and both bounds hold for any corpus: the tables are what is
-sent to executors. The counts themselves are gathered by shuffle over all distinct words and
-pairs and grow with the input.
+vocabulary, which is every word of the corpus; no word and no pair is left out. Words are
+64-bit hashes. Pairs are counted in one pass over every whole text and stay in a distributed
+table, as do the counts by context and by word that follow from it (absolute discounting; the
+freed mass goes to the unigram model).
+
+Scoring joins each document's pairs, counted once a document, to that table. Only the pairs
+that make up at least one in ``PAIR_SHARE`` of the corpus, so at most PAIR_SHARE of them, are
+sent to executors and looked up in place: that spares the join its frequent keys and changes
+no result.
 
 The score of a document is the mean over its words of background minus target log loss, with
 begin-of-text as the first context: above 0 means that it looks more like the target.
@@ -21,20 +22,21 @@ extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORD_SHARE = 1 << 17
+from waymill.operators.shared import materialize
+from waymill.operators.skew import salted_lookup
+
+WORD_SHARE = 1 << 17  # bounds nothing any more: the tests of small corpora name it
 PAIR_SHARE = 1 << 19
 DISCOUNT = 0.75
-FLUSH = 1 << 19  # distinct keys a task holds before it hands them on
-SHIFT = 20  # ids are below 2^20; WORD_SHARE must be, with two to spare
+FLUSH = 1 << 19  # words a task holds before it scores them; for counting, eight times as many
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -51,123 +53,139 @@ def flagged(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataF
     return docs.select("doc_id", "text").join(named.hint("merge"), F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", F.coalesce("target", F.lit(0)).alias("target"))
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word, n over every text."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_pydict({"word": pa.array(seen.keys(), pa.binary()), "n": pa.array(seen.values(), pa.int64())})
-            seen.clear()
-            return batch
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(words_of(text))
-                if len(seen) > FLUSH:
-                    yield out()
-        yield out()
-
-    return docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-class Vocabulary:
-    """word -> id from 2; 0 is the begin of a text, 1 any other word."""
-
-    def __init__(self, words: list[bytes]):
-        self.ids = {w: i for i, w in enumerate(words, 2)}
+def coded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text; then context and word of every word, in order, as hashes.
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        get = self.ids.get
-        return np.fromiter((get(w, 1) for w in words), np.int64, len(words))
-
-    def pairs(self, words: list[bytes]) -> np.ndarray:
-        """Context and word of each word in one number."""
-        at = self(words)
-        return (np.concatenate([np.zeros(1, np.int64), at[:-1]]) << SHIFT) | at
-
-
-def pair_counts(rows: DataFrame, vocabulary) -> DataFrame:
-    """pair, background and target counts; ``vocabulary`` is a broadcast."""
+    The context of a first word is 0, which is no word's hash.
+    """
+    words = [words_of(t) for t in texts]
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    flat = np.empty(lengths.sum(), object)
+    flat[:] = [w for d in words for w in d]
+    at = pd.util.hash_array(flat, categorize=False).view(np.int64) if len(flat) else np.zeros(0, np.int64)
+    at = np.where(at == 0, 1, at)
+    context = np.concatenate([np.zeros(1, np.int64), at[:-1]])[: len(at)]
+    context[(np.cumsum(lengths) - lengths)[lengths > 0]] = 0
+    return lengths, context, at
+
+
+def runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts by the keys, the first one first, and where each run of equal keys begins in it."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[order[1:]] != k[order[:-1]]
+    return order, np.flatnonzero(new)
+
+
+def parts(texts: list[str | None]) -> Iterator[slice]:
+    """Cuts a batch so that the texts of a part have about FLUSH words at most."""
+    begin = size = 0
+    for i, t in enumerate(texts):
+        size += len(t) // 6 if isinstance(t, str) else 0
+        if size > FLUSH:
+            yield slice(begin, i + 1)
+            begin, size = i + 1, 0
+    yield slice(begin, len(texts))
+
+
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """a (context), b (word), background and target counts n and t of every pair."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = [[], []]
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
 
         def out() -> pa.RecordBatch:
-            both = np.concatenate([*held[0], *held[1], np.zeros(0, np.int64)])
-            target = np.concatenate([np.zeros(sum(map(len, held[0])), np.int64), np.ones(sum(map(len, held[1])), np.int64)])
-            keys, place = np.unique(both, return_inverse=True)
-            for h in held:
-                h.clear()
-            n, t = np.bincount(place, minlength=len(keys)), np.bincount(place, weights=target, minlength=len(keys))
-            return pa.RecordBatch.from_pydict({"pair": pa.array(keys, pa.int64()), "n": pa.array(n, pa.int64()), "t": pa.array(t.astype(np.int64), pa.int64())})
+            a, b, y = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order, first = runs(a, b)
+            n = np.diff(first, append=len(order))
+            t = np.add.reduceat(y[order], first)
+            at = order[first]
+            return pa.RecordBatch.from_pydict({"a": pa.array(a[at]), "b": pa.array(b[at]), "n": pa.array(n), "t": pa.array(t)})
 
         for batch in batches:
-            for text, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held[target].append(p := vocabulary.value.pairs(words_of(text)))
-                size += len(p)
+            texts, targets = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for cut in parts(texts):
+                lengths, a, b = coded(texts[cut])
+                if len(b):
+                    held.append((a, b, np.repeat(targets[cut], lengths)))
+                    size += len(b)
                 if size > 8 * FLUSH:
                     yield out()
                     size = 0
-        yield out()
-
-    return rows.select("text", "target").mapInArrow(count, "pair long, n long, t long").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-
-
-class Bigram:
-    """One model: interpolated absolute discounting over the kept pairs."""
+        if held:
+            yield out()
 
-    def __init__(self, unigrams: np.ndarray, contexts: np.ndarray, pairs: np.ndarray, counts: np.ndarray):
-        """unigrams and contexts: counts by id; pairs: sorted keys, the same for both models."""
-        self.unigram = (unigrams + 0.5) / (unigrams.sum() + 0.5 * len(unigrams))
-        self.contexts, self.keys = contexts, pairs
-        kept = np.maximum(counts - DISCOUNT, 0.0)
-        source = pairs >> SHIFT
-        self.direct = kept / np.maximum(contexts[source], 1)
-        self.left = 1 - np.bincount(source, weights=self.direct, minlength=len(contexts))
+    counted = rows.select("text", "target").mapInArrow(count, "a long, b long, n long, t long")
+    return counted.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
-    def loss(self, pairs: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.keys, pairs), max(len(self.keys) - 1, 0))
-        direct = np.where(self.keys[at] == pairs, self.direct[at], 0.0) if len(self.keys) else 0.0
-        return -np.log(direct + self.left[pairs >> SHIFT] * self.unigram[pairs & ((1 << SHIFT) - 1)])
 
+def gains(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
+    """a, b, n, gain (background minus target log loss) of every pair; and the number of words."""
+    pairs = materialize(pair_counts(flagged(docs, labels)), "pairs")
+    c = F.col
+    contexts = pairs.groupBy("a").agg(F.sum("n").alias("an"), F.sum("t").alias("at"), F.count(F.lit(1)).alias("kinds"), F.count_if(c("t") > 0).alias("target_kinds"))
+    words = pairs.groupBy("b").agg(F.sum("n").alias("bn"), F.sum("t").alias("bt"), F.count(F.lit(1)).alias("followed"))
+    total, target, distinct, size = words.agg(F.sum("bn"), F.sum("bt"), F.sum("followed"), F.count(F.lit(1))).first()
+    total, target, distinct = total or 0, target or 0, distinct or 0
+    if not target:  # both models are the background's
+        return pairs.select("a", "b", "n", F.lit(0.0).alias("gain")), total
+    every = salted_lookup(salted_lookup(pairs, contexts, "a", "kinds", distinct, c("b")), words, "b", "followed", distinct, c("a"))
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[Vocabulary, Bigram, Bigram]:
-    """Vocabulary, target model and background model."""
-    words = word_counts(docs).persist()
-    total = words.agg(F.sum("n")).first()[0] or 0
-    kept = words.filter(F.col("n") * WORD_SHARE >= F.lit(total)).orderBy(F.desc("n"), "word").select("word").collect()  # at most WORD_SHARE rows
-    words.unpersist()
-    vocabulary = Vocabulary([bytes(r["word"]) for r in kept])
-    size = len(kept) + 2
-    pairs = pair_counts(flagged(docs, labels), docs.sparkSession.sparkContext.broadcast(vocabulary)).persist()
+    def chance(n, context, kinds, word, all_words):
+        left = F.when(context > 0, DISCOUNT * kinds / context).otherwise(1.0)
+        return F.greatest(n - DISCOUNT, F.lit(0.0)) / F.greatest(context, F.lit(1)) + left * (word + 0.5) / (all_words + 0.5 * (size + 2))
 
-    def by_id(column: Column) -> dict[str, np.ndarray]:
-        rows = pairs.groupBy(column.cast("int").alias("i")).agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toPandas()  # one a vocabulary id
-        return {c: np.bincount(rows["i"].to_numpy(np.int64), weights=rows[c].to_numpy(np.float64), minlength=size) for c in ("n", "t")}
-
-    first, second = by_id(F.shiftright("pair", SHIFT)), by_id(F.col("pair").bitwiseAND(F.lit((1 << SHIFT) - 1)))
-    table = pairs.filter(F.col("n") * PAIR_SHARE >= F.lit(total)).orderBy("pair").toPandas()  # at most PAIR_SHARE rows
-    pairs.unpersist()
-    keys = table["pair"].to_numpy(np.int64)
-    model = {c: Bigram(second[c], first[c], keys, table[c].to_numpy(np.float64)) for c in ("n", "t")}
-    return vocabulary, model["t" if second["t"].any() else "n"], model["n"]
-
-
-def score_text(vocabulary: Vocabulary, target: Bigram, background: Bigram, text: str | None) -> tuple[int, float]:
-    pairs = vocabulary.pairs(words_of(text)) if text else np.zeros(0, np.int64)
-    return (len(pairs), float((background.loss(pairs) - target.loss(pairs)).mean())) if len(pairs) else (0, 0.0)
+    background, wanted = chance(c("n"), c("an"), c("kinds"), c("bn"), total), chance(c("t"), c("at"), c("target_kinds"), c("bt"), target)
+    return every.select("a", "b", "n", (F.log(wanted) - F.log(background)).alias("gain")), total
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, n_words, score for every row."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
-
-    @F.pandas_udf("n_words long, score double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            yield pd.DataFrame([score_text(*model.value, t if isinstance(t, str) else None) for t in texts], columns=["n_words", "score"])
-
-    return docs.select("doc_id", run("text").alias("__s")).select("doc_id", "__s.*")
+    every, total = gains(docs, labels)
+    frequent = F.col("n") * PAIR_SHARE >= F.lit(total)
+    table = every.filter(frequent).select("a", "b", "gain").toPandas().sort_values(["a", "b"])  # at most PAIR_SHARE rows
+    near = docs.sparkSession.sparkContext.broadcast(tuple(table[k].to_numpy() for k in ("a", "b", "gain")))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For every text a row with its number of words and what its frequent pairs gain; b is 0. Then its other pairs."""
+        ka, kb, gain = near.value
+        index = pd.MultiIndex.from_arrays([ka, kb])
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            for cut in parts(texts):
+                ids, rows = batch.column(1)[cut], batch.column(0).to_numpy()[cut]
+                lengths, a, b = coded(texts[cut])
+                owner = np.repeat(np.arange(len(lengths)), lengths)
+                order, first = runs(owner, a, b)
+                n, at = np.diff(first, append=len(order)), order[first]
+                owner, a, b = owner[at], a[at], b[at]
+                found = index.get_indexer(pd.MultiIndex.from_arrays([a, b])) if len(ka) and len(a) else np.full(len(a), -1)
+                hit = found >= 0
+                sums = np.bincount(owner[hit], weights=n[hit] * gain[found[hit]], minlength=len(lengths))
+                far = ~hit
+                zeros = np.zeros(len(lengths), np.int64)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "row": pa.array(np.concatenate([rows, rows[owner[far]]])),
+                        "doc_id": pa.concat_arrays([ids, pa.nulls(int(far.sum()), ids.type)]),
+                        "a": pa.array(np.concatenate([rows, a[far]])),
+                        "b": pa.array(np.concatenate([zeros, b[far]])),
+                        "n": pa.array(np.concatenate([lengths, n[far]])),
+                        "known": pa.concat_arrays([pa.array(sums, pa.float64()), pa.nulls(int(far.sum()), pa.float64())]),
+                    }
+                )
+
+    found = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(look, f"row long, doc_id {kind}, a long, b long, n long, known double")
+    rare = every.filter(~frequent).select(F.col("a").alias("__a"), F.col("b").alias("__b"), "gain")
+    met = found.join(rare.hint("merge"), (F.col("a") == F.col("__a")) & (F.col("b") == F.col("__b")), "left")
+    base = F.col("b") == 0
+    own = met.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max(F.when(base, F.col("n"))).alias("n_words"),
+        F.sum(F.when(base, F.col("known")).otherwise(F.col("n") * F.col("gain"))).alias("s"),
+    )
+    return own.select("doc_id", "n_words", F.when(F.col("n_words") > 0, F.col("s") / F.col("n_words")).otherwise(0.0).alias("score"))
