@@ -46,7 +46,7 @@ O_R2 = """WITH s AS (SELECT event_id AS s, lead(event_id) OVER (ORDER BY event_i
 
 def r4_unchanged_content(spark, sf):
     """Fetches whose content is that of the provider's fetch before: skipped; the rest kept."""
-    log = view(spark, sf, "v_log").withColumn("hash", F.sha2(F.substring("props", 1, 7).cast("binary"), 256))
+    log = view(spark, sf, "v_log").withColumn("hash", F.sha2(c("props").cast("binary"), 256))
     order = Window.partitionBy("provider").orderBy("ts", "event_id")
     seen = log.withColumn("same", F.coalesce(c("hash") == F.lag("hash").over(order), F.lit(False)))
     return seen.groupBy("provider").agg(F.count_if("same").alias("skipped"), F.count_if(~c("same")).alias("kept"))
