@@ -2,10 +2,45 @@
 
 from __future__ import annotations
 
-from waymill.queries import lifecycle
+import heapq
+import math
+
+from waymill.functions import tags
+from waymill.plans import graph as plan
+from waymill.queries import annotate, lifecycle
+from waymill.queries import graph as g
+from waymill.queries.views import view
 
 
 def test_unchanged_content_compares_the_whole_content(spark, tmp_path):
     rows = [(1, "2024-01-01", 7, "view", 0.0, '{"k": 87}'), (2, "2024-01-02", 7, "view", 0.0, '{"k": 81}'), (3, "2024-01-03", 7, "view", 0.0, '{"k": 81}'), (4, "2024-01-04", 7, "view", 0.0, None)]
     spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
     assert [tuple(r) for r in lifecycle.r4_unchanged_content(spark, str(tmp_path)).collect()] == [(7, 1, 3)]
+
+
+def cheapest(adj, start, goal, blocked):
+    queue, done = [(0, start, 0)], set()
+    while queue:
+        cost, at, rank = heapq.heappop(queue)
+        if at == goal:
+            return cost
+        if (at, rank) in done:
+            continue
+        done.add((at, rank))
+        if at in blocked and at != start:
+            continue
+        for dst, w, s in adj.get(at, ()):
+            heapq.heappush(queue, (cost + math.floor((w + (500 if s - rank > 1 else 0)) * 1000 + 0.5), dst, s))
+    return None
+
+
+def test_batch_paths_answer_every_customer(spark, sf):
+    got = annotate.i2_batch_paths(spark, sf).collect()
+    assert sorted(r["query"] for r in got) == sorted(r["c_custkey"] for r in spark.read.parquet(f"{sf}/customer.parquet").collect())
+    closed = view(spark, sf, "v_nodes").filter(tags.barrier_blocks(annotate.c("barrier"), "car", *[annotate.c(x) for x in plan.ACCESS]))
+    blocked, adj = {r["node_id"] for r in closed.collect()}, {}
+    for r in g.edges(spark, sf).collect():
+        adj.setdefault(r["src"], []).append((r["dst"], r["weight"], r["surface_rank"]))
+    assert {r["query"]: r["cost"] for r in got} == {r["query"]: cheapest(adj, r["start"], r["goal"], blocked) for r in got}
+    kinds = {"none": sum(r["cost"] is None for r in got), "some": sum((r["cost"] or 0) > 0 for r in got), "unplaced": sum(r["start"] is None or r["goal"] is None for r in got)}
+    assert kinds["none"] and kinds["some"] and not kinds["unplaced"], kinds

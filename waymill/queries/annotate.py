@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from waymill.functions import geo, places, tags
 from waymill.operators.components import connected_components
 from waymill.operators.shared import materialize, table
+from waymill.operators.skew import salted_lookup
 from waymill.plans import annotate, routing
 from waymill.plans import graph as plan
 from waymill.queries import graph as g
@@ -165,15 +166,31 @@ O_F33 = with_views("v_ways", "v_way_nodes", "v_nodes") + " u AS (SELECT node_id
 
 
 def i2_batch_paths(spark, sf):
-    """Cheapest paths inside the giant component, a pair for each region group; blocked barriers are not passed."""
+    """Cheapest paths of one pair a customer, over all graph nodes; blocked barriers are not passed.
+
+    Customers a and b of ``v_route_pairs`` stand at the least node of their share of the node
+    hashes. The goal of every fourth pair is b's node, mostly in another component; that of
+    the others is the node of a's component that b falls on, as most components are small.
+    Pairs in two components have no path and are answered without a search.
+    """
     e = materialize(g.edges(spark, sf).select("edge_id", "src", "dst", "weight", "surface_rank"), "edges")
     comps = materialize(connected_components(e), "components")
-    giant = comps.groupBy("component").agg(F.count(F.lit(1)).alias("n")).agg(F.max_by("component", F.struct("n", -c("component"))).alias("component"))
-    ranked = comps.join(F.broadcast(giant), "component").withColumn("h", F.xxhash64("node"))
-    five = table(spark, sf, "region").select(c("r_regionkey").cast("long").alias("query"))
-    low = ranked.groupBy(F.pmod("h", F.lit(5)).cast("long").alias("query")).agg(F.min_by("node", "h").alias("start"), F.max_by("node", "h").alias("goal"))
+    pairs = view(spark, sf, "v_route_pairs")
+    sizes = comps.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    sized = materialize(salted_lookup(comps, sizes, "component", "size", comps.count(), c("node")), "sized")
+    h = F.xxhash64("node")
+    slots = sized.groupBy("component", F.pmod(h, c("size")).alias("slot")).agg(F.min("node").alias("near"))
+    at = sized.groupBy(F.pmod(h, F.lit(max(1, pairs.count()))).alias("k")).agg(F.min(F.struct("node", "component", "size")).alias("m"))
+    start = at.select(c("k").alias("a"), c("m.node").alias("start"), c("m.component").alias("component"), c("m.size").alias("size"))
+    goal = at.select(c("k").alias("b"), c("m.node").alias("far"), c("m.component").alias("far_component"))
+    met = pairs.join(start, "a", "left").join(goal, "b", "left").withColumn("slot", F.pmod(c("b"), c("size"))).join(slots, ["component", "slot"], "left")
+    away = c("query") % 4 == 0
+    # a component is named by its least node: the goal where no node falls on the slot
+    placed = met.select("query", "start", F.when(away, c("far")).otherwise(F.coalesce("near", "component")).alias("goal"), F.coalesce(away & (c("far_component") != c("component")), F.lit(False)).alias("apart"))
+    placed = materialize(placed, "route-pairs")
     blocked = view(spark, sf, "v_nodes").filter(tags.barrier_blocks(c("barrier"), "car", *[c(x) for x in plan.ACCESS])).select("node_id")
-    return routing.shortest_paths(e, low.join(five, "query"), blocked)
+    found = routing.shortest_paths(e, placed.filter(~c("apart")), blocked)
+    return found.unionByName(placed.filter("apart").select("query", "start", "goal"), allowMissingColumns=True)
 
 
 def i3_boarding(spark, sf):

@@ -101,6 +101,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         + " FROM (SELECT node_id AS n FROM {v_node_ids}) x",
     ),
     "v_points": (["customer"], "SELECT c_custkey AS point_id, 59 + (c_custkey * 6007 % 10007) / 5000.0e0 AS lat, 10 + (c_custkey * 7001 % 10009) / 5000.0e0 AS lon FROM {customer}"),
+    "v_route_pairs": (["customer"], "SELECT c_custkey AS query, c_custkey AS a, c_custkey * 31 % (SELECT count(*) FROM {customer}) AS b FROM {customer}"),
     "v_regions": (
         ["nation"],
         """SELECT n_nationkey AS region_id, n_name AS name, n_regionkey AS group_id, 59 + (n_nationkey * 7 % 25) * 0.06e0 AS min_lat, 10 + (n_nationkey * 11 % 25) * 0.06e0 AS min_lon,
