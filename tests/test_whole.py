@@ -7,7 +7,7 @@ import math
 
 from waymill.functions import tags
 from waymill.plans import graph as plan
-from waymill.queries import annotate, lifecycle
+from waymill.queries import annotate, extras, lifecycle, spatial
 from waymill.queries import graph as g
 from waymill.queries.views import view
 
@@ -44,3 +44,25 @@ def test_batch_paths_answer_every_customer(spark, sf):
     assert {r["query"]: r["cost"] for r in got} == {r["query"]: cheapest(adj, r["start"], r["goal"], blocked) for r in got}
     kinds = {"none": sum(r["cost"] is None for r in got), "some": sum((r["cost"] or 0) > 0 for r in got), "unplaced": sum(r["start"] is None or r["goal"] is None for r in got)}
     assert kinds["none"] and kinds["some"] and not kinds["unplaced"], kinds
+
+
+def test_segments_in_rings_meet_sides_and_use_every_leg(spark, monkeypatch):
+    """Ring: the box 1..2. Way 1 clips it, middle outside; 2 has only its second leg inside; 3 stays off; 4 is a point inside."""
+    legs = [(1, 1.5, 1.9, 1.5, 4.0), (2, 0.0, 0.0, 0.0, 0.2), (2, 1.2, 1.2, 1.4, 1.4), (3, 0.0, 0.0, 0.5, 0.5), (4, 1.5, 1.5, 1.5, 1.5)]
+    corners = [(9, 1, 0, 1.0, 1.0), (9, 1, 1, 1.0, 2.0), (9, 1, 2, 2.0, 2.0), (9, 1, 3, 2.0, 1.0)]
+    points = spark.createDataFrame(corners, "region_id long, class int, vertex int, lat double, lon double")
+    monkeypatch.setattr(spatial, "way_segments", lambda *_: spark.createDataFrame(legs, "way_id long, lat1 double, lon1 double, lat2 double, lon2 double"))
+    monkeypatch.setattr(spatial, "view", lambda *_: points)
+    assert sorted(tuple(r) for r in extras.j9_segments_in_rings(spark, "").collect()) == [(1, 9, 1), (2, 9, 1), (4, 9, 1)]
+
+
+def test_way_segments_are_every_leg(spark, sf):
+    nodes = {r["node_id"]: (r["lat"], r["lon"]) for r in view(spark, sf, "v_nodes").collect()}
+    ways = {}
+    for r in view(spark, sf, "v_way_nodes").collect():
+        ways.setdefault(r["way_id"], []).append((r["pos"], nodes[r["node_id"]]))
+    want = []
+    for way, points in ways.items():
+        p = [x for _, x in sorted(points)]
+        want += [(way, *a, *b) for a, b in (zip(p, p[1:], strict=False) if len(p) > 1 else [(p[0], p[0])])]
+    assert sorted(tuple(r) for r in spatial.way_segments(spark, sf).collect()) == sorted(want)

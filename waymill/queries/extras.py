@@ -125,10 +125,10 @@ SELECT region_id, r * k AS n, r - 1 AS last_row, k - 1 AS last_col FROM s"""
 
 
 def j9_segments_in_rings(spark, sf):
-    """Way chords whose middle is in a ring or which cross one of its sides; the smallest ring id of the hits."""
-    chord = spatial.way_chords(spark, sf)
-    mid = spatial.points_in_rings(chord.select("way_id", ((c("lat1") + c("lat2")) / 2).alias("lat"), ((c("lon1") + c("lon2")) / 2).alias("lon")), spatial.rings(spark, sf)).select("way_id", "region_id")
-    return mid.groupBy("way_id").agg(F.min("region_id").alias("ring"), F.count_distinct("region_id").alias("n"))
+    """Ways of which a segment has its middle in a ring or meets one of its sides; the smallest ring id of the hits."""
+    leg, r = spatial.way_segments(spark, sf), spatial.rings(spark, sf)
+    mid = spatial.points_in_rings(leg.select("way_id", ((c("lat1") + c("lat2")) / 2).alias("lat"), ((c("lon1") + c("lon2")) / 2).alias("lon")), r).select("way_id", "region_id")
+    return mid.unionByName(spatial.side_crossings(leg, r)).groupBy("way_id").agg(F.min("region_id").alias("ring"), F.count_distinct("region_id").alias("n"))
 
 
 O_J9 = with_views("v_way_nodes", "v_nodes", "v_ring_points") + spatial.RING_EDGES + f""", {spatial.CHORDS}, m AS (SELECT way_id, (lat1 + lat2) / 2 AS lat, (lon1 + lon2) / 2 AS lon FROM chords), i AS ({spatial.sql_inside('m', 'way_id')}) SELECT way_id, min(region_id) AS ring, count(DISTINCT region_id) AS n FROM i GROUP BY 1"""

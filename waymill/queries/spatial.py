@@ -167,17 +167,30 @@ def way_chords(spark, sf) -> DataFrame:
 CHORDS = "chords AS (SELECT way_id, arg_min(lat, pos) AS lat1, arg_min(lon, pos) AS lon1, arg_max(lat, pos) AS lat2, arg_max(lon, pos) AS lon2 FROM v_way_nodes JOIN v_nodes USING (node_id) GROUP BY 1)"
 
 
-def j22_m7_barrier_crossings(spark, sf):
-    """Ways whose chord meets an edge of a ring, touching included."""
-    r = rings(spark, sf)
+def way_segments(spark, sf) -> DataFrame:
+    """Each leg between located nodes of a way; a way of one located node is a point."""
+    _, refs, nodes = g.parts(spark, sf)
+    order = Window.partitionBy("way_id").orderBy("pos")
+    after = lambda k: F.coalesce(F.lead(k).over(order), F.when(F.lag(k).over(order).isNull(), c(k)))
+    at = plan.resolved(refs, nodes).filter("lat is not null and lon is not null")
+    return at.select("way_id", c("lat").alias("lat1"), c("lon").alias("lon1"), after("lat").alias("lat2"), after("lon").alias("lon2")).filter("lat2 is not null")
+
+
+def side_crossings(segments: DataFrame, r: DataFrame) -> DataFrame:
+    """way_id, region_id of segments that meet a side of a ring, touching included; a pair may come several times."""
     after = F.concat(F.slice(c("ring"), 2, F.size("ring") - 1), F.slice(c("ring"), 1, 1))
     sides = r.select("region_id", F.explode(F.arrays_zip(c("ring").alias("p"), after.alias("q"))).alias("s")).select("region_id", *[c(f"s.{a}.{b}").alias(f"{a}_{b}") for a in "pq" for b in ("lat", "lon")])
     low = lambda a, b: F.least(c(a), c(b))
     high = lambda a, b: F.greatest(c(a), c(b))
-    a = cells.box_in_cells(way_chords(spark, sf).withColumns({"min_lat": low("lat1", "lat2"), "max_lat": high("lat1", "lat2"), "min_lon": low("lon1", "lon2"), "max_lon": high("lon1", "lon2")}), 0.5).drop(*BOX)
+    a = cells.box_in_cells(segments.withColumns({"min_lat": low("lat1", "lat2"), "max_lat": high("lat1", "lat2"), "min_lon": low("lon1", "lon2"), "max_lon": high("lon1", "lon2")}), 0.5).drop(*BOX)
     b = cells.box_in_cells(sides.withColumns({"min_lat": low("p_lat", "q_lat"), "max_lat": high("p_lat", "q_lat"), "min_lon": low("p_lon", "q_lon"), "max_lon": high("p_lon", "q_lon")}), 0.5).drop(*BOX)
     meet = geo.segments_meet((c("lon1"), c("lat1")), (c("lon2"), c("lat2")), (c("p_lon"), c("p_lat")), (c("q_lon"), c("q_lat")))
-    return a.join(b, ["cy", "cx"]).filter(meet).groupBy("way_id").agg(F.count_distinct("region_id").alias("n_regions"))
+    return a.join(b, ["cy", "cx"]).filter(meet).select("way_id", "region_id")
+
+
+def j22_m7_barrier_crossings(spark, sf):
+    """Ways whose chord meets an edge of a ring, touching included."""
+    return side_crossings(way_chords(spark, sf), rings(spark, sf)).groupBy("way_id").agg(F.count_distinct("region_id").alias("n_regions"))
 
 
 _X = "({bx} - {ax}) * ({cy} - {ay}) - ({by} - {ay}) * ({cx} - {ax})"
