@@ -10,20 +10,23 @@ a final span classifier, naive Bayes over kind, length, separators and neighbour
 trained by one aggregation. Numbers that it accepts are added.
 
 Positions: a text split by a pattern, beside the pattern's matches, gives the lengths between
-and of the matches; their running sum is the start in code points. The patterns are written
-with possessive repeats and run-start guards, so that each is linear on any text, and match
-what the plain ones match.
-
-Defined cases: a null text is the empty text, without spans; rows repeated give their rows
-again; extra columns are ignored; an empty table gives an empty result, and no candidate at
-all leaves an empty model that accepts nothing.
+and of the matches; each match becomes a row, and running sums in windows over a text's
+matches give the starts in code points. The patterns are written with possessive repeats and
+run-start guards, so that each is linear and free of recursion on any text, and match what
+the plain ones match. The text is read once and never shuffled: only its matches are.
+
+Defined cases: a null text is the empty text, without spans; a very long text, or one with
+very many matches, takes time in proportion to its length (and to n log n of its matches,
+sorted in windows that spill); rows repeated give their rows again; extra columns are
+ignored; an empty table gives an empty result, and no candidate at all leaves an empty model
+that accepts nothing.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.operators.shared import materialize
@@ -45,7 +48,7 @@ NEAR = 24  # code points of context on each side
 GAZETTEER = r"(?i)(?:phone|telephone|tel|mobile|cell|call|fax|contact|ssn|social security|passport|licen[cs]e no|account|iban|card|id|e-?mail|mail|ip|address|telefon|handy|t[eé]l[eé]phone|tel[eé]fono|m[oó]vil|correo|konto)[\x20.:#=-]*$"
 NOT_PERSONAL = r"(?i)(?:version|isbn|issn|doi|page|pages|chapter|section|figure|table|year|vol|no\.|\$|€|£|%)[\x20.:#=-]*$"
 STRICT = {
-    "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}$",
+    "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}+$",
     "ip": r"^(?!0)[0-9]{1,3}(?:\.[0-9]{1,3}){3}$",
     "card": r"^[3-6][0-9]{3}(?:[\x20-]?[0-9]){9,15}$",
     "phone": r"^\+[1-9][0-9]{0,2}[\x20(.-]",
@@ -81,58 +84,74 @@ def _valid(kind: str, hit: Column) -> Column:
     return F.lit(True)
 
 
-def spans(text: Column, kind: str) -> Column:
-    """array<struct<kind, start, end>> of the valid matches, in order."""
-    pattern = PATTERNS[kind]
-    between = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    kept = F.aggregate(
-        F.arrays_zip(between.alias("gap"), hits.alias("hit")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:int,start:int,end:int>>").alias("out")),
-        lambda s, x: F.struct(
-            (s["at"] + x["gap"] + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
-            F.when(
-                x["hit"].isNotNull() & _valid(kind, x["hit"]),
-                F.concat(s["out"], F.array(F.struct(F.lit(KINDS.index(kind)).alias("kind"), (s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + F.length(x["hit"])).alias("end")))),
-            ).otherwise(s["out"]).alias("out"),
-        ),
-        lambda s: s["out"],
-    )
-    return F.when(text.rlike(HINTS[kind]), kept).otherwise(F.array().cast("array<struct<kind:int,start:int,end:int>>"))
+def _matches(docs: DataFrame) -> DataFrame:
+    """row, doc_id and hits: every match of every kind, valid or not, with what lies before and beside it.
+
+    A text split by a pattern gives the pieces between its matches, so all contexts are cut from
+    single pieces and no step looks at the text once a match. A context goes back, or on, to the
+    neighbouring match of the kind at most.
+    """
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = rows.select(
+        "row", "doc_id",
+        *[F.when(F.col("text").rlike(HINTS[k]), F.split("text", PATTERNS[k], -1)).otherwise(F.array().cast("array<string>")).alias(f"pieces_{k}") for k in KINDS],
+        *[F.when(F.col("text").rlike(HINTS[k]), F.regexp_extract_all("text", F.lit(PATTERNS[k]), F.lit(0))).otherwise(F.array().cast("array<string>")).alias(f"found_{k}") for k in KINDS],
+    )
+
+    def described(i: int, kind: str) -> Column:
+        pieces, found = F.col(f"pieces_{kind}"), F.col(f"found_{kind}")
+        beside = lambda at: F.coalesce(F.get(found, at), F.lit(""))
+        return F.transform(
+            found,
+            lambda hit, no: F.struct(
+                F.lit(i).alias("kind"), no.alias("no"), F.length(F.get(pieces, no)).alias("gap"), hit.alias("hit"),
+                F.right(F.concat(beside(no - 1), F.get(pieces, no)), F.lit(NEAR)).alias("left"), F.substring(F.concat(F.get(pieces, no + 1), beside(no + 1)), 1, NEAR).alias("right"),
+            ),
+        )
+
+    return materialize(rows.select("row", "doc_id", F.concat(*[described(i, k) for i, k in enumerate(KINDS)]).alias("hits")), "matches")
+
+
+def _placed(matches: DataFrame) -> DataFrame:
+    """row, kind, start, end, hit, left, right of the valid matches; numbers that touch a base span are left out.
+
+    Positions are running sums within a row and kind; whether a number touches a base span follows
+    from the furthest end before it and the first start after it, in two passes over sorted rows.
+    """
+    c = F.col
+    each = matches.select("row", F.inline("hits")).repartition("row")
+    upto = Window.partitionBy("row", "kind").orderBy("no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    each = each.withColumn("end", F.sum(c("gap") + F.length("hit")).over(upto).cast("int")).withColumn("start", c("end") - F.length("hit"))
+    valid = F.lit(False)
+    for i, kind in enumerate(KINDS):
+        valid = F.when(c("kind") == i, _valid(kind, c("hit"))).otherwise(valid)
+    number = c("kind") == KINDS.index("number")
+    before = Window.partitionBy("row").orderBy("start", number, "end", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = Window.partitionBy("row").orderBy(c("start").desc(), number.desc(), c("end").desc(), c("kind").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    each = each.filter(valid).withColumns({"upto": F.max(F.when(~number, c("end"))).over(before), "from": F.min(F.when(~number, c("start"))).over(after)})
+    touched = (F.coalesce("upto", F.lit(0)) > c("start")) | (F.coalesce("from", c("end")) < c("end"))
+    return each.filter(~(number & touched)).select("row", "kind", "start", "end", "hit", "left", "right")
 
 
 def _vote(good: Column, bad: Column) -> Column:
     return F.when(bad, -1).when(good, 1).otherwise(0)
 
 
-def _candidate(text: Column, span: Column) -> Column:
-    """kind, start, end, the three votes in one code, and the classifier's features."""
-    hit = F.substr(text, span["start"] + 1, span["end"] - span["start"])
-    first = F.greatest(span["start"] - NEAR, F.lit(0))
-    left, right = F.substr(text, first + 1, span["start"] - first), F.substr(text, span["end"] + 1, F.lit(NEAR))
+def candidates(matches: DataFrame) -> DataFrame:
+    """row, kind, start, end, the three votes in one code and the classifier's features; written out."""
+    kind, hit, left, right = (F.col(x) for x in ("kind", "hit", "left", "right"))
     strict = F.lit(False)
-    for i, kind in enumerate(KINDS):
-        strict = F.when(span["kind"] == i, hit.rlike(STRICT[kind])).otherwise(strict)
+    for i, name in enumerate(KINDS):
+        strict = F.when(kind == i, hit.rlike(STRICT[name])).otherwise(strict)
     votes = (_vote(strict, ~strict), _vote(left.rlike(GAZETTEER), left.rlike(NOT_PERSONAL)), _vote(left.rlike(r"(?:^|[\x20\n\"'(:=])$") & right.rlike(r"^(?:$|[\x20\n\"'),;.!?])"), left.rlike(r"[A-Za-z0-9_/.,-]$") | right.rlike("^[A-Za-z0-9_/]")))
     code = (votes[0] + 1) * 9 + (votes[1] + 1) * 3 + votes[2] + 1
     features = F.array(
-        F.concat(F.lit("size:"), span["kind"], F.lit(":"), F.least(F.floor((span["end"] - span["start"]) / 4), F.lit(8))),
-        F.concat(F.lit("marks:"), span["kind"], F.lit(":"), F.array_join(F.array_distinct(F.regexp_extract_all(hit, F.lit(r"[\x20().@-]"), F.lit(0))), "")),
-        F.concat(F.lit("left:"), span["kind"], F.lit(":"), F.when(left.rlike(GAZETTEER), "word").when(left == "", "start").when(left.rlike(r"[\x20\n]$"), "space").otherwise("other")),
-        F.concat(F.lit("shape:"), span["kind"], F.lit(":"), strict.cast("string")),
+        F.concat(F.lit("size:"), kind, F.lit(":"), F.least(F.floor((F.col("end") - F.col("start")) / 4), F.lit(8))),
+        F.concat(F.lit("marks:"), kind, F.lit(":"), F.array_join(F.array_distinct(F.regexp_extract_all(hit, F.lit(r"[\x20().@-]"), F.lit(0))), "")),
+        F.concat(F.lit("left:"), kind, F.lit(":"), F.when(left.rlike(GAZETTEER), "word").when(left == "", "start").when(left.rlike(r"[\x20\n]$"), "space").otherwise("other")),
+        F.concat(F.lit("shape:"), kind, F.lit(":"), strict.cast("string")),
     )
-    return F.struct(span["kind"].alias("kind"), span["start"].alias("start"), span["end"].alias("end"), code.cast("int").alias("votes"), features.alias("features"))
-
-
-def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, base (spans by kind and start), found (candidates with votes), written out."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("__t")).select("doc_id", "__t", *[spans(F.col("__t"), k).alias(f"__{k}") for k in KINDS])
-    base = F.concat(*[F.col(f"__{k}") for k in BASE])
-    free = F.filter("__number", lambda n: ~F.exists(F.col("__base"), lambda b: (b["start"] < n["end"]) & (n["start"] < b["end"])))
-    rows = rows.withColumn("__base", base)
-    rows = rows.select("doc_id", F.col("__base").alias("base"), F.transform(F.concat("__base", free), lambda s: _candidate(F.col("__t"), s)).alias("found"))
-    return materialize(rows, "candidates")
+    return materialize(_placed(matches).select("row", "kind", "start", "end", code.cast("int").alias("votes"), features.alias("features")), "candidates")
 
 
 def reliabilities(patterns: dict[int, int]) -> dict[int, float]:
@@ -157,14 +176,13 @@ def reliabilities(patterns: dict[int, int]) -> dict[int, float]:
 
 def classifier(found: DataFrame) -> tuple[dict[str, float], float]:
     """Log odds of each feature and of the prior, from EM posteriors as soft labels."""
-    spans_ = found.select(F.explode("found").alias("s"))
-    counts = {r["votes"]: r["n"] for r in spans_.groupBy("s.votes").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 27 rows
+    counts = {r["votes"]: r["n"] for r in found.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 27 rows
     posterior = reliabilities(counts)
     if not posterior:
         return {}, 0.0
     soft = F.create_map(*[F.lit(x) for p, q in sorted(posterior.items()) for x in (p, q)])
     sums = (
-        spans_.withColumn("p", F.element_at(soft, F.col("s.votes"))).select("p", F.explode("s.features").alias("f"))
+        found.withColumn("p", F.element_at(soft, F.col("votes"))).select("p", F.explode("features").alias("f"))
         .groupBy("f").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).collect()
     )  # kinds times classes: a few hundred at most
     yes = sum(posterior[p] * n for p, n in counts.items()) + 1
@@ -174,17 +192,17 @@ def classifier(found: DataFrame) -> tuple[dict[str, float], float]:
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, counts of each kind, base_sha256 and spans for every row."""
-    found = candidates(docs)
+    matches = _matches(docs)
+    found = candidates(matches)
     weights, prior = classifier(found)
     table = F.create_map(*[F.lit(x) for f, w in sorted(weights.items()) for x in (f, float(w))]) if weights else F.create_map(F.lit(""), F.lit(0.0))
-    odds = lambda c: F.aggregate(c["features"], F.lit(float(prior)), lambda a, f: a + F.coalesce(F.try_element_at(table, f), F.lit(0.0)))
-    more = F.filter("found", lambda c: (c["kind"] == KINDS.index("number")) & (odds(c) >= ACCEPT))
-    names = F.array(*[F.lit(k) for k in KINDS])
-    written = lambda spans_: F.array_join(F.transform(spans_, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
-    of = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
-    rows = found.select("doc_id", "base", more.alias("more"))
-    return rows.select(
-        "doc_id", *[of(i).alias(f"n_{k}") for i, k in enumerate(BASE)], F.size("more").cast("long").alias("n_number"),
-        F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
-        F.concat_ws(",", F.nullif(written(F.col("base")), F.lit("")), F.nullif(written(F.col("more")), F.lit(""))).alias("spans"),
-    )
+    odds = F.aggregate("features", F.lit(float(prior)), lambda a, f: a + F.coalesce(F.try_element_at(table, f), F.lit(0.0)))
+    names, number = F.array(*[F.lit(k) for k in KINDS]), KINDS.index("number")
+    spans = F.sort_array(F.collect_list(F.struct("kind", "start", "end")))
+    own = found.filter((F.col("kind") != number) | (odds >= ACCEPT)).groupBy("row").agg(spans.alias("s"), *[F.count_if(F.col("kind") == i).alias(f"n_{k}") for i, k in enumerate(KINDS)])
+    written = lambda some: F.array_join(F.transform(some, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+    own = own.select("row", written(F.filter("s", lambda s: s["kind"] != number)).alias("base"), written(F.col("s")).alias("spans"), *[f"n_{k}" for k in KINDS])
+    return matches.select("row", "doc_id").join(own, "row", "left").select(
+        "doc_id", *[F.coalesce(f"n_{k}", F.lit(0).cast("long")).alias(f"n_{k}") for k in KINDS],
+        F.sha2(F.coalesce("base", F.lit("")).cast("binary"), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"),
+    )
