@@ -120,8 +120,30 @@ def test_digest_index_persists_and_appends(spark, tmp_path):
     got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in again.add(docs((7, "a"), (8, "c"), (9, "C"))).collect()}
     assert got == {7: (2, 3, False), 8: (9, 2, False), 9: (9, 2, True)}
     assert again.rows().count() == 3
-    plan = again.rows()._jdf.queryExecution().toString()
+    plan = again.first[0]._jdf.queryExecution().toString()
     assert "Bucketed: true" in plan or "bucket" in plan.lower()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("waymill_digest")]
+
+
+def test_digest_index_sums_all_batches_and_skips_half_written_ones(spark, tmp_path):
+    docs = lambda *rows: spark.createDataFrame(list(rows), "doc_id long, text string")
+    index = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), buckets=4)
+    sizes = [max(r["group_size"] for r in index.add(docs(*rows)).collect()) for rows in ([(1, "a")], [(2, "a"), (3, "A")], [(4, "a")])]
+    assert sizes == [1, 3, 4]
+    (tmp_path / "index" / "g000001" / "again" / "_SUCCESS").unlink()
+    opened = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), buckets=4).open()
+    assert len(opened.first) == 1
+    assert {r["group_size"] for r in opened.add(docs((2, "a"), (3, "A"))).collect()} == {3}
+
+
+def test_exact_dedup_meets_its_own_index(spark):
+    rows = [(i, f"text {i % 7}") for i in range(60)] + [(None, "text 1"), (None, "only null"), (-5, "Text 3")]
+    got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    groups: dict = {}
+    for i, t in rows:
+        groups.setdefault(t.lower(), []).append(i)
+    want = Counter((i, max((x for x in groups[t.lower()] if x is not None), default=None), len(groups[t.lower()])) for i, t in rows)
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"]) for r in got) == want
 
 
 def test_rules(odd, none):

@@ -1,15 +1,22 @@
 """Exact dedup: a persistent digest index, bucketed and sorted by hash.
 
-``DigestIndex`` keeps one row a distinct text: its SHA-256, the document that stays and the
-number of rows seen. A new batch is digested, aggregated to one row a digest (partial
-aggregation first, so a text that a third of the rows share is a few rows after the map
-side), anti-joined to the index by sort-merge on the bucketed digest and appended as a new
-generation. Column functions only.
-
-Defined cases: a null text is the empty text; a null doc_id never wins against another; if
-every doc_id of a group is null, keep_id is null. Rows repeated with one doc_id and one text
-share the decision of that doc_id. Extra input columns are ignored. An empty batch appends
-nothing and returns no row.
+``DigestIndex`` is a folder of generations, one a batch. A batch is digested and aggregated to
+one row a digest (partial aggregation first, so a text that a third of the rows share is a few
+rows after the map side). Its digests are anti-joined by sort-merge, bucket against bucket, to
+those of every earlier generation; the new ones are appended to the index, bucketed and sorted
+by digest, and so are the counts of those known before. A text's size is the sum over all
+generations. Column functions only.
+
+``exact_dedup`` deals its rows by descending doc_id into ``BATCHES`` batches, newest ids first,
+and adds one after the other, so that the first document that the index meets of equal texts
+is the one with the largest doc_id.
+
+Defined cases: a null text is the empty text; a very long text is one digest like any other; a
+null doc_id never wins against another; if every doc_id of a group is null, keep_id is null.
+Rows repeated with one doc_id and one text share the decision of that doc_id. Extra input
+columns are ignored, whatever their names. An empty batch appends nothing and returns no row.
+A generation counts only if both of its tables were written to the end; a half-written one is
+replaced by the next batch.
 """
 
 from __future__ import annotations
@@ -26,6 +33,7 @@ from waymill.operators.skew import salted_lookup
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 INDEX_SCHEMA = "digest string, keep_id long, group_size long"
 BUCKETS = 64
+BATCHES = 3
 
 
 def normalised(text: Column) -> Column:
@@ -34,81 +42,120 @@ def normalised(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def digest_of(text: Column) -> Column:
+    return F.sha2(normalised(text).cast("binary"), 256)
+
+
 def digests(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(normalised(F.col("text")).cast("binary"), 256).alias("digest"))
+    """doc_id, digest and a number for each row, written out: the only look at the texts."""
+    return materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest_of(F.col("text")).alias("digest"), F.monotonically_increasing_id().alias("row")), "digests")
 
 
 class DigestIndex:
-    """Generations of a bucketed table under one folder; each add() appends one."""
+    """Generations of two bucketed tables under one folder: texts first met, and counts of texts met again."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS):
         self.spark, self.path, self.buckets = spark, path or shared_path(spark, "digests"), buckets
-        self.tables: list[str] = []
+        self.first: list[DataFrame] = []  # bucketed, one a generation
 
     def rows(self) -> DataFrame | None:
-        """All entries so far, bucketed by digest."""
-        out = None
-        for name in self.tables:
-            part = self.spark.table(name)
-            out = part if out is None else out.unionByName(part)
-        return out
+        """One entry a text: digest, the document that stays, the rows seen so far."""
+        if not self.first:
+            return None
+        # Read as plain files: this look needs no buckets.
+        every = self.spark.read.schema(INDEX_SCHEMA).parquet(*[f"{self.path}/g{i:06d}/{part}" for i in range(len(self.first)) for part in ("first", "again")])
+        return every.groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
 
     def open(self) -> DigestIndex:
-        """Attach the generations that an earlier session left under the folder."""
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        for name in sorted(s.getPath().getName() for s in fs.listStatus(root)) if fs.exists(root) else []:
-            if re.fullmatch(r"g\d{6}", name):
-                self._attach(name)
+        """Attach the whole generations that an earlier session left under the folder."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = path(self.path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        self.first = []
+        names = sorted(s.getPath().getName() for s in fs.listStatus(path(self.path))) if fs.exists(path(self.path)) else []
+        for name in names:
+            whole = re.fullmatch(r"g\d{6}", name) and all(fs.exists(path(f"{self.path}/{name}/{part}/_SUCCESS")) for part in ("first", "again"))
+            if not whole:
+                break  # what follows was written after a failure
+            self.first.append(self._attached(f"{self.path}/{name}/first"))
         return self
 
-    def _attach(self, generation: str) -> None:
+    def _attached(self, location: str) -> DataFrame:
+        """The bucketed table there; its catalog entry goes as soon as the plan holds its layout."""
+        name = f"waymill_digest_{uuid.uuid4().hex}"
+        self.spark.sql(f"CREATE TABLE {name} ({INDEX_SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{location}'")
+        return self._taken(name)
+
+    def _taken(self, name: str) -> DataFrame:
+        frame = self.spark.table(name)
+        frame.schema  # resolved here
+        self.spark.sql(f"DROP TABLE {name}")  # external: the files stay
+        return frame
+
+    def _written(self, rows: DataFrame, location: str) -> DataFrame:
         name = f"waymill_digest_{uuid.uuid4().hex}"
-        self.spark.sql(
-            f"CREATE TABLE {name} ({INDEX_SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{generation}'"
-        )
-        self.tables.append(name)
+        dealt = rows.repartition(self.buckets, F.pmod(F.hash("digest"), F.lit(self.buckets))).sortWithinPartitions("digest")
+        dealt.select("digest", "keep_id", "group_size").write.mode("overwrite").bucketBy(self.buckets, "digest").sortBy("digest").option("path", location).saveAsTable(name)
+        return self._taken(name)
+
+    def append(self, rows: DataFrame) -> None:
+        """Add a batch of (doc_id, digest) rows as a generation."""
+        groups = materialize(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "batch")
+        new = groups
+        for known in self.first:
+            new = new.join(known.select("digest").hint("merge"), "digest", "left_anti")
+        folder = f"{self.path}/g{len(self.first):06d}"
+        first = self._written(new, f"{folder}/first")
+        met = groups.join(first.select("digest").hint("merge"), "digest", "left_anti").withColumn("keep_id", F.lit(None).cast("long"))
+        self._written(met, f"{folder}/again")
+        self.first.append(first)
+
+    def decide(self, rows: DataFrame) -> DataFrame:
+        """doc_id, digest, keep_id, group_size, kept of indexed rows (doc_id, digest, row)."""
+        entries = materialize(self.rows(), "entries")
+        decided = salted_lookup(rows, entries, "digest", "group_size", rows.count(), F.col("row"))
+        return decided.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "digest", "keep_id", "group_size", "kept")
 
     def add(self, docs: DataFrame) -> DataFrame:
         """Index the batch; return doc_id, digest, keep_id, group_size, kept for each of its rows.
 
         A text that the index holds already keeps its earlier document and none of the batch
-        stays; among new equal texts the largest doc_id stays. group_size counts the rows of
-        the text in this batch and in the generation that first held it.
+        stays, save for rows of that same doc_id; among new equal texts the largest doc_id
+        stays. group_size counts the rows of the text over all generations.
         """
-        rows = materialize(digests(docs), "batch")
-        groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        known = self.rows()
-        fresh = groups if known is None else groups.join(known.hint("merge"), "digest", "left_anti")
-        generation, name = f"g{len(self.tables):06d}", f"waymill_digest_{uuid.uuid4().hex}"
-        (
-            fresh.repartition(self.buckets, F.pmod(F.hash("digest"), F.lit(self.buckets))).sortWithinPartitions("digest").write.bucketBy(self.buckets, "digest").sortBy("digest")
-            .option("path", f"{self.path}/{generation}").saveAsTable(name)
-        )
-        self.tables.append(name)
-        total = rows.count()
-        decided = salted_lookup(rows, self.spark.table(name), "digest", "group_size", total, F.col("doc_id"))
-        decided = decided.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        if known is not None:
-            seen = salted_lookup(rows, groups.join(known.select("digest", F.col("keep_id").alias("old_id"), F.col("group_size").alias("old_size")), "digest"), "digest", "group_size", total, F.col("doc_id"))
-            decided = decided.unionByName(
-                seen.select("doc_id", "digest", F.col("old_id").alias("keep_id"), (F.col("group_size") + F.col("old_size")).alias("group_size"), F.lit(False).alias("kept"))
-            )
-        return decided.select("doc_id", "digest", "keep_id", "group_size", "kept")
+        rows = digests(docs)
+        self.append(rows)
+        return self.decide(rows)
+
+
+def batches(rows: DataFrame, parts: int = BATCHES) -> list[DataFrame]:
+    """Rows by descending doc_id in ranges of equal width; null ids come last."""
+    low, high = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
+    if low is None:
+        return [rows]
+    cuts = [low + (high + 1 - low) * i // parts for i in range(parts + 1)]
+    dealt = [rows.filter((F.col("doc_id") >= a) & (F.col("doc_id") < b)) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [*dealt[:0:-1], rows.filter(F.col("doc_id").isNull() | (F.col("doc_id") < cuts[1]))]
+
+
+def _dealt_out(docs: DataFrame) -> DataFrame:
+    rows, index = digests(docs), DigestIndex(docs.sparkSession)
+    for batch in batches(rows):
+        index.append(batch)
+    return index.decide(rows)
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """Decisions for one batch against an empty index."""
-    return DigestIndex(docs.sparkSession).add(docs)
+    """doc_id, digest, keep_id, group_size and kept for every row, against an index that starts empty."""
+    return _dealt_out(docs)
 
 
 def keep_first_of_equal(docs: DataFrame) -> DataFrame:
     """Only the staying rows, all columns; rows repeated with one doc_id and text stay once."""
-    decided = exact_dedup(docs)
-    stay = decided.filter("kept").groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).agg((F.count(F.lit(1)) > 1).alias("__repeated"))
-    keyed = docs.withColumn("__digest", F.sha2(normalised(F.col("text")).cast("binary"), 256))
-    left = keyed.join(stay.withColumnRenamed("__digest", "__kept_digest"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__kept_digest")))
-    once = left.filter("not __repeated")
-    again = left.filter("__repeated").dropDuplicates(["__digest"])
-    return once.unionByName(again).select(*[F.col(f"`{c}`") for c in docs.columns])
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "waymill digest")
+    stay = materialize(exact_dedup(docs).filter("kept").select("doc_id", F.col("digest").alias("waymill digest")).groupBy(key.alias("waymill key")).agg(F.count(F.lit(1)).alias("waymill rows")), "stay")
+    total = stay.agg(F.sum("waymill rows")).first()[0] or 0
+    keyed = docs.withColumn("waymill digest", digest_of(F.col("text"))).withColumn("waymill key", key)
+    left = salted_lookup(keyed, stay, "waymill key", "waymill rows", total, F.monotonically_increasing_id())
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    again = left.filter("`waymill rows` > 1").dropDuplicates(["waymill key"])
+    return left.filter("`waymill rows` = 1").select(*names).unionByName(again.select(*names))
