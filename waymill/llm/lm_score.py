@@ -1,23 +1,30 @@
 """Cross-entropy difference of a target and a background n-gram model.
 
 Background: every document; target: those whose label is 1. Both are bigram models over one
-vocabulary, which is every word of the corpus; no word and no pair is left out. Words are
-64-bit hashes. Pairs are counted in one pass over every whole text and stay in a distributed
-table, as do the counts by context and by word that follow from it (absolute discounting; the
-freed mass goes to the unigram model).
-
-Scoring joins each document's pairs, counted once a document, to that table. Only the pairs
-that make up at least one in ``PAIR_SHARE`` of the corpus, so at most PAIR_SHARE of them, are
-sent to executors and looked up in place: that spares the join its frequent keys and changes
-no result.
-
-The score of a document is the mean over its words of background minus target log loss, with
-begin-of-text as the first context: above 0 means that it looks more like the target.
-
-Defined cases: null and word-less texts score 0.0 with n_words 0; a null doc_id is scored and
-belongs to the background; rows repeated count each time; of conflicting labels the larger
-holds; with no target document both models are the background's and every score is 0.0;
-extra columns are ignored; an empty table gives an empty result.
+vocabulary of hashed words (44 bits), in contexts that are the previous word's class (one of
+``CLASSES``, by hash; begin-of-text is a context of its own). Every pair of context and word of
+every whole text is counted, none is left out or capped:
+
+    P(b | a) = (n(a, b) + PRIOR * P(class of b)) / (n(a) + PRIOR)
+
+with P(class) = (n(class) + 1) / (all + CLASSES). Class and context counts are tables of a fixed
+size, so broadcast; the pair counts grow with the corpus and stay distributed. Each document
+sends its pairs once to the task that holds the pair's bucket, where a window counts the pair
+over the whole corpus and turns it into a gain; gains are summed back by document. Pairs travel
+in arrays, one a block of documents and bucket, so that one costs little more than its key.
+
+Hot pairs would fill one bucket. A pair with 2 / HOT of all (document, pair) rows has 1 / HOT of
+them in some block, so the pairs that blocks report at that share, if the reports sum to
+1 / (2 * HOT) of all rows, hold every such pair and are 2 * HOT at most. They are counted
+exactly in a pass of their own and looked up in place.
+
+The score of a document is the mean over its words of background minus target log loss: above
+0 means that it looks more like the target.
+
+Defined cases: null and word-less texts score 0.0 with n_words 0; a very long text is a block of
+its own; a null doc_id is scored and belongs to the background; rows repeated count each time; of
+conflicting labels the larger holds; with no target document every score is 0.0; extra columns
+are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,16 +34,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymill.operators.shared import materialize
-from waymill.operators.skew import salted_lookup
 
-WORD_SHARE = 1 << 17  # bounds nothing any more: the tests of small corpora name it
-PAIR_SHARE = 1 << 19
-DISCOUNT = 0.75
-FLUSH = 1 << 19  # words a task holds before it scores them; for counting, eight times as many
+CLASS_BITS, WORD_BITS = 18, 44
+CLASSES = 1 << CLASS_BITS
+PRIOR = 20.0
+HOT = 1 << 12
+BLOCK_WORDS = 1 << 19
+BLOCK_DOCS = 1 << 14  # places in a block fit two bytes
+TARGET_IDS = 1 << 22  # as many target ids are broadcast; more are joined by sort-merge
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -45,147 +54,172 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def flagged(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """doc_id, text, target (0 or 1) for every row.
+    """row (a number), doc_id, text, target (0 or 1) for every row."""
+    named = materialize(labels.filter(F.col("doc_id").isNotNull() & (F.col(label) == 1)).select(F.col("doc_id").alias("target_id")).distinct(), "targets")
+    few = named.count() <= TARGET_IDS
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").join(F.broadcast(named) if few else named.hint("merge"), F.col("doc_id") == F.col("target_id"), "left")
+    return rows.select("row", "doc_id", "text", F.col("target_id").isNotNull().cast("int").alias("target"))
 
-    Labels grow with the corpus and are never broadcast: a sort-merge join at every size.
-    """
-    named = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__id")).agg(F.coalesce(F.max(label) == 1, F.lit(False)).cast("int").alias("target"))
-    return docs.select("doc_id", "text").join(named.hint("merge"), F.col("doc_id") == F.col("__id"), "left").select("doc_id", "text", F.coalesce("target", F.lit(0)).alias("target"))
+
+def word_codes(words: list[bytes]) -> np.ndarray:
+    flat = np.empty(len(words), object)
+    flat[:] = words
+    return (pd.util.hash_array(flat, categorize=False) if len(flat) else np.zeros(0, np.uint64)).view(np.int64) & ((1 << WORD_BITS) - 1)
 
 
-def coded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words of each text; then context and word of every word, in order, as hashes.
+def coded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Words of each text; then a key for every word, in order: its context above its own code.
 
-    The context of a first word is 0, which is no word's hash.
+    A context is the class of the word before plus 1, or 0 at the begin of a text.
     """
     words = [words_of(t) for t in texts]
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.empty(lengths.sum(), object)
-    flat[:] = [w for d in words for w in d]
-    at = pd.util.hash_array(flat, categorize=False).view(np.int64) if len(flat) else np.zeros(0, np.int64)
-    at = np.where(at == 0, 1, at)
-    context = np.concatenate([np.zeros(1, np.int64), at[:-1]])[: len(at)]
+    codes = word_codes([w for d in words for w in d])
+    context = np.concatenate([np.zeros(1, np.int64), (codes[:-1] & (CLASSES - 1)) + 1])[: len(codes)]
     context[(np.cumsum(lengths) - lengths)[lengths > 0]] = 0
-    return lengths, context, at
+    return lengths, context << WORD_BITS | codes
 
 
-def runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order that sorts by the keys, the first one first, and where each run of equal keys begins in it."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    for k in keys:
-        new[1:] |= k[order[1:]] != k[order[:-1]]
-    return order, np.flatnonzero(new)
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(batch part, lengths, keys, counts, owners) of blocks of rows (row, doc_id, text, target): each document's distinct keys, with their counts."""
+    for batch in batches:
+        texts, begin, size = batch.column("text").to_pylist(), 0, 0
+        for i, t in enumerate(texts):
+            size += len(t) // 6 if isinstance(t, str) else 0
+            if size > BLOCK_WORDS or i + 1 - begin == BLOCK_DOCS or i + 1 == len(texts):
+                lengths, keys = coded(texts[begin : i + 1])
+                owners = np.repeat(np.arange(len(lengths)), lengths)
+                order = np.argsort(keys, kind="stable")  # owners ascend within a key
+                keys, owners = keys[order], owners[order]
+                first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])]))
+                yield batch.slice(begin, i + 1 - begin), lengths, keys[first], np.diff(first, append=len(keys)), owners[first]
+                begin, size = i + 1, 0
 
 
-def parts(texts: list[str | None]) -> Iterator[slice]:
-    """Cuts a batch so that the texts of a part have about FLUSH words at most."""
-    begin = size = 0
-    for i, t in enumerate(texts):
-        size += len(t) // 6 if isinstance(t, str) else 0
-        if size > FLUSH:
-            yield slice(begin, i + 1)
-            begin, size = i + 1, 0
-    yield slice(begin, len(texts))
+def target_of(part: pa.RecordBatch) -> np.ndarray:
+    return part.column("target").to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def pair_counts(rows: DataFrame) -> DataFrame:
-    """a (context), b (word), background and target counts n and t of every pair."""
+def statistics(rows: DataFrame) -> DataFrame:
+    """kind, key and counts, written out.
+
+    kind 0: a class (or, at ``CLASSES``, the begin of texts) with n and t as a word, cn and ct as a
+    context; kind 1: a pair that blocks report as hot, with its rows; kind 2: all rows.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            a, b, y = (np.concatenate(x) for x in zip(*held, strict=True))
-            held.clear()
-            order, first = runs(a, b)
-            n = np.diff(first, append=len(order))
-            t = np.add.reduceat(y[order], first)
-            at = order[first]
-            return pa.RecordBatch.from_pydict({"a": pa.array(a[at]), "b": pa.array(b[at]), "n": pa.array(n), "t": pa.array(t)})
-
-        for batch in batches:
-            texts, targets = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            for cut in parts(texts):
-                lengths, a, b = coded(texts[cut])
-                if len(b):
-                    held.append((a, b, np.repeat(targets[cut], lengths)))
-                    size += len(b)
-                if size > 8 * FLUSH:
-                    yield out()
-                    size = 0
-        if held:
-            yield out()
-
-    counted = rows.select("text", "target").mapInArrow(count, "a long, b long, n long, t long")
-    return counted.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-
-
-def gains(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
-    """a, b, n, gain (background minus target log loss) of every pair; and the number of words."""
-    pairs = materialize(pair_counts(flagged(docs, labels)), "pairs")
-    c = F.col
-    contexts = pairs.groupBy("a").agg(F.sum("n").alias("an"), F.sum("t").alias("at"), F.count(F.lit(1)).alias("kinds"), F.count_if(c("t") > 0).alias("target_kinds"))
-    words = pairs.groupBy("b").agg(F.sum("n").alias("bn"), F.sum("t").alias("bt"), F.count(F.lit(1)).alias("followed"))
-    total, target, distinct, size = words.agg(F.sum("bn"), F.sum("bt"), F.sum("followed"), F.count(F.lit(1))).first()
-    total, target, distinct = total or 0, target or 0, distinct or 0
-    if not target:  # both models are the background's
-        return pairs.select("a", "b", "n", F.lit(0.0).alias("gain")), total
-    every = salted_lookup(salted_lookup(pairs, contexts, "a", "kinds", distinct, c("b")), words, "b", "followed", distinct, c("a"))
-
-    def chance(n, context, kinds, word, all_words):
-        left = F.when(context > 0, DISCOUNT * kinds / context).otherwise(1.0)
-        return F.greatest(n - DISCOUNT, F.lit(0.0)) / F.greatest(context, F.lit(1)) + left * (word + 0.5) / (all_words + 0.5 * (size + 2))
-
-    background, wanted = chance(c("n"), c("an"), c("kinds"), c("bn"), total), chance(c("t"), c("at"), c("target_kinds"), c("bt"), target)
-    return every.select("a", "b", "n", (F.log(wanted) - F.log(background)).alias("gain")), total
+        sums, total = np.zeros((4, CLASSES + 1), np.int64), 0
+
+        def out(kind, key, *counts):
+            columns = {"kind": np.full(len(key), kind, np.int32), "key": key} | dict(zip(("n", "t", "cn", "ct"), [*counts, *[np.zeros(len(key), np.int64)] * 4], strict=False))
+            return pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
+
+        for part, _, keys, n, owners in blocks(batches):
+            flags = target_of(part)[owners] * n
+            word, context = keys & (CLASSES - 1), keys >> WORD_BITS
+            for at, (where, weight) in enumerate(((word, n), (word, flags), (np.where(context, context - 1, CLASSES), n), (np.where(context, context - 1, CLASSES), flags))):
+                sums[at] += np.bincount(where, weights=weight, minlength=CLASSES + 1).astype(np.int64)
+            total += len(keys)
+            first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+            held = np.diff(first, append=len(keys))
+            hot = held * HOT >= len(keys)
+            if hot.any():
+                yield out(1, keys[first][hot], held[hot])
+        some = np.flatnonzero(sums.any(axis=0))
+        yield out(0, some, *[s[some] for s in sums])
+        yield out(2, np.zeros(1, np.int64), np.array([total]))
+
+    counted = rows.mapInArrow(count, "kind int, key long, n long, t long, cn long, ct long")
+    return materialize(counted.groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in ("n", "t", "cn", "ct")]), "statistics")
+
+
+def gain(n: Column, t: Column, stats: DataFrame, pairs: DataFrame, key: str, all_words: tuple[int, int]) -> DataFrame:
+    """``pairs`` with gain, background minus target log loss, from the pair's counts n and t."""
+    classes = stats.filter("kind = 0")
+    context = F.broadcast(classes.select(F.col("key").alias("context key"), F.col("cn").alias("context n"), F.col("ct").alias("context t")))  # CLASSES + 1 rows at most
+    word = F.broadcast(classes.select(F.col("key").alias("word key"), F.col("n").alias("word n"), F.col("t").alias("word t")))
+    at = F.shiftright(key, WORD_BITS)
+    met = pairs.join(context, F.when(at > 0, at - 1).otherwise(F.lit(CLASSES)) == F.col("context key"), "left").join(word, F.col(key).bitwiseAND(F.lit(CLASSES - 1)) == F.col("word key"), "left")
+
+    def chance(pair: Column, side: str, total: int) -> Column:
+        return (pair + F.lit(PRIOR) * (F.col(f"word {side}") + 1) / F.lit(float(total + CLASSES))) / (F.col(f"context {side}") + F.lit(PRIOR))
+
+    found = met.withColumn("gain", F.log(chance(t, "t", all_words[1])) - F.log(chance(n, "n", all_words[0])))
+    return found.drop("context key", "context n", "context t", "word key", "word n", "word t")
+
+
+def hot_gains(rows: DataFrame, stats: DataFrame, all_words: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, ascending, and gains of the hot pairs; 2 * HOT at most."""
+    total = stats.filter("kind = 2").select("n").first()
+    keys = np.sort([r["key"] for r in stats.filter((F.col("kind") == 1) & (F.col("n") * (2 * HOT) >= F.lit(total["n"] if total else 0))).select("key").collect()]).astype(np.int64)
+    if not len(keys):
+        return keys, np.zeros(0)
+    shared = rows.sparkSession.sparkContext.broadcast(keys)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = shared.value
+        sums = np.zeros((2, len(wanted)), np.int64)
+        for part, _, found, n, owners in blocks(batches):
+            at = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
+            hit = wanted[at] == found
+            sums[0] += np.bincount(at[hit], weights=n[hit], minlength=len(wanted)).astype(np.int64)
+            sums[1] += np.bincount(at[hit], weights=(n * target_of(part)[owners])[hit], minlength=len(wanted)).astype(np.int64)
+        yield pa.RecordBatch.from_pydict({"key": pa.array(wanted), "n": pa.array(sums[0]), "t": pa.array(sums[1])})
+
+    counted = rows.mapInArrow(count, "key long, n long, t long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    gains = {r["key"]: r["gain"] for r in gain(F.col("n"), F.col("t"), stats, counted, "key", all_words).collect()}
+    return keys, np.array([gains[k] for k in keys.tolist()])
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, n_words, score for every row."""
-    every, total = gains(docs, labels)
-    frequent = F.col("n") * PAIR_SHARE >= F.lit(total)
-    table = every.filter(frequent).select("a", "b", "gain").toPandas().sort_values(["a", "b"])  # at most PAIR_SHARE rows
-    near = docs.sparkSession.sparkContext.broadcast(tuple(table[k].to_numpy() for k in ("a", "b", "gain")))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For every text a row with its number of words and what its frequent pairs gain; b is 0. Then its other pairs."""
-        ka, kb, gain = near.value
-        index = pd.MultiIndex.from_arrays([ka, kb])
-        for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for cut in parts(texts):
-                ids, rows = batch.column(1)[cut], batch.column(0).to_numpy()[cut]
-                lengths, a, b = coded(texts[cut])
-                owner = np.repeat(np.arange(len(lengths)), lengths)
-                order, first = runs(owner, a, b)
-                n, at = np.diff(first, append=len(order)), order[first]
-                owner, a, b = owner[at], a[at], b[at]
-                found = index.get_indexer(pd.MultiIndex.from_arrays([a, b])) if len(ka) and len(a) else np.full(len(a), -1)
-                hit = found >= 0
-                sums = np.bincount(owner[hit], weights=n[hit] * gain[found[hit]], minlength=len(lengths))
-                far = ~hit
-                zeros = np.zeros(len(lengths), np.int64)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "row": pa.array(np.concatenate([rows, rows[owner[far]]])),
-                        "doc_id": pa.concat_arrays([ids, pa.nulls(int(far.sum()), ids.type)]),
-                        "a": pa.array(np.concatenate([rows, a[far]])),
-                        "b": pa.array(np.concatenate([zeros, b[far]])),
-                        "n": pa.array(np.concatenate([lengths, n[far]])),
-                        "known": pa.concat_arrays([pa.array(sums, pa.float64()), pa.nulls(int(far.sum()), pa.float64())]),
-                    }
-                )
-
-    found = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(look, f"row long, doc_id {kind}, a long, b long, n long, known double")
-    rare = every.filter(~frequent).select(F.col("a").alias("__a"), F.col("b").alias("__b"), "gain")
-    met = found.join(rare.hint("merge"), (F.col("a") == F.col("__a")) & (F.col("b") == F.col("__b")), "left")
-    base = F.col("b") == 0
-    own = met.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max(F.when(base, F.col("n"))).alias("n_words"),
-        F.sum(F.when(base, F.col("known")).otherwise(F.col("n") * F.col("gain"))).alias("s"),
-    )
-    return own.select("doc_id", "n_words", F.when(F.col("n_words") > 0, F.col("s") / F.col("n_words")).otherwise(0.0).alias("score"))
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    rows = flagged(docs, labels)
+    stats = statistics(rows)
+    all_words = tuple(x or 0 for x in stats.filter("kind = 0").agg(F.sum("n"), F.sum("t")).first())
+    shared = spark.sparkContext.broadcast(hot_gains(rows, stats, all_words))
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row a document (key -1) with its words and what its hot pairs gain; then arrays of the other pairs by bucket."""
+        hot, hot_gain = shared.value
+        for part, lengths, keys, n, owners in blocks(batches):
+            row, docs_, flags = part.column("row").to_numpy(), len(lengths), target_of(part)
+            at = np.minimum(np.searchsorted(hot, keys), max(len(hot) - 1, 0))
+            hit = hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
+            known = np.bincount(owners[hit], weights=(n[hit] * hot_gain[at[hit]]) if len(hot) else None, minlength=docs_).astype(np.float64)
+            keys, owners, packed = keys[~hit], owners[~hit], (2 * n + flags[owners])[~hit]
+            bucket = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
+            order = np.argsort(bucket, kind="stable")
+            bucket, keys, owners, packed = bucket[order], keys[order], owners[order], packed[order]
+            first = np.flatnonzero(np.concatenate([np.ones(min(1, len(bucket)), bool), bucket[1:] != bucket[:-1]]))
+            cuts = np.concatenate([np.arange(docs_), docs_ + first, [docs_ + len(keys)]]).astype(np.int32)
+            lists = lambda own, other, type_: pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate([own, other]), type_))
+            more = len(first)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "bucket": pa.array(np.concatenate([row % buckets, bucket[first]]), pa.int32()),
+                    "base": pa.array(np.concatenate([row, np.full(more, row[0] if docs_ else 0)]), pa.int64()),
+                    "doc_id": pa.concat_arrays([part.column("doc_id"), pa.nulls(more, part.column("doc_id").type)]),
+                    "n_words": pa.concat_arrays([pa.array(lengths), pa.nulls(more, pa.int64())]),
+                    "known": pa.concat_arrays([pa.array(known), pa.nulls(more, pa.float64())]),
+                    "key": lists(np.full(docs_, -1), keys, pa.int64()),
+                    "place": lists(np.zeros(docs_, np.int64), owners, pa.int16()),
+                    "packed": lists(np.zeros(docs_, np.int64), packed, pa.int32()),
+                }
+            )
+
+    schema = f"bucket int, base long, doc_id {kind}, n_words long, known double, key array<long>, place array<smallint>, packed array<int>"
+    sent = rows.mapInArrow(send, schema).repartition("bucket")
+    each = sent.select("bucket", "base", "doc_id", "n_words", "known", F.inline(F.arrays_zip("key", "place", "packed")))
+    each = each.select("bucket", "key", (F.col("base") + F.col("place")).alias("row"), "packed", "doc_id", "n_words", "known")
+    pair = Window.partitionBy("bucket", "key")  # a bucket is a function of the key: no second exchange
+    count = F.shiftright("packed", 1)
+    counted = each.withColumns({"n": F.sum(count).over(pair), "t": F.sum(F.when(F.col("packed").bitwiseAND(F.lit(1)) == 1, count)).over(pair)})
+    gained = gain(F.col("n"), F.coalesce("t", F.lit(0)), stats, counted, "key", all_words)
+    own = gained.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
+        F.sum(F.when(F.col("key") < 0, F.col("known")).otherwise(count * F.col("gain"))).alias("s"),
+    )
+    mean = F.when(F.col("n_words") > 0, F.col("s") / F.col("n_words")).otherwise(0.0) if all_words[1] else F.lit(0.0)
+    return own.select("doc_id", "n_words", mean.alias("score"))
