@@ -8,14 +8,16 @@ on to where 52 bits cannot tell it from 1). Each document is exploded by its cou
 copies are dealt to partitions and ordered by a hash of (seed, doc_id, copy): a global
 shuffle in one exchange. Column functions only.
 
-Rates are one row a source. Up to ``BROADCAST_SOURCES`` of them, counted first, are
-broadcast; beyond that they are joined with hot sources salted.
+Rates are one row a source. Sources with at least one in ``BROADCAST_SOURCES`` of the rows, so
+at most that many, are broadcast and met in place; the rows of all smaller sources meet theirs
+by sort-merge, none of which can be hot. The plan is the same at every size.
 
 Defined cases: a null source is the source ''; a source without a target weight has weight
 0 and goes; weights that are null or negative count as 0; all weights 0 give no rows; rows
-repeated with one doc_id share a count; a null doc_id hashes as ''; null and empty texts are
-rows like any other; extra columns pass through, and ``copy_no`` and ``mix_key`` are
-replaced; an empty table gives an empty result.
+repeated with one doc_id share a count, as copies of one document, but not a partition of the
+shuffle; rows without doc_id each draw by the digest of their text and their place in the input;
+null, empty and very long texts are rows like any other; extra columns pass through whatever
+their names, and ``copy_no`` and ``mix_key`` are replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,11 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymill.operators.shared import materialize
-from waymill.operators.skew import salted_lookup
 
 SEED = 42
 PART_MEAN = 16.0
-BROADCAST_SOURCES = 10_000
+BROADCAST_SOURCES = 4096
+SPREAD = 1024  # partitions that rows of one key can be dealt to
 
 
 def uniform(*parts: Column) -> Column:
@@ -68,26 +70,23 @@ def rates(counts: DataFrame, weights: DataFrame, rows: int) -> DataFrame:
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, rows: int | None = None, seed: int = SEED) -> DataFrame:
     """``docs`` replicated to the target mix and shuffled, with copy_no (from 1) and mix_key."""
+    c = F.col
     counts = materialize(source_counts(docs), "sources")
     total = counts.agg(F.sum("n")).first()[0] or 0
     table = rates(counts, tempered(counts) if weights is None else weights, total if rows is None else rows)
-    parts = F.greatest(F.lit(1), F.ceil(F.col("mean") / PART_MEAN)).cast("int")
-    table = materialize(
-        table.filter("mean > 0").select(F.col("source").alias("__source"), F.col("n").alias("__n"), parts.alias("__parts"), cumulative(F.col("mean") / parts).alias("__table")), "rates"
-    )
-    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    keyed = docs.withColumn("__source", F.coalesce("source", F.lit("")))
-    if table.count() <= BROADCAST_SOURCES:
-        joined = keyed.join(F.broadcast(table), "__source")
-    else:
-        joined = salted_lookup(keyed, table, "__source", "__n", total, F.col("doc_id"))
-    draw = F.aggregate(
-        F.sequence(F.lit(1), F.col("__parts")),
-        F.lit(0),
-        lambda n, part: n + F.size(F.filter("__table", lambda c: c <= uniform(F.lit(str(seed)), doc_id, part.cast("string")))),
-    )
-    counted = joined.withColumn("__copies", draw).filter("__copies > 0")
-    copies = counted.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    keyed = copies.withColumn("mix_key", F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), doc_id, F.col("copy_no").cast("string")).cast("binary")))
-    names = [c for c in docs.columns if c not in ("copy_no", "mix_key")]
-    return keyed.select(*[F.col(f"`{c}`") for c in names], "copy_no", "mix_key").repartition("mix_key").sortWithinPartitions("mix_key")
+    parts = F.greatest(F.lit(1), F.ceil(c("mean") / PART_MEAN)).cast("int")
+    table = materialize(table.filter("mean > 0").select("source", "n", parts.alias("parts"), cumulative(c("mean") / parts).alias("table")), "rates")
+    large = c("n") * BROADCAST_SOURCES >= total
+    place = F.monotonically_increasing_id()
+    whole = docs.select(
+        F.struct(*[c(f"`{x}`") for x in docs.columns if x.lower() not in ("copy_no", "mix_key")]).alias("doc"), F.coalesce("source", F.lit("")).alias("source"), place.alias("place"),
+        F.coalesce(c("doc_id").cast("string"), F.concat_ws(":", F.lit("none"), F.md5(F.coalesce("text", F.lit("")).cast("binary")), place)).alias("name"),
+    )
+    near = whole.join(F.broadcast(table.filter(large).drop("n")), "source")
+    far = whole.join(F.broadcast(counts.filter(large).select("source")), "source", "left_anti").join(table.filter(~large).drop("n").hint("merge"), "source")
+    draws = F.transform(F.sequence(F.lit(1), c("parts")), lambda part: uniform(F.lit(str(seed)), c("name"), part.cast("string")))
+    copies = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("table", lambda x: x <= u)))
+    counted = near.unionByName(far).select("doc", "name", "place", copies.alias("copies")).filter("copies > 0")
+    each = counted.select("doc", "name", "place", F.explode(F.sequence(F.lit(1), c("copies"))).alias("copy_no"))
+    keyed = each.select("doc", "copy_no", F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), "name", c("copy_no").cast("string")).cast("binary")).alias("mix_key"), F.pmod("place", F.lit(SPREAD)).alias("spread"))
+    return keyed.repartition("mix_key", "spread").sortWithinPartitions("mix_key").select("doc.*", "copy_no", "mix_key")
