@@ -28,6 +28,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents")).select(*columns)
 
 
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy removes, alone and with the others."""
+    return rules.ablations(rules.ledger(table(spark, sf_dir, "documents")))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of a source in the mix: the square root of its rows; as many rows as there are."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -61,6 +66,7 @@ QUERIES = {
         op2_pii,
         op3_exact_dedup,
         op4_quality_rules,
+        rule_ablations,
         op5_mixing,
         op6_quality_classifier,
         op7_preferences,
@@ -70,6 +76,20 @@ QUERIES = {
     )
 }
 
+LEDGER_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
+windows AS (SELECT doc_id, i, struct_pack(a := w[i], b := w[i + 1], c := w[i + 2]) AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) >= 3)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, x) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM twice, (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id),
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
+        (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+      FROM t JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+f AS (SELECT *, (n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (n_symbols > 2 * n_words)::INT
+        + 8 * (100 * n_dup_lines > 50 * n_lines)::INT + 16 * (word_chars > 40 * n_words)::INT + 32 * (word_chars < 2 * n_words)::INT AS failed FROM m)
+"""
+
 ORACLES = {
     "op3_exact_dedup": """
 WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
@@ -88,19 +108,14 @@ drawn AS (SELECT d.*, list_sum(list_transform(range(1, parts + 1), lambda part:
           FROM documents d JOIN tables ON coalesce(source, '') = s)
 SELECT doc_id, text, lang, source, n_chars, copy_no::INT AS copy_no, md5('42:order:' || coalesce(doc_id::VARCHAR, '') || ':' || copy_no::VARCHAR) AS mix_key
 FROM (SELECT *, unnest(range(1, copies + 1)) AS copy_no FROM drawn WHERE copies > 0)""",
-    "op4_quality_rules": r"""
-WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
-windows AS (SELECT doc_id, i, struct_pack(a := w[i], b := w[i + 1], c := w[i + 2]) AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) >= 3)),
-twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, x) AS n FROM windows) WHERE n > 1),
-covered AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM twice, (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id),
-m AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
-        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
-        (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
-      FROM t JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
-f AS (SELECT *, (n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (n_symbols > 2 * n_words)::INT
-        + 8 * (100 * n_dup_lines > 50 * n_lines)::INT + 16 * (word_chars > 40 * n_words)::INT + 32 * (word_chars < 2 * n_words)::INT AS failed FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM f""",
+    "op4_quality_rules": LEDGER_SQL
+    + """SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM f""",
+    "rule_ablations": LEDGER_SQL
+    + """SELECT version, rule, count(*) FILTER (failed & bit <> 0) AS n_failed, count(*) FILTER (failed & mask = bit) AS n_only,
+  count(*) FILTER (failed & mask = 0) AS n_kept, count(*) FILTER (failed & (mask - bit) = 0) AS n_kept_without
+FROM f, (VALUES (1, 'few_words', 3, 1), (1, 'repeated_windows', 3, 2), (2, 'few_words', 63, 1), (2, 'repeated_windows', 63, 2), (2, 'symbol_heavy', 63, 4),
+  (2, 'repeated_lines', 63, 8), (2, 'long_words', 63, 16), (2, 'short_words', 63, 32)) AS p(version, rule, mask, bit)
+GROUP BY version, rule""",
     "op7_preferences": r"""
 WITH t AS (SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 p AS (SELECT pair_id, coalesce(list({'role': role, 'text': text} ORDER BY turn, role, text) FILTER (side = 0), []) AS c,

@@ -1,13 +1,13 @@
 """Quality rules: a bitmask ledger.
 
-Every rule is evaluated once a document; the ledger stores its measurements and one bit a
-failed rule. A policy is a version and a mask: a document passes when no masked bit is set.
-Policies and ablations (what a rule alone removes, what a policy would keep without it) are
-bitwise columns and sums over the ledger, never another look at the texts.
-
-Defined cases: a null or empty text has no word and measurements 0; rows repeated give their
-rows again; extra columns are ignored; an empty table gives an empty ledger and ablations of
-0 for every rule.
+Every rule is evaluated once a document; the ledger, a written table, stores its measurements
+and one bit a failed rule. A policy is a version and a mask: a document passes when no masked
+bit is set. Policies and ablations (what a rule alone removes, what a policy would keep without
+it) are bitwise columns and sums over the stored ledger, never another look at the texts.
+
+Defined cases: a null or empty text has no word and measurements 0; a very long text is
+measured whole, in time proportional to its length; rows repeated give their rows again; extra
+columns are ignored; an empty table gives an empty ledger and ablations of 0 for every rule.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waymill.operators.shared import materialize
+
 SYMBOLS = "#*$%&|<>"
 MEASURES = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
 WINDOW = 3
@@ -77,11 +79,11 @@ def measured(texts: Column) -> Column:
 
 
 def ledger(docs: DataFrame) -> DataFrame:
-    """doc_id, the measurements and failed, a bit for each failed rule."""
+    """doc_id, the measurements and failed, a bit for each failed rule; written out."""
     rows = docs.select("doc_id", measured(F.col("text")).alias("__m")).select("doc_id", "__m.*")
     checks = rules()
     bits = sum((F.when(checks[n], F.lit(1 << i)).otherwise(F.lit(0)) for i, n in enumerate(BITS)), F.lit(0))
-    return rows.withColumn("failed", bits.cast("int"))
+    return materialize(rows.withColumn("failed", bits.cast("int")), "ledger")
 
 
 def passes(version: int = CURRENT) -> Column:
@@ -103,6 +105,7 @@ def ablations(rows: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame) -> DataFrame:
+    """The stored ledger with base_failed (policy 1) and kept (the current policy as well)."""
     base = mask(POLICIES[1])
     rows = ledger(docs).withColumn("base_failed", F.col("failed").bitwiseAND(F.lit(base)) != 0)
     return rows.withColumn("kept", ~F.col("base_failed") & passes())
