@@ -7,7 +7,9 @@ hash; each shard is trained in its own task in hash order and the weights are av
 comes to the driver is the averaged model, of a fixed size. Scoring reads every whole text
 once, without a shuffle; the score looks at the text only.
 
-Defined cases: null and empty texts get the score of the bias alone; null labels and labels
+Defined cases: null and empty texts get the score of the bias alone; a very long text is
+scored whole, in time proportional to its length, and one in the sample is gathered whole
+(``SAMPLE_ROWS`` / ``SHARDS`` texts a task); null labels and labels
 other than 0 and 1 are ignored, of conflicting labels the larger counts; no usable label at
 all gives weight zero and score 0.5; a null doc_id is scored, is not held out and never
 trains; rows repeated are scored alike; extra columns pass through, one named like an output
@@ -42,10 +44,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows:
         usable.groupBy("doc_id").agg(F.max(label).cast("int").alias("__label"))
         .withColumn("__order", F.xxhash64("doc_id")).orderBy("__order", "doc_id").limit(sample_rows)
     )
-    rows = docs.select(F.col("doc_id"), "text").join(F.broadcast(sample), "doc_id").withColumn("shard", F.pmod("__order", F.lit(SHARDS)))
+    # One text an id before anything is gathered: the least of those that repeat it.
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "__label", "__order").agg(F.min("text").alias("text")).withColumn("shard", F.pmod("__order", F.lit(SHARDS)))
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["__order", "doc_id", "text"]).drop_duplicates("doc_id")
+        rows = rows.sort_values(["__order", "doc_id"])
         return pd.DataFrame({"w": [bits.train(list(zip(rows["text"], rows["__label"], strict=True))).tobytes()]})
 
     models = [np.frombuffer(r["w"], np.float32) for r in rows.groupBy("shard").applyInPandas(one, "w binary").collect()]
