@@ -8,7 +8,8 @@ token outside the base spans: the sum of the log-likelihood ratios of its transi
 against ``MIN_RATIO``, the log odds of one secret in a million tokens.
 
 Defined cases: a null text is the empty text, with no span and the digest of the empty
-string; rows repeated give their rows again; extra columns are ignored; an empty table gives
+string; a very long text takes time in proportion to its length and its spans; rows repeated
+give their rows again; extra columns are ignored; an empty table gives
 an empty result; with no sample of a class its model is
 uniform by smoothing.
 """
@@ -102,8 +103,13 @@ def all_spans(model: np.ndarray, text: str | None) -> list[tuple[int, int, int]]
     """(start, kind, end) of base spans and of likely secrets that touch none of them."""
     text = text if isinstance(text, str) else ""
     base = [x[:3] for x in base_spans(text)]
-    more = [(m.start(), 3, m.end()) for m in TOKEN.finditer(text) if not any(s < m.end() and m.start() < e for s, _, e in base)]
-    return sorted(base + [x for x in more if ratio(model, text[x[0] : x[2]]) >= MIN_RATIO])
+    more, at, reach = [], 0, 0
+    for m in TOKEN.finditer(text):  # both lists go by start: one sweep
+        while at < len(base) and base[at][0] < m.end():
+            reach, at = max(reach, base[at][2]), at + 1
+        if reach <= m.start() and ratio(model, m[0]) >= MIN_RATIO:
+            more.append((m.start(), 3, m.end()))
+    return sorted(base + more)
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
