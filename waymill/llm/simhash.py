@@ -116,21 +116,23 @@ def near_components(fps: DataFrame, k: int = MAX_BITS, groups: int | None = None
     pairs = apart.alias("a").join(cells.alias("b"), same_cell("a", "b") & (F.col("a.comp") != F.col("b.comp")) & close("a", "b"))
     # What the stars left apart: a graph of components, with few edges.
     merged = connected_components(pairs.select(F.col("a.comp").alias("src"), F.col("b.comp").alias("dst")))
-    return labelled.join(merged, labelled["comp"] == merged["node"], "left").select("fp", F.coalesce("component", "comp").alias("comp"))
+    sizes = labelled.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+    names = materialize(sizes.join(merged, sizes["comp"] == merged["node"], "left").select("comp", "size", F.coalesce("component", "comp").alias("final")), "merged")
+    return salted_lookup(labelled, names, "comp", "size", labelled.count(), F.col("fp")).select("fp", F.col("final").alias("comp"))
 
 
 def near_groups(docs: DataFrame, k: int = MAX_BITS, groups: int | None = None) -> DataFrame:
     """doc_id, fp (long), component_id for each row of ``docs``."""
-    rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint_of("text").alias("fp")), "fingerprints")
+    rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint_of("text").alias("fp"), F.monotonically_increasing_id().alias("row")), "fingerprints")
     return _grouped(rows, k, groups)
 
 
 def _grouped(rows: DataFrame, k: int, groups: int | None) -> DataFrame:
     fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "distinct")
-    named = fps.join(near_components(fps, k, groups), "fp")
-    names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    by_fp = materialize(named.join(names, "comp").select("fp", "n", "component_id"), "components")
-    return salted_lookup(rows, by_fp, "fp", "n", rows.count(), F.col("doc_id")).select("doc_id", "fp", "component_id")
+    named = materialize(fps.join(near_components(fps, k, groups), "fp"), "named")
+    names = named.groupBy("comp").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size"))
+    by_fp = materialize(salted_lookup(named, names, "comp", "size", named.count(), F.col("fp")).select("fp", "n", "component_id"), "components")
+    return salted_lookup(rows, by_fp, "fp", "n", rows.count(), F.col("row")).select("doc_id", "fp", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
