@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import string
+import zlib
+from collections import Counter
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 SECRET = {
@@ -71,3 +75,92 @@ def measures(text: str | None) -> tuple[int, int, int, int, int]:
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
     covered = {p for i, w in enumerate(windows) if windows.count(w) > 1 for p in (i, i + 1, i + 2)} if len(set(windows)) < len(windows) else set()
     return len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), dup, len(covered)
+
+
+LETTERS = string.ascii_letters + string.digits + "+/_=-"
+TOKEN = re.compile("[A-Za-z0-9+/_=-]{16,}")
+
+
+def _steps(data: bytes) -> list[tuple[str, str]]:
+    marks = [chr(b) if chr(b) in LETTERS else " " for b in data]
+    return list(zip(marks, marks[1:], strict=False))
+
+
+def markov_spans(texts: list[str | None]) -> list[list[tuple[str, int, int]]]:
+    """Base spans and likely secrets of each text, with models counted step by step over all of them."""
+    seen = {0: Counter(), 1: Counter()}
+    for text in (t or "" for t in texts):
+        rest, at = [], 0
+        for kind, start, end in secret_spans(text):
+            value = SECRET["assign"].match(text, start)[2] if kind == "assign" else text[start:end]
+            seen[1].update(_steps(f" {value} ".encode()))
+            rest.append(text[at : max(at, start)])
+            at = max(at, end)
+        rest.append(text[at:])
+        seen[0].update(_steps((" " + TOKEN.sub(" ", " ".join(rest)) + " ").encode()))
+    marks = LETTERS + " "
+
+    def chance(y: int, a: str, b: str) -> float:
+        single = {m: 0.5 for m in marks}
+        for (_, m), n in seen[y].items():
+            single[m] += n
+        back = single[b] / sum(single.values())
+        return (seen[y][a, b] + 8 * back) / (sum(n for (x, _), n in seen[y].items() if x == a) + 8)
+
+    known: dict = {}
+    out = []
+    for text in (t or "" for t in texts):
+        base = secret_spans(text)
+        more = []
+        for m in TOKEN.finditer(text):
+            if any(s < m.end() and m.start() < e for _, s, e in base):
+                continue
+            total = sum(known.setdefault(x, math.log(chance(1, *x) / chance(0, *x))) if x not in known else known[x] for x in _steps(f" {m[0]} ".encode()))
+            if total >= math.log(1e6):
+                more.append(("markov", m.start(), m.end()))
+        out.append(sorted(base + more, key=lambda s: (s[1], [*SECRET, "markov"].index(s[0]))))
+    return out
+
+
+def quality_features(text: str | None) -> dict[int, float]:
+    """Slot -> relative frequency times 16, of words, shapes, word pairs and shape pairs; the bias last."""
+    bits, mix, step, full = 18, 0x9E3779B97F4A7C15, 0x100000001B3, (1 << 64) - 1
+    words = (text or "").encode().split()
+    shape_of = lambda b: "A" if 65 <= b <= 90 else "a" if 97 <= b <= 122 or b > 127 else "9" if 48 <= b <= 57 else chr(b)
+    shapes = ["".join(map(shape_of, w)).encode("latin-1") for w in words]
+    h = [zlib.crc32(w) for w in words]
+    s = [zlib.crc32(x[-4:]) ^ (min(len(x), 31) >> 2) for x in shapes]
+    found = [(x, 1) for x in h] + [(x, 2) for x in s]
+    found += [(7 if a == b else (a * step & full) ^ b, 3) for a, b in zip(h, h[1:], strict=False)]
+    found += [((a * step & full) ^ b, 4) for a, b in zip(s, s[1:], strict=False)]
+    slots = Counter((((x + salt) * mix) & full) >> (64 - bits) for x, salt in found)
+    return {k: 16 * n / len(found) for k, n in slots.items()} | {1 << bits: 1.0}
+
+
+def _ftrl_weight(z: float, n: float) -> float:
+    return 0.0 if abs(z) <= 1e-3 else -(z - math.copysign(1e-3, z)) / ((1 + math.sqrt(n)) / 0.5 + 1e-3)
+
+
+def ftrl(rows: list[tuple[str | None, int]], epochs: int = 3) -> dict[int, float]:
+    """Plain follow-the-regularised-leader over the rows in order: alpha 0.5, beta 1, l1 and l2 0.001."""
+    z: dict = {}
+    n: dict = {}
+    ones = sum(y for _, y in rows)
+    weigh = {1: len(rows) / (2 * max(ones, 1)), 0: len(rows) / (2 * max(len(rows) - ones, 1))}
+    for _ in range(epochs):
+        for text, y in rows:
+            x = quality_features(text)
+            w = {k: _ftrl_weight(z.get(k, 0.0), n.get(k, 0.0)) for k in x}
+            p = 1 / (1 + math.exp(-min(max(sum(w[k] * v for k, v in x.items()), -30), 30)))
+            for k, v in x.items():
+                g = weigh[y] * (p - y) * v
+                sigma = (math.sqrt(n.get(k, 0.0) + g * g) - math.sqrt(n.get(k, 0.0))) / 0.5
+                z[k] = z.get(k, 0.0) + g - sigma * w[k]
+                n[k] = n.get(k, 0.0) + g * g
+    return {k: _ftrl_weight(z[k], n[k]) for k in z}
+
+
+def quality_score(models: list[dict[int, float]], text: str | None) -> float:
+    """Of the mean of the models."""
+    total = sum(sum(m.get(k, 0.0) for m in models) / len(models) * v for k, v in quality_features(text).items()) if models else 0.0
+    return 1 / (1 + math.exp(-min(max(total, -30), 30)))

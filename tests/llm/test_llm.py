@@ -75,6 +75,16 @@ def test_secrets_markov_tells_random_strings_from_words(spark):
     assert got[100]["spans"] == f"markov:{at}:{at + 32}" and got[101]["spans"] == ""
 
 
+def test_secrets_equal_plain_models(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + [(10**6 + i, t) for i, t in enumerate(ODD)]
+    random.seed(4)
+    rows += [(2 * 10**6 + i, f"{LINE} {''.join(random.choice('ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz0123456789') for _ in range(40))} {LINE}") for i in range(5)]
+    got = {r["doc_id"]: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {i: brute.joined(s) for (i, _), s in zip(rows, brute.markov_spans([t for _, t in rows]), strict=True)}
+    assert {i: r["spans"] for i, r in got.items()} == want and any("markov" in s for s in want.values())
+
+
 def test_personal(odd, none):
     for docs in (odd, none):
         got = pii.scan(docs).collect()
@@ -157,7 +167,8 @@ def test_rules(odd, none):
     for a in rules.ablations(got).collect():
         mask, bit = rules.mask(rules.POLICIES[a["version"]]), 1 << rules.BITS.index(a["rule"])
         assert a["n_only"] == sum(r["failed"] & mask == bit for r in rows) and a["n_kept_without"] - a["n_kept"] == a["n_only"]
-    assert rules.judged(none).count() == 0 and all(a["n_kept"] == 0 for a in rules.ablations(rules.ledger(none)).collect())
+    table = queries.QUERIES["rule_ablations"]
+    assert table.__doc__ and rules.judged(none).count() == 0 and all(a["n_kept"] == 0 for a in rules.ablations(rules.ledger(none)).collect())
 
 
 def test_mixing_hits_targets_and_is_a_poisson_inverse(spark):
@@ -174,6 +185,17 @@ def test_mixing_of_very_many_sources(odd, monkeypatch):
     assert Counter((r["doc_id"], r["copy_no"]) for r in mixing.mix(odd).collect()) == want
 
 
+def test_mixing_draws_apart_without_ids_and_spreads_one_id(spark):
+    docs = spark.createDataFrame([(None, f"t{i}", "a") for i in range(2000)] + [(None, "same", "a")] * 1000 + [(5, "same", "a")] * 1000, "doc_id long, text string, source string").repartition(4)
+    got = mixing.mix(docs, rows=4000)
+    own = got.filter("doc_id is null").count()
+    assert abs(own - 3000) < 5 * 3000**0.5
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    keys = got.groupBy("mix_key", F.spark_partition_id()).count().collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(r["count"] for r in keys if r["count"]) < 700 and len({r["mix_key"] for r in keys}) > 1500
+
+
 def test_mixing_odd_rows(odd, none):
     got = mixing.mix(odd, rows=500)
     assert got.columns == [c for c in odd.columns if c != "copy_no"] + ["copy_no", "mix_key"]
@@ -191,6 +213,22 @@ def test_classifier_learns_and_holds_out(spark, sf):
     assert np.mean([r["predicted"] == r["quality"] for r in held]) > 0.95
 
 
+def test_classifier_equals_plain_training_and_scoring(spark, odd, labels):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    marks = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    for some, own in ((docs.filter("length(text) < 3000"), marks), (odd.filter("doc_id < 99").dropDuplicates(["doc_id"]), labels)):
+        texts = {r["doc_id"]: r["text"] for r in some.collect()}
+        named: dict = {}
+        for r in own.collect():
+            if r["doc_id"] in texts and r["quality"] in (0, 1) and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1:
+                named[r["doc_id"]] = max(named.get(r["doc_id"], 0), r["quality"])
+        order = {r["i"]: r["h"] for r in spark.createDataFrame([(i,) for i in named], "i long").select("i", F.xxhash64("i").alias("h")).collect()}
+        shards = [[(texts[i], named[i]) for i in sorted((i for i in named if order[i] % classifier.SHARDS == s), key=lambda i: (order[i], i))] for s in range(classifier.SHARDS)]
+        models = [brute.ftrl(rows) for rows in shards if rows]
+        got = {r["doc_id"]: r["score"] for r in classifier.classify(some, own).collect()}
+        assert set(got) == set(texts) and all(abs(got[i] - brute.quality_score(models, t)) < 1e-4 for i, t in texts.items())
+
+
 def test_classifier_odd_rows(odd, none, labels):
     got = classifier.classify(odd, labels)
     assert got.count() == odd.count() and all(0 <= r["score"] <= 1 for r in got.collect())
@@ -216,59 +254,44 @@ def test_preferences(spark):
     assert other["pair_id"] == 9 and other["chosen"] == a["rejected"] and other["prompt"] == a["prompt"]
 
 
-def test_cross_entropy(odd, none, labels, spark):
-    got = lm_score.score(odd, labels).collect()
-    texts = texts_of(odd)
-    words = [lm_score.words_of(t) for _, t in texts]
-    named = {8: 1, 9: 1, 77: 1}
-    target = [named.get(i, 0) for i, _ in texts]
-    total = sum(map(len, words))
-    n, t = Counter(w for d in words for w in d), Counter(w for d, y in zip(words, target, strict=True) if y for w in d)
-    assert total < lm_score.WORD_SHARE  # so every word is in the vocabulary and every pair is kept
-    pairs = lambda d: list(zip([None, *d], d, strict=False))
-    pn, pt = Counter(p for d in words for p in pairs(d)), Counter(p for d, y in zip(words, target, strict=True) if y for p in pairs(d))
-
-    def loss(uni, bi, pair):
-        size = len(n) + 2
-        contexts = sum(c for p, c in bi.items() if p[0] == pair[0])
-        kept = {p: max(c - lm_score.DISCOUNT, 0) / contexts for p, c in bi.items() if p[0] == pair[0]}
-        return -np.log(kept.get(pair, 0) + (1 - sum(kept.values())) * (uni[pair[1]] + 0.5) / (sum(uni.values()) + 0.5 * size))
-
-    want = Counter((i, len(d), round(float(np.mean([loss(n, pn, p) - loss(t, pt, p) for p in pairs(d)])), 5) if d else 0.0) for (i, _), d in zip(texts, words, strict=True) if len(d) < 40)
-    assert Counter((r["doc_id"], r["n_words"], round(r["score"], 5)) for r in got if r["n_words"] < 40) == want
-    assert lm_score.score(none, labels).count() == 0
-    assert {r["score"] for r in lm_score.score(odd, labels.limit(0)).collect()} == {0.0}
+def plain_cross_entropy(rows, targets):
+    """(doc_id, words, score to five places) by dictionaries; only the classes of words are the operator's."""
+    words = [(t or "").encode().lower().split() for _, t in rows]
+    distinct = sorted({w for d in words for w in d})
+    of = dict(zip(distinct, (lm_score.word_codes(distinct) & (lm_score.CLASSES - 1)).tolist(), strict=True))
+    pairs = [list(zip([None, *map(of.get, d)], d, strict=False)) for d in words]
 
+    def model(own):
+        both, context, word = Counter(p for d in own for p in d), Counter(a for d in own for a, _ in d), Counter(of[b] for d in own for _, b in d)
+        total = sum(word.values())
+        return lambda p: np.log((both[p] + lm_score.PRIOR * (word[of[p[1]]] + 1) / (total + lm_score.CLASSES)) / (context[p[0]] + lm_score.PRIOR))
 
-@pytest.mark.parametrize("share", [1, 1 << 19])
-def test_cross_entropy_keeps_rare_words_and_pairs(spark, monkeypatch, share):
-    """A corpus in which a word seen once is under one in 2^17 and, for share 1, no pair is looked up in place."""
-    monkeypatch.setattr(lm_score, "PAIR_SHARE", share)
-    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 90}" for j in range(1000))) for i in range(150)]
-    rows += [(1000, "alpha beta w1 gamma"), (1001, "beta alpha w1 gamma"), (1002, "alpha beta delta"), (None, "w1 epsilon"), (1003, "  "), (1003, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    labels = spark.createDataFrame([(1000, 1), (1002, 1), (3, 1), (4, 0)], "doc_id long, quality int")
-    words = [lm_score.words_of(t) for _, t in rows]
-    assert sum(map(len, words)) > 1 << 17
-    pairs = lambda d: list(zip([None, *d], d, strict=False))
-    size = len({w for d in words for w in d}) + 2
+    target = [d for (i, _), d in zip(rows, pairs, strict=True) if i in targets]
+    n, t = model(pairs), model(target)
+    return Counter((i, len(d), round(float(np.mean([t(p) - n(p) for p in d])), 5) + 0.0 if d and any(target) else 0.0) for (i, _), d in zip(rows, pairs, strict=True))
 
-    def model(own):
-        uni, bi = Counter(w for d in own for w in d), Counter(p for d in own for p in pairs(d))
-        contexts, kinds = Counter(), Counter()
-        for (a, _), k in bi.items():
-            contexts[a] += k
-            kinds[a] += 1
 
-        def loss(p):
-            left = lm_score.DISCOUNT * kinds[p[0]] / contexts[p[0]] if contexts[p[0]] else 1.0
-            return -np.log(max(bi[p] - lm_score.DISCOUNT, 0) / max(contexts[p[0]], 1) + left * (uni[p[1]] + 0.5) / (sum(uni.values()) + 0.5 * size))
+def scores(frame):
+    return Counter((r["doc_id"], r["n_words"], round(r["score"], 5) + 0.0) for r in frame.collect())
 
-        return loss
 
-    n, t = model(words), model([d for (i, _), d in zip(rows, words, strict=True) if i in (1000, 1002, 3)])
-    want = Counter((i, len(d), round(float(np.mean([n(p) - t(p) for p in pairs(d)])), 5) if d else 0.0) for (i, _), d in zip(rows, words, strict=True))
-    assert Counter((r["doc_id"], r["n_words"], round(r["score"], 5)) for r in lm_score.score(docs, labels).collect()) == want
+@pytest.mark.parametrize("most", [0, 1 << 22])
+def test_cross_entropy(odd, none, labels, monkeypatch, most):
+    monkeypatch.setattr(lm_score, "TARGET_IDS", most)
+    assert scores(lm_score.score(odd, labels)) == plain_cross_entropy(texts_of(odd), {8, 9, 77})
+    assert lm_score.score(none, labels).count() == 0
+    assert {r["score"] for r in lm_score.score(odd, labels.limit(0)).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("hot", [1, 1 << 6, 1 << 12])
+def test_cross_entropy_keeps_rare_words_and_pairs(spark, monkeypatch, hot):
+    """Rare words, pairs of every frequency, and no, some or all of the pairs looked up in place; blocks of few documents."""
+    monkeypatch.setattr(lm_score, "HOT", hot)
+    monkeypatch.setattr(lm_score, "BLOCK_DOCS", 7)
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 90}" for j in range(1000)) + " the same") for i in range(150)]
+    rows += [(1000, "alpha beta w1 gamma"), (1001, "beta alpha w1 gamma"), (1002, "alpha beta delta"), (None, "w1 epsilon"), (1003, "  "), (1003, None)]
+    labels = spark.createDataFrame([(1000, 1), (1002, 1), (3, 1), (4, 0)], "doc_id long, quality int")
+    assert scores(lm_score.score(spark.createDataFrame(rows, "doc_id long, text string"), labels)) == plain_cross_entropy(rows, {1000, 1002, 3})
 
 
 def test_cross_entropy_prefers_the_target(spark):
