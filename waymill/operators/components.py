@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymill.operators.shared import materialize
+from waymill.operators.skew import salted_lookup
 
 MAX_ROUNDS = 60
 
@@ -15,15 +16,15 @@ def _sign(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+    return salted_lookup(both.filter("v > u"), least, "u", "n", total, F.col("v")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    joined = edges.join(least, "u")
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    joined = salted_lookup(edges, least, "u", "n", total, F.col("v"))
     return (
         joined.filter("v <> m")
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -36,8 +37,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     """(node, component) for every node that has an edge; component = its smallest node.
 
     Each round halves the depth of the trees, so rounds grow with the logarithm of the
-    longest path. A vertex of high degree is only ever pre-aggregated by ``min`` and
-    joined, never gathered. Self loops keep their node; null ends are ignored.
+    longest path. A vertex of high degree is only ever pre-aggregated by ``min`` and joined in
+    salted parts, never gathered. Self loops keep their node; null ends are ignored.
     """
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter("a is not null and b is not null")
     loops = ends.filter("a = b").select(F.col("a").alias("node")).distinct()
@@ -49,7 +50,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         before = now
         if not now[0]:
             break
-        star = materialize(_small_star(_large_star(star)), "edges")
+        star = materialize(_small_star(_large_star(star, now[0]), now[0]), "edges")
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     roots = star.select(F.col("v").alias("node")).distinct()
