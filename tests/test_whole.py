@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import heapq
 import math
+import struct
 
-from waymill.functions import tags
+import xxhash
+
+from waymill.functions import radio, tags
 from waymill.plans import graph as plan
 from waymill.queries import annotate, extras, lifecycle, spatial
 from waymill.queries import graph as g
@@ -66,3 +69,28 @@ def test_way_segments_are_every_leg(spark, sf):
         p = [x for _, x in sorted(points)]
         want += [(way, *a, *b) for a, b in (zip(p, p[1:], strict=False) if len(p) > 1 else [(p[0], p[0])])]
     assert sorted(tuple(r) for r in spatial.way_segments(spark, sf).collect()) == sorted(want)
+
+
+def test_hash_sample_takes_one_in_64_by_position_alone(spark, sf):
+    nodes = view(spark, sf, "v_nodes").select("node_id", "lat", "lon").collect()
+    mix = lambda x, seed: xxhash.xxh64_intdigest(struct.pack("<d", x), seed)
+    want = sorted(r["node_id"] for r in nodes if mix(r["lon"], mix(r["lat"], 42)) % 64 == 0)
+    assert sorted(r["node_id"] for r in spatial.f18_hash_sample(spark, sf).collect()) == want
+    assert abs(len(want) - len(nodes) / 64) < 5 * (len(nodes) / 64) ** 0.5
+
+
+def test_element_lines_keep_long_tokens_and_bare_members(spark):
+    line = "w7 v1 Nn1," + ",".join(f"n{i}" for i in range(300_000)) + " Tname=" + "a" * 1_200_000 + ",k=v Mn1@a%20%b,w2,r3@"
+    got = spark.createDataFrame([(line,)], "line string").select(*[v.alias(k) for k, v in radio.opl(annotate.c("line")).items()]).first()
+    assert len(got["nodes"]) == 300_001 and got["tags"]["k"] == "v" and len(got["tags"]["name"]) == 1_200_000
+    assert [tuple(m) for m in got["members"]] == [("n", 1, "a b"), ("w", 2, ""), ("r", 3, "")]
+
+
+def test_glacier_ends_block_without_a_crossing(spark, monkeypatch):
+    """Boxes 1..2 and 3..4: way 1 lies inside the glacier, way 2 inside the soft ring, way 3 crosses both, way 4 is clear."""
+    chords = [(1, 1.2, 1.2, 1.4, 1.4), (2, 3.2, 3.2, 3.4, 3.4), (3, 1.5, 1.5, 3.5, 3.5), (4, 0.0, 0.0, 0.1, 0.1)]
+    box = lambda region, kind, low: [(region, kind, i, low + y, low + x) for i, (y, x) in enumerate(((0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 0.0)))]
+    points = spark.createDataFrame(box(8, 2, 1.0) + box(9, 1, 3.0), "region_id long, class int, vertex int, lat double, lon double")
+    monkeypatch.setattr(spatial, "way_chords", lambda *_: spark.createDataFrame(chords, "way_id long, lat1 double, lon1 double, lat2 double, lon2 double"))
+    monkeypatch.setattr(spatial, "view", lambda *_: points)
+    assert sorted(tuple(r) for r in spatial.j22_m7_barrier_crossings(spark, "").collect()) == [(1, 1), (3, 2)]

@@ -92,7 +92,7 @@ def opl(line: Column) -> dict[str, Column]:
     """An element line: type, id, version, time, place, tags map, node ids, members."""
     tokens = F.split(F.trim(line), r"\s+")
     own = lambda p: F.get(F.filter(tokens, lambda t: t.rlike(p)), F.lit(0))
-    body = lambda p: F.substring(own(p), 2, 1 << 20)
+    body = lambda p: F.regexp_replace(own(p), "^.", "")
     pairs = F.filter(F.split(body("^T.*="), ",(?=[^=,]+=)"), lambda p: p.contains("="))
     entries = F.transform(pairs, lambda p: F.struct(unescaped(F.regexp_extract(p, "^([^=]*)=", 1)).alias("key"), unescaped(F.regexp_replace(p, "^[^=]*=", "")).alias("value")))
     head = F.get(tokens, F.lit(0))
@@ -102,7 +102,7 @@ def opl(line: Column) -> dict[str, Column]:
         "tags": F.map_from_entries(F.coalesce(entries, F.array().cast("array<struct<key:string,value:string>>"))),
         "nodes": F.transform(F.filter(F.split(body("^N"), ","), lambda n: n.rlike("^n?[0-9]+$")), lambda n: F.regexp_replace(n, "^n", "").cast("long")),
         "members": F.transform(
-            F.filter(F.split(body("^M"), ","), lambda m: m.rlike("^[nwr][0-9]+@")),
-            lambda m: F.struct(F.substring(m, 1, 1).alias("type"), F.regexp_extract(m, "^.([0-9]+)@", 1).cast("long").alias("ref"), F.regexp_replace(m, "^[^@]*@", "").alias("role")),
+            F.filter(F.split(body("^M"), ","), lambda m: m.rlike("^[nwr][0-9]+(?:@|$)")),
+            lambda m: F.struct(F.substring(m, 1, 1).alias("type"), F.regexp_extract(m, "^.([0-9]+)", 1).cast("long").alias("ref"), unescaped(F.when(m.contains("@"), F.regexp_replace(m, "^[^@]*@", "")).otherwise("")).alias("role")),
         ),
     }

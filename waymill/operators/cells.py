@@ -28,13 +28,13 @@ def box_in_cells(df: DataFrame, size: float, names: tuple[str, str, str, str] =
     return df.withColumn("__c", F.explode(geo.box_cells(*[F.col(n) for n in names], size))).withColumns({"cy": F.col("__c.cy"), "cx": F.col("__c.cx")}).drop("__c")
 
 
-def within(left: DataFrame, right: DataFrame, metres: float, left_at=("lat", "lon"), right_at=("to_lat", "to_lon"), radius: float = geo.TOOL_RADIUS, max_lat: float = 62.0) -> DataFrame:
-    """Pairs at most ``metres`` apart, with their distance; column names must not clash.
+def within(left: DataFrame, right: DataFrame, metres: float, left_at=("lat", "lon"), right_at=("to_lat", "to_lon"), radius: float = geo.TOOL_RADIUS, max_lat: float = 62.0, on: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs at most ``metres`` apart and equal in ``on``, with their distance; other column names must not clash.
 
     The cell is as wide as ``metres`` at ``max_lat``, so one ring of neighbours is enough.
     """
     size = max(metres / (geo.METRES_A_DEGREE * math.cos(math.radians(max_lat))), 1e-4)
-    joined = neighbour_cells(left, *left_at, size).join(own_cell(right, *right_at, size), ["cy", "cx"]).drop("cy", "cx")
+    joined = neighbour_cells(left, *left_at, size).join(own_cell(right, *right_at, size), ["cy", "cx", *on]).drop("cy", "cx")
     d = geo.haversine(*[F.col(x) for x in (*left_at, *right_at)], radius)
     return joined.withColumn("distance_m", d).filter(F.col("distance_m") <= metres)
 

@@ -120,37 +120,49 @@ SELECT way_id, round(m, 2) AS m FROM b JOIN v_ways USING (way_id) WHERE m <= 150
 
 def j36_j38_poi_and_buildings(spark, sf):
     """POIs from nodes, buildings from nodes in a box and from ways with a node in it (mean of all refs)."""
-    _, refs, nodes = g.parts(spark, sf)
+    ways, refs, nodes = g.parts(spark, sf)
     inside = c("lat").between(59.3, 60.2) & c("lon").between(10.4, 11.6)
     cats = places.poi_categories({k: c(k) for k in ("amenity", "tourism", "natural", "operator", "network", "shop", "leisure", "highway", "hgv")})
     poi = nodes.filter(F.size(cats) > 0).select(F.lit("poi").alias("kind"), "lat", "lon")
     house = nodes.filter(c("building").isNotNull() & inside).select(F.lit("house").alias("kind"), "lat", "lon")
-    at = plan.resolved(refs, nodes).filter("way_id % 5 = 0")
+    at = plan.resolved(refs.join(ways.filter("building is not null").select("way_id"), "way_id", "left_semi"), nodes)
     block = at.groupBy("way_id").agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"), F.bool_or(inside).alias("in")).filter("in").select(F.lit("block").alias("kind"), "lat", "lon")
     return poi.unionByName(house).unionByName(block).groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("lat"), 3).alias("lat"), F.round(F.sum("lon"), 3).alias("lon"))
 
 
 _CATS = "(" + " OR ".join(f"coalesce({v}, false)" for v in records.CATEGORY_SQL.values()) + ")"
 _IN = "(lat BETWEEN 59.3 AND 60.2 AND lon BETWEEN 10.4 AND 11.6)"
-O_J36 = with_views("v_nodes", "v_way_nodes") + f""" a AS (SELECT 'poi' AS kind, lat, lon FROM v_nodes WHERE {_CATS} UNION ALL SELECT 'house', lat, lon FROM v_nodes WHERE building IS NOT NULL AND {_IN}
-UNION ALL SELECT 'block', la, lo FROM (SELECT way_id, avg(lat) AS la, avg(lon) AS lo, bool_or({_IN}) AS i FROM v_way_nodes JOIN v_nodes USING (node_id) WHERE way_id % 5 = 0 GROUP BY 1) WHERE i)
+O_J36 = with_views("v_ways", "v_nodes", "v_way_nodes") + f""" a AS (SELECT 'poi' AS kind, lat, lon FROM v_nodes WHERE {_CATS} UNION ALL SELECT 'house', lat, lon FROM v_nodes WHERE building IS NOT NULL AND {_IN}
+UNION ALL SELECT 'block', la, lo FROM (SELECT way_id, avg(lat) AS la, avg(lon) AS lo, bool_or({_IN}) AS i FROM v_way_nodes JOIN v_nodes USING (node_id) WHERE way_id IN (SELECT way_id FROM v_ways WHERE building IS NOT NULL) GROUP BY 1) WHERE i)
 SELECT kind, count(*) AS n, round(sum(lat), 3) AS lat, round(sum(lon), 3) AS lon FROM a GROUP BY 1"""
 
 
+_RELATIONS = f"""SELECT o_custkey AS relation_id, o_orderkey AS way_id, {pick('o_orderkey * 3', ['outer', 'inner', 'Outer', None, ''])} AS role, {pick('o_custkey', [None, 'wetland', None, 'water'])} AS "natural", {pick('o_custkey * 7', ['bog', None, 'swamp', None])} AS wetland FROM {{orders}}"""
+
+
 def j37_w17_ring_assembly(spark, sf):
-    """Wetland ways of three or more refs as closed rings, dropped whole if a node is missing; their sides as segments."""
+    """Wetland rings as closed sides: classified ways of three or more refs, and outer members of classified relations; one missing node drops a ring whole."""
     ways, refs, nodes = g.parts(spark, sf)
     kind = tags.wetland_class(c("natural"), c("wetland"))
-    wet = ways.filter(kind.isNotNull()).select("way_id", kind.alias("class"))
+    own = ways.filter(kind.isNotNull()).select("way_id", kind.alias("class"))
+    relations = spark.sql(_RELATIONS.replace('"', "`"), orders=table(spark, sf, "orders"))
+    outer = relations.filter((F.lower("role") == "outer") & kind.isNotNull()).select("way_id", kind.alias("class"))
+    wet = own.unionByName(outer).distinct()
     present = nodes.filter("node_id % 23 <> 0").select("node_id", "lat", "lon")
     at = refs.join(wet, "way_id").join(present, "node_id", "left")
-    ring = at.groupBy("way_id", "class").agg(F.count(F.lit(1)).alias("n"), F.count("lat").alias("have"), F.min_by("node_id", "pos").alias("a"), F.max_by("node_id", "pos").alias("b")).filter("n >= 3 and n = have")
-    return ring.groupBy("class").agg(F.count(F.lit(1)).alias("rings"), F.sum(c("n") - 1 + F.when(c("a") == c("b"), 0).otherwise(1)).alias("sides"))
-
-
-O_J37 = with_views("v_ways", "v_way_nodes", "v_nodes") + """ k AS (SELECT way_id, CASE WHEN lower(wetland) IN ('bog', 'fen') THEN 1 WHEN wetland IN ('swamp', 'reedbed') THEN 2 WHEN lower("natural") = 'wetland' THEN 1 END::INT AS class FROM v_ways),
-r AS (SELECT way_id, class, count(*) AS n, count(*) FILTER (node_id % 23 <> 0) AS h, arg_min(node_id, pos) AS a, arg_max(node_id, pos) AS b FROM v_way_nodes JOIN k USING (way_id) WHERE class IS NOT NULL GROUP BY 1, 2)
-SELECT class, count(*) AS rings, sum(n - 1 + (a <> b)::INT)::BIGINT AS sides FROM r WHERE n >= 3 AND n = h GROUP BY 1"""
+    order = Window.partitionBy("way_id", "class").orderBy("pos")
+    whole = Window.partitionBy("way_id", "class")
+    at = at.withColumns({"n": F.count(F.lit(1)).over(whole), "have": F.count("lat").over(whole), "first": F.first(F.struct("node_id", "lat", "lon")).over(order)}).filter("n >= 3 and n = have")
+    sides = at.withColumn("to", F.coalesce(F.lead(F.struct("node_id", "lat", "lon")).over(order), c("first"))).filter(c("to.node_id") != c("node_id"))
+    length = F.sum(geo.haversine(c("lat"), c("lon"), c("to.lat"), c("to.lon"), geo.TOOL_RADIUS))
+    return sides.groupBy("way_id", "class").agg(F.count(F.lit(1)).alias("sides"), F.round(length, 2).alias("metres"))
+
+
+O_J37 = with_views("v_ways", "v_way_nodes", "v_nodes") + f""" m AS ({_RELATIONS.format(orders='orders')}), a AS (SELECT way_id, "natural", wetland FROM v_ways UNION SELECT way_id, "natural", wetland FROM m WHERE lower(role) = 'outer'),
+k AS (SELECT DISTINCT way_id, CASE WHEN lower(wetland) IN ('bog', 'fen') THEN 1 WHEN wetland IN ('swamp', 'reedbed') THEN 2 WHEN lower("natural") = 'wetland' THEN 1 END::INT AS class FROM a),
+r AS (SELECT way_id, class, pos, node_id, lat, lon, count(*) OVER (PARTITION BY way_id, class) AS n, count(*) FILTER (node_id % 23 <> 0) OVER (PARTITION BY way_id, class) AS h FROM v_way_nodes JOIN k USING (way_id) JOIN v_nodes USING (node_id) WHERE class IS NOT NULL),
+s AS (SELECT way_id, class, node_id, lat, lon, coalesce(lead(node_id) OVER w, first_value(node_id) OVER w) AS b, coalesce(lead(lat) OVER w, first_value(lat) OVER w) AS blat, coalesce(lead(lon) OVER w, first_value(lon) OVER w) AS blon FROM r WHERE n >= 3 AND n = h WINDOW w AS (PARTITION BY way_id, class ORDER BY pos))
+SELECT way_id, class, count(*) AS sides, round(sum({g.hav('lat', 'lon', 'blat', 'blon', '6371000.0::DOUBLE')}), 2) AS metres FROM s WHERE b <> node_id GROUP BY 1, 2"""
 
 
 def f33_key_extract(spark, sf):

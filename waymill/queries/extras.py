@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymill.functions import clock, geo, tags
+from waymill.functions import clock, geo, places, tags
 from waymill.functions.sql import register
 from waymill.operators import cells
 from waymill.operators.shared import shared_path, table
@@ -131,7 +131,8 @@ def j9_segments_in_rings(spark, sf):
     return mid.unionByName(spatial.side_crossings(leg, r)).groupBy("way_id").agg(F.min("region_id").alias("ring"), F.count_distinct("region_id").alias("n"))
 
 
-O_J9 = with_views("v_way_nodes", "v_nodes", "v_ring_points") + spatial.RING_EDGES + f""", {spatial.CHORDS}, m AS (SELECT way_id, (lat1 + lat2) / 2 AS lat, (lon1 + lon2) / 2 AS lon FROM chords), i AS ({spatial.sql_inside('m', 'way_id')}) SELECT way_id, min(region_id) AS ring, count(DISTINCT region_id) AS n FROM i GROUP BY 1"""
+O_J9 = with_views("v_way_nodes", "v_nodes", "v_ring_points") + spatial.RING_EDGES + f""", {spatial.LEGS}, m AS (SELECT leg, (lat1 + lat2) / 2 AS lat, (lon1 + lon2) / 2 AS lon FROM legs), i AS ({spatial.sql_inside('m', 'leg')}), x AS ({spatial.sql_meets('legs', 'leg')}), u AS (SELECT leg, region_id FROM i UNION SELECT leg, region_id FROM x)
+SELECT way_id, min(region_id) AS ring, count(DISTINCT region_id) AS n FROM u JOIN legs USING (leg) GROUP BY 1"""
 
 
 def j11_ambiguous_lookup(spark, sf):
@@ -145,23 +146,6 @@ def j11_ambiguous_lookup(spark, sf):
 O_J11 = "WITH l AS (SELECT DISTINCT l_orderkey, l_partkey % 40 AS f FROM lineitem WHERE l_partkey % 40 < 25), k AS (SELECT o_orderkey, count(f) AS k FROM orders LEFT JOIN l ON l_orderkey = o_orderkey GROUP BY 1) SELECT CASE WHEN k = 0 THEN 'none' WHEN k = 1 THEN 'one' ELSE 'ambiguous' END AS kind, count(*) AS n FROM k GROUP BY 1"
 
 
-def j14_wrong_admissions(spark, sf):
-    """Points nearest to a non-car ferry end within 12 km, and nearer to it than to any car ferry end."""
-    ways, _, _ = g.parts(spark, sf)
-    car = tags.old_ferry_class(*[c(x) for x in ("motorcar", "motor_vehicle", "vehicle", "foot", "bicycle")]) == "car"
-    ferry = ways.filter(tags.is_ferry(c("route"), c("highway"), c("ferry"))).select("way_id", car.alias("car"))
-    ends = spatial.way_chords(spark, sf).join(ferry, "way_id").select("way_id", "car", c("lat1").alias("to_lat"), c("lon1").alias("to_lon"))
-    near = cells.within(view(spark, sf, "v_points"), ends, 12_000.0)
-    best = near.groupBy("point_id").agg(F.min(F.when(~c("car"), c("distance_m"))).alias("other_m"), F.min(F.when(c("car"), c("distance_m"))).alias("car_m"))
-    return best.filter("other_m is not null and (car_m is null or other_m < car_m)").select("point_id", F.round("other_m", 2).alias("metres"))
-
-
-_Y = "('yes', 'designated', 'permissive', 'true', '1')"
-O_J14 = with_views("v_ways", "v_way_nodes", "v_nodes", "v_points") + spatial.CHORDS + f""", e AS (SELECT lat1, lon1, coalesce(motorcar IN {_Y}, false) OR coalesce(motor_vehicle IN {_Y}, false) OR coalesce(vehicle IN {_Y}, false) AS car FROM chords JOIN v_ways USING (way_id) WHERE {t.SQL_FERRY}),
-d AS (SELECT point_id, car, {g.hav('lat', 'lon', 'lat1', 'lon1', '6371000.0::DOUBLE')} AS m FROM v_points JOIN e ON abs(lat - lat1) < 0.12), b AS (SELECT point_id, min(m) FILTER (NOT car AND m <= 12000) AS o, min(m) FILTER (car AND m <= 12000) AS k FROM d GROUP BY 1)
-SELECT point_id, round(o, 2) AS metres FROM b WHERE o IS NOT NULL AND (k IS NULL OR o < k)"""
-
-
 def j27_superroute_chain(spark, sf):
     """Super-relation (nation) to its first relation (customer), that one's first way, the way's first located node."""
     child = table(spark, sf, "customer").groupBy(c("c_nationkey").alias("super_id")).agg(F.min("c_custkey").alias("relation_id"))
@@ -220,15 +204,37 @@ def u2_u3_merged_parts(spark, sf):
 O_U2 = """WITH b AS (SELECT 1 AS part, o_orderkey % 900 AS id, o_orderkey FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT 2, o_orderkey % 900, o_orderkey FROM orders WHERE o_orderkey % 2 = 0) SELECT id, arg_min(part, (part, o_orderkey))::INT AS part, arg_min(o_orderkey, (part, o_orderkey)) AS o_orderkey, count(*) AS n FROM b GROUP BY 1"""
 
 
-def t5_t10_terminal_order(spark, sf):
-    """Ferry ends in report order, numbered inside each name."""
-    ways, _, _ = g.parts(spark, sf)
+def t5_terminal_order(spark, sf):
+    """Both ends of each ferry in report order: name, position, node. One sort by ranges."""
+    ways, refs, nodes = g.parts(spark, sf)
     ferry = ways.filter(tags.is_ferry(c("route"), c("highway"), c("ferry"))).select("way_id", F.coalesce("name", F.lit("")).alias("name"))
-    e = spatial.way_chords(spark, sf).join(ferry, "way_id")
-    return e.select("name", "way_id", F.row_number().over(Window.partitionBy("name").orderBy("lat1", "lon1", "way_id")).alias("place"), F.round("lat1", 4).alias("lat"))
+    at = plan.resolved(refs, nodes).groupBy("way_id").agg(F.min_by(F.struct("node_id", "lat", "lon"), "pos").alias("a"), F.max_by(F.struct("node_id", "lat", "lon"), "pos").alias("b"))
+    ends = at.join(ferry, "way_id").select("name", F.explode(F.array("a", "b")).alias("e")).select("name", c("e.node_id").alias("node_id"), "e.lat", "e.lon").distinct()
+    return ends.orderBy("name", "lat", "lon", "node_id").select("name", "node_id", F.round("lat", 4).alias("lat"), F.round("lon", 4).alias("lon"))
+
+
+O_T5 = with_views("v_ways", "v_way_nodes", "v_nodes") + f""" r AS (SELECT way_id, node_id, lat, lon, row_number() OVER (PARTITION BY way_id ORDER BY pos) AS i, row_number() OVER (PARTITION BY way_id ORDER BY pos DESC) AS j FROM v_way_nodes JOIN v_nodes USING (node_id))
+SELECT DISTINCT coalesce(name, '') AS name, node_id, round(lat, 4) AS lat, round(lon, 4) AS lon FROM r JOIN v_ways USING (way_id) WHERE (i = 1 OR j = 1) AND {t.SQL_FERRY} ORDER BY 1, 3, 4, 2"""
+_REL = f"SELECT c_custkey AS relation_id, c_name AS name, {pick('c_custkey', ['administrative', None, 'water'])} AS boundary, {pick('c_custkey * 7', ['6', '8', '4', 'x', None])} AS level FROM {{customer}}"
+_MEM = f"SELECT o_custkey AS relation_id, o_orderkey AS way_id, {pick('o_orderkey * 3', ['outer', 'inner', '', None, 'part', 'Outer', 'label'])} AS role FROM {{orders}}"
+_OWN = f"SELECT way_id, name, {pick('way_id * 5', [None, 'administrative', None])} AS boundary, {pick('way_id * 11', ['6', '7', '9', None])} AS level FROM {{v_ways}}"
+
+
+def t10_admin_outlines(spark, sf):
+    """Outlines of level 6 to 8: members with no role, outer or part of such relations, and such ways of three nodes or more that stand alone."""
+    level = places.admin_level(c("boundary"), c("name"), c("level"))
+    rel = spark.sql(_REL, customer=table(spark, sf, "customer")).select("relation_id", level.alias("level")).filter("level is not null")
+    members = spark.sql(_MEM, orders=table(spark, sf, "orders")).filter(F.lower(F.coalesce("role", F.lit(""))).isin("", "outer", "part"))
+    outline = members.join(rel, "relation_id").select("way_id", "relation_id", "level")
+    own = spark.sql(_OWN, v_ways=view(spark, sf, "v_ways")).select("way_id", level.alias("level")).filter("level is not null")
+    long = view(spark, sf, "v_way_nodes").groupBy("way_id").agg(F.count(F.lit(1)).alias("n")).filter("n >= 3")
+    alone = own.join(long, "way_id", "left_semi").join(outline.select("way_id"), "way_id", "left_anti").select("way_id", F.lit(None).cast("long").alias("relation_id"), "level")
+    return outline.unionByName(alone)
 
 
-O_T5 = with_views("v_ways", "v_way_nodes", "v_nodes") + spatial.CHORDS + f" SELECT coalesce(name, '') AS name, way_id, row_number() OVER (PARTITION BY coalesce(name, '') ORDER BY lat1, lon1, way_id)::INT AS place, round(lat1, 4) AS lat FROM chords JOIN v_ways USING (way_id) WHERE {t.SQL_FERRY}"
+_LEVEL = "boundary = 'administrative' AND trim(name) <> '' AND level IN ('6', '7', '8')"
+O_T10 = with_views("v_ways", "v_way_nodes") + f""" r AS ({_REL.format(customer='customer')}), m AS ({_MEM.format(orders='orders')}), w AS ({_OWN.format(v_ways='v_ways')}), o AS (SELECT way_id, relation_id, level::INT AS level FROM m JOIN r USING (relation_id) WHERE lower(coalesce(role, '')) IN ('', 'outer', 'part') AND {_LEVEL})
+SELECT * FROM o UNION ALL SELECT way_id, NULL, level::INT FROM w WHERE {_LEVEL} AND way_id IN (SELECT way_id FROM v_way_nodes GROUP BY 1 HAVING count(*) >= 3) AND way_id NOT IN (SELECT way_id FROM o)"""
 
 
 def g6_leaf_set(spark, sf):
@@ -295,8 +301,8 @@ round(sum({g.hav('59.0::DOUBLE', '10.0::DOUBLE', 'la', '10.5::DOUBLE', '6371000.
 
 PAIRS = [
     (s10_u6_leaf_selection, O_S10), (s11_s12_export_documents, O_S11), (s16_height_grids, O_S16), (k2_k10_layer_sinks, O_K2), (k11_publish_projection, O_K11), (f25_f30_exclusions, O_F25), (x27_stop_roles, O_X27), (m26_tile_grid, O_M26),
-    (j9_segments_in_rings, O_J9), (j11_ambiguous_lookup, O_J11), (j14_wrong_admissions, O_J14), (j27_superroute_chain, O_J27), (j30_j32_a19_overrides, O_J30), (a5_exclusion_counts, O_A5), (a16_u5_road_cells, O_A16), (u2_u3_merged_parts, O_U2),
-    (t5_t10_terminal_order, O_T5), (g6_leaf_set, O_G6),
+    (j9_segments_in_rings, O_J9), (j11_ambiguous_lookup, O_J11), (j27_superroute_chain, O_J27), (j30_j32_a19_overrides, O_J30), (a5_exclusion_counts, O_A5), (a16_u5_road_cells, O_A16), (u2_u3_merged_parts, O_U2),
+    (t5_terminal_order, O_T5), (t10_admin_outlines, O_T10), (g6_leaf_set, O_G6),
     (f34_x30_tag_subset, O_F34), (a27_merged_counters, O_A27), (j38_corridor_load, O_J38), (sql_functions, O_SQL),
 ]
 QUERIES = {f.__name__: f for f, _ in PAIRS}

@@ -192,6 +192,18 @@ O_F17 = E_SQL + """, x AS (SELECT * FROM edges WHERE (alat BETWEEN 59.4 AND 60.1
 SELECT count(*) AS n_edges, round(sum(length_m), 2) AS m, (SELECT count(DISTINCT n) FROM (SELECT unnest([src, dst]) AS n FROM x)) AS n_nodes FROM x"""
 
 
+def f35_box_extract(spark, sf):
+    """The graph of a box: ways with a node in it, kept whole, then cut into edges; junctions are those of the kept ways."""
+    ways, refs, nodes = parts(spark, sf)
+    inside = nodes.filter(F.col("lat").between(59.4, 60.1) & F.col("lon").between(10.5, 11.5)).select("node_id")
+    touching = refs.join(inside, "node_id", "left_semi").select("way_id").distinct()
+    made = graph.edges(ways.join(touching, "way_id", "left_semi"), refs.join(touching, "way_id", "left_semi"), nodes)
+    return made.select("edge_id", "src", "dst", F.round("length_m", 3).alias("length_m"), F.round("weight", 3).alias("weight"))
+
+
+O_F35 = E_SQL.replace("FROM v_ways\n  WHERE CASE", "FROM v_ways\n  WHERE way_id IN (SELECT way_id FROM v_way_nodes JOIN v_nodes USING (node_id) WHERE lat BETWEEN 59.4 AND 60.1 AND lon BETWEEN 10.5 AND 11.5) AND CASE", 1) + "SELECT edge_id, src, dst, round(length_m, 3) AS length_m, round(weight, 3) AS weight FROM edges"
+
+
 def m20_m21_energy(spark, sf):
     """Height at both ends by grid post, the difference and the energy for two drives."""
     e = edges(spark, sf)
@@ -245,7 +257,7 @@ SELECT CASE WHEN n IS NULL THEN 'no_road' WHEN s.root = giant THEN 'ok' WHEN n <
 
 PAIRS = [
     (edges_by_class, O_CLASS), (w1_w2_edges, O_W1), (j1_m2_way_lengths, O_J1), (a1_junctions, O_A1), (a2_parallel_census, O_A2), (a3_a4_shares_and_minutes, O_A3), (a31_incident_surface, O_A31), (w3_cheapest_parallel, O_W3),
-    (w4_m19_surface_along_ways, O_W4), (w10_path_vertices, O_W10), (j2_way_tiles, O_J2), (k1_tiled_graph_sink, O_K1), (u1_merged_tile_graphs, O_U1), (j5_barriers_on_graph, O_J5), (f17_box_clip, O_F17), (m20_m21_energy, O_M20),
+    (w4_m19_surface_along_ways, O_W4), (w10_path_vertices, O_W10), (j2_way_tiles, O_J2), (k1_tiled_graph_sink, O_K1), (u1_merged_tile_graphs, O_U1), (j5_barriers_on_graph, O_J5), (f17_box_clip, O_F17), (f35_box_extract, O_F35), (m20_m21_energy, O_M20),
     (i1_a10_components, O_I1), (a15_i4_ferry_terminals, O_A15),
 ]
 QUERIES = {f.__name__: f for f, _ in PAIRS}

@@ -52,7 +52,7 @@ def r4_unchanged_content(spark, sf):
     return seen.groupBy("provider").agg(F.count_if("same").alias("skipped"), F.count_if(~c("same")).alias("kept"))
 
 
-O_R4 = with_views("v_log") + """ h AS (SELECT provider, substr(props, 1, 7) = lag(substr(props, 1, 7)) OVER (PARTITION BY provider ORDER BY ts, event_id) AS same FROM v_log)
+O_R4 = with_views("v_log") + """ h AS (SELECT provider, props = lag(props) OVER (PARTITION BY provider ORDER BY ts, event_id) AS same FROM v_log)
 SELECT provider, count(*) FILTER (coalesce(same, false)) AS skipped, count(*) FILTER (NOT coalesce(same, false)) AS kept FROM h GROUP BY 1"""
 
 

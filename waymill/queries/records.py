@@ -62,14 +62,14 @@ def s3_x14_text_lines(spark, sf):
     """Element lines made from customers and parsed back, with escapes in the tags."""
     lines = table(spark, sf, "customer").select(
         F.concat(F.lit("n"), c("c_custkey"), F.lit(" v"), c("c_nationkey") + 1, F.lit(" t2024-01-01T00:00:00Z Tname="), F.replace(c("c_name"), F.lit("#"), F.lit("%23%")), F.lit(",seg="), F.replace(c("c_mktsegment"), F.lit("E"), F.lit("%20ac%")),
-                 F.lit(",freq=145,6,p=%25%20% x"), c("c_custkey") % 180, F.lit(".5 y-"), c("c_custkey") % 90, F.lit(".25 Nn1,n"), c("c_custkey"), F.lit(" Mn7@stop,w"), c("c_custkey"), F.lit("@")).alias("line")
+                 F.lit(",freq=145,6,p=%25%20% x"), c("c_custkey") % 180, F.lit(".5 y-"), c("c_custkey") % 90, F.lit(".25 Nn1,n"), c("c_custkey"), F.lit(" Mn7@stop%20%a,r9,w"), c("c_custkey"), F.lit("@")).alias("line")
     )
     o = lines.select(*[v.alias(k) for k, v in radio.opl(c("line")).items()])
     return o.select("type", "id", "version", "lat", "lon", c("tags")["name"].alias("name"), c("tags")["seg"].alias("seg"), c("tags")["freq"].alias("freq"), c("tags")["p"].alias("p"), F.array_join(c("nodes").cast("array<string>"), ",").alias("nodes"), F.array_join(F.transform("members", lambda m: F.concat(m["type"], m["ref"], F.lit("@"), m["role"])), ",").alias("members"))
 
 
 O_S3 = """SELECT 'node' AS type, c_custkey AS id, (c_nationkey + 1)::INT AS version, -((c_custkey % 90) + 0.25)::DOUBLE AS lat, ((c_custkey % 180) + 0.5)::DOUBLE AS lon, c_name AS name, replace(c_mktsegment, 'E', '€') AS seg, '145,6' AS freq, '%20%' AS p,
-'1,' || c_custkey AS nodes, 'n7@stop,w' || c_custkey || '@' AS members FROM customer"""
+'1,' || c_custkey AS nodes, 'n7@stop a,r9@,w' || c_custkey || '@' AS members FROM customer"""
 
 
 def s2_xml_elements(spark, sf):
@@ -153,17 +153,27 @@ def s8_region_list(spark, sf):
 O_S8 = "SELECT 'r' || (c_custkey % 60) AS region_id, 'geofabrik:europe/x' || min(c_custkey) AS source, arg_min(c_nationkey, c_custkey)::DOUBLE AS graph_max, 'dense_network' AS terrain FROM customer WHERE c_custkey % 9 <> 0 GROUP BY 1"
 
 
+NEWEST = 3
+
+
 def s14_t7_page_links(spark, sf):
-    """Distinct absolute links of each page; how many, and the last by text."""
+    """Distinct absolute links of each page, and the newest three: highest numeric last part first, then by text from the end."""
     p = table(spark, sf, "pages")
     links = p.select("page_id", "url", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1)))).alias("href"))
     base = F.regexp_extract("url", "^(https?://[^/]*)", 1)
-    made = links.withColumn("link", F.when(c("href").startswith("/"), F.concat(base, "href")).otherwise(c("href"))).dropDuplicates(["page_id", "link"])
-    return made.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("link")).alias("longest"))
-
-
-O_S14 = r"""WITH h AS (SELECT page_id, url, unnest(list_distinct(regexp_extract_all(html, 'href="([^"]*)"', 1))) AS href FROM pages), l AS (SELECT DISTINCT page_id, CASE WHEN href LIKE '/%' THEN regexp_extract(url, '^(https?://[^/]*)', 1) || href ELSE href END AS link FROM h)
-SELECT page_id, count(*) AS n, max(length(link))::INT AS longest FROM l GROUP BY 1"""
+    link = F.when(c("href").startswith("/"), F.concat(base, "href")).otherwise(c("href"))
+    last = F.regexp_extract(F.regexp_replace("href", "[?#].*$", ""), "([^/]*)$", 1)
+    number = F.when(last.rlike(r"^[0-9]{1,18}(\.xml)?$"), F.regexp_replace(last, r"\.xml$", "").cast("long")).otherwise(F.lit(-1))
+    made = links.select("page_id", link.alias("link"), number.alias("number")).groupBy("page_id", "link").agg(F.max("number").alias("number"))
+    rank = F.row_number().over(Window.partitionBy("page_id").orderBy(F.desc("number"), F.desc("link")))
+    ranked = made.withColumn("rank", rank)
+    newest = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(c("rank") <= NEWEST, F.struct("rank", "link")))), lambda x: x["link"]), " ")
+    return ranked.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), newest.alias("newest"))
+
+
+O_S14 = r"""WITH h AS (SELECT page_id, url, unnest(list_distinct(regexp_extract_all(html, 'href="([^"]*)"', 1))) AS href FROM pages), b AS (SELECT page_id, CASE WHEN href LIKE '/%' THEN regexp_extract(url, '^(https?://[^/]*)', 1) || href ELSE href END AS link, regexp_extract(regexp_replace(href, '[?#].*$', ''), '([^/]*)$', 1) AS last FROM h),
+l AS (SELECT page_id, link, max(CASE WHEN regexp_matches(last, '^[0-9]{1,18}(\.xml)?$') THEN regexp_replace(last, '\.xml$', '')::BIGINT ELSE -1 END) AS number FROM b GROUP BY 1, 2)
+SELECT page_id, count(*) AS n, array_to_string(list(link ORDER BY number DESC, link DESC)[1:3], ' ') AS newest FROM l GROUP BY 1"""
 
 
 def s13_document_validation(spark, sf):

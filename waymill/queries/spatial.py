@@ -189,8 +189,11 @@ def side_crossings(segments: DataFrame, r: DataFrame) -> DataFrame:
 
 
 def j22_m7_barrier_crossings(spark, sf):
-    """Ways whose chord meets an edge of a ring, touching included."""
-    return side_crossings(way_chords(spark, sf), rings(spark, sf)).groupBy("way_id").agg(F.count_distinct("region_id").alias("n_regions"))
+    """Ways whose chord meets a side of a ring, touching included, or ends in a glacier (a ring of class 2)."""
+    chord, r = way_chords(spark, sf), rings(spark, sf)
+    ends = chord.select("way_id", F.explode(F.array(F.struct(c("lat1").alias("lat"), c("lon1").alias("lon")), F.struct(c("lat2").alias("lat"), c("lon2").alias("lon")))).alias("p")).select("way_id", "p.*")
+    iced = points_in_rings(ends, r.filter("class = 2")).select("way_id", "region_id")
+    return side_crossings(chord, r).unionByName(iced).groupBy("way_id").agg(F.count_distinct("region_id").alias("n_regions"))
 
 
 _X = "({bx} - {ax}) * ({cy} - {ay}) - ({by} - {ay}) * ({cx} - {ax})"
@@ -209,8 +212,19 @@ def _on2(d, x, y):
     return f"({d} = 0 AND {x} BETWEEN least(lon1, lon2) AND greatest(lon1, lon2) AND {y} BETWEEN least(lat1, lat2) AND greatest(lat1, lat2))"
 
 
-O_J22 = with_views("v_way_nodes", "v_nodes", "v_ring_points") + RING_EDGES + f""", {CHORDS}, m AS (SELECT way_id, region_id, {_x('p', 'q', '1')} AS d1, {_x('p', 'q', '2')} AS d2, {_x('1', '2', 'p')} AS d3, {_x('1', '2', 'q')} AS d4, alat, alon, blat, blon, lat1, lon1, lat2, lon2 FROM chords, re)
-SELECT way_id, count(DISTINCT region_id) AS n_regions FROM m WHERE (d1 * d2 < 0 AND d3 * d4 < 0) OR {_on('d1', 'a', 'b', 'lon1', 'lat1')} OR {_on('d2', 'a', 'b', 'lon2', 'lat2')} OR {_on2('d3', 'alon', 'alat')} OR {_on2('d4', 'blon', 'blat')} GROUP BY 1"""
+MEETS = f"((d1 * d2 < 0 AND d3 * d4 < 0) OR {_on('d1', 'a', 'b', 'lon1', 'lat1')} OR {_on('d2', 'a', 'b', 'lon2', 'lat2')} OR {_on2('d3', 'alon', 'alat')} OR {_on2('d4', 'blon', 'blat')})"
+
+
+def sql_meets(segments: str, key: str) -> str:
+    """Oracle: (key, region_id) of (lat1, lon1)-(lat2, lon2) rows that meet a ring's side."""
+    return f"""SELECT DISTINCT {key}, region_id FROM (SELECT {key}, region_id, {_x('p', 'q', '1')} AS d1, {_x('p', 'q', '2')} AS d2, {_x('1', '2', 'p')} AS d3, {_x('1', '2', 'q')} AS d4, alat, alon, blat, blon, lat1, lon1, lat2, lon2 FROM {segments}, re) WHERE {MEETS}"""
+
+
+LEGS = """located AS (SELECT way_id, pos, lat, lon FROM v_way_nodes JOIN v_nodes USING (node_id) WHERE lat IS NOT NULL AND lon IS NOT NULL), legs AS (SELECT way_id, row_number() OVER () AS leg, lat1, lon1, lat2, lon2 FROM (SELECT way_id, lat AS lat1, lon AS lon1,
+coalesce(lead(lat) OVER w, CASE WHEN count(*) OVER (PARTITION BY way_id) = 1 THEN lat END) AS lat2, coalesce(lead(lon) OVER w, CASE WHEN count(*) OVER (PARTITION BY way_id) = 1 THEN lon END) AS lon2 FROM located WINDOW w AS (PARTITION BY way_id ORDER BY pos)) WHERE lat2 IS NOT NULL)"""
+O_J22 = with_views("v_way_nodes", "v_nodes", "v_ring_points") + RING_EDGES + f""", {CHORDS}, m AS ({sql_meets('chords', 'way_id')}), e AS (SELECT way_id, lat1 AS lat, lon1 AS lon FROM chords), z AS (SELECT way_id, lat2 AS lat, lon2 AS lon FROM chords),
+i AS ({sql_inside('e', 'way_id')}), j AS ({sql_inside('z', 'way_id')}), u AS (SELECT way_id, region_id FROM m UNION SELECT way_id, region_id FROM i WHERE class = 2 UNION SELECT way_id, region_id FROM j WHERE class = 2)
+SELECT way_id, count(DISTINCT region_id) AS n_regions FROM u GROUP BY 1"""
 
 
 def j23_snap(spark, sf):
@@ -229,17 +243,23 @@ SELECT point_id, node, CASE WHEN node IS NULL THEN 'too_far' ELSE 'ok' END AS st
 
 
 def j6_edge_heights(spark, sf):
-    """Height at both ends of each edge from a raster by cell and post; voids stay missing."""
-    e = g.edges(spark, sf)
-    dem = view(spark, sf, "v_dem")
-    post = lambda a, o: {"post_row": F.floor((c(a) - 59) * 5) % 10, "post_col": F.floor((c(o) - 10) * 10) % 20}
-    first = e.withColumns(post("src_lat", "src_lon")).join(dem.withColumnRenamed("elev_m", "h0"), ["post_row", "post_col"], "left").drop("post_row", "post_col")
-    both = first.withColumns(post("dst_lat", "dst_lon")).join(dem.withColumnRenamed("elev_m", "h1"), ["post_row", "post_col"], "left")
+    """Height at both ends of each edge from rasters: cell first, then post in the cell; voids stay missing."""
+    e, dem = g.edges(spark, sf), view(spark, sf, "v_dem")
+    side = F.lit(int(view(spark, sf, "embeddings").count() ** 0.5))
+    keys = ["cell_row", "cell_col", "post_row", "post_col"]
+
+    def place(lat: str, lon: str) -> dict:
+        y, x = (c(lat) - 59) / 2 * side, (c(lon) - 10) / 2 * side
+        return {"cell_row": F.floor(y), "cell_col": F.floor(x), "post_row": F.floor((y - F.floor(y)) * 3), "post_col": F.floor((x - F.floor(x)) * 3)}
+
+    first = e.withColumns(place("src_lat", "src_lon")).join(dem.withColumnRenamed("elev_m", "h0"), keys, "left").drop(*keys)
+    both = first.withColumns(place("dst_lat", "dst_lon")).join(dem.withColumnRenamed("elev_m", "h1"), keys, "left")
     return both.agg(F.count(F.lit(1)).alias("n"), F.count_if((c("h1") - c("h0")).isNull()).alias("n_missing"), F.sum(c("h1") - c("h0")).alias("climb"), F.sum(F.greatest(c("h1") - c("h0"), F.lit(0.0))).alias("up"))
 
 
-O_J6 = g.E_SQL.replace("WITH v_ways AS", with_views("v_dem").removesuffix(",") + ", v_ways AS", 1) + """, ends AS (SELECT CASE WHEN back THEN blat ELSE alat END AS y0, CASE WHEN back THEN blon ELSE alon END AS x0, CASE WHEN back THEN alat ELSE blat END AS y1, CASE WHEN back THEN alon ELSE blon END AS x1 FROM edges),
-h AS (SELECT b.elev_m - a.elev_m AS d FROM ends LEFT JOIN v_dem a ON a.post_row = floor((y0 - 59) * 5)::BIGINT % 10 AND a.post_col = floor((x0 - 10) * 10)::BIGINT % 20 LEFT JOIN v_dem b ON b.post_row = floor((y1 - 59) * 5)::BIGINT % 10 AND b.post_col = floor((x1 - 10) * 10)::BIGINT % 20)
+_PLACE = "v.cell_row = floor({y})::BIGINT AND v.cell_col = floor({x})::BIGINT AND v.post_row = floor(({y} - floor({y})) * 3)::BIGINT AND v.post_col = floor(({x} - floor({x})) * 3)::BIGINT"
+O_J6 = g.E_SQL.replace("WITH v_ways AS", with_views("v_dem").removesuffix(",") + ", v_ways AS", 1) + f""", n AS (SELECT floor(sqrt(count(*)))::BIGINT AS side FROM embeddings), ends AS (SELECT ((CASE WHEN back THEN blat ELSE alat END) - 59) / 2 * side AS y0, ((CASE WHEN back THEN blon ELSE alon END) - 10) / 2 * side AS x0, ((CASE WHEN back THEN alat ELSE blat END) - 59) / 2 * side AS y1, ((CASE WHEN back THEN alon ELSE blon END) - 10) / 2 * side AS x1 FROM edges, n),
+h AS (SELECT b.elev_m - a.elev_m AS d FROM ends LEFT JOIN v_dem a ON {_PLACE.format(y='y0', x='x0').replace('v.', 'a.')} LEFT JOIN v_dem b ON {_PLACE.format(y='y1', x='x1').replace('v.', 'b.')})
 SELECT count(*) AS n, count(*) FILTER (d IS NULL) AS n_missing, sum(d) AS climb, sum(CASE WHEN d IS NULL THEN 0 ELSE greatest(d, 0) END) AS up FROM h"""
 
 
@@ -255,23 +275,70 @@ O_J10 = with_views("v_points", "v_way_nodes", "v_nodes") + CHORDS + f""", d AS (
 SELECT point_id, arg_min(way_id, (q, way_id)) AS way_id FROM d WHERE m <= 3000 GROUP BY 1"""
 
 
-def j13_ferry_match(spark, sf):
-    """Each ferry way and the road way whose ends lie nearest in either direction, within 2 x 25 km."""
+def ferries(spark, sf) -> DataFrame:
+    """ferry_id, name, is_car and the two ends of each ferry way."""
     ways, _, _ = g.parts(spark, sf)
-    chord = way_chords(spark, sf)
-    ferry = tags.is_ferry(c("route"), c("highway"), c("ferry"))
-    f = chord.join(ways.filter(ferry).select("way_id", c("name").alias("f_name")), "way_id").withColumnRenamed("way_id", "ferry_id")
-    r = chord.join(ways.filter(~ferry & (c("highway") == "platform")).select("way_id", "name"), "way_id").select("way_id", "name", c("lat1").alias("u1"), c("lon1").alias("v1"), c("lat2").alias("u2"), c("lon2").alias("v2"))
-    near = cells.within(f, r.unionByName(r.select("way_id", "name", c("u2").alias("u1"), c("v2").alias("v1"), c("u1").alias("u2"), c("v1").alias("v2"))), 25000.0, ("lat1", "lon1"), ("u1", "v1"))
-    total = c("distance_m") + geo.haversine(c("lat2"), c("lon2"), c("u2"), c("v2"), geo.TOOL_RADIUS)
-    scored = near.withColumn("score", F.when(c("name") == c("f_name"), total / 2).otherwise(total)).filter("score <= 50000")
-    return scored.groupBy("ferry_id").agg(F.min_by("way_id", F.struct("score", "way_id")).alias("way_id"), F.round(F.min("score"), 2).alias("score"))
+    car = tags.old_ferry_class(*[c(x) for x in ("motorcar", "motor_vehicle", "vehicle", "foot", "bicycle")]) == "car"
+    some = ways.filter(tags.is_ferry(c("route"), c("highway"), c("ferry"))).select("way_id", F.lower(F.trim("name")).alias("name"), car.alias("is_car"))
+    return way_chords(spark, sf).join(some, "way_id").withColumnRenamed("way_id", "ferry_id")
+
+
+def published_ferries(spark, sf) -> DataFrame:
+    """The ferries as an earlier pack holds them: moved by up to 4 km, every other one turned, some without a name."""
+    f = ferries(spark, sf)
+    lat, odd = (c("ferry_id") % 13) * 0.003, c("ferry_id") % 2 == 1
+    return f.select(
+        (c("ferry_id") + 1_000_000_000).alias("pack_id"), F.when(c("ferry_id") % 4 != 0, c("name")).alias("pack_name"), (F.when(odd, c("lat2")).otherwise(c("lat1")) + lat).alias("u1"), F.when(odd, c("lon2")).otherwise(c("lon1")).alias("v1"),
+        (F.when(odd, c("lat1")).otherwise(c("lat2")) + lat).alias("u2"), F.when(odd, c("lon1")).otherwise(c("lon2")).alias("v2"),
+    )
+
+
+def ferry_pairs(f: DataFrame, p: DataFrame, metres: float, same_name: bool = False) -> DataFrame:
+    """Pairs whose ends lie at most ``metres`` apart in sum, in the better of the two orientations.
+
+    Of such a pair some end is within half of that, so ends meet on cells of that width.
+    """
+    own = lambda a, b, y, x: F.explode(F.array(*[F.struct(c(i).alias(y), c(j).alias(x)) for i, j in (a, b)])).alias("end")
+    left = f.select("ferry_id", "name", own(("lat1", "lon1"), ("lat2", "lon2"), "lat", "lon")).select("ferry_id", "name", "end.*")
+    right = p.select("pack_id", c("pack_name").alias("name") if same_name else F.lit(0).alias("other"), own(("u1", "v1"), ("u2", "v2"), "to_lat", "to_lon")).drop("other").select(*(["pack_id", "name"] if same_name else ["pack_id"]), "end.*")
+    if same_name:
+        left, right = left.filter("name <> ''"), right.filter("name <> ''")
+    met = cells.within(left, right, metres / 2, on=("name",) if same_name else ()).select("ferry_id", "pack_id").distinct()
+    d = lambda a, b, x, y: geo.haversine(c(a), c(b), c(x), c(y), geo.TOOL_RADIUS)
+    both = met.join(f, "ferry_id").join(p, "pack_id")
+    return both.withColumn("metres", F.least(d("lat1", "lon1", "u1", "v1") + d("lat2", "lon2", "u2", "v2"), d("lat1", "lon1", "u2", "v2") + d("lat2", "lon2", "u1", "v1"))).filter(c("metres") <= metres)
+
+
+PROXIMITY_M = 2500.0
+
+
+def j13_ferry_match(spark, sf):
+    """Each ferry and the published ferry whose ends are nearest in sum, halved for equal names, up to twice 2500 m."""
+    f, p = ferries(spark, sf), published_ferries(spark, sf)
+    near = ferry_pairs(f, p, 2 * PROXIMITY_M).select("ferry_id", "pack_id", F.when((c("name") != "") & (c("name") == c("pack_name")), c("metres") / 2).otherwise(c("metres")).alias("score"))
+    named = ferry_pairs(f, p, 4 * PROXIMITY_M, same_name=True).select("ferry_id", "pack_id", (c("metres") / 2).alias("score"))
+    return near.unionByName(named).groupBy("ferry_id").agg(F.min_by("pack_id", F.struct("score", "pack_id")).alias("pack_id"), F.round(F.min("score"), 2).alias("score"))
 
 
 _H = lambda a, b, x, y: g.hav(a, b, x, y, "6371000.0::DOUBLE")
-O_J13 = with_views("v_ways", "v_way_nodes", "v_nodes") + CHORDS + f""", f AS (SELECT c.*, name FROM chords c JOIN v_ways USING (way_id) WHERE {g.t.SQL_FERRY}), r AS (SELECT c.way_id AS rid, name AS rname, lat1 AS u1, lon1 AS v1, lat2 AS u2, lon2 AS v2 FROM chords c JOIN v_ways USING (way_id) WHERE NOT {g.t.SQL_FERRY} AND highway = 'platform'),
-b AS (SELECT * FROM r UNION ALL SELECT rid, rname, u2, v2, u1, v1 FROM r), d AS (SELECT way_id, rid, name = rname AS same, {_H('lat1', 'lon1', 'u1', 'v1')} AS p, {_H('lat2', 'lon2', 'u2', 'v2')} AS q FROM f JOIN b ON abs(lat1 - u1) < 0.25),
-s AS (SELECT way_id, rid, CASE WHEN same THEN (p + q) / 2 ELSE p + q END AS score FROM d WHERE p <= 25000) SELECT way_id AS ferry_id, arg_min(rid, (score, rid)) AS way_id, round(min(score), 2) AS score FROM s WHERE score <= 50000 GROUP BY 1"""
+_CARS = "('yes', 'designated', 'permissive', 'true', '1')"
+FERRIES = CHORDS + f""", f AS (SELECT way_id AS ferry_id, lower(trim(name)) AS name, coalesce(motorcar IN {_CARS}, false) OR coalesce(motor_vehicle IN {_CARS}, false) OR coalesce(vehicle IN {_CARS}, false) AS is_car, lat1, lon1, lat2, lon2 FROM chords JOIN v_ways USING (way_id) WHERE {g.t.SQL_FERRY}),
+p AS (SELECT ferry_id + 1000000000 AS pack_id, CASE WHEN ferry_id % 4 <> 0 THEN name END AS pack_name, CASE WHEN ferry_id % 2 = 1 THEN lat2 ELSE lat1 END + (ferry_id % 13) * 0.003::DOUBLE AS u1, CASE WHEN ferry_id % 2 = 1 THEN lon2 ELSE lon1 END AS v1,
+CASE WHEN ferry_id % 2 = 1 THEN lat1 ELSE lat2 END + (ferry_id % 13) * 0.003::DOUBLE AS u2, CASE WHEN ferry_id % 2 = 1 THEN lon1 ELSE lon2 END AS v2 FROM f),
+d AS (SELECT *, least({_H('lat1', 'lon1', 'u1', 'v1')} + {_H('lat2', 'lon2', 'u2', 'v2')}, {_H('lat1', 'lon1', 'u2', 'v2')} + {_H('lat2', 'lon2', 'u1', 'v1')}) AS metres FROM f, p)"""
+O_J13 = with_views("v_ways", "v_way_nodes", "v_nodes") + FERRIES + """, s AS (SELECT ferry_id, pack_id, CASE WHEN name <> '' AND name = pack_name THEN metres / 2 ELSE metres END AS score FROM d)
+SELECT ferry_id, arg_min(pack_id, (score, pack_id)) AS pack_id, round(min(score), 2) AS score FROM s WHERE score <= 5000 GROUP BY 1"""
+
+
+def j14_wrong_admissions(spark, sf):
+    """Published ferries nearest to a ferry that cars may not take, ends within 1600 m in sum, and nearer to it than to any car ferry."""
+    near = ferry_pairs(ferries(spark, sf), published_ferries(spark, sf), 1600.0)
+    best = near.groupBy("pack_id").agg(F.min(F.when(~c("is_car"), F.struct("metres", "ferry_id"))).alias("other"), F.min(F.when(c("is_car"), c("metres"))).alias("car_m"))
+    return best.filter("other is not null and (car_m is null or other.metres < car_m)").select("pack_id", c("other.ferry_id").alias("ferry_id"), F.round("other.metres", 1).alias("metres"))
+
+
+O_J14 = with_views("v_ways", "v_way_nodes", "v_nodes") + FERRIES + """, b AS (SELECT pack_id, arg_min(ferry_id, (metres, ferry_id)) FILTER (NOT is_car AND metres <= 1600) AS ferry_id, min(metres) FILTER (NOT is_car AND metres <= 1600) AS o, min(metres) FILTER (is_car) AS k FROM d GROUP BY 1)
+SELECT pack_id, ferry_id, round(o, 1) AS metres FROM b WHERE o IS NOT NULL AND (k IS NULL OR o < k)"""
 
 
 def j16_lattice_overlap(spark, sf):
@@ -309,22 +376,41 @@ O_J31 = with_views("v_regions") + """ r AS (SELECT * FROM v_regions WHERE max_lo
 AND a.min_lat - 0.05::DOUBLE <= b.max_lat AND b.min_lat <= a.max_lat + 0.05::DOUBLE AND a.min_lon - 0.05::DOUBLE <= b.max_lon AND b.min_lon <= a.max_lon + 0.05::DOUBLE"""
 
 
+def land_cells(r: DataFrame, size: float) -> DataFrame:
+    """region_id, cy, cx, land: a cell of a ring's box is land if one of 49 samples or a corner is in the ring, a vertex in the cell, or a side of the ring meets a side of the cell."""
+    spots = [((i + 0.5) / 7, (j + 0.5) / 7) for i in range(7) for j in range(7)] + [(float(y), float(x)) for y in (0, 1) for x in (0, 1)]
+    spot = F.exists(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y, x in spots]), lambda o: geo.in_ring((c("cy") + o["y"]) * size, (c("cx") + o["x"]) * size, c("ring")))
+    south, north, west, east = c("cy") * size, (c("cy") + 1) * size, c("cx") * size, (c("cx") + 1) * size
+    vertex = F.exists(c("ring"), lambda p: p["lat"].between(south, north) & p["lon"].between(west, east))
+    corners = [(west, south), (east, south), (east, north), (west, north)]
+    after = F.concat(F.slice(c("ring"), 2, F.size("ring") - 1), F.slice(c("ring"), 1, 1))
+
+    def meets(s):
+        out = F.lit(False)
+        for i in range(4):
+            out = out | geo.segments_meet((s["p"]["lon"], s["p"]["lat"]), (s["q"]["lon"], s["q"]["lat"]), corners[i], corners[(i + 1) % 4])
+        return out
+
+    side = F.exists(F.arrays_zip(c("ring").alias("p"), after.alias("q")), meets)
+    return ring_cells(r, size).withColumn("land", spot | vertex | side).select("region_id", "cy", "cx", "land")
+
+
 def j35_u7_cells_of_rings(spark, sf):
-    """Cells of 0.1 degree that each ring covers by any of 25 samples, a vertex inside, or a corner in the ring."""
+    """Cells of one degree, and of a tenth, in each ring's box, and those that are land."""
     r = rings(spark, sf)
-    grid = ring_cells(r)
-    offsets = F.array(*[F.struct(F.lit(y / 4).alias("y"), F.lit(x / 4).alias("x")) for y in range(5) for x in range(5)])
-    sample = F.exists(offsets, lambda o: geo.in_ring((c("cy") + o["y"]) * 0.1, (c("cx") + o["x"]) * 0.1, c("ring")))
-    vertex = F.exists(c("ring"), lambda p: (F.floor(p["lat"] / 0.1) == c("cy")) & (F.floor(p["lon"] / 0.1) == c("cx")))
-    return grid.withColumn("land", sample | vertex).groupBy("region_id").agg(F.count(F.lit(1)).alias("n_cells"), F.count_if("land").alias("n_land"))
+    every = [land_cells(r, size).withColumn("size", F.lit(size)) for size in (1.0, 0.1)]
+    return every[0].unionByName(every[1]).groupBy("region_id", "size").agg(F.count(F.lit(1)).alias("n_cells"), F.count_if("land").alias("n_land"))
 
 
-O_J35 = with_views("v_ring_points") + RING_EDGES + """, b AS (SELECT region_id, floor(min(lat) / 0.1::DOUBLE)::BIGINT AS y0, floor(max(lat) / 0.1::DOUBLE)::BIGINT AS y1, floor(min(lon) / 0.1::DOUBLE)::BIGINT AS x0, floor(max(lon) / 0.1::DOUBLE)::BIGINT AS x1 FROM v_ring_points GROUP BY 1),
-k AS (SELECT region_id, cy, unnest(range(x0, x1 + 1)) AS cx FROM (SELECT *, unnest(range(y0, y1 + 1)) AS cy FROM b)), o AS (SELECT unnest([0, 0.25::DOUBLE, 0.5::DOUBLE, 0.75::DOUBLE, 1]) AS d),
-s AS (SELECT region_id AS rid, cy, cx, (cy + a.d) * 0.1::DOUBLE AS lat, (cx + c.d) * 0.1::DOUBLE AS lon FROM k, o a, o c),
-h AS (SELECT rid, cy, cx FROM s JOIN re ON re.region_id = rid WHERE (alat > s.lat) <> (blat > s.lat) AND s.lon < (blon - alon) * (s.lat - alat) / (blat - alat + 2.220446049250313e-16) + alon GROUP BY rid, cy, cx, s.lat, s.lon HAVING count(*) % 2 = 1),
-l AS (SELECT rid, cy, cx FROM h UNION SELECT region_id, floor(lat / 0.1::DOUBLE)::BIGINT, floor(lon / 0.1::DOUBLE)::BIGINT FROM v_ring_points)
-SELECT region_id, count(*) AS n_cells, count(l.rid) AS n_land FROM k LEFT JOIN l ON l.rid = region_id AND l.cy = k.cy AND l.cx = k.cx GROUP BY 1"""
+O_J35 = with_views("v_ring_points") + RING_EDGES + f""", z AS (SELECT unnest([1.0::DOUBLE, 0.1::DOUBLE]) AS size), b AS (SELECT region_id, size, floor(min(lat) / size)::BIGINT AS y0, floor(max(lat) / size)::BIGINT AS y1, floor(min(lon) / size)::BIGINT AS x0, floor(max(lon) / size)::BIGINT AS x1 FROM v_ring_points, z GROUP BY 1, 2),
+k AS (SELECT region_id AS rid, size, cy, unnest(range(x0, x1 + 1)) AS cx FROM (SELECT *, unnest(range(y0, y1 + 1)) AS cy FROM b)), o AS (SELECT (i + 0.5::DOUBLE) / 7 AS dy, (j + 0.5::DOUBLE) / 7 AS dx FROM range(7) a(i), range(7) b(j) UNION ALL SELECT i::DOUBLE, j::DOUBLE FROM range(2) a(i), range(2) b(j)),
+s AS (SELECT rid, size, cy, cx, (cy + dy) * size AS lat, (cx + dx) * size AS lon FROM k, o),
+h AS (SELECT rid, size, cy, cx FROM s JOIN re ON re.region_id = rid WHERE (alat > s.lat) <> (blat > s.lat) AND s.lon < (blon - alon) * (s.lat - alat) / (blat - alat + 2.220446049250313e-16) + alon GROUP BY rid, size, cy, cx, s.lat, s.lon HAVING count(*) % 2 = 1),
+v AS (SELECT rid, size, cy, cx FROM k JOIN v_ring_points ON region_id = rid WHERE lat BETWEEN cy * size AND (cy + 1) * size AND lon BETWEEN cx * size AND (cx + 1) * size),
+q AS (SELECT rid, size, cy, cx, cy * size AS lat1, cx * size AS lon1, cy * size AS lat2, (cx + 1) * size AS lon2 FROM k UNION ALL SELECT rid, size, cy, cx, cy * size, (cx + 1) * size, (cy + 1) * size, (cx + 1) * size FROM k
+  UNION ALL SELECT rid, size, cy, cx, (cy + 1) * size, (cx + 1) * size, (cy + 1) * size, cx * size FROM k UNION ALL SELECT rid, size, cy, cx, (cy + 1) * size, cx * size, cy * size, cx * size FROM k),
+m AS (SELECT q.*, alat, alon, blat, blon, {_x('p', 'q', '1')} AS d1, {_x('p', 'q', '2')} AS d2, {_x('1', '2', 'p')} AS d3, {_x('1', '2', 'q')} AS d4 FROM q JOIN re ON re.region_id = rid), l AS (SELECT rid, size, cy, cx FROM h UNION SELECT * FROM v UNION SELECT rid, size, cy, cx FROM m WHERE {MEETS})
+SELECT k.rid AS region_id, k.size, count(*) AS n_cells, count(l.rid) AS n_land FROM k LEFT JOIN l ON l.rid = k.rid AND l.size = k.size AND l.cy = k.cy AND l.cx = k.cx GROUP BY 1, 2"""
 
 
 def a9_region_bounds(spark, sf):
@@ -347,12 +433,7 @@ WHERE lat BETWEEN a - 0.01::DOUBLE AND b + 0.01::DOUBLE AND lon BETWEEN c - 0.01
 
 def f18_hash_sample(spark, sf):
     """One in 64 nodes by a hash of the position, whatever the order: a sampling operator."""
-    key = F.concat_ws(",", F.format_number("lat", 4), F.format_number("lon", 4))
-    n = view(spark, sf, "v_nodes")
-    return n.filter(F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long") % 64 == 0).select("node_id")
-
-
-O_F18 = with_views("v_nodes") + " x AS (SELECT 1) SELECT node_id FROM v_nodes WHERE ('0x' || substr(md5(printf('%.4f', lat) || ',' || printf('%.4f', lon)), 1, 8))::BIGINT % 64 = 0"
+    return view(spark, sf, "v_nodes").filter(F.pmod(F.xxhash64("lat", "lon"), F.lit(64)) == 0).select("node_id")
 
 
 def m12_m14_grids(spark, sf):
@@ -419,8 +500,8 @@ SELECT r, count(*) AS n, round(sum(h), 3) AS sum_m, min(CASE WHEN h < -12000 THE
 
 PAIRS = [
     (j15_points_in_rings, O_J15), (j3_k3_ring_tiles, O_J3), (j7_a7_wetland_hazards, O_J7), (j17_j18_smallest_region, O_J17), (j19_pois_within_radius, O_J19), (j20_m24_corridor_band, O_J20), (m24_densified_legs, O_M24),
-    (j21_m11_overnight_safety, O_J21), (j22_m7_barrier_crossings, O_J22), (j23_snap, O_J23), (j6_edge_heights, O_J6), (j10_nearest_feature, O_J10), (j13_ferry_match, O_J13), (j16_lattice_overlap, O_J16), (j31_f16_adjacent_boxes, O_J31),
-    (j35_u7_cells_of_rings, O_J35), (a9_region_bounds, O_A9), (f18_hash_sample, O_F18), (m12_m14_grids, O_M12), (m10_m22_m27_rings, O_M10), (m9_points_in_triangles, O_M9), (m6_bearings, O_M6), (s19_pixel_heights, O_S19),
+    (j21_m11_overnight_safety, O_J21), (j22_m7_barrier_crossings, O_J22), (j23_snap, O_J23), (j6_edge_heights, O_J6), (j10_nearest_feature, O_J10), (j13_ferry_match, O_J13), (j14_wrong_admissions, O_J14), (j16_lattice_overlap, O_J16), (j31_f16_adjacent_boxes, O_J31),
+    (j35_u7_cells_of_rings, O_J35), (a9_region_bounds, O_A9), (f18_hash_sample, None), (m12_m14_grids, O_M12), (m10_m22_m27_rings, O_M10), (m9_points_in_triangles, O_M9), (m6_bearings, O_M6), (s19_pixel_heights, O_S19),
 ]
 QUERIES = {f.__name__: f for f, _ in PAIRS}
-ORACLES = {f.__name__: sql for f, sql in PAIRS}
+ORACLES = {f.__name__: sql for f, sql in PAIRS if sql}

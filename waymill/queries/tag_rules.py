@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymill.functions import clock, limits, tags
@@ -169,36 +169,47 @@ O_F31 = W + f""" x AS (SELECT 1) SELECT way_id, {", ".join(f"round({sql_speed(t)
 {SQL_TOLL} AS is_toll, {SQL_FERRY} AS is_ferry, coalesce(tunnel <> 'no', false) AS is_tunnel, coalesce(lower(bridge) = 'boardwalk', false) OR coalesce(surface = 'wood', false) AS is_boardwalk,
 coalesce(lower(junction) = 'roundabout', false) AS is_roundabout, {sql_forbidden('car')} AS no_car, {SQL_RANK} AS surface_rank, {SQL_SECONDS} AS ferry_s FROM v_ways"""
 
-OPTIONS = "option_id int, avoid_motorways boolean, avoid_tolls boolean, avoid_ferries boolean, weight_kg double, height_m_own double"
-OPTION_ROWS = [(0, False, False, False, None, None), (1, True, False, False, None, None), (2, False, True, True, None, None), (3, False, False, False, 4000.0, 3.6)]
+#: An option's own measures and the edge limit that each must not exceed.
+MEASURES = {"weight_kg": "weight_t", "axle_kg": "axle_t", "bogie_kg": "bogie_t", "own_height_m": "height_m", "own_width_m": "width_m", "own_length_m": "length_limit_m"}
+OPTIONS = "option_id int, avoid_motorways boolean, avoid_tolls boolean, avoid_ferries boolean, " + ", ".join(f"{m} double" for m in MEASURES)
+_ANY = (None,) * 6
+OPTION_ROWS = [
+    (0, False, False, False, *_ANY), (1, True, False, False, *_ANY), (2, False, True, True, *_ANY), (3, False, False, False, 4000.0, None, None, 3.6, None, None), (4, False, False, False, None, 9000.0, None, None, None, None),
+    (5, False, False, False, None, None, 18500.0, None, None, None), (6, False, False, False, None, None, None, None, 2.25, None), (7, False, False, False, None, None, None, None, None, 11.0), (8, True, True, True, 8000.0, 8000.0, 18000.0, 3.5, 2.5, 12.0),
+]
 
 
-def allowed_for_options(edges: DataFrame, options: DataFrame, profile: str, at) -> DataFrame:
-    """edges that each option row admits; options are a handful of rows."""
+def allowed_for_options(edges: DataFrame, options: Column, profile: str, at) -> DataFrame:
+    """edges that each option admits; ``options`` is an array of a request's options."""
     grade = tags.motorway_grade(c("highway"), c("motorroad_yes"), c("expressway_yes"), c("oneway_yes"), c("n_lanes"), c("kmh"))
     motor = profile in tags.MOTOR
     closed = clock.forbids(c("access_conditional"), at)
     if motor:
         closed = closed | clock.forbids(c("motor_vehicle_conditional"), at)
-    over = lambda own, limit: tags.yes(own > limit)
-    ok = ~(
-        c("no_car") | (grade & (c("avoid_motorways") | F.lit(not motor))) | (c("is_toll") & c("avoid_tolls")) | (c("is_ferry") & c("avoid_ferries")) | closed
-        | over(c("weight_kg") / 1000, c("weight_t")) | over(c("height_m_own"), c("height_m"))
-    )
-    return edges.join(F.broadcast(options)).filter(ok)
+    ok = ~(c("no_car") | (grade & (c("avoid_motorways") | F.lit(not motor))) | (c("is_toll") & c("avoid_tolls")) | (c("is_ferry") & c("avoid_ferries")) | closed)
+    for own, limit in MEASURES.items():
+        ok = ok & ~tags.yes(c(own) / (1000 if own.endswith("_kg") else 1) > c(limit))
+    # Each edge carries the option rows as one array: as many copies of an edge as admit it, no join.
+    return edges.withColumn("option", F.explode(options)).select("*", "option.*").drop("option").filter(ok)
+
+
+def option_rows() -> Column:
+    """The handful of option rows as an array of structs."""
+    kinds = dict(x.split() for x in OPTIONS.split(", "))
+    return F.array(*[F.struct(*[F.lit(v).cast(kind).alias(name) for (name, kind), v in zip(kinds.items(), row, strict=True)]) for row in OPTION_ROWS])
 
 
 def f13_f14_route_options(spark, sf):
-    options = spark.createDataFrame(OPTION_ROWS, OPTIONS)
-    return allowed_for_options(edge_attributes(ways(spark, sf)), options, "car", F.to_timestamp(F.lit("2024-06-12 08:30:00"))).groupBy("option_id").agg(F.count(F.lit(1)).alias("n"), F.sum("way_id").alias("ways"))
+    return allowed_for_options(edge_attributes(ways(spark, sf)), option_rows(), "car", F.to_timestamp(F.lit("2024-06-12 08:30:00"))).groupBy("option_id").agg(F.count(F.lit(1)).alias("n"), F.sum("way_id").alias("ways"))
 
 
 # At Wednesday 12 June 08:30: Nov-Jun holds, Dec-Apr and Jul do not, 07:00-16:00 on weekdays does, May-Oct does.
 SQL_CLOSED = "(coalesce(access_conditional IN ('no @ Nov-Jun', 'no@Apr 15-Jul 15'), false) OR coalesce(motor_vehicle_conditional = 'private @ (Mo-Fr 07:00-16:00)', false))"
 SQL_GRADE = f"(coalesce(highway IN ('motorway', 'motorway_link'), false) OR coalesce(motorroad = 'yes', false) OR coalesce(expressway = 'yes', false) OR (coalesce(oneway IN ('yes', 'true'), false) AND coalesce({SQL_LANES} >= 2, false) AND coalesce({sql_speed('maxspeed')} >= 90, false)))"
-O_F13 = W + f""" o(option_id, m, t, f, w, h) AS (VALUES (0, false, false, false, NULL::DOUBLE, NULL::DOUBLE), (1, true, false, false, NULL, NULL), (2, false, true, true, NULL, NULL), (3, false, false, false, 4.0, 3.6))
-SELECT option_id::INT AS option_id, count(*) AS n, sum(way_id)::BIGINT AS ways FROM v_ways, o WHERE NOT ({sql_forbidden('car')}) AND NOT {SQL_CLOSED} AND NOT (m AND {SQL_GRADE}) AND NOT (t AND {SQL_TOLL}) AND NOT (f AND {SQL_FERRY})
-AND NOT coalesce(w > {sql_metric('maxweight')}, false) AND NOT coalesce(h > {sql_metric('maxheight')}, false) GROUP BY 1"""
+_SQL_OPTIONS = ", ".join("(" + ", ".join("NULL::DOUBLE" if v is None else str(v).lower() for v in row) + ")" for row in OPTION_ROWS)
+_SQL_LIMITS = " ".join(f"AND NOT coalesce({own}{' / 1000' if own.endswith('_kg') else ''} > {sql_metric(tag)}, false)" for own, tag in zip(MEASURES, ("maxweight", "maxaxleload", "maxbogieweight", "maxheight", "maxwidth", "maxlength"), strict=True))
+O_F13 = W + f""" o(option_id, m, t, f, {', '.join(MEASURES)}) AS (VALUES {_SQL_OPTIONS})
+SELECT option_id::INT AS option_id, count(*) AS n, sum(way_id)::BIGINT AS ways FROM v_ways, o WHERE NOT ({sql_forbidden('car')}) AND NOT {SQL_CLOSED} AND NOT (m AND {SQL_GRADE}) AND NOT (t AND {SQL_TOLL}) AND NOT (f AND {SQL_FERRY}) {_SQL_LIMITS} GROUP BY 1"""
 
 
 def f15_x33_conditionals(spark, sf):

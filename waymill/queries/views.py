@@ -63,6 +63,7 @@ WAY_TAGS: dict[str, tuple[str, list[str | None]]] = {
     "natural": ("k * 191", [None, None, "wetland", None, None, "Wetland", None]),
     "wetland": ("k * 193", [None, "bog", "swamp", None, "marsh", "Fen", "reedbed", None]),
     "name": ("k * 197", ["North Road", None, "Sea Road", None, "", "Ring 3"]),
+    "building": ("k * 199", [None, "yes", None, None, "house", None, None]),
 }
 
 NODE_TAGS: dict[str, tuple[str, list[str | None]]] = {
@@ -116,8 +117,8 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "v_pois": (["v_nodes"], "SELECT node_id AS poi_id, lat, lon, amenity, tourism, name FROM {v_nodes} WHERE amenity IS NOT NULL"),
     "v_dem": (
         ["embeddings"],
-        """SELECT CAST(floor(vec_id / 20.0e0) AS BIGINT) % 10 AS post_row, vec_id % 20 AS post_col, CASE WHEN vec_id % 11 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(vec_id * 37 % 500 + label AS DOUBLE) END AS elev_m
-        FROM {embeddings} WHERE vec_id < 200""",
+        """SELECT CAST(floor(vec_id / s) AS BIGINT) AS cell_row, CAST(vec_id % CAST(s AS BIGINT) AS BIGINT) AS cell_col, y AS post_row, x AS post_col, CASE WHEN (vec_id + y * 3 + x) % 11 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST((vec_id * 37 + y * 11 + x * 7) % 500 + label AS DOUBLE) END AS elev_m
+        FROM {embeddings} CROSS JOIN (SELECT floor(sqrt(count(*))) AS s FROM {embeddings}) AS n CROSS JOIN (VALUES (0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 2)) AS f(y, x)""",
     ),
     "v_log": (
         ["events"],
