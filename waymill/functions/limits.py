@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,33 +12,47 @@ DROPPED = ("yes", "unknown", "fixme", "null", "nan")
 LENGTH_UNITS = {"m": 1.0, "meter": 1.0, "meters": 1.0, "metre": 1.0, "metres": 1.0, "cm": 0.01, "mm": 0.001, "ft": 0.3048, "feet": 0.3048, "'": 0.3048, "in": 0.0254, "inch": 0.0254, "inches": 0.0254, '"': 0.0254}
 WEIGHT_UNITS = {"t": 1.0, "ton": 1.0, "tons": 1.0, "tonne": 1.0, "tonnes": 1.0, "mgw": 1.0, "mt": 1.0, "kg": 0.001, "lb": 0.00045359237, "lbs": 0.00045359237, "pound": 0.00045359237, "pounds": 0.00045359237}
 
-FEET = r"""^\s*(-?[0-9]+(?:\.[0-9]+)?)\s*(?:'|ft|feet)\s*(?:([0-9]+(?:\.[0-9]+)?)\s*(?:"|in|inch|inches)?)?\s*$"""
-NUMBER = r"""^\s*(-?[0-9]+(?:[.,][0-9]+)?)\s*([a-zA-Z"']+)?\s*$"""
+FEET, INCHES = ("ft", "feet", "'"), ("", "in", "inch", "inches", '"')
+
+
+def _pieces(s: Column) -> tuple[Column, Column, Column]:
+    """The number that a lower-case value starts with (null if none), the word or quote after it, and what is left."""
+    digits = F.regexp_extract(s, r"^-?[0-9][0-9.,]*", 0)
+    behind = F.trim(F.substr(s, F.length(digits) + 1))
+    unit = F.regexp_extract(behind, r"^[a-z]+|^['\"]+", 0)
+    number = F.when(F.right(digits, F.lit(1)).between("0", "9"), F.translate(digits, ",", ".").try_cast("double"))
+    return number, unit, F.trim(F.substr(behind, F.length(unit) + 1))
 
 
-def _scaled(s: Column, units: dict[str, float], default: str) -> Column:
-    number = F.replace(F.regexp_extract(s, NUMBER, 1), F.lit(","), F.lit(".")).try_cast("double")
-    unit = F.coalesce(F.nullif(F.lower(F.regexp_extract(s, NUMBER, 2)), F.lit("")), F.lit(default))
-    factor = reduce(lambda w, kv: w.when(unit == kv[0], kv[1]), units.items(), F.when(F.lit(False), 0.0))
-    return F.when(number > 0, number * factor)
+def _measure(s: Column, units: dict[str, float], default: str) -> Column:
+    number, unit, left = _pieces(s)
+    factors = F.create_map(*[F.lit(x) for kv in units.items() for x in kv])
+    return F.when((left == "") & (number > 0), number * F.try_element_at(factors, F.when(unit == "", default).otherwise(unit)))
 
 
 def _length(s: Column) -> Column:
-    feet = F.regexp_extract(F.lower(s), FEET, 1).try_cast("double")
-    inches = F.coalesce(F.regexp_extract(F.lower(s), FEET, 2).try_cast("double"), F.lit(0.0))
-    return F.when(F.lower(s).rlike(FEET), feet * 0.3048 + inches * 0.0254).otherwise(_scaled(s, LENGTH_UNITS, "m"))
+    """Feet may be followed by inches; any other length is one number and a unit, metres if none."""
+    low = F.lower(s)
+    feet, unit, left = _pieces(low)
+    inches, mark, more = _pieces(left)
+    both = unit.isin(*FEET) & feet.isNotNull() & inches.isNotNull() & mark.isin(*INCHES) & (more == "")
+    return F.when(both, feet * LENGTH_UNITS["ft"] + inches * LENGTH_UNITS["in"]).otherwise(_measure(low, LENGTH_UNITS, "m"))
 
 
 def _weight(s: Column) -> Column:
-    return _scaled(s, WEIGHT_UNITS, "t")
+    return _measure(F.lower(s), WEIGHT_UNITS, "t")
+
+
+#: Class of a value that is one of the vocabulary's words.
+WORDS = {"": "empty"} | dict.fromkeys(NO_LIMIT, "non_numeric_no_limit") | dict.fromkeys(UNKNOWN, "unknown_value") | dict.fromkeys(DROPPED, "unparseable")
 
 
 def value_class(raw: Column) -> Column:
-    s, low = F.trim(raw), F.lower(F.trim(raw))
-    return (
-        F.when(raw.isNull() | (s == ""), "empty").when(low.isin(*NO_LIMIT), "non_numeric_no_limit").when(low.isin(*UNKNOWN), "unknown_value")
-        .when(low.isin(*DROPPED) | s.contains("@") | s.contains(";"), "unparseable").when(_length(s).isNotNull() | _weight(s).isNotNull(), "numeric").otherwise("unparseable")
-    )
+    """A word of the vocabulary has its class; a value without condition or list that measures something is numeric."""
+    s = F.trim(F.coalesce(raw, F.lit("")))
+    word = F.try_element_at(F.create_map(*[F.lit(x) for kv in WORDS.items() for x in kv]), F.lower(s))
+    plain = ~s.rlike("[@;]") & F.coalesce(_length(s), _weight(s)).isNotNull()
+    return F.coalesce(word, F.when(plain, "numeric"), F.lit("unparseable"))
 
 
 def length_metres(raw: Column) -> Column:
