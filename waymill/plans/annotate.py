@@ -69,11 +69,12 @@ def compatible(osm: Column, base: Column) -> Column:
     return F.coalesce((osm == base) | alias | base.startswith(F.concat(osm, F.lit("-"))) | osm.startswith(F.concat(base, F.lit("-"))), F.lit(True))
 
 
-def candidates(ways: DataFrame, features: DataFrame) -> DataFrame:
+def candidates(ways: DataFrame, features: DataFrame, keep_all: bool = False) -> DataFrame:
     """Every near (way, feature segment) with the first guard that rejects it, or null.
 
     ways: way_id, highway, name, is_bridge, is_tunnel, nodes array<struct<lat, lon>>;
-    features: feature_id, base, name, is_bridge, is_tunnel, points of the same form.
+    features: feature_id, base, name, is_bridge, is_tunnel, points of the same form; a feature
+    may come in several entries. ``keep_all`` adds the projections of both ends and the overlap.
     """
     w = ways.withColumn("__n", F.explode("nodes"))
     near = cells.neighbour_cells(w.select("way_id", F.col("__n.lat").alias("la"), F.col("__n.lon").alias("lo")), "la", "lo", CELL, 2).select("way_id", "cy", "cx").distinct()
@@ -105,17 +106,26 @@ def candidates(ways: DataFrame, features: DataFrame) -> DataFrame:
         .when(~same_layer & (F.col("seg_m") >= BEARING_FROM_M) & ~straight, "bearing")
     )
     mismatch = F.coalesce((F.col("name") != "") & (F.col("f_name") != "") & (F.col("name") != F.col("f_name")), F.lit(False))
-    return segs.select("way_id", "feature_id", "segment", "seg_m", mismatch.cast("int").alias("mismatch"), ((F.col("pa.d") + F.col("pb.d")) / 2).alias("mean_m"), reject.alias("reject"))
+    more = [F.col("pa.along").alias("along_a"), F.col("pb.along").alias("along_b"), F.col("pa.d").alias("d_a"), F.col("pb.d").alias("d_b"), ratio.alias("ratio")] if keep_all else []
+    return segs.select("way_id", "feature_id", "segment", "seg_m", *more, mismatch.cast("int").alias("mismatch"), ((F.col("pa.d") + F.col("pb.d")) / 2).alias("mean_m"), reject.alias("reject"))
 
 
-def matched(found: DataFrame) -> DataFrame:
+def best_entries(found: DataFrame) -> DataFrame:
+    """Of the accepted entries of a (way, feature, segment) the one with the least (name mismatch, mean distance)."""
+    order = Window.partitionBy("way_id", "feature_id", "segment").orderBy("mismatch", "mean_m", "seg_m")
+    return found.filter("reject is null").withColumn("place", F.row_number().over(order)).filter("place = 1").drop("place")
+
+
+def matched(found: DataFrame, limits: DataFrame | None = None) -> DataFrame:
     """Kept rows: stubs off a way's primary feature go; the primary has the most long segments,
-    then the most, then the longest; a (feature, segment) claimed twice goes to the larger way."""
-    ok = found.filter("reject is null")
+    then the most, then the longest; a (feature, segment) claimed twice goes to the larger way.
+    With ``limits`` (way_id and limit columns) each row carries those of its way."""
+    ok = best_entries(found)
     score = ok.groupBy("way_id", "feature_id").agg(F.struct(F.count_if(F.col("seg_m") >= TINY_M).alias("long"), F.count(F.lit(1)).alias("n"), F.round(F.sum("seg_m"), 6).alias("m"), (-F.col("feature_id")).alias("tie")).alias("score"))
-    best = score.withColumn("__r", F.row_number().over(Window.partitionBy("way_id").orderBy(F.desc("score")))).filter("__r = 1").select("way_id", F.col("feature_id").alias("primary"))
+    best = score.groupBy("way_id").agg(F.max_by("feature_id", "score").alias("primary"))
     kept = ok.join(best, "way_id").filter((F.col("feature_id") == F.col("primary")) | (F.col("seg_m") >= BEARING_FROM_M))
-    return kept.groupBy("feature_id", "segment").agg(F.max("way_id").alias("way_id"), F.count(F.lit(1)).alias("claims"))
+    claimed = kept.groupBy("feature_id", "segment").agg(F.max("way_id").alias("way_id"), F.count(F.lit(1)).alias("claims"), F.max_by(F.round("mean_m", 4), "way_id").alias("mean_m"), F.max_by("mismatch", "way_id").alias("mismatch"))
+    return claimed if limits is None else claimed.join(limits, "way_id")
 
 
 def match_report(ways: DataFrame, found: DataFrame, kept: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymill.functions import geo, places, tags
+from waymill.functions import geo, limits, places, tags
 from waymill.operators.components import connected_components
 from waymill.operators.shared import materialize, table
 from waymill.operators.skew import salted_lookup
@@ -37,26 +37,93 @@ def local_ways(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def local_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Features beside those ways: shifted by up to nine metres, every other one reversed, some of another class or layer."""
+    """Features beside those ways: shifted by up to nine metres, every other one reversed, some of another class or layer.
+
+    Every third feature has a second entry, a little nearer or further and under another name.
+    """
     w = local_ways(spark, sf)
-    moved = F.transform("nodes", lambda x: F.struct((x["lat"] + (c("way_id") % 5) * 0.00002).alias("lat"), (x["lon"] - (c("way_id") % 3) * 0.00001).alias("lon")))
-    return w.select(
-        (c("way_id") + 1_000_000).alias("feature_id"), F.expr(pick("way_id", KINDS[:3] + ["path", "cycleway"] + BASES)).alias("base"), F.expr(pick("way_id", ["a", "b", ""])).alias("name"), (c("way_id") % 22 == 0).alias("is_bridge"), (c("way_id") % 13 == 0).alias("is_tunnel"),
-        F.when(c("way_id") % 2 == 1, F.reverse(moved)).otherwise(moved).alias("points"),
+    moved = lambda up: F.transform("nodes", lambda x: F.struct((x["lat"] + (c("way_id") % 5) * 0.00002 + up).alias("lat"), (x["lon"] - (c("way_id") % 3) * 0.00001).alias("lon")))
+    entries = F.array(F.struct(F.lit(0).alias("entry"), moved(0.0).alias("points")), F.struct(F.lit(1).alias("entry"), moved(-0.00001).alias("points")))
+    each = w.select("way_id", "is_tunnel", F.explode(F.slice(entries, 1, F.when(c("way_id") % 3 == 0, 2).otherwise(1))).alias("e")).select("way_id", "e.*")
+    return each.select(
+        (c("way_id") + 1_000_000).alias("feature_id"), F.expr(pick("way_id", KINDS[:3] + ["path", "cycleway"] + BASES)).alias("base"), F.expr(pick("way_id + entry", ["a", "b", ""])).alias("name"), (c("way_id") % 22 == 0).alias("is_bridge"), (c("way_id") % 13 == 0).alias("is_tunnel"),
+        F.when(c("way_id") % 2 == 1, F.reverse("points")).otherwise(c("points")).alias("points"),
     )
 
 
+def way_limits(spark: SparkSession, sf: str) -> DataFrame:
+    """The limits of each way that has any, as the tags state them."""
+    w = view(spark, sf, "v_ways")
+    raw = {k: c(k) for k in ("maxheight", "maxwidth", "maxlength", "maxweight", "maxaxleload", "maxbogieweight")}
+    return w.filter(limits.way_class(list(raw.values())) == "numeric").select("way_id", *[v.alias(k) for k, v in limits.limit_columns(raw).items()])
+
+
 def j12_w5_w7_limit_matching(spark, sf):
     """Limits of ways matched to feature segments by distance, class, layer, overlap and bearing."""
-    return annotate.matched(annotate.candidates(local_ways(spark, sf), local_features(spark, sf)))
+    own = way_limits(spark, sf)
+    return annotate.matched(annotate.candidates(local_ways(spark, sf).join(own, "way_id", "left_semi"), local_features(spark, sf)), own)
 
 
 def a14_match_report(spark, sf):
-    w = local_ways(spark, sf)
+    """Entries by the guard that rejects them, ways matched and not, rows kept: over the ways with a numeric limit."""
+    w = local_ways(spark, sf).join(way_limits(spark, sf), "way_id", "left_semi")
     found = materialize(annotate.candidates(w, local_features(spark, sf)), "candidates")
     return annotate.match_report(w, found, annotate.matched(found))
 
 
+def m4_m5_projections(spark, sf):
+    """Every entry within reach: arc position and distance of both segment ends on the way, and the overlap."""
+    found = annotate.candidates(local_ways(spark, sf), local_features(spark, sf), keep_all=True)
+    return found.groupBy("way_id", "feature_id", "segment").agg(*[F.round(F.sum(x), 3).alias(x) for x in ("along_a", "along_b", "d_a", "d_b", "ratio")])
+
+
+def _dist(y1, x1, y2, x2):
+    return f"sqrt(pow(({x2} - {x1}) * cos(radians(({y1} + {y2}) / 2)) * 111320, 2) + pow(({y2} - {y1}) * 111320, 2))"
+
+
+def _head(y1, x1, y2, x2):
+    return f"((degrees(atan2(({x2} - {x1}) * cos(radians(({y1} + {y2}) / 2)) * 111320, ({y2} - {y1}) * 111320))) + 360) % 360"
+
+
+def _turn(a, b):
+    return f"least(fmod(abs({a} - {b}), 180), 180 - fmod(abs({a} - {b}), 180))"
+
+
+_ALIAS = " OR ".join(f"(highway = '{k}' AND base IN ({', '.join(repr(x) for x in v)}))" for k, v in annotate.ALIASES.items())
+
+
+def sql_candidates(ways: str = "") -> str:
+    """Oracle: p (way points), w, f (feature entries) and cand (way, entry, segment with measures and the first guard that rejects it)."""
+    return f"""p AS ({_LOCAL.format(orders='orders')}), w AS (SELECT DISTINCT k AS way_id, {pick('k', KINDS)} AS highway, {pick('k * 3', ['a', '', 'b'])} AS name, k % 11 = 0 AS is_bridge, k % 13 = 0 AS is_tunnel FROM p {ways}),
+fp AS (SELECT k, entry, CASE WHEN k % 2 = 1 THEN 3 - i ELSE i END AS i, lat + (k % 5) * 0.00002::DOUBLE + CASE WHEN entry = 1 THEN -0.00001::DOUBLE ELSE 0 END AS lat, lon - (k % 3) * 0.00001::DOUBLE AS lon FROM p, (VALUES (0), (1)) AS e(entry) WHERE entry = 0 OR k % 3 = 0),
+f AS (SELECT DISTINCT k, entry, k + 1000000 AS feature_id, {pick('k', KINDS[:3] + ['path', 'cycleway'] + BASES)} AS base, {pick('k + entry', ['a', 'b', ''])} AS f_name, k % 22 = 0 AS f_bridge, k % 13 = 0 AS f_tunnel FROM fp),
+wc AS (SELECT DISTINCT k, floor(lat / {annotate.CELL!r}::DOUBLE)::BIGINT AS cy, floor(lon / {annotate.CELL!r}::DOUBLE)::BIGINT AS cx FROM p WHERE k IN (SELECT way_id FROM w)), fc AS (SELECT DISTINCT k, floor(lat / {annotate.CELL!r}::DOUBLE)::BIGINT AS cy, floor(lon / {annotate.CELL!r}::DOUBLE)::BIGINT AS cx FROM fp),
+near AS (SELECT DISTINCT wc.k AS way_id, fc.k AS fk FROM wc JOIN (SELECT unnest(range(-2, 3)) AS dy) ON true JOIN (SELECT unnest(range(-2, 3)) AS dx) ON true JOIN fc ON fc.cy = wc.cy + dy AND fc.cx = wc.cx + dx),
+wl AS (SELECT k AS way_id, i, lat AS y1, lon AS x1, lead(lat) OVER o AS y2, lead(lon) OVER o AS x2 FROM p WINDOW o AS (PARTITION BY k ORDER BY i)), wm AS (SELECT *, {_dist('y1', 'x1', 'y2', 'x2')} AS m FROM wl WHERE y2 IS NOT NULL),
+wa AS (SELECT *, sum(m) OVER (PARTITION BY way_id ORDER BY i) - m AS before FROM wm), wt AS (SELECT way_id, sum(m) AS way_m FROM wm GROUP BY 1), we AS (SELECT k AS way_id, arg_min(lat, i) AS wy1, arg_min(lon, i) AS wx1, arg_max(lat, i) AS wy2, arg_max(lon, i) AS wx2 FROM p GROUP BY 1),
+fl AS (SELECT k, entry, i AS segment, lat AS ay, lon AS ax, lead(lat) OVER o AS bmy, lead(lon) OVER o AS bmx FROM fp WINDOW o AS (PARTITION BY k, entry ORDER BY i)), fs AS (SELECT * FROM fl WHERE bmy IS NOT NULL),
+spots AS (SELECT k, entry, segment, unnest(['a', 'b', 'm']) AS what, unnest([ay, bmy, (ay + bmy) / 2]) AS py, unnest([ax, bmx, (ax + bmx) / 2]) AS px FROM fs),
+plane AS (SELECT near.way_id, s.k, s.entry, s.segment, what, i, m, before, {_head('y1', 'x1', 'y2', 'x2')} AS leg_head, (px - x1) * sx AS apx, (py - y1) * 111320 AS apy, (x2 - x1) * sx AS abx, (y2 - y1) * 111320 AS aby FROM near JOIN spots s ON s.k = near.fk JOIN (SELECT * FROM wa) l ON l.way_id = near.way_id, LATERAL (SELECT cos(radians((py + y1 + y2) / 3)) * 111320 AS sx)),
+foot AS (SELECT *, CASE WHEN abx * abx + aby * aby > 0 THEN greatest(0.0::DOUBLE, least(1.0::DOUBLE, (apx * abx + apy * aby) / (abx * abx + aby * aby))) ELSE 0 END AS tt FROM plane),
+hit AS (SELECT way_id, k, entry, segment, what, arg_min({{'d': d, 'along': before + tt * m, 'head': leg_head}}, (d, i)) AS h FROM (SELECT *, sqrt(pow(apx - tt * abx, 2) + pow(apy - tt * aby, 2)) AS d FROM foot) GROUP BY ALL),
+wide AS (SELECT way_id, k, entry, segment, any_value(h) FILTER (what = 'a') AS ha, any_value(h) FILTER (what = 'b') AS hb, any_value(h) FILTER (what = 'm') AS hm FROM hit GROUP BY ALL),
+meas AS (SELECT wide.*, w.*, f.feature_id, base, f_name, f_bridge, f_tunnel, way_m, {_dist('ay', 'ax', 'bmy', 'bmx')} AS seg_m, {_head('ay', 'ax', 'bmy', 'bmx')} AS own, {_dist('wy1', 'wx1', 'wy2', 'wx2')} AS chord_m, {_head('wy1', 'wx1', 'wy2', 'wx2')} AS chord
+  FROM wide JOIN w USING (way_id) JOIN f ON f.k = wide.k AND f.entry = wide.entry JOIN fs ON fs.k = wide.k AND fs.entry = wide.entry AND fs.segment = wide.segment JOIN wt USING (way_id) JOIN we USING (way_id)),
+rated AS (SELECT *, abs(ha.along - hb.along) / greatest(least(seg_m, way_m), 0.5) AS ratio, coalesce(name <> '' AND f_name <> '' AND name <> f_name, false)::INT AS mismatch, (ha.d + hb.d) / 2 AS mean_m FROM meas),
+cand AS (SELECT *, CASE WHEN NOT (highway = base OR {_ALIAS} OR starts_with(base, highway || '-') OR starts_with(highway, base || '-')) THEN 'class_incompatible' WHEN is_bridge AND NOT f_bridge THEN 'bridge_layer' WHEN is_tunnel AND NOT f_tunnel THEN 'tunnel_layer'
+  WHEN NOT is_bridge AND NOT is_tunnel AND f_bridge THEN 'nonbridge_to_bridge' WHEN NOT is_bridge AND NOT is_tunnel AND f_tunnel THEN 'nontunnel_to_tunnel' WHEN ha.d > 8 OR hb.d > 8 THEN 'too_far'
+  WHEN seg_m >= 0.5 AND ratio < CASE WHEN way_m <= 40 THEN 0.5 ELSE 0.7 END THEN 'overlap' WHEN NOT ((is_bridge AND f_bridge) OR (is_tunnel AND f_tunnel)) AND seg_m >= 2 AND NOT ({_turn('own', 'hm.head')} <= 45 OR (chord_m >= 0.5 AND {_turn('own', 'chord')} <= 45)) THEN 'bearing' END AS reject FROM rated)"""
+
+
+_KEPT = """best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY way_id, feature_id, segment ORDER BY mismatch, mean_m, seg_m) AS r FROM cand WHERE reject IS NULL) WHERE r = 1),
+score AS (SELECT way_id, feature_id, count(*) FILTER (seg_m >= 0.5) AS n_long, count(*) AS n, round(sum(seg_m), 6) AS m FROM best GROUP BY 1, 2), prim AS (SELECT way_id, arg_max(feature_id, (n_long, n, m, -feature_id)) AS prim FROM score GROUP BY 1),
+kept AS (SELECT feature_id, segment, max(way_id) AS way_id, count(*) AS claims, arg_max(round(mean_m, 4), way_id) AS mean_m, arg_max(mismatch, way_id) AS mismatch FROM best JOIN prim USING (way_id) WHERE feature_id = prim OR seg_m >= 2 GROUP BY 1, 2)"""
+O_J12 = f"WITH x7 AS ({t.O_X7}), {sql_candidates('WHERE k IN (SELECT way_id FROM x7 WHERE way_class = ' + repr('numeric') + ')')}, {_KEPT} SELECT feature_id, segment::INT AS segment, way_id, claims, mean_m, mismatch, max_height_cm, max_width_cm, max_length_cm, max_weight_10kg, max_axleload_10kg, max_bogie_10kg FROM kept JOIN x7 USING (way_id)"
+O_A14 = f"""WITH x7 AS ({t.O_X7}), {sql_candidates('WHERE k IN (SELECT way_id FROM x7 WHERE way_class = ' + repr('numeric') + ')')}, {_KEPT} SELECT coalesce(reject, 'accepted') AS item, count(*) AS n FROM cand GROUP BY 1
+UNION ALL SELECT CASE WHEN way_id IN (SELECT way_id FROM cand WHERE reject IS NULL) THEN 'ways_matched' ELSE 'ways_unmatched' END, count(*) FROM w GROUP BY 1 UNION ALL SELECT 'rows', count(*) FROM kept"""
+O_M4 = f"""WITH {sql_candidates()} SELECT way_id, feature_id, segment::INT AS segment, round(sum(ha.along), 3) AS along_a, round(sum(hb.along), 3) AS along_b, round(sum(ha.d), 3) AS d_a, round(sum(hb.d), 3) AS d_b, round(sum(ratio), 3) AS ratio FROM cand GROUP BY 1, 2, 3"""
+
+
 def triangles(spark, sf) -> DataFrame:
     """A soft or hard triangle beside every third order's way."""
     k = "59 + (k % 800) * 0.004e0 + floor(k / 800.0e0) * 0.00015e0"
@@ -261,7 +328,7 @@ def r2_stream_windows(spark, sf):
 O_R2S = "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 DAY FROM events) GROUP BY 1, 2"
 
 PAIRS = [
-    (j12_w5_w7_limit_matching, None), (a14_match_report, None), (j8_a8_wet_segments, O_J8), (j4_ferry_inheritance, O_J4), (j36_j38_poi_and_buildings, O_J36), (j37_w17_ring_assembly, O_J37), (f33_key_extract, O_F33), (i2_batch_paths, None), (i3_boarding, None),
+    (j12_w5_w7_limit_matching, O_J12), (a14_match_report, O_A14), (m4_m5_projections, O_M4), (j8_a8_wet_segments, O_J8), (j4_ferry_inheritance, O_J4), (j36_j38_poi_and_buildings, O_J36), (j37_w17_ring_assembly, O_J37), (f33_key_extract, O_F33), (i2_batch_paths, None), (i3_boarding, None),
     (r4_stream_changed_content, O_R4S), (r5_stream_failure_runs, O_R5S), (r1_stream_changelog, lifecycle.O_R1), (r2_stream_windows, O_R2S),
 ]
 QUERIES = {f.__name__: f for f, _ in PAIRS}
