@@ -43,7 +43,7 @@ CLASS_BITS, WORD_BITS = 18, 44
 CLASSES = 1 << CLASS_BITS
 PRIOR = 20.0
 HOT = 1 << 12
-BLOCK_WORDS = 1 << 19
+BLOCK_WORDS = 1 << 18
 BLOCK_DOCS = 1 << 14  # places in a block fit two bytes
 TARGET_IDS = 1 << 22  # as many target ids are broadcast; more are joined by sort-merge
 
@@ -178,7 +178,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     stats = statistics(rows)
     all_words = tuple(x or 0 for x in stats.filter("kind = 0").agg(F.sum("n"), F.sum("t")).first())
     shared = spark.sparkContext.broadcast(hot_gains(rows, stats, all_words))
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # smaller than usual: a pair unfolds to a wide row
+    buckets = 4 * parts
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row a document (key -1) with its words and what its hot pairs gain; then arrays of the other pairs by bucket."""
@@ -210,7 +211,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
             )
 
     schema = f"bucket int, base long, doc_id {kind}, n_words long, known double, key array<long>, place array<smallint>, packed array<int>"
-    sent = rows.mapInArrow(send, schema).repartition("bucket")
+    sent = rows.mapInArrow(send, schema).repartition(parts, "bucket")
     each = sent.select("bucket", "base", "doc_id", "n_words", "known", F.inline(F.arrays_zip("key", "place", "packed")))
     each = each.select("bucket", "key", (F.col("base") + F.col("place")).alias("row"), "packed", "doc_id", "n_words", "known")
     pair = Window.partitionBy("bucket", "key")  # a bucket is a function of the key: no second exchange
