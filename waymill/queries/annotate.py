@@ -139,8 +139,11 @@ def j8_a8_wet_segments(spark, sf):
     s = legs.select("way_id", "segment", c("l.a.lat").alias("lat1"), c("l.a.lon").alias("lon1"), c("l.b.lat").alias("lat2"), c("l.b.lon").alias("lon2"))
     wet = annotate.wet_segments(s, triangles(spark, sf))
     length = legs.select("way_id", "segment", annotate.step_m(c("l.a"), c("l.b")).alias("m"))
-    kind = F.when(c("class").isNull(), "dry").when(c("way_id") % 17 == 0, "boardwalk").when(c("class") == 1, "soft").otherwise("hard")
-    return length.join(wet, ["way_id", "segment"], "left").groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("m"), 2).alias("metres"))
+    planks = view(spark, sf, "v_ways").select("way_id", tags.boardwalk(c("bridge"), c("surface")).alias("planks"))
+    kind = F.when(c("class").isNull(), "dry").when(c("planks"), "boardwalk").when(c("class") == 1, "soft").otherwise("hard")
+    every = length.join(planks, "way_id").join(wet, ["way_id", "segment"], "left").groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum("m").alias("m"))
+    total = F.sum("m").over(Window.partitionBy())  # four rows
+    return every.select("kind", "n", F.round("m", 2).alias("metres"), F.when(total > 0, F.round(c("m") / total, 6)).otherwise(0.0).alias("share"))
 
 
 _P = _LOCAL.format(orders="orders")
@@ -162,27 +165,40 @@ def _cross(i):
     return f"({_cr(a, b, p)} * {_cr(a, b, q)} < 0 AND {_cr(p, q, a)} * {_cr(p, q, b)} < 0)"
 
 
-O_J8 = f"""WITH p AS ({_P}), s AS (SELECT k, i, lat AS lat1, lon AS lon1, lead(lat) OVER w AS lat2, lead(lon) OVER w AS lon2 FROM p WINDOW w AS (PARTITION BY k ORDER BY i)), l AS (SELECT *, sqrt(pow((lon2 - lon1) * cos(radians((lat1 + lat2) / 2)) * 111320, 2) + pow((lat2 - lat1) * 111320, 2)) AS m FROM s WHERE lat2 IS NOT NULL),
-t AS ({_TRI}), h AS (SELECT k, i, max(class) AS class FROM l JOIN t ON x0 < greatest(lon1, lon2) + 0.001 AND x2 > least(lon1, lon2) - 0.001 AND abs(y0 - lat1) < 0.01 WHERE {_in(('lon1', 'lat1'))} OR {_in(('lon2', 'lat2'))} OR {_in(('((lon1 + lon2) / 2)', '((lat1 + lat2) / 2)'))} OR {_cross(0)} OR {_cross(1)} OR {_cross(2)} GROUP BY 1, 2)
-SELECT CASE WHEN class IS NULL THEN 'dry' WHEN k % 17 = 0 THEN 'boardwalk' WHEN class = 1 THEN 'soft' ELSE 'hard' END AS kind, count(*) AS n, round(sum(m), 2) AS metres FROM l LEFT JOIN h USING (k, i) GROUP BY 1"""
+O_J8 = with_views("v_ways") + f""" p AS ({_P}), s AS (SELECT k, i, lat AS lat1, lon AS lon1, lead(lat) OVER w AS lat2, lead(lon) OVER w AS lon2 FROM p WINDOW w AS (PARTITION BY k ORDER BY i)), l AS (SELECT *, sqrt(pow((lon2 - lon1) * cos(radians((lat1 + lat2) / 2)) * 111320, 2) + pow((lat2 - lat1) * 111320, 2)) AS m FROM s WHERE lat2 IS NOT NULL),
+t AS ({_TRI}), h AS (SELECT k, i, max(class) AS class FROM l JOIN t ON x0 < greatest(lon1, lon2) + 0.001 AND x2 > least(lon1, lon2) - 0.001 AND abs(y0 - lat1) < 0.01 WHERE {_in(('lon1', 'lat1'))} OR {_in(('lon2', 'lat2'))} OR {_in(('((lon1 + lon2) / 2)', '((lat1 + lat2) / 2)'))} OR {_cross(0)} OR {_cross(1)} OR {_cross(2)} GROUP BY 1, 2),
+q AS (SELECT CASE WHEN class IS NULL THEN 'dry' WHEN coalesce(lower(bridge) = 'boardwalk', false) OR coalesce(surface = 'wood', false) THEN 'boardwalk' WHEN class = 1 THEN 'soft' ELSE 'hard' END AS kind, m FROM l JOIN v_ways ON way_id = k LEFT JOIN h USING (k, i))
+SELECT kind, count(*) AS n, round(sum(m), 2) AS metres, round(sum(m) / sum(sum(m)) OVER (), 6) AS share FROM q GROUP BY 1"""
+
+
+def shrunk(nodes: DataFrame, by: float) -> DataFrame:
+    """The map drawn smaller, so that limits in metres are met on its wide legs."""
+    return nodes.withColumns({"lat": 59 + (c("lat") - 59) / by, "lon": 10 + (c("lon") - 10) / by})
+
+
+MAX_STOPS, MAX_INHERIT_M = 6, 150_000.0
+_FERRY_REL = f"""SELECT o_custkey AS relation_id, o_orderkey AS way_id, {pick('o_custkey * 3', ['ferry', 'ferry', None, 'ferry'])} AS route, {pick('o_custkey * 5', ['yes', None, 'no', 'designated'])} AS motorcar, {pick('o_orderkey * 7', ['stop', None, 'platform', '', 'Harbour', 'outer', 'forward_stop', 'halt'])} AS node_role FROM {{orders}}"""
 
 
 def j4_ferry_inheritance(spark, sf):
-    """Ferry ways that inherit car access from a relation (customer) with at most six ways and 15,000 km in all."""
+    """Ferry ways that inherit car access from a car ferry relation (customer): at most six stops, 150 km in all and 150 km a way."""
     ways, refs, nodes = g.parts(spark, sf)
-    rel = table(spark, sf, "orders").select(c("o_custkey").alias("relation_id"), c("o_orderkey").alias("way_id"))
-    at = plan.resolved(refs, nodes)
+    ferry = ways.filter(tags.is_ferry(c("route"), c("highway"), c("ferry"))).select("way_id")
+    rel = spark.sql(_FERRY_REL, orders=table(spark, sf, "orders")).filter("route = 'ferry' and motorcar in ('yes', 'designated')")
+    role = tags.clean(c("node_role"))
+    stop = F.coalesce(role.contains("stop") | role.isin("platform", "terminal", "harbour", "harbor", "port", "halt"), F.lit(False))
+    at = plan.resolved(refs.join(ferry, "way_id", "left_semi"), shrunk(nodes, 4.0))
     order = Window.partitionBy("way_id").orderBy("pos")
     length = at.withColumn("d", geo.haversine(c("lat"), c("lon"), F.lead("lat").over(order), F.lead("lon").over(order), geo.TOOL_RADIUS)).groupBy("way_id").agg(F.coalesce(F.sum("d"), F.lit(0.0)).alias("m"))
-    members = rel.join(length, "way_id", "left").withColumn("m", F.coalesce("m", F.lit(0.0)))
-    good = members.groupBy("relation_id").agg(F.count(F.lit(1)).alias("n"), F.sum("m").alias("total")).filter("n <= 6 and total <= 15000000")
-    ferry = ways.filter(tags.is_ferry(c("route"), c("highway"), c("ferry"))).select("way_id")
-    return members.filter("m <= 1500000").join(good, "relation_id", "left_semi").join(ferry, "way_id", "left_semi").select("way_id", F.round("m", 2).alias("m"))
+    members = rel.select("relation_id", "way_id", stop.alias("stop")).join(length, "way_id", "left").withColumn("own_m", F.coalesce("m", F.lit(0.0)))
+    good = members.groupBy("relation_id").agg(F.count_if("stop").alias("stops"), F.sum("own_m").alias("total")).filter((c("stops") <= MAX_STOPS) & (c("total") <= MAX_INHERIT_M))
+    return members.filter((c("own_m") <= MAX_INHERIT_M) & c("m").isNotNull()).join(good, "relation_id", "left_semi").select("way_id", F.round("own_m", 2).alias("m")).distinct()
 
 
-O_J4 = with_views("v_ways", "v_way_nodes", "v_nodes") + f""" s AS (SELECT way_id, {g.hav('lat', 'lon', 'nlat', 'nlon', '6371000.0::DOUBLE')} AS d FROM (SELECT way_id, lat, lon, lead(lat) OVER w AS nlat, lead(lon) OVER w AS nlon FROM v_way_nodes JOIN v_nodes USING (node_id) WINDOW w AS (PARTITION BY way_id ORDER BY pos))),
-l AS (SELECT way_id, coalesce(sum(d), 0) AS m FROM s GROUP BY 1), b AS (SELECT o_custkey AS r, o_orderkey AS way_id, coalesce(m, 0) AS m FROM orders LEFT JOIN l ON l.way_id = o_orderkey), k AS (SELECT r FROM b GROUP BY 1 HAVING count(*) <= 6 AND sum(m) <= 15000000)
-SELECT way_id, round(m, 2) AS m FROM b JOIN v_ways USING (way_id) WHERE m <= 1500000 AND r IN (SELECT r FROM k) AND {t.SQL_FERRY}"""
+O_J4 = with_views("v_ways", "v_way_nodes", "v_nodes") + f""" s AS (SELECT way_id, {g.hav('lat', 'lon', 'nlat', 'nlon', '6371000.0::DOUBLE')} AS d FROM (SELECT way_id, lat, lon, lead(lat) OVER w AS nlat, lead(lon) OVER w AS nlon FROM (SELECT way_id, pos, 59 + (lat - 59) / 4.0::DOUBLE AS lat, 10 + (lon - 10) / 4.0::DOUBLE AS lon FROM v_way_nodes JOIN v_nodes USING (node_id)) WINDOW w AS (PARTITION BY way_id ORDER BY pos))),
+l AS (SELECT way_id, coalesce(sum(d), 0) AS m FROM s WHERE way_id IN (SELECT way_id FROM v_ways WHERE {t.SQL_FERRY}) GROUP BY 1), b AS (SELECT relation_id, r.way_id, m, node_role FROM ({_FERRY_REL.format(orders='orders')}) r LEFT JOIN l ON l.way_id = r.way_id WHERE route = 'ferry' AND motorcar IN ('yes', 'designated')),
+k AS (SELECT relation_id FROM b GROUP BY 1 HAVING count(*) FILTER (node_role IN ('stop', 'platform', 'Harbour', 'forward_stop', 'halt')) <= 6 AND coalesce(sum(m), 0) <= 150000)
+SELECT DISTINCT way_id, round(m, 2) AS m FROM b WHERE m <= 150000 AND relation_id IN (SELECT relation_id FROM k)"""
 
 
 def j36_j38_poi_and_buildings(spark, sf):
@@ -273,8 +289,9 @@ def i2_batch_paths(spark, sf):
 
 
 def i3_boarding(spark, sf):
-    """Boarding ways promoted from ferry ends (chain limit raised to 200 km for these wide views)."""
+    """Boarding ways promoted from ferry ends by chains of at most 500 m, on the map drawn 300 times smaller."""
     ways, refs, nodes = g.parts(spark, sf)
+    nodes = shrunk(nodes, 300.0)
     ferry = tags.is_ferry(c("route"), c("highway"), c("ferry"))
     order = Window.partitionBy("way_id").orderBy("pos")
     at = plan.resolved(refs, nodes)
@@ -285,7 +302,7 @@ def i3_boarding(spark, sf):
     ends = refs.join(ways.filter(ferry & car).select("way_id"), "way_id").groupBy("way_id").agg(F.min_by("node_id", "pos").alias("p"), F.max_by("node_id", "pos").alias("q")).select(F.explode(F.array("p", "q")).alias("node"))
     uses = plan.junctions(refs.join(road, "way_id", "left_semi")).select("node_id", (c("uses") > 1).alias("j"))
     roads = step.join(road, "way_id", "left_semi").join(uses.select(c("node_id").alias("a"), c("j").alias("junction_a")), "a").join(uses.select(c("node_id").alias("b"), c("j").alias("junction_b")), "b")
-    return routing.boarding_ways(step.join(board, "way_id", "left_semi"), ends, roads, 200_000.0)
+    return routing.boarding_ways(step.join(board, "way_id", "left_semi"), ends, roads, 500.0)
 
 
 def r4_stream_changed_content(spark, sf):

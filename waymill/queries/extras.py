@@ -11,7 +11,7 @@ from waymill.operators import cells
 from waymill.operators.shared import shared_path, table
 from waymill.plans import graph as plan
 from waymill.queries import graph as g
-from waymill.queries import spatial
+from waymill.queries import annotate, lifecycle, records, spatial
 from waymill.queries import tag_rules as t
 from waymill.queries.views import pick, view, with_views
 from waymill.sources.raster import decode_grids
@@ -62,10 +62,15 @@ O_S16 = "SELECT (p_partkey // 36)::VARCHAR AS path, 36::BIGINT AS posts, 36 - co
 
 
 def k2_k10_layer_sinks(spark, sf):
-    """POI, segment, ring and stub layers under one generation, read back by layer."""
+    """POI, segment, ring, building and stub layers under one generation, read back by layer; stubs are named places, outlines and routes."""
     path = shared_path(spark, "layers")
-    n = view(spark, sf, "v_nodes")
-    layers = {"pois": view(spark, sf, "v_pois").select("poi_id"), "rings": view(spark, sf, "v_ring_points"), "buildings": n.filter("building is not null").select("node_id"), "stubs": n.filter("name is not null").select("node_id", "name")}
+    rings = view(spark, sf, "v_ring_points")
+    after = Window.partitionBy("region_id").orderBy("vertex")
+    first = F.first(F.struct("lat", "lon")).over(after)
+    sides = rings.select("region_id", "vertex", "lat", "lon", F.coalesce(F.lead(F.struct("lat", "lon")).over(after), first).alias("to"))
+    stub = lambda rows, kind, key: rows.select(F.lit(kind).alias("kind"), c(key).cast("string").alias("key")).distinct()
+    stubs = stub(records.x15_t8_search_stubs(spark, sf), "name", "name").unionByName(stub(t10_admin_outlines(spark, sf), "outline", "way_id")).unionByName(stub(records.f20_x16_t11_named_routes(spark, sf), "route", "id"))
+    layers = {"pois": view(spark, sf, "v_pois").select("poi_id"), "segments": sides, "rings": rings, "buildings": view(spark, sf, "v_nodes").filter("building is not null").select("node_id"), "stubs": stubs}
     for name, rows in layers.items():
         rows.write.parquet(f"{path}/generation=1/layer={name}")
     counts = [spark.read.parquet(f"{path}/generation=1/layer={name}").agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n")) for name in layers]
@@ -75,7 +80,9 @@ def k2_k10_layer_sinks(spark, sf):
     return out
 
 
-O_K2 = with_views("v_nodes", "v_pois", "v_ring_points") + " x AS (SELECT 1) SELECT 'pois' AS layer, count(*) AS n FROM v_pois UNION ALL SELECT 'rings', count(*) FROM v_ring_points UNION ALL SELECT 'buildings', count(*) FROM v_nodes WHERE building IS NOT NULL UNION ALL SELECT 'stubs', count(*) FROM v_nodes WHERE name IS NOT NULL"
+def o_k2() -> str:
+    stubs = f"SELECT 'name' AS kind, name AS key FROM ({records.O_X15}) UNION SELECT 'outline', way_id::VARCHAR FROM ({O_T10}) UNION SELECT 'route', id::VARCHAR FROM ({records.O_F20})"
+    return with_views("v_nodes", "v_pois", "v_ring_points") + f" x AS (SELECT 1) SELECT 'pois' AS layer, count(*) AS n FROM v_pois UNION ALL SELECT 'segments', count(*) FROM v_ring_points UNION ALL SELECT 'rings', count(*) FROM v_ring_points UNION ALL SELECT 'buildings', count(*) FROM v_nodes WHERE building IS NOT NULL UNION ALL SELECT 'stubs', count(*) FROM ({stubs})"
 
 
 def k11_publish_projection(spark, sf):
@@ -111,17 +118,27 @@ def x27_stop_roles(spark, sf):
 O_X27 = "SELECT l_orderkey AS relation_id, count(*) FILTER (l_partkey % 8 IN (0, 1, 3, 4, 7)) AS stops FROM lineitem GROUP BY 1"
 
 
+MAX_TILES, WIDEST = 256, 90.0
+
+
 def m26_tile_grid(spark, sf):
-    """Tiles of each region: about one degree, grown until at most 256."""
-    r = view(spark, sf, "v_regions")
-    cell = F.greatest(F.lit(1.0), F.sqrt((c("max_lat") - c("min_lat")) * (c("max_lon") - c("min_lon")) / 256))
-    rows, cols = F.ceil((c("max_lat") - c("min_lat")) / cell), F.ceil((c("max_lon") - c("min_lon")) / cell)
-    tiles = r.select("region_id", F.explode(F.sequence(F.lit(0), rows - 1)).alias("row"), cols.alias("cols")).select("region_id", "row", F.explode(F.sequence(F.lit(0), c("cols") - 1)).alias("col"))
-    return tiles.groupBy("region_id").agg(F.count(F.lit(1)).alias("n"), F.max("row").alias("last_row"), F.max("col").alias("last_col"))
+    """Tiles of each region (its box drawn 20 times larger): cells of a degree, grown step by step until at most 256 or over 90 degrees wide."""
+    r = view(spark, sf, "v_regions").withColumns({"tall": (c("max_lat") - c("min_lat")) * 20, "wide": (c("max_lon") - c("min_lon")) * 20})
+    rows = lambda cell: F.greatest(F.ceil(c("tall") / cell), F.lit(1))
+    cols = lambda cell: F.greatest(F.ceil(c("wide") / cell), F.lit(1))
+    tiles = lambda cell: rows(cell) * cols(cell)
+    grown = lambda cell, _: F.when((tiles(cell) > MAX_TILES) & (cell <= WIDEST), cell * F.greatest(F.sqrt(tiles(cell) / MAX_TILES), F.lit(1.05))).otherwise(cell)
+    r = r.withColumn("cell", F.aggregate(F.sequence(F.lit(1), F.lit(93)), F.lit(1.0), grown))  # 1.05 ** 93 > 90
+    needed = (c("tall") > 1.25) | (c("wide") > 1.25) | (c("tall") * c("wide") > 2.0)
+    grid = r.select("region_id", "cell", needed.alias("tiled"), rows(c("cell")).alias("rows"), cols(c("cell")).alias("cols"))
+    each = grid.select("*", F.explode(F.sequence(F.lit(0), c("rows") - 1)).alias("row")).select("*", F.explode(F.sequence(F.lit(0), c("cols") - 1)).alias("col"))
+    return each.groupBy("region_id", "tiled").agg(F.count(F.lit(1)).alias("n"), F.max("row").alias("last_row"), F.max("col").alias("last_col"), F.round(F.max("cell"), 6).alias("cell"))
 
 
-O_M26 = with_views("v_regions") + """ s AS (SELECT region_id, ceil((max_lat - min_lat) / greatest(1.0::DOUBLE, sqrt((max_lat - min_lat) * (max_lon - min_lon) / 256)))::BIGINT AS r, ceil((max_lon - min_lon) / greatest(1.0::DOUBLE, sqrt((max_lat - min_lat) * (max_lon - min_lon) / 256)))::BIGINT AS k FROM v_regions)
-SELECT region_id, r * k AS n, r - 1 AS last_row, k - 1 AS last_col FROM s"""
+O_M26 = with_views("v_regions").replace("WITH ", "WITH RECURSIVE ", 1) + """ g AS (SELECT region_id, 0 AS i, 1.0::DOUBLE AS cell, (max_lat - min_lat) * 20 AS tall, (max_lon - min_lon) * 20 AS wide FROM v_regions
+UNION ALL SELECT region_id, i + 1, cell * greatest(sqrt(greatest(ceil(tall / cell), 1) * greatest(ceil(wide / cell), 1) / 256), 1.05), tall, wide FROM g WHERE greatest(ceil(tall / cell), 1) * greatest(ceil(wide / cell), 1) > 256 AND cell <= 90),
+l AS (SELECT region_id, arg_max(cell, i) AS cell, any_value(tall) AS tall, any_value(wide) AS wide FROM g GROUP BY 1), s AS (SELECT *, greatest(ceil(tall / cell), 1)::BIGINT AS r, greatest(ceil(wide / cell), 1)::BIGINT AS k FROM l)
+SELECT region_id, tall > 1.25 OR wide > 1.25 OR tall * wide > 2 AS tiled, r * k AS n, r - 1 AS last_row, k - 1 AS last_col, round(cell, 6) AS cell FROM s"""
 
 
 def j9_segments_in_rings(spark, sf):
@@ -136,14 +153,14 @@ SELECT way_id, min(region_id) AS ring, count(DISTINCT region_id) AS n FROM u JOI
 
 
 def j11_ambiguous_lookup(spark, sf):
-    """Way ids to feature ids: one, several (flagged) or none."""
+    """Way ids to feature ids: the feature where there is one, flagged where several, listed where none."""
     l = table(spark, sf, "lineitem").select(c("l_orderkey").alias("way_id"), (c("l_partkey") % 40).alias("feature_id")).distinct().filter("feature_id < 25")
     w = table(spark, sf, "orders").select(c("o_orderkey").alias("way_id"))
-    n = w.join(l, "way_id", "left").groupBy("way_id").agg(F.count("feature_id").alias("k"))
-    return n.groupBy(F.when(c("k") == 0, "none").when(c("k") == 1, "one").otherwise("ambiguous").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    n = w.join(l, "way_id", "left").groupBy("way_id").agg(F.count("feature_id").alias("k"), F.min("feature_id").alias("least"))
+    return n.select("way_id", F.when(c("k") == 0, "none").when(c("k") == 1, "one").otherwise("ambiguous").alias("kind"), F.when(c("k") == 1, c("least")).alias("feature_id"), c("k").alias("n"))
 
 
-O_J11 = "WITH l AS (SELECT DISTINCT l_orderkey, l_partkey % 40 AS f FROM lineitem WHERE l_partkey % 40 < 25), k AS (SELECT o_orderkey, count(f) AS k FROM orders LEFT JOIN l ON l_orderkey = o_orderkey GROUP BY 1) SELECT CASE WHEN k = 0 THEN 'none' WHEN k = 1 THEN 'one' ELSE 'ambiguous' END AS kind, count(*) AS n FROM k GROUP BY 1"
+O_J11 = "WITH l AS (SELECT DISTINCT l_orderkey, l_partkey % 40 AS f FROM lineitem WHERE l_partkey % 40 < 25) SELECT o_orderkey AS way_id, CASE count(f) WHEN 0 THEN 'none' WHEN 1 THEN 'one' ELSE 'ambiguous' END AS kind, CASE count(f) WHEN 1 THEN min(f) END AS feature_id, count(f) AS n FROM orders LEFT JOIN l ON l_orderkey = o_orderkey GROUP BY 1"
 
 
 def j27_superroute_chain(spark, sf):
@@ -247,6 +264,77 @@ def g6_leaf_set(spark, sf):
 
 O_G6 = "WITH w AS (SELECT DISTINCT c_custkey % 70 AS leaf, true AS w FROM customer), h AS (SELECT DISTINCT o_orderkey % 50 + 10 AS leaf, true AS h FROM orders) SELECT CASE WHEN w IS NULL THEN 'leftover' WHEN h IS NULL THEN 'missing' ELSE 'ok' END AS state, count(*) AS n, sum(leaf)::BIGINT AS ids FROM w FULL JOIN h USING (leaf) GROUP BY 1"
 
+def g6_adjacency_warnings(spark, sf):
+    """Missing regions beside ones that are there, by touching boxes: a hole in the set rather than its edge."""
+    pairs = spatial.j31_f16_adjacent_boxes(spark, sf).select("a_id", "b_id")
+    both = pairs.unionByName(pairs.select(c("b_id").alias("a_id"), c("a_id").alias("b_id")))
+    have = table(spark, sf, "customer").select((c("c_custkey") * 7 % 17).cast("int").alias("a_id")).distinct()
+    gone = view(spark, sf, "v_regions").select(c("region_id").cast("int").alias("b_id")).join(have.select(c("a_id").alias("b_id")), "b_id", "left_anti")
+    return both.join(have, "a_id", "left_semi").join(gone, "b_id", "left_semi").groupBy(c("b_id").alias("missing_id")).agg(F.count(F.lit(1)).alias("n_present"), F.min("a_id").alias("beside"))
+
+
+O_G6W = f"""WITH pr AS ({spatial.O_J31}), b AS (SELECT a_id, b_id FROM pr UNION ALL SELECT b_id, a_id FROM pr), h AS (SELECT DISTINCT (c_custkey * 7 % 17)::INT AS id FROM customer)
+SELECT b_id AS missing_id, count(*) AS n_present, min(a_id) AS beside FROM b WHERE a_id IN (SELECT id FROM h) AND b_id NOT IN (SELECT id FROM h) GROUP BY 1"""
+
+
+def f27_class_compatibility(spark, sf):
+    """Pairs of road class and feature class, by name, alias or prefix."""
+    w, f = annotate.local_ways(spark, sf), annotate.local_features(spark, sf)
+    pairs = w.join(f.select((c("feature_id") - 1_000_000 + 1).alias("way_id"), "base"), "way_id").select("highway", "base")
+    return pairs.groupBy("highway", "base").agg(F.count(F.lit(1)).alias("n")).withColumn("ok", annotate.annotate.compatible(c("highway"), c("base")))
+
+
+_BASES = annotate.KINDS[:3] + ["path", "cycleway"] + annotate.BASES
+O_F27 = f"""WITH f AS (SELECT o_orderkey + 1 AS way_id, {pick('o_orderkey', _BASES)} AS base FROM orders UNION ALL SELECT o_orderkey + 1, {pick('o_orderkey', _BASES)} FROM orders WHERE o_orderkey % 3 = 0), w AS (SELECT o_orderkey AS way_id, {pick('o_orderkey', annotate.KINDS)} AS highway FROM orders)
+SELECT highway, base, count(*) AS n, highway = base OR {annotate._ALIAS} OR starts_with(base, highway || '-') OR starts_with(highway, base || '-') AS ok FROM w JOIN f USING (way_id) GROUP BY 1, 2"""
+
+
+def j39_flagged_midpoints(spark, sf):
+    """Middles of the feature segments that are flagged as boardwalk, by a semi join on (feature, segment)."""
+    f = annotate.local_features(spark, sf).select("feature_id", F.posexplode(annotate.annotate.legs(c("points"))).alias("segment", "leg"))
+    flagged = table(spark, sf, "lineitem").filter("l_tax >= 0.06").select((c("l_orderkey") + 1_000_000).alias("feature_id"), (c("l_linenumber") - 1).cast("int").alias("segment")).distinct()
+    mid = lambda k: F.round((c(f"leg.a.{k}") + c(f"leg.b.{k}")) / 2, 7).alias(k)
+    return f.join(flagged, ["feature_id", "segment"], "left_semi").select("feature_id", "segment", mid("lat"), mid("lon"))
+
+
+O_J39 = f"""WITH {annotate.sql_candidates()}, g AS (SELECT DISTINCT l_orderkey AS k, l_linenumber - 1 AS segment FROM lineitem WHERE l_tax >= 0.06)
+SELECT k + 1000000 AS feature_id, segment::INT AS segment, round((ay + bmy) / 2, 7) AS lat, round((ax + bmx) / 2, 7) AS lon FROM fs SEMI JOIN g USING (k, segment)"""
+
+
+def a13_gap_rows(spark, sf):
+    """Ferries that the new rule gains or loses, by region; and up to eight examples of each form of duration that does not parse."""
+    w = view(spark, sf, "v_ways").join(table(spark, sf, "orders").select(c("o_orderkey").alias("way_id"), "o_custkey"), "way_id").join(table(spark, sf, "customer").select(c("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    ferry = w.filter(tags.is_ferry(c("route"), c("highway"), c("ferry")))
+    was = tags.old_ferry_class(*[c(x) for x in ("motorcar", "motor_vehicle", "vehicle", "foot", "bicycle")]) == "car"
+    now = tags.ferry_admits("car", *[c(x) for x in ("motorcar", "motor_vehicle", "vehicle", "access", "ferry", "foot", "bicycle")], F.lit(False))
+    gaps = ferry.filter(was != now).select(F.when(now, "became_car").otherwise("left_car").alias("item"), c("c_nationkey").cast("string").alias("grp"), "way_id")
+    bad = ferry.filter(c("duration").isNotNull() & tags.duration_seconds(c("duration")).isNull()).select(F.lit("rejected_duration").alias("item"), c("duration").alias("grp"), "way_id")
+    ranked = bad.withColumn("place", F.row_number().over(Window.partitionBy("item", "grp").orderBy("way_id"))).filter("place <= 8").drop("place")
+    return gaps.unionByName(ranked)
+
+
+O_A13 = with_views("v_ways") + f""" f AS (SELECT v_ways.*, c_nationkey, ({lifecycle._OLD}) = 'car' AS was, {t.SQL_CAR_FERRY} AS now, {t.SQL_SECONDS} AS secs FROM v_ways JOIN orders ON o_orderkey = way_id JOIN customer ON c_custkey = o_custkey WHERE {t.SQL_FERRY}),
+b AS (SELECT duration, way_id, row_number() OVER (PARTITION BY duration ORDER BY way_id) AS p FROM f WHERE duration IS NOT NULL AND secs IS NULL)
+SELECT CASE WHEN now THEN 'became_car' ELSE 'left_car' END AS item, c_nationkey::VARCHAR AS grp, way_id FROM f WHERE was <> now UNION ALL SELECT 'rejected_duration', duration, way_id FROM b WHERE p <= 8"""
+
+
+def a12_tag_combinations(spark, sf):
+    """The hundred most common access combinations of ferries of unknown class, and shares of durations by class."""
+    w = view(spark, sf, "v_ways").filter(tags.is_ferry(c("route"), c("highway"), c("ferry")))
+    kind = tags.old_ferry_class(*[c(x) for x in ("motorcar", "motor_vehicle", "vehicle", "foot", "bicycle")])
+    keys = ("motorcar", "motor_vehicle", "vehicle", "foot", "bicycle", "access")
+    combo = F.concat_ws(";", *[F.concat(F.lit(f"{k}="), c(k)) for k in keys])
+    counts = w.filter(kind == "unknown").groupBy(combo.alias("item")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "item").limit(100)
+    shares = w.groupBy(kind.alias("k")).agg(F.count(F.lit(1)).alias("n"), F.count("duration").alias("given"), F.count(tags.duration_seconds(c("duration"))).alias("parsed"))
+    share = lambda a, b: F.when(c(b) > 0, F.round(c(a) / c(b), 6))
+    return counts.select(F.lit("combination").alias("kind"), "item", "n", F.lit(None).cast("double").alias("given"), F.lit(None).cast("double").alias("parsed")).unionByName(shares.select(F.lit("duration").alias("kind"), c("k").alias("item"), "n", share("given", "n").alias("given"), share("parsed", "given").alias("parsed")))
+
+
+_COMBO = "concat_ws(';', " + ", ".join(f"'{k}=' || {k}" for k in ("motorcar", "motor_vehicle", "vehicle", "foot", "bicycle", "access")) + ")"
+O_A12C = with_views("v_ways") + f""" f AS (SELECT *, {lifecycle._OLD} AS k, {t.SQL_SECONDS} AS secs FROM v_ways WHERE {t.SQL_FERRY}), n AS (SELECT {_COMBO} AS item, count(*) AS n FROM f WHERE k = 'unknown' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100)
+SELECT 'combination' AS kind, item, n, NULL::DOUBLE AS given, NULL::DOUBLE AS parsed FROM n UNION ALL SELECT 'duration', k, count(*), round(count(duration) / count(*), 6), CASE WHEN count(duration) > 0 THEN round(count(secs) / count(duration), 6) END FROM f GROUP BY k"""
+
+
 def f34_x30_tag_subset(spark, sf):
     """Tags kept by prefix or by name, with a composite id and the location of its parts."""
     w = view(spark, sf, "v_ways")
@@ -272,19 +360,23 @@ O_A27 = "SELECT l_returnflag, count(DISTINCT l_orderkey % 6) AS extracts, count(
 
 
 def j38_corridor_load(spark, sf):
-    """Buildings inside the route band only: nodes with a building within 1500 m of the legs between region centres."""
+    """Buildings inside the route band only, within 1500 m of the legs between region centres: nodes, and ways by the middle of their nodes in the map's box."""
+    ways, refs, nodes = g.parts(spark, sf)
     legs = spatial.corridor(spark, sf)
     pad = 1500 / (geo.METRES_A_DEGREE * 0.45)
     low, high = lambda a, b: F.least(c(a), c(b)) - pad, lambda a, b: F.greatest(c(a), c(b)) + pad
     boxed = cells.box_in_cells(legs.withColumns({"min_lat": low("lat1", "lat2"), "min_lon": low("lon1", "lon2"), "max_lat": high("lat1", "lat2"), "max_lon": high("lon1", "lon2")}), 0.1).drop("min_lat", "min_lon", "max_lat", "max_lon")
-    houses = view(spark, sf, "v_nodes").filter("building is not null").select("node_id", "building", "lat", "lon")
+    houses = nodes.filter("building is not null").select(F.lit("node").alias("kind"), c("node_id").alias("id"), "building", "lat", "lon")
+    box = c("lat").between(59.1, 60.8) & c("lon").between(10.1, 11.8)
+    blocks = plan.resolved(refs.join(ways.filter("building is not null").select("way_id", "building"), "way_id"), nodes).filter(box).groupBy("way_id", "building").agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
+    every = houses.unionByName(blocks.select(F.lit("way").alias("kind"), c("way_id").alias("id"), "building", "lat", "lon"))
     d = geo.segment_distance(*[c(x) for x in ("lat", "lon", "lat1", "lon1", "lat2", "lon2")])
-    near = cells.own_cell(houses, "lat", "lon", 0.1).join(boxed, ["cy", "cx"]).withColumn("d", d).filter("d <= 1500")
-    return near.groupBy("building").agg(F.count_distinct("node_id").alias("n"), F.round(F.min("d"), 2).alias("nearest"))
+    near = cells.own_cell(every, "lat", "lon", 0.1).join(boxed, ["cy", "cx"]).withColumn("d", d).filter("d <= 1500")
+    return near.groupBy("kind", "building").agg(F.count_distinct("id").alias("n"), F.round(F.min("d"), 2).alias("nearest"))
 
 
-O_J38 = with_views("v_nodes", "v_regions") + spatial._LEGS + f""", x AS (SELECT node_id, building, lat, lon, lat1, lon1, lat2, lon2 FROM v_nodes, legs WHERE building IS NOT NULL), d AS ({spatial.sql_segdist('x', 'node_id, building')})
-SELECT building, count(DISTINCT node_id) AS n, round(min(d), 2) AS nearest FROM d WHERE d <= 1500 GROUP BY 1"""
+O_J38 = with_views("v_ways", "v_way_nodes", "v_nodes", "v_regions") + spatial._LEGS + f""", h AS (SELECT 'node' AS kind, node_id AS id, building, lat, lon FROM v_nodes WHERE building IS NOT NULL UNION ALL SELECT 'way', way_id, w.building, avg(lat), avg(lon) FROM v_ways w JOIN v_way_nodes USING (way_id) JOIN v_nodes USING (node_id) WHERE w.building IS NOT NULL AND lat BETWEEN 59.1 AND 60.8 AND lon BETWEEN 10.1 AND 11.8 GROUP BY ALL),
+x AS (SELECT kind, id, building, lat, lon, lat1, lon1, lat2, lon2 FROM h, legs), d AS ({spatial.sql_segdist('x', 'kind, id, building')}) SELECT kind, building, count(DISTINCT id) AS n, round(min(d), 2) AS nearest FROM d WHERE d <= 1500 GROUP BY 1, 2"""
 
 
 def sql_functions(spark, sf):
@@ -300,9 +392,9 @@ O_SQL = with_views("v_ways") + f""" x AS (SELECT *, 59.0::DOUBLE + way_id % 10 A
 round(sum({g.hav('59.0::DOUBLE', '10.0::DOUBLE', 'la', '10.5::DOUBLE', '6371000.0::DOUBLE')}), 1) AS metres FROM x GROUP BY 1"""
 
 PAIRS = [
-    (s10_u6_leaf_selection, O_S10), (s11_s12_export_documents, O_S11), (s16_height_grids, O_S16), (k2_k10_layer_sinks, O_K2), (k11_publish_projection, O_K11), (f25_f30_exclusions, O_F25), (x27_stop_roles, O_X27), (m26_tile_grid, O_M26),
+    (s10_u6_leaf_selection, O_S10), (s11_s12_export_documents, O_S11), (s16_height_grids, O_S16), (k2_k10_layer_sinks, o_k2()), (k11_publish_projection, O_K11), (f25_f30_exclusions, O_F25), (x27_stop_roles, O_X27), (m26_tile_grid, O_M26),
     (j9_segments_in_rings, O_J9), (j11_ambiguous_lookup, O_J11), (j27_superroute_chain, O_J27), (j30_j32_a19_overrides, O_J30), (a5_exclusion_counts, O_A5), (a16_u5_road_cells, O_A16), (u2_u3_merged_parts, O_U2),
-    (t5_terminal_order, O_T5), (t10_admin_outlines, O_T10), (g6_leaf_set, O_G6),
+    (t5_terminal_order, O_T5), (t10_admin_outlines, O_T10), (g6_leaf_set, O_G6), (g6_adjacency_warnings, O_G6W), (f27_class_compatibility, O_F27), (j39_flagged_midpoints, O_J39), (a13_gap_rows, O_A13), (a12_tag_combinations, O_A12C),
     (f34_x30_tag_subset, O_F34), (a27_merged_counters, O_A27), (j38_corridor_load, O_J38), (sql_functions, O_SQL),
 ]
 QUERIES = {f.__name__: f for f, _ in PAIRS}

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from waymill.functions import geo, tags
 from waymill.operators import cells
+from waymill.operators.components import connected_components
 from waymill.operators.ranks import at_rank
+from waymill.operators.shared import materialize
 from waymill.plans import graph as plan
 from waymill.queries import graph as g
-from waymill.queries.views import view, with_views
+from waymill.queries.views import pick, view, with_views
 
 BOX = ("min_lat", "min_lon", "max_lat", "max_lon")
 
@@ -49,6 +51,27 @@ def j15_points_in_rings(spark, sf):
 O_J15 = with_views("v_points", "v_ring_points") + RING_EDGES + f", i AS ({sql_inside('v_points', 'point_id')}) SELECT region_id, count(*) AS n, sum(point_id)::BIGINT AS ids FROM i GROUP BY 1"
 
 
+def j15_ferry_regions(spark, sf):
+    """Regions of each ferry by samples of its path (both ends and about eight points), and whether its ends lie in different ones."""
+    ways, refs, nodes = g.parts(spark, sf)
+    ferry = ways.filter(tags.is_ferry(c("route"), c("highway"), c("ferry"))).select("way_id")
+    whole = Window.partitionBy("way_id").orderBy("pos")
+    at = plan.resolved(refs.join(ferry, "way_id", "left_semi"), nodes).withColumns({"i": F.row_number().over(whole) - 1, "n": F.count(F.lit(1)).over(Window.partitionBy("way_id"))})
+    some = at.filter((c("i") == 0) | (c("i") == c("n") - 1) | (c("i") % F.greatest(F.floor(c("n") / 8), F.lit(1)) == 0))
+    hit = points_in_rings(some.select("way_id", "i", "n", "lat", "lon"), rings(spark, sf))
+    ends = lambda last: F.array_sort(F.collect_set(F.when(c("i") == (c("n") - 1 if last else 0), c("region_id"))))
+    by = hit.groupBy("way_id").agg(F.array_sort(F.collect_set("region_id")).alias("all"), ends(False).alias("a"), ends(True).alias("b"))
+    crossing = (F.size("a") > 0) & (F.size("b") > 0) & (c("a") != c("b"))
+    found = by.select("way_id", F.array_join(c("all").cast("array<string>"), ",").alias("regions"), crossing.alias("cross_region"))
+    return ferry.join(found, "way_id", "left").select("way_id", F.coalesce("regions", F.lit("")).alias("regions"), F.coalesce("cross_region", F.lit(False)).alias("cross_region"))
+
+
+O_J15F = with_views("v_ways", "v_way_nodes", "v_nodes", "v_ring_points") + RING_EDGES + f""", a AS (SELECT way_id, lat, lon, row_number() OVER (PARTITION BY way_id ORDER BY pos) - 1 AS i, count(*) OVER (PARTITION BY way_id) AS n FROM v_way_nodes JOIN v_nodes USING (node_id) WHERE way_id IN (SELECT way_id FROM v_ways WHERE {g.t.SQL_FERRY})),
+s AS (SELECT *, way_id * 1000 + i AS id FROM a WHERE i = 0 OR i = n - 1 OR i % greatest(n // 8, 1) = 0), h AS ({sql_inside('s', 'id')}), j AS (SELECT way_id, i, n, region_id FROM h JOIN s USING (id)),
+k AS (SELECT way_id, list_sort(list(DISTINCT region_id)) AS x, coalesce(list_sort(list(DISTINCT region_id) FILTER (i = 0)), []) AS a, coalesce(list_sort(list(DISTINCT region_id) FILTER (i = n - 1)), []) AS b FROM j GROUP BY 1)
+SELECT way_id, coalesce(array_to_string(x, ','), '') AS regions, coalesce(len(a) > 0 AND len(b) > 0 AND a <> b, false) AS cross_region FROM v_ways LEFT JOIN k USING (way_id) WHERE {g.t.SQL_FERRY}"""
+
+
 def j3_k3_ring_tiles(spark, sf):
     """Rings by the tiles that hold one of their vertices."""
     p = view(spark, sf, "v_ring_points")
@@ -137,8 +160,11 @@ def m24_densified_legs(spark, sf):
 O_M24 = with_views("v_regions") + _LEGS + f""", l AS (SELECT region_id, {g.hav('lat1', 'lon1', 'lat2', 'lon2', '6371000.0::DOUBLE')} AS m FROM legs) SELECT region_id, CASE WHEN m < 1 THEN 0 ELSE greatest(1, ceil(m / 200)) END::INT AS n, round(m, 3) AS metres FROM l"""
 
 
+PLACES = ["viewpoint", None, "cabin", "shelter", "network_hut", None, "overnight"]
+
+
 def j21_m11_overnight_safety(spark, sf):
-    """A point fails within 150 m of a building, or within 1000 m of a hard ring; the first reason counts."""
+    """A point fails within 150 m of a building or, unless it is an established place, within 1000 m of a hard ring; the first reason counts."""
     p = view(spark, sf, "v_points")
     houses = view(spark, sf, "v_nodes").filter("building is not null").select(c("lat").alias("to_lat"), c("lon").alias("to_lon"))
     near = cells.within(p, houses, 150.0).groupBy("point_id").agg(F.min("distance_m").alias("house_m"))
@@ -147,14 +173,15 @@ def j21_m11_overnight_safety(spark, sf):
     b = geo.ring_bounds(c("ring"))
     boxed = cells.box_in_cells(hard.select("ring", (b["min_lat"] - pad).alias("min_lat"), (b["min_lon"] - pad).alias("min_lon"), (b["max_lat"] + pad).alias("max_lat"), (b["max_lon"] + pad).alias("max_lon")), 0.1)
     ice = cells.own_cell(p, "lat", "lon", 0.1).join(boxed, ["cy", "cx"]).withColumn("d", geo.ring_distance(c("lat"), c("lon"), c("ring"))).groupBy("point_id").agg(F.min("d").alias("ice_m"))
-    reason = F.when(c("house_m") < 150, "building").when(c("ice_m") < 1000, "glacier").otherwise("ok")
+    established = F.expr(pick("point_id", PLACES)).isin("cabin", "network_hut", "overnight")
+    reason = F.when(c("house_m") < 150, "building").when((c("ice_m") < 1000) & ~F.coalesce(established, F.lit(False)), "glacier").otherwise("ok")
     return p.select("point_id").join(near, "point_id", "left").join(ice, "point_id", "left").groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.sum("point_id").alias("ids"))
 
 
 O_J21 = with_views("v_points", "v_nodes", "v_ring_points") + RING_EDGES + f""", h AS (SELECT DISTINCT point_id FROM v_points a JOIN v_nodes b ON b.building IS NOT NULL AND abs(a.lat - b.lat) < 0.002 WHERE {g.hav('a.lat', 'a.lon', 'b.lat', 'b.lon', '6371000.0::DOUBLE')} < 150),
 i AS ({sql_inside('v_points', 'point_id')}), x AS (SELECT point_id, p.lat, p.lon, alat AS lat1, alon AS lon1, blat AS lat2, blon AS lon2 FROM v_points p, re WHERE class = 2), d AS ({sql_segdist('x', 'point_id')}),
 n AS (SELECT point_id FROM d WHERE d < 1000 UNION SELECT point_id FROM i WHERE class = 2)
-SELECT CASE WHEN point_id IN (SELECT point_id FROM h) THEN 'building' WHEN point_id IN (SELECT point_id FROM n) THEN 'glacier' ELSE 'ok' END AS reason, count(*) AS n, sum(point_id)::BIGINT AS ids FROM v_points GROUP BY 1"""
+SELECT CASE WHEN point_id IN (SELECT point_id FROM h) THEN 'building' WHEN point_id IN (SELECT point_id FROM n) AND NOT coalesce({pick('point_id', PLACES)} IN ('cabin', 'network_hut', 'overnight'), false) THEN 'glacier' ELSE 'ok' END AS reason, count(*) AS n, sum(point_id)::BIGINT AS ids FROM v_points GROUP BY 1"""
 
 
 def way_chords(spark, sf) -> DataFrame:
@@ -227,19 +254,30 @@ i AS ({sql_inside('e', 'way_id')}), j AS ({sql_inside('z', 'way_id')}), u AS (SE
 SELECT way_id, count(DISTINCT region_id) AS n_regions FROM u GROUP BY 1"""
 
 
+SNAP_M = {"car": 750.0, "truck": 1000.0}
+
+
 def j23_snap(spark, sf):
-    """Nearest car-graph node within 750 m: best worst-surface first, then distance; else too far."""
-    e = g.edges(spark, sf)
-    nodes = e.select(F.explode(F.array(F.struct(c("src").alias("node"), c("src_lat").alias("to_lat"), c("src_lon").alias("to_lon"), "surface_rank"), F.struct(c("dst").alias("node"), c("dst_lat").alias("to_lat"), c("dst_lon").alias("to_lon"), "surface_rank"))).alias("n")).select("n.*")
-    nodes = nodes.groupBy("node").agg(F.first("to_lat").alias("to_lat"), F.first("to_lon").alias("to_lon"), F.max("surface_rank").alias("worst"))
+    """Nearest node of the motor graph within the profile's budget: the giant component first, then the best worst surface, then distance; else too far."""
+    e = materialize(g.edges(spark, sf).select("src", "dst", "src_lat", "src_lon", "dst_lat", "dst_lon", "surface_rank"), "edges")
+    end = lambda x: F.struct(c(x).alias("node"), c(f"{x}_lat").alias("to_lat"), c(f"{x}_lon").alias("to_lon"), "surface_rank")
+    nodes = e.select(F.explode(F.array(end("src"), end("dst"))).alias("n")).select("n.*").groupBy("node").agg(F.first("to_lat").alias("to_lat"), F.first("to_lon").alias("to_lon"), F.max("surface_rank").alias("worst"))
+    comps = materialize(connected_components(e), "components")
+    giant = comps.groupBy("component").agg(F.count(F.lit(1)).alias("n")).agg(F.max_by("component", F.struct("n", -c("component"))).alias("giant")).first()
+    inside = comps.filter(c("component") == F.lit(giant["giant"])).select("node", F.lit(0).alias("apart"))
+    nodes = nodes.join(inside, "node", "left").withColumn("apart", F.coalesce("apart", F.lit(1)))
     p = view(spark, sf, "v_points")
-    best = cells.within(p, nodes, 750.0, radius=geo.GRAPH_RADIUS).groupBy("point_id").agg(F.min_by("node", F.struct("worst", "distance_m", "node")).alias("node"))
-    return p.select("point_id").join(best, "point_id", "left").select("point_id", "node", F.when(c("node").isNull(), "too_far").otherwise("ok").alias("status"))
+    near = cells.within(p, nodes, max(SNAP_M.values()), radius=geo.GRAPH_RADIUS)
+    best = lambda m: F.min_by(F.when(c("distance_m") <= m, c("node")), F.when(c("distance_m") <= m, F.struct("apart", "worst", "distance_m", "node")))
+    found = p.select("point_id").join(near.groupBy("point_id").agg(*[best(m).alias(k) for k, m in SNAP_M.items()]), "point_id", "left")
+    return found.select("point_id", *SNAP_M, *[F.when(c(k).isNull(), "too_far").otherwise("ok").alias(f"{k}_status") for k in SNAP_M])
 
 
-O_J23 = g.E_SQL.replace("WITH v_ways AS", with_views("v_points").removesuffix(",") + ", v_ways AS", 1) + f""", n AS (SELECT node, any_value(lat) AS lat, any_value(lon) AS lon, max(surface_rank) AS worst FROM (SELECT src AS node, surface_rank FROM edges UNION ALL SELECT dst, surface_rank FROM edges) JOIN v_nodes ON node_id = node GROUP BY 1),
-d AS (SELECT point_id, node, worst, {g.hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} AS m FROM v_points a JOIN n b ON abs(a.lat - b.lat) < 0.01), s AS (SELECT point_id, arg_min(node, (worst, m, node)) AS node FROM d WHERE m <= 750 GROUP BY 1)
-SELECT point_id, node, CASE WHEN node IS NULL THEN 'too_far' ELSE 'ok' END AS status FROM v_points LEFT JOIN s USING (point_id)"""
+_BEST = ", ".join(f"arg_min(node, (apart, worst, m, node)) FILTER (m <= {m:.0f}) AS {k}" for k, m in SNAP_M.items())
+O_J23 = g.O_I1.replace("WITH RECURSIVE v_ways AS", "WITH RECURSIVE " + with_views("v_points").removeprefix("WITH ") + " v_ways AS", 1)
+O_J23 = O_J23[: O_J23.rindex("SELECT component, n")].rstrip() + f""", gi AS (SELECT arg_max(component, (n, -component)) AS giant FROM s), n AS (SELECT node, any_value(lat) AS lat, any_value(lon) AS lon, max(surface_rank) AS worst FROM (SELECT src AS node, surface_rank FROM edges UNION ALL SELECT dst, surface_rank FROM edges) JOIN v_nodes ON node_id = node GROUP BY 1),
+o AS (SELECT n.*, (root <> giant)::INT AS apart FROM n JOIN r ON r.x = node, gi), d AS (SELECT point_id, node, worst, apart, {g.hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} AS m FROM v_points a JOIN o b ON abs(a.lat - b.lat) < 0.01), q AS (SELECT point_id, {_BEST} FROM d GROUP BY 1)
+SELECT point_id, car, truck, CASE WHEN car IS NULL THEN 'too_far' ELSE 'ok' END AS car_status, CASE WHEN truck IS NULL THEN 'too_far' ELSE 'ok' END AS truck_status FROM v_points LEFT JOIN q USING (point_id)"""
 
 
 def j6_edge_heights(spark, sf):
@@ -263,16 +301,23 @@ h AS (SELECT b.elev_m - a.elev_m AS d FROM ends LEFT JOIN v_dem a ON {_PLACE.for
 SELECT count(*) AS n, count(*) FILTER (d IS NULL) AS n_missing, sum(d) AS climb, sum(CASE WHEN d IS NULL THEN 0 ELSE greatest(d, 0) END) AS up FROM h"""
 
 
+BIND_M, DRAWN = 75.0, 20.0
+
+
 def j10_nearest_feature(spark, sf):
-    """Each point bound to the way whose chord midpoint is nearest in degrees, if within 3000 m."""
-    mids = way_chords(spark, sf).select("way_id", ((c("lat1") + c("lat2")) / 2).alias("to_lat"), ((c("lon1") + c("lon2")) / 2).alias("to_lon"))
-    near = cells.within(view(spark, sf, "v_points"), mids, 3000.0)
+    """Each point bound to the way with the nearest middle of a segment in degrees, if that is within 75 m, on a map drawn 20 times smaller."""
+    small = lambda y, x: (59 + (y - 59) / DRAWN, 10 + (x - 10) / DRAWN)
+    la, lo = small((c("lat1") + c("lat2")) / 2, (c("lon1") + c("lon2")) / 2)
+    mids = way_segments(spark, sf).select("way_id", la.alias("to_lat"), lo.alias("to_lon"))
+    y, x = small(c("lat"), c("lon"))
+    near = cells.within(view(spark, sf, "v_points").select("point_id", y.alias("lat"), x.alias("lon")), mids, BIND_M)
     degrees = F.pow(c("lat") - c("to_lat"), 2) + F.pow(c("lon") - c("to_lon"), 2)
-    return near.groupBy("point_id").agg(F.min_by("way_id", F.struct(degrees.alias("d"), "way_id")).alias("way_id"))
+    return near.groupBy("point_id").agg(F.min_by("way_id", F.struct(degrees.alias("d"), "way_id")).alias("way_id"), F.round(F.min("distance_m"), 3).alias("metres"))
 
 
-O_J10 = with_views("v_points", "v_way_nodes", "v_nodes") + CHORDS + f""", d AS (SELECT point_id, way_id, pow(lat - my, 2) + pow(lon - mx, 2) AS q, {g.hav('lat', 'lon', 'my', 'mx', '6371000.0::DOUBLE')} AS m FROM v_points JOIN (SELECT way_id, (lat1 + lat2) / 2 AS my, (lon1 + lon2) / 2 AS mx FROM chords) ON abs(lat - my) < 0.03)
-SELECT point_id, arg_min(way_id, (q, way_id)) AS way_id FROM d WHERE m <= 3000 GROUP BY 1"""
+O_J10 = with_views("v_points", "v_way_nodes", "v_nodes") + LEGS + f""", m AS (SELECT way_id, 59 + ((lat1 + lat2) / 2 - 59) / 20.0::DOUBLE AS my, 10 + ((lon1 + lon2) / 2 - 10) / 20.0::DOUBLE AS mx FROM legs), p AS (SELECT point_id, 59 + (lat - 59) / 20.0::DOUBLE AS lat, 10 + (lon - 10) / 20.0::DOUBLE AS lon FROM v_points),
+d AS (SELECT point_id, way_id, pow(lat - my, 2) + pow(lon - mx, 2) AS q, {g.hav('lat', 'lon', 'my', 'mx', '6371000.0::DOUBLE')} AS m FROM p JOIN m ON my BETWEEN lat - 0.001 AND lat + 0.001)
+SELECT point_id, arg_min(way_id, (q, way_id)) AS way_id, round(min(m), 3) AS metres FROM d WHERE m <= 75 GROUP BY 1"""
 
 
 def ferries(spark, sf) -> DataFrame:
@@ -499,7 +544,7 @@ O_S19 = """WITH p AS (SELECT l_partkey % 200 AS r, l_suppkey * 7 % 256 AS gr, l_
 SELECT r, count(*) AS n, round(sum(h), 3) AS sum_m, min(CASE WHEN h < -12000 THEN -32768 ELSE least(round(h), 32767) END)::INT AS lowest FROM h GROUP BY 1"""
 
 PAIRS = [
-    (j15_points_in_rings, O_J15), (j3_k3_ring_tiles, O_J3), (j7_a7_wetland_hazards, O_J7), (j17_j18_smallest_region, O_J17), (j19_pois_within_radius, O_J19), (j20_m24_corridor_band, O_J20), (m24_densified_legs, O_M24),
+    (j15_points_in_rings, O_J15), (j15_ferry_regions, O_J15F), (j3_k3_ring_tiles, O_J3), (j7_a7_wetland_hazards, O_J7), (j17_j18_smallest_region, O_J17), (j19_pois_within_radius, O_J19), (j20_m24_corridor_band, O_J20), (m24_densified_legs, O_M24),
     (j21_m11_overnight_safety, O_J21), (j22_m7_barrier_crossings, O_J22), (j23_snap, O_J23), (j6_edge_heights, O_J6), (j10_nearest_feature, O_J10), (j13_ferry_match, O_J13), (j14_wrong_admissions, O_J14), (j16_lattice_overlap, O_J16), (j31_f16_adjacent_boxes, O_J31),
     (j35_u7_cells_of_rings, O_J35), (a9_region_bounds, O_A9), (f18_hash_sample, None), (m12_m14_grids, O_M12), (m10_m22_m27_rings, O_M10), (m9_points_in_triangles, O_M9), (m6_bearings, O_M6), (s19_pixel_heights, O_S19),
 ]
