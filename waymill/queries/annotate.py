@@ -55,13 +55,14 @@ def way_limits(spark: SparkSession, sf: str) -> DataFrame:
     """The limits of each way that has any, as the tags state them."""
     w = view(spark, sf, "v_ways")
     raw = {k: c(k) for k in ("maxheight", "maxwidth", "maxlength", "maxweight", "maxaxleload", "maxbogieweight")}
-    return w.filter(limits.way_class(list(raw.values())) == "numeric").select("way_id", *[v.alias(k) for k, v in limits.limit_columns(raw).items()])
+    rated = w.select("way_id", limits.way_class(list(raw.values())).alias("class"), *[v.alias(k) for k, v in limits.limit_columns(raw).items()])
+    return materialize(rated, "limits").filter("class = 'numeric'").drop("class")  # written: its long expressions stay out of the matching plan
 
 
 def j12_w5_w7_limit_matching(spark, sf):
     """Limits of ways matched to feature segments by distance, class, layer, overlap and bearing."""
     own = way_limits(spark, sf)
-    return annotate.matched(annotate.candidates(local_ways(spark, sf).join(own, "way_id", "left_semi"), local_features(spark, sf)), own)
+    return annotate.matched(materialize(annotate.candidates(local_ways(spark, sf).join(own, "way_id", "left_semi"), local_features(spark, sf)), "candidates"), own)
 
 
 def a14_match_report(spark, sf):
