@@ -14,7 +14,14 @@ groups, and partners meet in a cell. G follows from the number of fingerprints a
 A dense group of near copies would fill whole cells, so a cell is first linked to its
 smallest fingerprint only (a star, linear in the cell), the stars are joined to components,
 and the pair join then meets only rows whose component differs from that of the cell's
-head. No link between different components is lost and no cell emits all of its pairs.
+head. A cell where that would still be over ``CROWD`` pairs, as several large components meet
+in it, is not joined: its fingerprints go to a finer grid (8 of 12 groups), where only those
+share a cell that agree in two thirds of the segments. No link between different components is
+lost.
+
+Segments are narrow because the bound must tell: of two random fingerprints it lets through one
+pair in 6 * 10^7 with 32 segments of two bits, one in 4 * 10^4 with 16 of four and one in 170
+with 8 of eight, whatever the grid.
 
 Defined cases: null and word-less texts have fingerprint 0 and link like any other; repeated
 rows share a fingerprint; a null doc_id gets the component of its fingerprint and is never
@@ -40,6 +47,8 @@ from waymill.operators.skew import salted_lookup
 MAX_BITS = 4
 SEGMENTS = 32
 LOW = 0x5555555555555555
+CROWD = 1 << 20  # pairs of a cell
+FINE_GROUPS = 12
 SAME_COUNT = 0.375  # chance that two random two-bit segments have equal counts
 
 
@@ -106,16 +115,22 @@ def near_components(fps: DataFrame, k: int = MAX_BITS, groups: int | None = None
     labels = connected_components(stars)
     labelled = fps.select("fp").join(labels, fps["fp"] == labels["node"], "left").select("fp", F.coalesce("component", "fp").alias("comp"))
     labelled = materialize(labelled, "labels")
+    def apart_pairs(cells: DataFrame, crowd: int | None) -> tuple[DataFrame, DataFrame | None]:
+        """Close pairs of different components; and the cells that were too crowded to join."""
+        sizes = cells.groupBy("no", "cell", "comp").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n"))
+        heads = sizes.groupBy("no", "cell").agg(F.min_by("comp", "fp").alias("head"), F.min_by("n", "fp").alias("n_head"), F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+        full = (F.col("n_all") - F.col("n_head")) * F.col("n_all") > F.lit(crowd)
+        some = heads if crowd is None else heads.filter(~full)
+        apart = cells.alias("a").join(some.alias("h"), same_cell("a", "h") & (F.col("a.comp") != F.col("h.head"))).select("a.*")
+        pairs = apart.alias("a").join(cells.alias("b"), same_cell("a", "b") & (F.col("a.comp") != F.col("b.comp")) & close("a", "b"))
+        return pairs.select(F.col("a.comp").alias("src"), F.col("b.comp").alias("dst")), None if crowd is None else heads.filter(full).select("no", "cell")
+
     cells = _cells(labelled, groups, k)
-    heads = (
-        cells.groupBy("no", "cell")
-        .agg(F.min_by("comp", "fp").alias("head"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-        .filter("low <> high")
-    )
-    apart = cells.alias("a").join(heads.alias("h"), same_cell("a", "h") & (F.col("a.comp") != F.col("h.head"))).select("a.*")
-    pairs = apart.alias("a").join(cells.alias("b"), same_cell("a", "b") & (F.col("a.comp") != F.col("b.comp")) & close("a", "b"))
+    pairs, crowded = apart_pairs(cells, CROWD)
+    dense = materialize(cells.join(crowded, ["no", "cell"], "left_semi").select("fp", "comp").distinct(), "dense")
+    pairs = pairs.unionByName(apart_pairs(_cells(dense, FINE_GROUPS, k), None)[0])
     # What the stars left apart: a graph of components, with few edges.
-    merged = connected_components(pairs.select(F.col("a.comp").alias("src"), F.col("b.comp").alias("dst")))
+    merged = connected_components(pairs)
     sizes = labelled.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
     names = materialize(sizes.join(merged, sizes["comp"] == merged["node"], "left").select("comp", "size", F.coalesce("component", "comp").alias("final")), "merged")
     return salted_lookup(labelled, names, "comp", "size", labelled.count(), F.col("fp")).select("fp", F.col("final").alias("comp"))
@@ -142,13 +157,9 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     of each of its fingerprints stays.
     """
     found = near_groups(docs)
-    stay = materialize(
-        found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__id"), F.col("fp").alias("__kept_fp")).agg((F.count(F.lit(1)) > 1).alias("__repeated")),
-        "stay",
-    )
-    if stay.filter("__repeated or __id is null").isEmpty():
-        return docs.join(stay, F.col("doc_id") == F.col("__id"), "left_semi")
-    keyed = docs.withColumn("__fp", fingerprint_of("text"))
-    left = keyed.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__fp") == F.col("__kept_fp")))
-    again = left.filter("__repeated").dropDuplicates(["__fp", "__id"])
-    return left.filter("not __repeated").unionByName(again).select(*[F.col(f"`{c}`") for c in docs.columns])
+    key = lambda i, fp: F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("")), fp.cast("string"))
+    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(key(F.col("doc_id"), F.col("fp")).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    stay = materialize(stay, "stay")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key(F.col("doc_id").cast("long"), fingerprint_of("text")).alias("key"))
+    left = salted_lookup(whole, stay, "key", "n", stay.agg(F.sum("n")).first()[0] or 0, F.monotonically_increasing_id())
+    return left.filter("n = 1").select("doc.*").unionByName(left.filter("n > 1").dropDuplicates(["key"]).select("doc.*"))
