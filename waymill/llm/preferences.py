@@ -8,8 +8,8 @@ of the assistant's texts, on which alone a loss is taken. Column functions only.
 Defined cases: a pair with one side only has an empty other side and no prompt; two equal
 sides have empty completions; null roles and texts render as empty and are equal to each
 other; turns repeated or with null turn numbers sort by (turn, role, text), nulls first; a
-null pair is dropped, as no partner can be known; extra columns are ignored; an empty table
-gives an empty result.
+null pair is dropped, as no partner can be known; very long texts and conversations stay whole,
+a pair being one row; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,20 +41,26 @@ def _rendered(turns: Column) -> Column:
     return F.array_join(F.transform(turns, lambda t: F.concat(_head(t), t["text"], F.lit("\n"))), "")
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+BLOCK = 64
+
+
+def _starts(sizes: Column) -> Column:
+    """Sum of the sizes before each place, from sums of blocks: no array grows element by element."""
+    total = lambda part: F.aggregate(part, F.lit(0), lambda s, n: s + n)
+    sums = lambda n: F.transform(F.sequence(F.lit(0), F.floor(F.size(n) / BLOCK).cast("int")), lambda j: total(F.slice(n, j * BLOCK + 1, BLOCK)))
+    block = lambda i: F.floor(i / BLOCK).cast("int")
+    return _let(sizes, lambda n: _let(sums(n), lambda b: F.transform(n, lambda _, i: total(F.slice(b, 1, block(i))) + total(F.slice(n, block(i) * BLOCK + 1, i % BLOCK)))))
+
+
 def _mask(turns: Column) -> Column:
     """start:end of each learnt text in the rendered turns, comma-joined."""
-    state = F.aggregate(
-        turns,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda s, t: F.struct(
-            (s["at"] + F.length(_head(t)) + F.length(t["text"]) + 1).alias("at"),
-            F.when(
-                t["role"] == LEARNT,
-                F.concat(s["out"], F.array(F.concat_ws(":", s["at"] + F.length(_head(t)), s["at"] + F.length(_head(t)) + F.length(t["text"])))),
-            ).otherwise(s["out"]).alias("out"),
-        ),
-    )
-    return F.array_join(state["out"], ",")
+    places = F.zip_with(turns, _starts(F.transform(turns, lambda t: F.length(_head(t)) + F.length(t["text"]) + 1)), lambda t, at: F.struct(t["role"].alias("role"), (at + F.length(_head(t))).alias("at"), F.length(t["text"]).alias("n")))
+    return F.array_join(F.transform(F.filter(places, lambda p: p["role"] == LEARNT), lambda p: F.concat_ws(":", p["at"], p["at"] + p["n"])), ",")
 
 
 def format_pairs(turns: DataFrame) -> DataFrame:
