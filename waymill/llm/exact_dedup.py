@@ -151,11 +151,8 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 def keep_first_of_equal(docs: DataFrame) -> DataFrame:
     """Only the staying rows, all columns; rows repeated with one doc_id and text stay once."""
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "waymill digest")
-    stay = materialize(exact_dedup(docs).filter("kept").select("doc_id", F.col("digest").alias("waymill digest")).groupBy(key.alias("waymill key")).agg(F.count(F.lit(1)).alias("waymill rows")), "stay")
-    total = stay.agg(F.sum("waymill rows")).first()[0] or 0
-    keyed = docs.withColumn("waymill digest", digest_of(F.col("text"))).withColumn("waymill key", key)
-    left = salted_lookup(keyed, stay, "waymill key", "waymill rows", total, F.monotonically_increasing_id())
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    again = left.filter("`waymill rows` > 1").dropDuplicates(["waymill key"])
-    return left.filter("`waymill rows` = 1").select(*names).unionByName(again.select(*names))
+    key = lambda digest: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest)
+    stay = materialize(exact_dedup(docs).filter("kept").groupBy(key(F.col("digest")).alias("key")).agg(F.count(F.lit(1)).alias("n")), "stay")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key(digest_of(F.col("text"))).alias("key"))
+    left = salted_lookup(whole, stay, "key", "n", stay.agg(F.sum("n")).first()[0] or 0, F.monotonically_increasing_id())
+    return left.filter("n = 1").select("doc.*").unionByName(left.filter("n > 1").dropDuplicates(["key"]).select("doc.*"))
