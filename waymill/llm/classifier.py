@@ -74,5 +74,5 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows predicted 1, all columns."""
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text")
-    return scored(whole, fit(docs, labels)).filter("predicted = 1").select("__row.*")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text")
+    return scored(whole, fit(docs, labels)).filter("predicted = 1").select("doc.*")
