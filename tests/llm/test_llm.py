@@ -20,7 +20,7 @@ import brute  # noqa: E402
 from waymill.llm import classifier, exact_dedup, lm_score, mixing, pieces, pii, preferences, queries, rules, secrets, simhash  # noqa: E402
 from waymill.llm.simhash_bits import fingerprint  # noqa: E402
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, component_id string, fp int, digest string, copy_no string, ids string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, component_id string, fp int, digest string, copy_no string, ids string, doc string, key string, n int"
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 LINE = "the quick brown fox jumps over the lazy dog while seven wizards brew a potent and fizzy drink"
 ODD = [
@@ -33,8 +33,8 @@ ODD = [
 
 @pytest.fixture(scope="module")
 def odd(spark):
-    rows = [(i, t, "en", "s0" if i % 3 else None, len(t or ""), 0.5, "c", 1, "d", "n", "i") for i, t in enumerate(ODD)]
-    rows += [rows[8], (None, LINE, None, "s1", None, None, None, None, None, None, None), (None, None, None, None, None, None, None, None, None, None, None), (99, LINE, "en", "s1", 1, 0.0, "", 0, "", "", "")]
+    rows = [(i, t, "en", "s0" if i % 3 else None, len(t or ""), 0.5, "c", 1, "d", "n", "i", "o", "k", 2) for i, t in enumerate(ODD)]
+    rows += [rows[8], (None, LINE, None, "s1", *[None] * 10), (None, *[None] * 13), (99, LINE, "en", "s1", 1, 0.0, "", 0, "", "", "", "", "", 0)]
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
 
 
@@ -341,8 +341,9 @@ def test_simhash_fingerprints():
         assert fingerprint(t) == want
 
 
-@pytest.mark.parametrize("groups", [5, 6, 8])
-def test_near_components_are_exact(spark, groups):
+@pytest.mark.parametrize(("groups", "crowd"), [(5, 1 << 20), (6, 1 << 20), (8, 1 << 20), (5, 0), (6, 40)])
+def test_near_components_are_exact(spark, monkeypatch, groups, crowd):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
     random.seed(groups)
     fps = {0}
     for _ in range(25):
