@@ -189,3 +189,22 @@ def test_order_statistics(spark):
 def test_identity_gate_counts_repeats(spark):
     a, b = spark.createDataFrame([(1,), (1,), (2,)], "x int"), spark.createDataFrame([(1,), (2,), (3,)], "x int")
     assert gates.identical(a, b).first().asDict() == {"only_a": 1, "only_b": 1}
+
+
+def test_streams_go_on_where_they_stopped(spark, tmp_path):
+    """Two runs over a growing folder give what one run over all of it gives, for change lists and for failure runs."""
+    from waymill.streaming import feeds
+
+    folder, state = str(tmp_path / "in"), str(tmp_path / "state")
+    log = [(1, 1, "fail"), (2, 1, "fail"), (3, 2, "ok"), (4, 2, "fail"), (5, 3, "fail"), (6, 1, "fail"), (7, 2, "fail"), (8, 3, "ok"), (9, 3, "fail"), (10, 4, "ok")]
+    schema = "event_id long, provider long, status string, id long, action string, payload double"
+    rows = [(i, p, s, i % 4, "delete" if i in (4, 7) else "modify", float(i)) for i, p, s in log]
+    base = spark.createDataFrame([(0, 0.5), (3, 0.5), (9, 0.5)], "id long, payload double")
+    found = []
+    for part in (rows[:5], rows[5:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(schema).parquet(folder).withColumn("ts", F.col("event_id"))
+        runs = feeds.failure_runs(stream.select("event_id", "ts", "provider", "status"), f"{state}/runs").collect()
+        kept = feeds.apply_change_stream(stream.select(F.col("event_id").alias("seq"), "id", "action", "payload"), base, path=f"{state}/rows").collect()
+        found = [{r["provider"]: (r["fails"], r["n"]) for r in runs}, {r["id"]: r["payload"] for r in kept}]
+    assert found == [{1: (3, 3), 2: (2, 3), 3: (1, 3), 4: (0, 1)}, {1: 9.0, 2: 10.0, 0: 8.0, 9: 0.5}]

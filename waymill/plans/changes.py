@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymill.operators.shared import materialize
+
 
 def latest(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """One row a key, the first by ``order``."""
@@ -33,6 +35,11 @@ def gaps(seqs: DataFrame, seq: str = "seq", bucket: int = 100_000) -> DataFrame:
     return both.filter("n > s + 1").select((F.col("s") + 1).alias("start"), (F.col("n") - 1).alias("end"))
 
 
+def hold(fails: Column) -> Column:
+    """Seconds to wait after so many failures in a row."""
+    return F.when(fails > 0, F.least(F.lit(3600), (5 * F.pow(F.lit(2), F.least(fails, F.lit(8)))).cast("int"))).otherwise(0)
+
+
 def failure_runs(log: DataFrame) -> DataFrame:
     """provider, fails in a row at the end of its log, hold seconds, last status.
 
@@ -40,8 +47,7 @@ def failure_runs(log: DataFrame) -> DataFrame:
     """
     done = log.groupBy("provider").agg(F.max(F.when(F.col("status") != "fail", F.struct("ts", "event_id"))).alias("good"), F.max_by("status", F.struct("ts", "event_id")).alias("last_status"))
     runs = log.join(done, "provider").groupBy("provider", "last_status").agg(F.count_if((F.col("status") == "fail") & (F.col("good").isNull() | (F.struct("ts", "event_id") > F.col("good")))).alias("fails"))
-    hold = F.when(F.col("fails") > 0, F.least(F.lit(3600), (5 * F.pow(F.lit(2), F.least("fails", F.lit(8)))).cast("int"))).otherwise(0)
-    return runs.withColumn("hold_s", hold)
+    return runs.withColumn("hold_s", hold(F.col("fails")))
 
 
 def retained(files: DataFrame, budget: int, largest: int, path: str = "path", size: str = "size", bucket: int = 1 << 20) -> DataFrame:
@@ -57,13 +63,31 @@ def retained(files: DataFrame, budget: int, largest: int, path: str = "path", si
 
 
 def within_budget(candidates: DataFrame, group: str, hours: float) -> DataFrame:
-    """Greedy in rank order: a candidate that would pass the budget is deferred and does not use it."""
-    rows = candidates.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("rank", "id", "cost_h"))).alias("c"))
-    state = F.aggregate(
-        "c", F.struct(F.lit(0.0).alias("used"), F.array().cast("array<bigint>").alias("taken")),
-        lambda s, x: F.when(s["used"] + x["cost_h"] <= hours, F.struct((s["used"] + x["cost_h"]).alias("used"), F.concat(s["taken"], F.array(x["id"])).alias("taken"))).otherwise(s),
-    )
-    return rows.select(group, state["taken"].alias("taken"), F.size("c").alias("n"), state["used"].alias("used_h"))
+    """Greedy in rank order: a candidate that would pass the budget is deferred and does not use it.
+
+    Each round takes the candidates up to the first that does not fit, and drops those that cost
+    more than is left; what a group has left only shrinks, so rounds are few. The running sum
+    goes through a sorted window, which spills; no group is gathered, and what is taken of a group
+    has the budget's size.
+    """
+    c = F.col
+    rest = materialize(candidates.select(group, "rank", "id", "cost_h"), "candidates")
+    sizes = rest.groupBy(group).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    taken = None
+    used = materialize(sizes.select(group, F.lit(0.0).alias("used")), "used")
+    upto = Window.partitionBy(group).orderBy("rank", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    while True:
+        fit = rest.join(used, group).filter(c("used") + c("cost_h") <= hours).drop("used")
+        if fit.isEmpty():
+            break
+        summed = fit.withColumn("run", F.sum("cost_h").over(upto)).join(used, group)
+        # Costs of 0 or more: the sum passes the budget once and stays beyond it.
+        inside = materialize(summed.filter(c("used") + c("run") <= hours).select(group, "rank", "id", "cost_h"), "taken")
+        taken = inside if taken is None else materialize(taken.unionByName(inside), "taken")
+        rest = materialize(fit.join(inside.select(group, "rank", "id"), [group, "rank", "id"], "left_anti"), "candidates")
+        used = materialize(used.join(inside.groupBy(group).agg(F.sum("cost_h").alias("more")), group, "left").select(group, (c("used") + F.coalesce("more", F.lit(0.0))).alias("used")), "used")
+    ids = (candidates.limit(0) if taken is None else taken).groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "id"))), lambda x: x["id"]).alias("taken"))
+    return sizes.join(used, group).join(ids, group, "left").select(group, F.coalesce("taken", F.array().cast("array<bigint>")).alias("taken"), "n", c("used").alias("used_h"))
 
 
 def reuse(wanted: DataFrame, cache: DataFrame, epoch: str) -> tuple[DataFrame, DataFrame]:
