@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymill.operators.shared import materialize
+from waymill.operators.shared import materialize, release
 from waymill.operators.skew import salted_lookup
 
 MAX_ROUNDS = 60
@@ -50,7 +50,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         before = now
         if not now[0]:
             break
-        star = materialize(_small_star(_large_star(star, now[0]), now[0]), "edges")
+        old, star = star, materialize(_small_star(_large_star(star, now[0]), now[0]), "edges")
+        release(old)
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     roots = star.select(F.col("v").alias("node")).distinct()

@@ -34,7 +34,15 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def release(step: DataFrame) -> None:
+    """Delete what ``materialize`` wrote, once no plan that is still to run reads it."""
+    path = step.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(step.written_to)
+    path.getFileSystem(step.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

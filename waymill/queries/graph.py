@@ -184,7 +184,7 @@ O_J5 = E_SQL + f""" SELECT node_id, barrier FROM v_nodes WHERE barrier IS NOT NU
 def f17_box_clip(spark, sf):
     """Edges with either end in a box, and the nodes still used."""
     inside = lambda a, o: F.col(a).between(59.4, 60.1) & F.col(o).between(10.5, 11.5)
-    e = edges(spark, sf).filter(inside("src_lat", "src_lon") | inside("dst_lat", "dst_lon"))
+    e = materialize(edges(spark, sf).filter(inside("src_lat", "src_lon") | inside("dst_lat", "dst_lon")).select("src", "dst", "length_m"), "box")
     return e.agg(F.count(F.lit(1)).alias("n_edges"), F.round(F.sum("length_m"), 2).alias("m")).join(e.select(F.explode(F.array("src", "dst")).alias("n")).agg(F.count_distinct("n").alias("n_nodes")))
 
 
