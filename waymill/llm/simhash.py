@@ -20,7 +20,7 @@ share a cell that agree in two thirds of the segments. No link between different
 lost.
 
 Segments are narrow because the bound must tell: of two random fingerprints it lets through one
-pair in 6 * 10^7 with 32 segments of two bits, one in 4 * 10^4 with 16 of four and one in 170
+pair in 3 * 10^8 with 32 segments of two bits, one in 5 * 10^4 with 16 of four and one in 220
 with 8 of eight, whatever the grid.
 
 Defined cases: null and word-less texts have fingerprint 0 and link like any other; repeated
