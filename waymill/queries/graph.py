@@ -45,6 +45,25 @@ edges AS (SELECT way_id || '-' || seg || CASE WHEN back THEN '-rev' ELSE '' END
 """
 
 
+def s1_element_scan(spark, sf):
+    """Every element with the number of its refs or members and of its tags, by kind: nodes, ways and relations in one pass each."""
+    ways, refs, nodes = parts(spark, sf)
+    count = lambda df, *keys: sum((F.when(F.col(k).isNotNull(), 1).otherwise(0) for k in keys), F.lit(0))
+    per = refs.groupBy(F.col("way_id").alias("id")).agg(F.count(F.lit(1)).alias("refs"))
+    members = view(spark, sf, "v_members").groupBy(F.col("relation_id").alias("id")).agg(F.count(F.lit(1)).alias("refs"))
+    rows = nodes.select(F.lit("node").alias("kind"), F.col("node_id").alias("id"), F.lit(0).cast("long").alias("refs"), count(nodes, "name", "barrier", "amenity").alias("tags"))
+    rows = rows.unionByName(ways.select(F.lit("way").alias("kind"), F.col("way_id").alias("id"), count(ways, "name", "highway", "route").alias("tags")).join(per, "id", "left").select("kind", "id", F.coalesce("refs", F.lit(0)).alias("refs"), "tags"))
+    rel = view(spark, sf, "v_relations")
+    rows = rows.unionByName(rel.select(F.lit("relation").alias("kind"), F.col("relation_id").alias("id"), count(rel, "name", "type").alias("tags")).join(members, "id", "left").select("kind", "id", F.coalesce("refs", F.lit(0)).alias("refs"), "tags"))
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"), F.sum("refs").alias("refs"), F.sum("tags").cast("long").alias("tags"))
+
+
+O_S1 = with_views("v_ways", "v_way_nodes", "v_nodes", "v_relations", "v_members") + """ x AS (SELECT 'node' AS kind, node_id AS id, 0 AS refs, (name IS NOT NULL)::INT + (barrier IS NOT NULL)::INT + (amenity IS NOT NULL)::INT AS tags FROM v_nodes
+UNION ALL SELECT 'way', way_id, (SELECT count(*) FROM v_way_nodes r WHERE r.way_id = w.way_id), (name IS NOT NULL)::INT + (highway IS NOT NULL)::INT + (route IS NOT NULL)::INT FROM v_ways w
+UNION ALL SELECT 'relation', relation_id, (SELECT count(*) FROM v_members m WHERE m.relation_id = r.relation_id), (name IS NOT NULL)::INT + (type IS NOT NULL)::INT FROM v_relations r)
+SELECT kind, count(*) AS n, sum(id)::BIGINT AS ids, sum(refs)::BIGINT AS refs, sum(tags)::BIGINT AS tags FROM x GROUP BY 1"""
+
+
 def w1_w2_edges(spark, sf):
     """The slice: ways, refs and nodes to directed edges."""
     return edges(spark, sf).select("edge_id", "src", "dst", F.round("length_m", 3).alias("length_m"), F.round("weight", 3).alias("weight"), F.size("shape").alias("n_shape"), "surface_rank")
@@ -256,7 +275,7 @@ f AS (SELECT DISTINCT unnest([src, dst]) AS node FROM edges WHERE is_ferry)
 SELECT CASE WHEN n IS NULL THEN 'no_road' WHEN s.root = giant THEN 'ok' WHEN n < 10 THEN 'tiny' ELSE 'other_comp' END AS kind, count(*) AS n FROM f LEFT JOIN r ON r.x = f.node LEFT JOIN s USING (root), g GROUP BY 1"""
 
 PAIRS = [
-    (edges_by_class, O_CLASS), (w1_w2_edges, O_W1), (j1_m2_way_lengths, O_J1), (a1_junctions, O_A1), (a2_parallel_census, O_A2), (a3_a4_shares_and_minutes, O_A3), (a31_incident_surface, O_A31), (w3_cheapest_parallel, O_W3),
+    (edges_by_class, O_CLASS), (s1_element_scan, O_S1), (w1_w2_edges, O_W1), (j1_m2_way_lengths, O_J1), (a1_junctions, O_A1), (a2_parallel_census, O_A2), (a3_a4_shares_and_minutes, O_A3), (a31_incident_surface, O_A31), (w3_cheapest_parallel, O_W3),
     (w4_m19_surface_along_ways, O_W4), (w10_path_vertices, O_W10), (j2_way_tiles, O_J2), (k1_tiled_graph_sink, O_K1), (u1_merged_tile_graphs, O_U1), (j5_barriers_on_graph, O_J5), (f17_box_clip, O_F17), (f35_box_extract, O_F35), (m20_m21_energy, O_M20),
     (i1_a10_components, O_I1), (a15_i4_ferry_terminals, O_A15),
 ]

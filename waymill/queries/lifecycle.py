@@ -44,6 +44,26 @@ def r2_r3_sequence_gaps(spark, sf):
 O_R2 = """WITH s AS (SELECT event_id AS s, lead(event_id) OVER (ORDER BY event_id) AS n FROM events WHERE event_type <> 'view') SELECT s + 1 AS start, n - 1 AS "end", true AS before_tip FROM s WHERE n > s + 1"""
 
 
+MAX_AGE_DAYS = 20
+
+
+def r2_refresh_decision(spark, sf):
+    """Held extracts by provider: full refresh when too old or when the next diff is missing, else the diffs to apply, or nothing to do."""
+    e = table(spark, sf, "events")
+    diffs = e.filter("event_type <> 'view'").select(c("event_id").cast("long").alias("seq"))
+    tip = e.agg(F.max("event_id").alias("tip"), F.max("ts").alias("now"))  # one row
+    held = e.filter("event_type = 'signup'").groupBy(c("user_id").alias("provider")).agg(F.max(F.struct("event_id", "ts")).alias("h")).select("provider", c("h.event_id").alias("seq"), c("h.ts").alias("ts"))
+    after = diffs.select((c("seq") - 1).alias("seq"), F.lit(True).alias("has_next"))
+    known = held.join(after, "seq", "left").join(F.broadcast(tip))
+    old = F.unix_timestamp("now") - F.unix_timestamp("ts") > MAX_AGE_DAYS * 86400
+    fate = F.when(c("seq") == c("tip"), "current").when(old, "full_age").when(c("has_next").isNull(), "full_gap").otherwise("apply")
+    return known.select("provider", "seq", fate.alias("decision"))
+
+
+O_R2D = f"""WITH t AS (SELECT max(event_id) AS tip, max(ts) AS now FROM events), h AS (SELECT user_id AS provider, max(event_id) AS seq, arg_max(ts, event_id) AS ts FROM events WHERE event_type = 'signup' GROUP BY 1)
+SELECT provider, seq, CASE WHEN seq = tip THEN 'current' WHEN floor(epoch(now)) - floor(epoch(ts)) > {MAX_AGE_DAYS * 86400} THEN 'full_age' WHEN seq + 1 NOT IN (SELECT event_id FROM events WHERE event_type <> 'view') THEN 'full_gap' ELSE 'apply' END AS decision FROM h, t"""
+
+
 def r4_unchanged_content(spark, sf):
     """Fetches whose content is that of the provider's fetch before: skipped; the rest kept."""
     log = view(spark, sf, "v_log").withColumn("hash", F.sha2(c("props").cast("binary"), 256))
@@ -441,7 +461,7 @@ def k4_k5_report_sinks(spark, sf):
 O_K4 = "SELECT l_returnflag, count(*) AS n_json, sum(l_orderkey)::BIGINT AS keys, count(*) AS n FROM lineitem GROUP BY 1"
 
 PAIRS = [
-    (r1_changelog_apply, O_R1), (r2_r3_sequence_gaps, O_R2), (r4_unchanged_content, O_R4), (r5_feed_health, O_R5), (r6_pending_work, O_R6), (r7_hash_reuse, O_R7), (r8_promotion, O_R8), (w8_u8_version_dedup, O_W8), (w7_last_wins, O_W7),
+    (r1_changelog_apply, O_R1), (r2_r3_sequence_gaps, O_R2), (r2_refresh_decision, O_R2D), (r4_unchanged_content, O_R4), (r5_feed_health, O_R5), (r6_pending_work, O_R6), (r7_hash_reuse, O_R7), (r8_promotion, O_R8), (w8_u8_version_dedup, O_W8), (w7_last_wins, O_W7),
     (w11_w12_sparse_overrides, O_W11), (w14_t4_budgeted_selection, O_W14), (w15_size_retention, O_W15), (g1_size_bands, O_G1), (g1_j33_size_changes, O_J33), (g2_g3_regressions, O_G2), (g4_g5_domain_checks, O_G4), (g7_checksums, O_G7), (g8_identity, O_G8),
     (k6_k8_w9_catalogue, O_K6), (k7_catalogue_upsert, O_K7), (k9_manifest_status, O_K9), (a12_t6_tag_inventory, O_A12), (a11_a13_ferry_rollup, O_A11), (a17_coverage, O_A17), (a22_a24_f24_leaf_mapping, O_A22), (u4_u6_mapping_diff, O_U4),
     (a25_s9_tree_totals, O_A25), (a26_leaf_checks, O_A26), (a28_cache_merge, O_A28), (a29_a30_s18_pack_figures, O_A29), (a18_m25_corridor_stats, O_A18), (a20_j39_recall, O_A20), (a21_x25_run_summary, O_A21), (j28_terrain_refresh, O_J28),

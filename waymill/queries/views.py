@@ -101,6 +101,11 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         + ", ".join(f"{pick(e, v)} AS {t}" for t, (e, v) in NODE_TAGS.items())
         + " FROM (SELECT node_id AS n FROM {v_node_ids}) x",
     ),
+    "v_relations": (["customer"], "SELECT c_custkey AS relation_id, c_name AS name, " + pick("c_custkey", ["route", None, "boundary", "multipolygon"]) + " AS type FROM {customer}"),
+    "v_members": (
+        ["orders"],
+        "SELECT o_custkey AS relation_id, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS BIGINT) AS pos, 'way' AS member_type, o_orderkey AS ref, " + pick("o_orderkey * 3", ["outer", "inner", "", None, "stop"]) + " AS role FROM {orders}",
+    ),
     "v_points": (["customer"], "SELECT c_custkey AS point_id, 59 + (c_custkey * 6007 % 10007) / 5000.0e0 AS lat, 10 + (c_custkey * 7001 % 10009) / 5000.0e0 AS lon FROM {customer}"),
     "v_route_pairs": (["customer"], "SELECT c_custkey AS query, c_custkey AS a, c_custkey * 31 % (SELECT count(*) FROM {customer}) AS b FROM {customer}"),
     "v_regions": (
