@@ -164,3 +164,59 @@ def quality_score(models: list[dict[int, float]], text: str | None) -> float:
     """Of the mean of the models."""
     total = sum(sum(m.get(k, 0.0) for m in models) / len(models) * v for k, v in quality_features(text).items()) if models else 0.0
     return 1 / (1 + math.exp(-min(max(total, -30), 30)))
+
+
+_WORDS = "phone|telephone|tel|mobile|cell|call|fax|contact|ssn|social security|passport|licen[cs]e no|account|iban|card|id|e-?mail|mail|ip|address|telefon|handy|t[eé]l[eé]phone|tel[eé]fono|m[oó]vil|correo|konto"
+_OTHER = r"version|isbn|issn|doi|page|pages|chapter|section|figure|table|year|vol|no\.|\$|€|£|%"
+HINT = re.compile(rf"(?:{_WORDS})[ .:#=-]*\Z", re.I | re.A)
+AGAINST = re.compile(rf"(?:{_OTHER})[ .:#=-]*\Z", re.I | re.A)
+NUMBER = re.compile(r"(?<![0-9A-Za-z.+-])\(?[0-9]{2,4}\)?(?:[ .-][0-9]{2,5}){1,3}(?![0-9A-Za-z-])")
+SHAPE = {
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@([A-Za-z0-9-]+\.)+[A-Za-z]{2,}\Z", "ip": r"(?!0)[0-9]{1,3}(\.[0-9]{1,3}){3}\Z", "card": r"[3-6][0-9]{3}([ -]?[0-9]){9,15}\Z", "phone": r"\+[1-9][0-9]{0,2}[ (.-]",
+    "number": r"(\(?[2-9][0-9]{2}\)?[ .-][0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4})\Z",
+}
+
+
+def all_personal_spans(texts: list[str | None]) -> list[str]:
+    """Base spans and the numbers that voting, expectation-maximisation and naive Bayes over all texts accept."""
+    rows = []  # text number, kind, start, end, votes, features
+    for no, text in enumerate(t or "" for t in texts):
+        base = personal_spans(text)
+        for kind, pattern in {**PERSONAL, "card": re.compile(r"[0-9]([\x20-]?[0-9]){12,}"), "number": NUMBER}.items():
+            hits = list(pattern.finditer(text))
+            for i, m in enumerate(hits):
+                start, end = m.span()
+                if kind == "number" and (not 7 <= len(re.sub("[^0-9]", "", m[0])) <= 12 or any(s < end and start < e for _, s, e in base)):
+                    continue
+                if kind != "number" and (kind, start, end) not in base:
+                    continue
+                left = text[hits[i - 1].start() if i else 0 : start][-24:]
+                right = text[end : hits[i + 1].end() if i + 1 < len(hits) else len(text)][:24]
+                strict = bool(re.match(SHAPE[kind], m[0]))
+                alone = (not left or left[-1] in " \n\"'(:=") and (not right or right[0] in " \n\"'),;.!?")
+                joined_on = bool(re.search(r"[A-Za-z0-9_/.,-]\Z", left) or re.match("[A-Za-z0-9_/]", right))
+                vote = lambda good, bad: -1 if bad else 1 if good else 0
+                votes = (vote(strict, not strict), vote(HINT.search(left), AGAINST.search(left)), vote(alone, joined_on))
+                marks = "".join(dict.fromkeys(c for c in m[0] if c in " ().@-"))
+                word = "word" if HINT.search(left) else "start" if not left else "space" if left[-1] in " \n" else "other"
+                rows.append((no, kind, start, end, votes, (("size", kind, min((end - start) // 4, 8)), ("marks", kind, marks), ("left", kind, word), ("shape", kind, strict))))
+    counts = Counter(r[4] for r in rows)
+    post = {v: min(max(0.5 + 0.15 * sum(v), 0.05), 0.95) for v in counts}
+    for _ in range(50):
+        weight = lambda v, y: counts[v] * (post[v] if y else 1 - post[v])
+        mass = [sum(weight(v, y) for v in counts) for y in (0, 1)]
+        rate = {(y, i, x): 0.1 + sum(weight(v, y) for v in counts if v[i] == x) for y in (0, 1) for i in range(3) for x in (-1, 0, 1)}
+        chance = lambda v, y: math.log(max(mass[y], 0.5)) + sum(math.log(rate[y, i, v[i]] / sum(rate[y, i, x] for x in (-1, 0, 1))) for i in range(3))
+        post = {v: 1 / (1 + math.exp(min(max(chance(v, 0) - chance(v, 1), -50), 50))) for v in counts}
+    yes, no = sum(post[v] * n for v, n in counts.items()) + 1, sum((1 - post[v]) * n for v, n in counts.items()) + 1
+    tally: dict = {}
+    for *_, votes, features in rows:
+        for f in features:
+            a, b = tally.get(f, (0.0, 0.0))
+            tally[f] = (a + post[votes], b + 1 - post[votes])
+    log_odds = {f: math.log((a + 0.5) / (yes + 1)) - math.log((b + 0.5) / (no + 1)) for f, (a, b) in tally.items()}
+    out: list[list] = [[] for _ in texts]
+    for at, kind, start, end, _, features in rows:
+        if kind != "number" or math.log(yes / no) + sum(log_odds[f] for f in features) >= math.log(9):
+            out[at].append(([*PERSONAL, "number"].index(kind), start, end))
+    return [joined([([*PERSONAL, "number"][k], s, e) for k, s, e in sorted(spans)]) for spans in out]

@@ -102,6 +102,15 @@ def test_personal_weak_numbers(spark):
     assert all((got[200 + i]["n_email"], got[200 + i]["n_phone"]) == (1, 1) for i in range(40))
 
 
+def test_personal_equals_plain_votes_and_models(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + [(10**6 + i, t) for i, t in enumerate(ODD)]
+    rows += [(2 * 10**6 + i, t) for i, t in enumerate([f"please phone 555-{100 + i}-4567 now" for i in range(40)] + [f"see version 10.{20 + i}.3000-x and page 12-345{i}" for i in range(40)])]
+    got = {r["doc_id"]: r["spans"] for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = dict(zip([i for i, _ in rows], brute.all_personal_spans([t for _, t in rows]), strict=True))
+    assert got == want and any("number" in s for s in want.values())
+
+
 def test_reliabilities_separate_agreeing_labelers():
     found = pii.reliabilities({26: 50, 25: 30, 0: 60, 1: 20})
     assert found[26] > 0.9 > 0.1 > found[0] and pii.reliabilities({}) == {}
@@ -405,3 +414,15 @@ def test_pipeline_stages_against_plain_versions(spark, sf):
     done = p.run(spark, sf).collect()
     assert Counter(r["doc_id"] for r in done) == Counter(r["doc_id"] for r in mixed.collect())
     assert all(r["n_tokens"] == len(sp.encode(kept[r["doc_id"]])) + 2 for r in done)
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, odd, none, labels, tmp_path):
+    import corpus_pipeline as p
+
+    good = spark.createDataFrame([(i, 1) for i in range(100) if i not in (13, 23)] + [(13, 0), (23, 0)], "doc_id long, quality int").withColumn("toxic", F.lit(0))
+    for name, docs, marks in (("odd", odd, good), ("empty", none, labels.limit(0)), ("unlabelled", odd, labels.limit(0))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        marks.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        got = p.run(spark, f"{tmp_path}/{name}")
+        assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        assert (got.count() == 0) == (name == "empty")
