@@ -328,9 +328,8 @@ def ferries(spark, sf) -> DataFrame:
     return way_chords(spark, sf).join(some, "way_id").withColumnRenamed("way_id", "ferry_id")
 
 
-def published_ferries(spark, sf) -> DataFrame:
+def published(f: DataFrame) -> DataFrame:
     """The ferries as an earlier pack holds them: moved by up to 4 km, every other one turned, some without a name."""
-    f = ferries(spark, sf)
     lat, odd = (c("ferry_id") % 13) * 0.003, c("ferry_id") % 2 == 1
     return f.select(
         (c("ferry_id") + 1_000_000_000).alias("pack_id"), F.when(c("ferry_id") % 4 != 0, c("name")).alias("pack_name"), (F.when(odd, c("lat2")).otherwise(c("lat1")) + lat).alias("u1"), F.when(odd, c("lon2")).otherwise(c("lon1")).alias("v1"),
@@ -359,7 +358,8 @@ PROXIMITY_M = 2500.0
 
 def j13_ferry_match(spark, sf):
     """Each ferry and the published ferry whose ends are nearest in sum, halved for equal names, up to twice 2500 m."""
-    f, p = ferries(spark, sf), published_ferries(spark, sf)
+    f = materialize(ferries(spark, sf), "ferries")
+    p = published(f)
     near = ferry_pairs(f, p, 2 * PROXIMITY_M).select("ferry_id", "pack_id", F.when((c("name") != "") & (c("name") == c("pack_name")), c("metres") / 2).otherwise(c("metres")).alias("score"))
     named = ferry_pairs(f, p, 4 * PROXIMITY_M, same_name=True).select("ferry_id", "pack_id", (c("metres") / 2).alias("score"))
     return near.unionByName(named).groupBy("ferry_id").agg(F.min_by("pack_id", F.struct("score", "pack_id")).alias("pack_id"), F.round(F.min("score"), 2).alias("score"))
@@ -377,7 +377,8 @@ SELECT ferry_id, arg_min(pack_id, (score, pack_id)) AS pack_id, round(min(score)
 
 def j14_wrong_admissions(spark, sf):
     """Published ferries nearest to a ferry that cars may not take, ends within 1600 m in sum, and nearer to it than to any car ferry."""
-    near = ferry_pairs(ferries(spark, sf), published_ferries(spark, sf), 1600.0)
+    f = materialize(ferries(spark, sf), "ferries")
+    near = ferry_pairs(f, published(f), 1600.0)
     best = near.groupBy("pack_id").agg(F.min(F.when(~c("is_car"), F.struct("metres", "ferry_id"))).alias("other"), F.min(F.when(c("is_car"), c("metres"))).alias("car_m"))
     return best.filter("other is not null and (car_m is null or other.metres < car_m)").select("pack_id", c("other.ferry_id").alias("ferry_id"), F.round("other.metres", 1).alias("metres"))
 
