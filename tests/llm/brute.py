@@ -220,3 +220,75 @@ def all_personal_spans(texts: list[str | None]) -> list[str]:
         if kind != "number" or math.log(yes / no) + sum(log_odds[f] for f in features) >= math.log(9):
             out[at].append(([*PERSONAL, "number"].index(kind), start, end))
     return [joined([([*PERSONAL, "number"][k], s, e) for k, s, e in sorted(spans)]) for spans in out]
+
+
+def buckets(text: str | None) -> list[int]:
+    """crc32 modulo 10000 of each word of op13."""
+    low = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    return [zlib.crc32(w.encode()) % 10000 for w in re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", low)]
+
+
+def resampled(docs: list[tuple[int, str | None]], target: list[str | None]) -> list[tuple]:
+    """(doc_id, n_features, weight, score, rank) by one sort; equal keys in the order given."""
+    found = [buckets(t) for _, t in docs]
+    s, t = Counter(b for f in found for b in f), Counter(b for x in target for b in buckets(x))
+    s_all, t_all = sum(s.values()), sum(t.values())
+    gain = lambda b: math.floor(1000 * math.log((t[b] + 1) * (s_all + 10000) / ((s[b] + 1) * (t_all + 10000))))
+    rows = []
+    for (i, _), f in zip(docs, found, strict=True):
+        h = int(hashlib.sha256(f"2024:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        weight = sum(map(gain, f))
+        rows.append([i, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None])
+    able = sorted((r for r in rows if r[1] >= 20), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for rank, r in enumerate(able[: 10 * len(able) // 100], 1):
+        r[4] = rank
+    return [tuple(r) for r in rows]
+
+
+def aligned(docs: list[tuple[int, str | None]], a, b) -> list[tuple]:
+    """Rows of op11, from whole texts encoded at once by the two libraries."""
+    own = [n for n in range(256) if 33 <= n <= 126 or 161 <= n <= 172 or 174 <= n <= 255]
+    letters = {chr(n): n for n in own} | {chr(256 + k): n for k, n in enumerate(n for n in range(256) if n not in own)}
+
+    def piece(i: int) -> bytes:
+        p = b.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("\u2581", " ").encode()
+
+    def placed(ids: list[int], of) -> list[tuple[int, int, int]]:
+        out, at = [], 0
+        for i in ids:
+            out.append((at, at := at + len(of(i)), i))
+        return out
+
+    rows, held = [], Counter()
+    for doc_id, text in docs:
+        left = placed(a.encode(f" {text}", add_special_tokens=False).ids if text else [], lambda i: bytes(letters[c] for c in a.id_to_token(i)))
+        right = placed(b.encode(text) if text else [], piece)
+        whole = f" {text}".encode()
+        if not text or b"".join(bytes(letters[c] for c in a.id_to_token(i)) for *_, i in left) != whole or b"".join(piece(i) for *_, i in right) != whole:
+            rows.append((doc_id, 0, 0, [], None))
+            continue
+        links, groups, p, q, at = [], [], 0, 0, 0
+        for s, e, i in left:
+            while right[at][1] <= s:
+                at += 1
+            k = at
+            while k < len(right) and right[k][0] < e:
+                links.append((i, right[k][2]))
+                k += 1
+        for end in sorted({e for _, e, _ in left} & {e for _, e, _ in right}):
+            x, y = p, q
+            while p < len(left) and left[p][1] <= end:
+                p += 1
+            while q < len(right) and right[q][1] <= end:
+                q += 1
+            groups.append(",".join(str(i) for *_, i in left[x:p]) + "|" + ",".join(str(i) for *_, i in right[y:q]))
+        held.update(set(links))
+        rows.append((doc_id, len(left), len(right), links, groups))
+    top: Counter = Counter()
+    for (i, _), n in held.items():
+        top[i] = max(top[i], n)
+    return [
+        (i, n_a, n_b, len(groups or ()), len(links), sum(held[x] == top[x[0]] for x in links), sum(held[x] for x in links), "" if groups is None else sha(";".join(groups)))
+        for i, n_a, n_b, links, groups in rows
+    ]

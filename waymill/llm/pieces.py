@@ -160,7 +160,7 @@ def _blocks(texts: pd.Series) -> Iterator[list[str]]:
         yield block
 
 
-def _ship(docs: DataFrame, model_file: str) -> str:
+def ship(docs: DataFrame, model_file: str) -> str:
     """Send the vocabulary file with the job; executors open their own copy."""
     sc, name = docs.sparkSession.sparkContext, model_file.rsplit("/", 1)[-1]
     if not any(f.endswith(f"/{name}") for f in sc.listFiles):
@@ -170,7 +170,7 @@ def _ship(docs: DataFrame, model_file: str) -> str:
 
 def _pieces(docs: DataFrame, model_file: str, row, kind: str):
     """An iterator pandas UDF over the shared table; ``row(ids, decoded)`` gives a result row."""
-    name = _ship(docs, model_file)
+    name = ship(docs, model_file)
     shared = docs.sparkSession.sparkContext.broadcast(chunk_table(docs, name))
 
     @F.pandas_udf(kind)

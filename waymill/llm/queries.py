@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymill.llm import classifier, exact_dedup, lm_score, mixing, pieces, pii, preferences, rules, secrets, simhash
+from waymill.llm import alignment, classifier, exact_dedup, importance, lm_score, mixing, pieces, pii, preferences, rules, secrets, simhash, toxicity
 from waymill.operators.shared import table
 
 
@@ -59,6 +59,18 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -73,6 +85,9 @@ QUERIES = {
         op8_cross_entropy,
         op9_sentencepiece,
         op10_simhash_near_dedup,
+        op11_token_alignment,
+        op12_toxicity,
+        op13_importance_resampling,
     )
 }
 
@@ -130,4 +145,20 @@ SELECT n.pair_id, n::INT AS prompt_turns, coalesce(a.s, '') AS prompt, coalesce(
   coalesce(d.s, '') AS rejected, coalesce(d.mask, '') AS rejected_mask
 FROM n LEFT JOIN done a ON a.pair_id = n.pair_id AND a.part = 'prompt' LEFT JOIN done b ON b.pair_id = n.pair_id AND b.part = 'chosen'
 LEFT JOIN done d ON d.pair_id = n.pair_id AND d.part = 'rejected'""",
+    "op13_importance_resampling": r"""
+WITH low AS (SELECT doc_id, 0 AS side, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL SELECT NULL, 1, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+numbered AS (SELECT *, row_number() OVER () AS row FROM low),
+occurrences AS (SELECT row, doc_id, side, unnest(w) AS word FROM numbered),
+words AS (SELECT DISTINCT word, hex(encode(word)) AS h FROM occurrences),
+steps AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) AS r(i))),
+buckets AS (SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) % 10000 AS bucket FROM words, steps),
+counts AS (SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM occurrences JOIN buckets USING (word) GROUP BY bucket),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1.0::DOUBLE) * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1.0::DOUBLE) * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM counts),
+sums AS (SELECT row, count(*) AS n, sum(gain)::BIGINT AS weight FROM occurrences JOIN buckets USING (word) JOIN gains USING (bucket) WHERE side = 0 GROUP BY row),
+scored AS (SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+  (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE))))::BIGINT AS score
+  FROM numbered LEFT JOIN sums USING (row) WHERE side = 0),
+ordered AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place, count(*) FILTER (n_features >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM ordered""",
 }
