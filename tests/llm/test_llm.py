@@ -303,6 +303,22 @@ def test_cross_entropy_keeps_rare_words_and_pairs(spark, monkeypatch, hot):
     assert scores(lm_score.score(spark.createDataFrame(rows, "doc_id long, text string"), labels)) == plain_cross_entropy(rows, {1000, 1002, 3})
 
 
+@pytest.mark.parametrize("most", [0, 1 << 22])
+def test_cross_entropy_of_shuffled_rows(spark, monkeypatch, most):
+    """Either join, with rows in no order, partitions as dealt and next to no pair looked up in place."""
+    for name, value in (("TARGET_IDS", most), ("HOT", 1), ("BLOCK_DOCS", 7)):
+        monkeypatch.setattr(lm_score, name, value)
+    random.seed(6)
+    rows = [(i if i % 17 else 5, " ".join(f"w{random.randrange(400)}" for _ in range(60))) for i in range(300)] + [(None, "w1 w2"), (3, None)]
+    labels = spark.createDataFrame([(i, i % 3 % 2) for i in range(300)], "doc_id long, quality int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = scores(lm_score.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), labels))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == plain_cross_entropy(rows, {i for i in range(300) if i % 3 == 1})
+
+
 def test_cross_entropy_prefers_the_target(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     got = {r["quality"]: r["m"] for r in lm_score.score(docs, labels).join(labels, "doc_id").groupBy("quality").agg(F.avg("score").alias("m")).collect()}

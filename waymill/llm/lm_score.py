@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,11 +55,12 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def flagged(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """row (a number), doc_id, text, target (0 or 1) for every row."""
+    """doc_id, text, target (0 or 1) for every row, in an order that a task run again repeats."""
     named = materialize(labels.filter(F.col("doc_id").isNotNull() & (F.col(label) == 1)).select(F.col("doc_id").alias("target_id")).distinct(), "targets")
     few = named.count() <= TARGET_IDS
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").join(F.broadcast(named) if few else named.hint("merge"), F.col("doc_id") == F.col("target_id"), "left")
-    return rows.select("row", "doc_id", "text", F.col("target_id").isNotNull().cast("int").alias("target"))
+    ordered = rows if few else rows.sortWithinPartitions("row")  # a broadcast keeps the order of the scan, an exchange has none
+    return ordered.select("doc_id", "text", F.col("target_id").isNotNull().cast("int").alias("target"))
 
 
 def word_codes(words: list[bytes]) -> np.ndarray:
@@ -81,7 +83,7 @@ def coded(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(batch part, lengths, keys, counts, owners) of blocks of rows (row, doc_id, text, target): each document's distinct keys, with their counts."""
+    """(batch part, lengths, keys, counts, owners) of blocks of rows (doc_id, text, target): each document's distinct keys, with their counts."""
     for batch in batches:
         texts, begin, size = batch.column("text").to_pylist(), 0, 0
         for i, t in enumerate(texts):
@@ -184,8 +186,11 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row a document (key -1) with its words and what its hot pairs gain; then arrays of the other pairs by bucket."""
         hot, hot_gain = shared.value
+        named = TaskContext.get().partitionId() << 40  # rows are named by task and place, whatever order they come in
         for part, lengths, keys, n, owners in blocks(batches):
-            row, docs_, flags = part.column("row").to_numpy(), len(lengths), target_of(part)
+            docs_, flags = len(lengths), target_of(part)
+            row = named + np.arange(docs_)
+            named += docs_
             at = np.minimum(np.searchsorted(hot, keys), max(len(hot) - 1, 0))
             hit = hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
             known = np.bincount(owners[hit], weights=(n[hit] * hot_gain[at[hit]]) if len(hot) else None, minlength=docs_).astype(np.float64)
@@ -200,7 +205,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "bucket": pa.array(np.concatenate([row % buckets, bucket[first]]), pa.int32()),
-                    "base": pa.array(np.concatenate([row, np.full(more, row[0] if docs_ else 0)]), pa.int64()),
+                    "base": pa.array(np.concatenate([row, np.full(more, named - docs_)]), pa.int64()),
                     "doc_id": pa.concat_arrays([part.column("doc_id"), pa.nulls(more, part.column("doc_id").type)]),
                     "n_words": pa.concat_arrays([pa.array(lengths), pa.nulls(more, pa.int64())]),
                     "known": pa.concat_arrays([pa.array(known), pa.nulls(more, pa.float64())]),
