@@ -33,9 +33,11 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import os
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -66,8 +68,46 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Aligned(NamedTuple):
+    """Chunks in columns: numbers of tokens (-1 where the bytes differ), groups and links, the links' keys one chunk after another, the groups as text."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    keys: np.ndarray
+    groups: list[str]
+
+    def __add__(self, other: Aligned) -> Aligned:
+        return Aligned(*[np.concatenate([x, y]) for x, y in zip(self[:5], other[:5], strict=True)], self.groups + other.groups)
+
+    def first(self, n: int) -> Aligned:
+        return Aligned(*[x[:n] for x in self[:4]], self.keys[: int(self.n_links[:n].sum())], self.groups[:n])
+
+
+class Documents(NamedTuple):
+    """Texts in columns; ``keys`` and ``owners`` have an entry a link."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    digests: list[str]
+    keys: np.ndarray
+    owners: np.ndarray
+
+
+def _none() -> Aligned:
+    return Aligned(*[np.zeros(0, np.int64)] * 5, [])
+
+
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    counts = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(counts.sum())), counts
+
+
 class Aligner:
-    """Groups and links of chunks."""
+    """Groups and links of chunks, all chunks of a call at once."""
 
     def __init__(self, a_file: str, b_file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -75,59 +115,74 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
         letters = _byte_level()
-        self.a_bytes = [bytes(map(letters.__getitem__, self.a.id_to_token(i))) if set(self.a.id_to_token(i) or "") <= set(letters) else b"" for i in range(self.a.get_vocab_size())]
+        names = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
+        self.a_bytes = [bytes(map(letters.__getitem__, x)) if set(x) <= set(letters) else b"" for x in names]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
         crossing = [p for p in pieces if MARK in p.lstrip(MARK)]
         if crossing:
             raise ValueError(f"pieces cross markers: {crossing[:3]}")
-        self.a_len = np.array(list(map(len, self.a_bytes)), np.int64)
-        self.b_len = np.array(list(map(len, self.b_bytes)), np.int64)
-        self.known: dict[str, tuple] = {}
-
-    def align(self, chunks: list[str]) -> list[tuple | None]:
-        """(n_a, n_b, n_groups, text of the groups, keys of the linked pairs, with repeats); None where the bytes differ."""
+        self.a_len = np.fromiter(map(len, self.a_bytes), np.int64)
+        self.b_len = np.fromiter(map(len, self.b_bytes), np.int64)
+        decimal = list(map(str, range(max(len(names), len(pieces)))))
+        self.decimal = np.array([x + mark for mark in (",", "|", ";", "") for x in decimal], object).reshape(4, -1)
+        self.index: dict[str, int] = {}
+        self.known = _none()
+
+    def align(self, chunks: list[str]) -> Aligned:
+        if not chunks:
+            return _none()
         a_ids = [e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
         b_ids = self.b.encode(chunks, num_threads=1)
-        out: list[tuple | None] = []
-        for chunk, a, b in zip(chunks, a_ids, b_ids, strict=True):
-            whole = b" " + chunk.encode("utf-8", "surrogatepass")
-            if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
-                out.append(None)
-                continue
-            if len(a) == 1 or len(b) == 1:  # one group, every pair linked
-                keys = [x << 32 | y for x in a for y in b]
-                out.append((len(a), len(b), 1, ",".join(map(str, a)) + "|" + ",".join(map(str, b)), keys))
-                continue
-            a_ends, b_ends = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
-            ends = np.union1d(a_ends, b_ends)  # each stretch between two ends is the overlap of one pair
-            keys = np.array(a, np.int64)[np.searchsorted(a_ends, ends)] << 32 | np.array(b, np.int64)[np.searchsorted(b_ends, ends)]
-            shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
-            a_to, b_to = np.searchsorted(a_ends, shared) + 1, np.searchsorted(b_ends, shared) + 1
-            groups, i, j = [], 0, 0
-            for x, y in zip(a_to.tolist(), b_to.tolist(), strict=True):
-                groups.append(",".join(map(str, a[i:x])) + "|" + ",".join(map(str, b[j:y])))
-                i, j = x, y
-            out.append((len(a), len(b), len(groups), ";".join(groups), keys.tolist()))
-        return out
-
-    def block(self, texts: list[str | None]) -> Iterator[tuple | None]:
-        """(n_a, n_b, n_groups, groups, keys) of each text; None without tokens."""
+        whole = [b" " + c.encode("utf-8", "surrogatepass") for c in chunks]
+        same = [b"".join(map(self.a_bytes.__getitem__, a)) == b"".join(map(self.b_bytes.__getitem__, b)) == w for a, b, w in zip(a_ids, b_ids, whole, strict=True)]
+        good = np.array(same)
+        (a, n_a), (b, n_b) = _flat([x for x, ok in zip(a_ids, same, strict=True) if ok]), _flat([x for x, ok in zip(b_ids, same, strict=True) if ok])
+        # The chunks stand one after another: both tokenizers cut the same bytes, and both cut between chunks.
+        chunk_ends = np.cumsum(np.fromiter(map(len, itertools.compress(whole, same)), np.int64))
+        a_ends, b_ends = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
+        ends, shared = np.union1d(a_ends, b_ends), np.intersect1d(a_ends, b_ends, assume_unique=True)
+        keys = a[np.searchsorted(a_ends, ends)] << 32 | b[np.searchsorted(b_ends, ends)]  # a stretch between two ends is the overlap of one pair
+        upto = lambda x: np.diff(np.searchsorted(x, chunk_ends, "right"), prepend=0)
+        # Text: A's ids of a group, then B's; what follows an id says what comes next.
+        place = np.concatenate([2 * np.searchsorted(shared, a_ends), 2 * np.searchsorted(shared, b_ends) + 1])
+        order = np.argsort(place, kind="stable")
+        place = place[order]
+        step = np.diff(place, append=-1)
+        mark = np.where(step == 0, 0, np.where(place % 2 == 0, 1, 2))
+        last = np.cumsum(n_a + n_b)
+        mark[last - 1] = 3
+        words = self.decimal[mark, np.concatenate([a, b])[order]].tolist()
+        groups = iter(["".join(words[i:j]) for i, j in zip([0, *last[:-1].tolist()], last.tolist(), strict=True)] if len(last) else [])
+
+        def spread(values: np.ndarray, missing: int) -> np.ndarray:
+            out = np.full(len(chunks), missing, np.int64)
+            out[good] = values
+            return out
+
+        return Aligned(spread(n_a, -1), spread(n_b, -1), spread(upto(shared), 0), spread(upto(ends), 0), keys, [next(groups) if ok else "" for ok in same])
+
+    def block(self, texts: list[str | None]) -> Documents:
         cut = [CUT.split(t) if t else [] for t in texts]
-        new = [c for c in dict.fromkeys(c for words in cut for c in words) if c not in self.known]
-        found = dict(zip(new, self.align(new), strict=True)) if new else {}
-        for c in new:
-            if len(self.known) >= MEMO:
-                break
-            if len(c) <= MEMO_CHARS:
-                self.known[c] = found[c]
-        for words in cut:
-            parts = [self.known[c] if c in self.known else found[c] for c in words]
-            if not parts or None in parts:
-                yield None
-                continue
-            n_a, n_b, n_groups, groups, keys = zip(*parts, strict=True)
-            yield sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), [k for x in keys for k in x]
+        new = [c for c in dict.fromkeys(itertools.chain.from_iterable(cut)) if c not in self.index]
+        new.sort(key=lambda c: len(c) > MEMO_CHARS)  # what a task may remember comes first
+        number = self.index | {c: i for i, c in enumerate(new, len(self.index))} if new else self.index
+        table = self.known + self.align(new)
+        at, counts = _flat([[number[c] for c in words] for words in cut])
+        owner = np.repeat(np.arange(len(texts)), counts)
+        bad = np.zeros(len(texts), bool)
+        bad[owner[table.n_a[at] < 0]] = True
+        bad[counts == 0] = True
+        at, owner = at[~bad[owner]], owner[~bad[owner]]
+        n_a, n_b, n_groups, n_links = (np.bincount(owner, x[at], minlength=len(texts)).astype(np.int64) for x in table[:4])
+        begin, many = np.cumsum(table.n_links) - table.n_links, table.n_links[at]
+        within = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        digests = ["" if no else hashlib.sha256(";".join([table.groups[number[c]] for c in words]).encode()).hexdigest() for no, words in zip(bad.tolist(), cut, strict=True)]
+        keep = min(len(new), max(0, MEMO - len(self.index)), sum(len(c) <= MEMO_CHARS for c in new))
+        if keep:
+            self.known = table.first(len(self.index) + keep)
+            self.index |= {c: number[c] for c in new[:keep]}
+        return Documents(n_a, n_b, n_groups, n_links, digests, table.keys[np.repeat(begin[at], many) + within], np.repeat(owner, many))
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -154,14 +209,18 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
 
 def runs_of(keys: np.ndarray, owners: np.ndarray, radixes: int) -> Iterator[tuple[int, bytes, bytes]]:
     """(radix, packed pairs, packed postings) of a block's links: key of the pair and number of the document."""
-    radix = (keys >> 32) % radixes
-    order = np.lexsort((owners, keys, radix))
-    keys, owners, radix = keys[order], owners[order], radix[order]
-    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])]))
-    links = np.diff(first, append=len(keys))
-    keys, owners, radix = keys[first], owners[first], radix[first]
+    a, b = keys >> 32, keys & 0xFFFFFFFF
+    ids = int(a.max(initial=0)) // radixes + 1
+    # One number a link, by radix, A id, B id and document: below 2^63 for vocabularies of 2^24 ids.
+    coded = np.sort(((a % radixes * ids + a // radixes) << 24 | b) << 14 | owners)
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(coded)), bool), coded[1:] != coded[:-1]]))
+    links = np.diff(first, append=len(coded))
+    coded = coded[first]
+    owners, b, a = coded & (BLOCK_DOCS - 1), coded >> 14 & 0xFFFFFF, coded >> 38
+    radix = a // ids
+    keys = (a % ids * radixes + radix) << 32 | b
     cuts = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), radix[1:] != radix[:-1]]))
-    for begin, end in zip(cuts, np.append(cuts[1:], len(keys)), strict=True):
+    for begin, end in zip(cuts, np.append(cuts[1:], len(keys))[: len(cuts)], strict=True):
         k, o, n = keys[begin:end], owners[begin:end], links[begin:end]
         new = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
         pairs = np.concatenate([_steps(k[new] >> 32), k[new] & 0xFFFFFFFF, np.diff(new, append=len(k))]).astype("<u4")
@@ -197,19 +256,11 @@ def spill(docs: DataFrame, a_name: str, b_name: str, radixes: int) -> DataFrame:
         for batch in batches:
             for begin, end in _blocks(batch):
                 part = batch.slice(begin, end - begin)
-                rows, keys, owners = [], [], []
-                for at, found in enumerate(aligner.block(part.column("text").to_pylist())):
-                    if found is None:
-                        rows.append((0, 0, 0, 0, ""))
-                        continue
-                    n_a, n_b, n_groups, groups, pairs = found
-                    rows.append((n_a, n_b, n_groups, len(pairs), hashlib.sha256(groups.encode()).hexdigest()))
-                    keys.append(np.array(pairs, np.int64))
-                    owners.append(np.full(len(pairs), at, np.int64))
+                found = aligner.block(part.column("text").to_pylist())
                 block = part.column("row")[0].as_py()
-                runs = list(runs_of(np.concatenate(keys), np.concatenate(owners), radixes)) if keys else []
-                columns = list(zip(*rows, strict=True))
-                own = [pa.array([x], pa.list_(t)) for x, t in zip(columns, [pa.int64()] * 4 + [pa.string()], strict=True)]
+                runs = list(runs_of(found.keys, found.owners, radixes))
+                own = [pa.ListArray.from_arrays(pa.array([0, end - begin], pa.int32()), pa.array(x)) for x in found[:4]]
+                own.append(pa.array([found.digests], pa.list_(pa.string())))
                 ids = pa.ListArray.from_arrays(pa.array([0, end - begin], pa.int32()), part.column("doc_id"))
                 more = len(runs)
                 yield pa.RecordBatch.from_arrays(
@@ -278,8 +329,8 @@ def contributions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     wider[:, : sums.shape[1]] = sums
                 docs += size - (0 if sums is None else sums.shape[1])
                 held[block] = sums = wider
-            np.add.at(sums[0], owners, links * np.repeat(counts[at], n))
-            np.add.at(sums[1], owners, links * np.repeat(best[at], n))
+            sums[0, :size] += np.bincount(owners, links * np.repeat(counts[at], n)).astype(np.int64)  # exact below 2^53
+            sums[1, :size] += np.bincount(owners, links * np.repeat(best[at], n)).astype(np.int64)
 
     now, runs = None, []
     for batch in batches:
