@@ -31,12 +31,13 @@ def _measure(s: Column, units: dict[str, float], default: str) -> Column:
 
 
 def _length(s: Column) -> Column:
-    """Feet may be followed by inches; any other length is one number and a unit, metres if none."""
+    """Feet, of either sign, may be followed by inches; any other length is one number above 0 and a unit, metres if none."""
     low = F.lower(s)
     feet, unit, left = _pieces(low)
     inches, mark, more = _pieces(left)
-    both = unit.isin(*FEET) & feet.isNotNull() & inches.isNotNull() & mark.isin(*INCHES) & (more == "")
-    return F.when(both, feet * LENGTH_UNITS["ft"] + inches * LENGTH_UNITS["in"]).otherwise(_measure(low, LENGTH_UNITS, "m"))
+    both = unit.isin(*FEET) & feet.isNotNull() & (inches >= 0) & mark.isin(*INCHES) & (more == "")
+    alone = unit.isin(*FEET) & feet.isNotNull() & (left == "") & ~F.contains(low, F.lit(","))
+    return F.when(both, feet * LENGTH_UNITS["ft"] + inches * LENGTH_UNITS["in"]).when(alone, feet * LENGTH_UNITS["ft"]).otherwise(_measure(low, LENGTH_UNITS, "m"))
 
 
 def _weight(s: Column) -> Column:

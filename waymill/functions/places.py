@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from waymill.functions.maps import last_wins
+
 # POI words, route networks.
 WATER = ("drinking_water", "fountain", "water_point")
 CABIN = ("wilderness_hut", "alpine_hut", "hostel", "camp_site", "camp_pitch")
@@ -102,7 +104,15 @@ def display_name(prefix: Column) -> Column:
 def humanised(region_id: Column) -> Column:
     """Underscores to spaces, the first letter up, the rest as it is."""
     s = F.replace(region_id, F.lit("_"), F.lit(" "))
-    return F.concat(F.upper(F.left(s, F.lit(1))), F.substring(s, 2, 1 << 20))
+    return F.concat(F.upper(F.left(s, F.lit(1))), F.substr(s, F.lit(2)))
+
+
+def line_options(words: Column) -> Column:
+    """key=value words of a line: ``values``, the last of a key, and ``terrain``, the distinct classes of all terrain_class words (parted by comma or plus)."""
+    own = F.filter(words, lambda w: w.contains("="))
+    pairs = F.transform(own, lambda w: F.struct(F.lower(F.substring_index(w, "=", 1)).alias("key"), F.regexp_replace(w, "^[^=]*=", "").alias("value")))
+    classes = F.flatten(F.transform(F.filter(pairs, lambda p: p["key"] == "terrain_class"), lambda p: F.split(F.lower(p["value"]), "[,+]")))
+    return F.struct(last_wins(F.filter(pairs, lambda p: p["key"] != "terrain_class")).alias("values"), F.array_distinct(F.filter(classes, lambda x: x != "")).alias("terrain"))
 
 
 def continent(leaf: Column) -> Column:

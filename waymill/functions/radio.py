@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from waymill.functions.maps import last_wins
+
 # Emission designators and words.
 DESIGNATORS = {"16K0F3E": "FM", "11K2F3E": "FM", "7K60FXE": "DMR", "6K00F7W": "DSTAR", "9K36F7W": "C4FM", "20K0F2D": "APRS", "12K5F1D": "DATA"}
 DISABLED = ("no", "false", "0", "disused")
@@ -97,9 +99,9 @@ def opl(line: Column) -> dict[str, Column]:
     entries = F.transform(pairs, lambda p: F.struct(unescaped(F.regexp_extract(p, "^([^=]*)=", 1)).alias("key"), unescaped(F.regexp_replace(p, "^[^=]*=", "")).alias("value")))
     head = F.get(tokens, F.lit(0))
     return {
-        "type": F.when(head.startswith("n"), "node").when(head.startswith("w"), "way").when(head.startswith("r"), "relation"), "id": F.substring(head, 2, 30).try_cast("long"),
+        "type": F.when(head.startswith("n"), "node").when(head.startswith("w"), "way").when(head.startswith("r"), "relation"), "id": F.substr(head, F.lit(2)).try_cast("long"),
         "version": body("^v[0-9]+$").try_cast("int"), "ts": body("^t[0-9]"), "lat": body("^y-?[0-9]").try_cast("double"), "lon": body("^x-?[0-9]").try_cast("double"),
-        "tags": F.map_from_entries(F.coalesce(entries, F.array().cast("array<struct<key:string,value:string>>"))),
+        "tags": last_wins(entries),
         "nodes": F.transform(F.filter(F.split(body("^N"), ","), lambda n: n.rlike("^n?[0-9]+$")), lambda n: F.regexp_replace(n, "^n", "").cast("long")),
         "members": F.transform(
             F.filter(F.split(body("^M"), ","), lambda m: m.rlike("^[nwr][0-9]+(?:@|$)")),

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymill.operators.shared import materialize, release
+from waymill.operators.shared import observed, release
 from waymill.operators.skew import salted_lookup
 
 MAX_ROUNDS = 60
 
 
-def _sign(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _signed(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges written out, with their number and a sum of hashes."""
+    star, sums = observed(edges, "edges", n=F.count(F.lit(1)), h=F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
+    return star, (sums["n"], sums["h"])
 
 
 def _large_star(edges: DataFrame, total: int) -> DataFrame:
@@ -42,15 +43,13 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     """
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter("a is not null and b is not null")
     loops = ends.filter("a = b").select(F.col("a").alias("node")).distinct()
-    star = materialize(ends.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    star, now = _signed(ends.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     for _ in range(MAX_ROUNDS):
-        if before == (now := _sign(star)):
+        if before == now or not now[0]:
             break
-        before = now
-        if not now[0]:
-            break
-        old, star = star, materialize(_small_star(_large_star(star, now[0]), now[0]), "edges")
+        old, before = star, now
+        star, now = _signed(_small_star(_large_star(star, now[0]), now[0]))
         release(old)
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,6 +39,13 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return back
 
 
+def observed(df: DataFrame, name: str, **sums: Column) -> tuple[DataFrame, dict]:
+    """``materialize``, with aggregates of the rows taken while they are written."""
+    seen = Observation()
+    back = materialize(df.observe(seen, *[v.alias(k) for k, v in sums.items()]), name)
+    return back, seen.get
+
+
 def release(step: DataFrame) -> None:
     """Delete what ``materialize`` wrote, once no plan that is still to run reads it."""
     path = step.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(step.written_to)

@@ -62,7 +62,7 @@ def s3_x14_text_lines(spark, sf):
     """Element lines made from customers and parsed back, with escapes in the tags."""
     lines = table(spark, sf, "customer").select(
         F.concat(F.lit("n"), c("c_custkey"), F.lit(" v"), c("c_nationkey") + 1, F.lit(" t2024-01-01T00:00:00Z Tname="), F.replace(c("c_name"), F.lit("#"), F.lit("%23%")), F.lit(",seg="), F.replace(c("c_mktsegment"), F.lit("E"), F.lit("%20ac%")),
-                 F.lit(",freq=145,6,p=%25%20% x"), c("c_custkey") % 180, F.lit(".5 y-"), c("c_custkey") % 90, F.lit(".25 Nn1,n"), c("c_custkey"), F.lit(" Mn7@stop%20%a,r9,w"), c("c_custkey"), F.lit("@")).alias("line")
+                 F.lit(",p=first,freq=145,6,p=%25%20% x"), c("c_custkey") % 180, F.lit(".5 y-"), c("c_custkey") % 90, F.lit(".25 Nn1,n"), c("c_custkey"), F.lit(" Mn7@stop%20%a,r9,w"), c("c_custkey"), F.lit("@")).alias("line")
     )
     o = lines.select(*[v.alias(k) for k, v in radio.opl(c("line")).items()])
     return o.select("type", "id", "version", "lat", "lon", c("tags")["name"].alias("name"), c("tags")["seg"].alias("seg"), c("tags")["freq"].alias("freq"), c("tags")["p"].alias("p"), F.array_join(c("nodes").cast("array<string>"), ",").alias("nodes"), F.array_join(F.transform("members", lambda m: F.concat(m["type"], m["ref"], F.lit("@"), m["role"])), ",").alias("members"))
@@ -95,7 +95,7 @@ def s4_x10_road_features(spark, sf):
     made = spark.sql(f"SELECT o_orderkey AS feature_id, array('psurface-paved', {kinds}) AS types, transform(sequence(1, 1 + CAST(o_orderkey % 3 AS INT)), i -> named_struct('lat', 59.0 + i, 'lon', 10.0, 'alt_m', 1.5)) AS points FROM {{o}}", o=o)
     made.write.json(path)
     f = spark.read.schema("feature_id long, types array<string>, points array<struct<lat double, lon double, alt_m double>>").json(path).filter(F.size("points") >= 2)
-    raw = F.lower(F.substring(F.get(F.filter("types", lambda t: t.startswith("highway-")), F.lit(0)), 9, 99))
+    raw = F.lower(F.substr(F.get(F.filter("types", lambda t: t.startswith("highway-")), F.lit(0)), F.lit(9)))
     return f.select(F.regexp_replace(raw, "-(bridge|tunnel)$", "").alias("class"), raw.endswith("-bridge").alias("bridge"), raw.endswith("-tunnel").alias("tunnel")).groupBy("class", "bridge", "tunnel").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -140,17 +140,20 @@ O_S7 = with_views("v_ring_points") + " x AS (SELECT 1) SELECT 'r' || region_id A
 
 
 def s8_region_list(spark, sf):
-    """Region list lines: comments dropped, the first line of an id wins, options to columns."""
+    """Region list lines: comments dropped, the first line of an id wins; of a repeated option the last value, terrain classes joined."""
+    k = c("c_custkey")
+    more = F.when(k % 4 == 1, " graph_max_ratio=7.5 terrain_class=polar_sparse+Dense_Network,x").when(k % 4 == 2, F.concat(F.repeat(F.lit(" note=1"), F.lit(120)), F.lit(" GRAPH_MAX_RATIO=2"))).otherwise("")
     lines = table(spark, sf, "customer").select(
-        c("c_custkey").alias("no"), F.when(c("c_custkey") % 9 == 0, F.lit("# note")).otherwise(F.concat(F.lit("  r"), c("c_custkey") % 60, F.lit(" geofabrik:europe/x"), c("c_custkey"), F.lit("  graph_max_ratio="), c("c_nationkey"), F.lit(" terrain_class=dense_network"))).alias("line")
+        k.alias("no"), F.when(k % 9 == 0, F.lit("# note")).otherwise(F.concat(F.lit("  r"), k % 60, F.lit(" geofabrik:europe/x"), k, F.lit("  graph_max_ratio="), c("c_nationkey"), F.lit(" terrain_class=dense_network"), more)).alias("line")
     )
     words = F.split(F.trim("line"), r"\s+")
-    kept = lines.filter(~F.trim(c("line")).startswith("#") & (F.size(words) >= 2)).select("no", words[0].alias("region_id"), words[1].alias("source"), F.str_to_map(F.array_join(F.slice(words, 3, 99), " "), F.lit(" "), F.lit("=")).alias("opts"))
+    kept = lines.filter(~F.trim(c("line")).startswith("#") & (F.size(words) >= 2)).select("no", words[0].alias("region_id"), words[1].alias("source"), places.line_options(F.slice(words, 3, F.size(words))).alias("opts"))
     first = kept.withColumn("r", F.row_number().over(Window.partitionBy("region_id").orderBy("no"))).filter("r = 1")
-    return first.select("region_id", "source", c("opts")["graph_max_ratio"].cast("double").alias("graph_max"), c("opts")["terrain_class"].alias("terrain"))
+    return first.select("region_id", "source", c("opts.values")["graph_max_ratio"].cast("double").alias("graph_max"), F.array_join("opts.terrain", ",").alias("terrain"))
 
 
-O_S8 = "SELECT 'r' || (c_custkey % 60) AS region_id, 'geofabrik:europe/x' || min(c_custkey) AS source, arg_min(c_nationkey, c_custkey)::DOUBLE AS graph_max, 'dense_network' AS terrain FROM customer WHERE c_custkey % 9 <> 0 GROUP BY 1"
+O_S8 = """SELECT 'r' || (c_custkey % 60) AS region_id, 'geofabrik:europe/x' || min(c_custkey) AS source, CASE min(c_custkey) % 4 WHEN 1 THEN 7.5 WHEN 2 THEN 2 ELSE arg_min(c_nationkey, c_custkey) END::DOUBLE AS graph_max,
+CASE WHEN min(c_custkey) % 4 = 1 THEN 'dense_network,polar_sparse,x' ELSE 'dense_network' END AS terrain FROM customer WHERE c_custkey % 9 <> 0 GROUP BY c_custkey % 60"""
 
 
 NEWEST = 3

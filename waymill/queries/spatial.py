@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from waymill.functions import geo, tags
 from waymill.operators import cells
-from waymill.operators.components import connected_components
 from waymill.operators.ranks import at_rank
 from waymill.operators.shared import materialize
 from waymill.plans import graph as plan
+from waymill.plans import snap
 from waymill.queries import graph as g
 from waymill.queries.views import pick, view, with_views
 
@@ -254,30 +254,31 @@ i AS ({sql_inside('e', 'way_id')}), j AS ({sql_inside('z', 'way_id')}), u AS (SE
 SELECT way_id, count(DISTINCT region_id) AS n_regions FROM u GROUP BY 1"""
 
 
-SNAP_M = {"car": 750.0, "truck": 1000.0}
+def _snapped(spark, sf, nodes, profiles):
+    found = snap.snapped(view(spark, sf, "v_points"), nodes, profiles)
+    return found.select("point_id", "profile", "node", F.round("metres", 3).alias("metres"), F.round("nearest_m", 3).alias("nearest_m"), "status")
 
 
 def j23_snap(spark, sf):
-    """Nearest node of the motor graph within the profile's budget: the giant component first, then the best worst surface, then distance; else too far."""
-    e = materialize(g.edges(spark, sf).select("src", "dst", "src_lat", "src_lon", "dst_lat", "dst_lon", "surface_rank"), "edges")
-    end = lambda x: F.struct(c(x).alias("node"), c(f"{x}_lat").alias("to_lat"), c(f"{x}_lon").alias("to_lon"), "surface_rank")
-    nodes = e.select(F.explode(F.array(end("src"), end("dst"))).alias("n")).select("n.*").groupBy("node").agg(F.first("to_lat").alias("to_lat"), F.first("to_lon").alias("to_lon"), F.max("surface_rank").alias("worst"))
-    comps = materialize(connected_components(e), "components")
-    giant = comps.groupBy("component").agg(F.count(F.lit(1)).alias("n")).agg(F.max_by("component", F.struct("n", -c("component"))).alias("giant")).first()
-    inside = comps.filter(c("component") == F.lit(giant["giant"])).select("node", F.lit(0).alias("apart"))
-    nodes = nodes.join(inside, "node", "left").withColumn("apart", F.coalesce("apart", F.lit(1)))
-    p = view(spark, sf, "v_points")
-    near = cells.within(p, nodes, max(SNAP_M.values()), radius=geo.GRAPH_RADIUS)
-    best = lambda m: F.min_by(F.when(c("distance_m") <= m, c("node")), F.when(c("distance_m") <= m, F.struct("apart", "worst", "distance_m", "node")))
-    found = p.select("point_id").join(near.groupBy("point_id").agg(*[best(m).alias(k) for k, m in SNAP_M.items()]), "point_id", "left")
-    return found.select("point_id", *SNAP_M, *[F.when(c(k).isNull(), "too_far").otherwise("ok").alias(f"{k}_status") for k in SNAP_M])
+    """Points snapped to the motor graph for cars and trucks: in the giant component the best worst surface within the budget, else the nearest node of any component, else too far."""
+    return _snapped(spark, sf, snap.linked_nodes(g.edges(spark, sf)), ("car", "truck"))
+
+
+def j23_snap_slow_modes(spark, sf):
+    """Points snapped to the graphs of feet and bicycles: the nearest node of the giant component within the budget, else the nearest of any."""
+    one = lambda k: _snapped(spark, sf, snap.linked_nodes(plan.edges(*g.parts(spark, sf), k)), (k,))
+    return one("foot").unionByName(one("bicycle"))
+
+
+def _best_sql(k, m):
+    return f"""SELECT point_id, '{k}' AS profile, coalesce(g, CASE WHEN near <= {m} THEN a END) AS node, round(coalesce(gm, CASE WHEN near <= {m} THEN near END), 3) AS metres, round(near, 3) AS nearest_m, CASE WHEN g IS NOT NULL THEN 'giant' WHEN near <= {m} THEN 'island' ELSE 'too_far' END AS status
+FROM (SELECT point_id, arg_min(node, (m, node)) AS a, min(m) AS near, arg_min(node, (worst, m, node)) FILTER (apart = 0 AND m <= {m}) AS g, arg_min(m, (worst, m, node)) FILTER (apart = 0 AND m <= {m}) AS gm FROM d GROUP BY 1)"""
 
 
-_BEST = ", ".join(f"arg_min(node, (apart, worst, m, node)) FILTER (m <= {m:.0f}) AS {k}" for k, m in SNAP_M.items())
 O_J23 = g.O_I1.replace("WITH RECURSIVE v_ways AS", "WITH RECURSIVE " + with_views("v_points").removeprefix("WITH ") + " v_ways AS", 1)
 O_J23 = O_J23[: O_J23.rindex("SELECT component, n")].rstrip() + f""", gi AS (SELECT arg_max(component, (n, -component)) AS giant FROM s), n AS (SELECT node, any_value(lat) AS lat, any_value(lon) AS lon, max(surface_rank) AS worst FROM (SELECT src AS node, surface_rank FROM edges UNION ALL SELECT dst, surface_rank FROM edges) JOIN v_nodes ON node_id = node GROUP BY 1),
-o AS (SELECT n.*, (root <> giant)::INT AS apart FROM n JOIN r ON r.x = node, gi), d AS (SELECT point_id, node, worst, apart, {g.hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} AS m FROM v_points a JOIN o b ON abs(a.lat - b.lat) < 0.01), q AS (SELECT point_id, {_BEST} FROM d GROUP BY 1)
-SELECT point_id, car, truck, CASE WHEN car IS NULL THEN 'too_far' ELSE 'ok' END AS car_status, CASE WHEN truck IS NULL THEN 'too_far' ELSE 'ok' END AS truck_status FROM v_points LEFT JOIN q USING (point_id)"""
+o AS (SELECT n.*, (root <> giant)::INT AS apart FROM n JOIN r ON r.x = node, gi), d AS MATERIALIZED (SELECT point_id, node, worst, apart, {g.hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} AS m FROM v_points a, o b)
+{" UNION ALL ".join(_best_sql(k, snap.BUDGET_M[k]) for k in snap.BY_SURFACE)}"""
 
 
 def j6_edge_heights(spark, sf):
@@ -546,7 +547,7 @@ SELECT r, count(*) AS n, round(sum(h), 3) AS sum_m, min(CASE WHEN h < -12000 THE
 
 PAIRS = [
     (j15_points_in_rings, O_J15), (j15_ferry_regions, O_J15F), (j3_k3_ring_tiles, O_J3), (j7_a7_wetland_hazards, O_J7), (j17_j18_smallest_region, O_J17), (j19_pois_within_radius, O_J19), (j20_m24_corridor_band, O_J20), (m24_densified_legs, O_M24),
-    (j21_m11_overnight_safety, O_J21), (j22_m7_barrier_crossings, O_J22), (j23_snap, O_J23), (j6_edge_heights, O_J6), (j10_nearest_feature, O_J10), (j13_ferry_match, O_J13), (j14_wrong_admissions, O_J14), (j16_lattice_overlap, O_J16), (j31_f16_adjacent_boxes, O_J31),
+    (j21_m11_overnight_safety, O_J21), (j22_m7_barrier_crossings, O_J22), (j23_snap, O_J23), (j23_snap_slow_modes, None), (j6_edge_heights, O_J6), (j10_nearest_feature, O_J10), (j13_ferry_match, O_J13), (j14_wrong_admissions, O_J14), (j16_lattice_overlap, O_J16), (j31_f16_adjacent_boxes, O_J31),
     (j35_u7_cells_of_rings, O_J35), (a9_region_bounds, O_A9), (f18_hash_sample, None), (m12_m14_grids, O_M12), (m10_m22_m27_rings, O_M10), (m9_points_in_triangles, O_M9), (m6_bearings, O_M6), (s19_pixel_heights, O_S19),
 ]
 QUERIES = {f.__name__: f for f, _ in PAIRS}
