@@ -86,6 +86,33 @@ def _steps(data: bytes) -> list[tuple[str, str]]:
     return list(zip(marks, marks[1:], strict=False))
 
 
+def reads_as_identifier(token: str) -> bool:
+    """Parts between separators are digits, or words with at most four digits behind: small letters, a capital and small letters, or 2 to 12 capitals."""
+    parts = [p for p in re.split("[+/_=-]+", token) if p]
+    for part in parts:
+        if part.isdigit():
+            continue
+        word = part.rstrip("0123456789")
+        if len(part) - len(word) > 4 or not word:
+            return False
+        at = 0
+        while at < len(word):
+            small = re.match("[A-Z]?[a-z]+", word[at:])
+            capitals = re.match("[A-Z]+", word[at:])[0] if word[at].isupper() else ""
+            if small:
+                if len(small[0]) < 2 + small[0][0].isupper():
+                    return False
+                at += len(small[0])
+            else:
+                own = capitals[: 12]
+                if len(own) == len(capitals) and word[at + len(own) :][:1].islower():
+                    own = own[:-1]
+                if len(own) < 2:
+                    return False
+                at += len(own)
+    return bool(parts)
+
+
 def markov_spans(texts: list[str | None]) -> list[list[tuple[str, int, int]]]:
     """Base spans and likely secrets of each text, with models counted step by step over all of them."""
     seen = {0: Counter(), 1: Counter()}
@@ -97,7 +124,7 @@ def markov_spans(texts: list[str | None]) -> list[list[tuple[str, int, int]]]:
             rest.append(text[at : max(at, start)])
             at = max(at, end)
         rest.append(text[at:])
-        seen[0].update(_steps((" " + TOKEN.sub(" ", " ".join(rest)) + " ").encode()))
+        seen[0].update(_steps((" " + TOKEN.sub(lambda m: m[0] if reads_as_identifier(m[0]) else " ", " ".join(rest)) + " ").encode()))
     marks = LETTERS + " "
 
     def chance(y: int, a: str, b: str) -> float:

@@ -85,6 +85,33 @@ def test_secrets_equal_plain_models(spark):
     assert {i: r["spans"] for i, r in got.items()} == want and any("markov" in s for s in want.values())
 
 
+IDENTIFIERS = [
+    "getUserAccountSettings", "max_retry_count_per_request", "long-kebab-case-identifier", "usr/local/share/applications/icons", "HTTPServerConnectionPool", "src/main/java/org/example/Application2",
+    "readTheWholeTableAgain", "number_of_open_connections_2024", "vendor-specific-extension", "InternationalizationHelper", "document_word_count_total",
+]
+
+
+def test_secrets_precision_and_recall_on_held_out_samples(spark):
+    """Random strings of held-out texts are found; identifiers, card, phone and order numbers stay out."""
+    random.seed(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rand = lambda n, of=letters: "".join(random.choice(of) for _ in range(n))
+    numbers = lambda: [rand(16, "0123456789"), rand(19, "0123456789"), "+" + rand(15, "0123456789"), "-".join(rand(4, "0123456789") for _ in range(4)), f"ORD-2024-{rand(12, '0123456789')}"]
+    rows = [(i, f"{LINE} token={rand(24)} {random.choice(IDENTIFIERS)} {' '.join(numbers())} api_key: {rand(32, '0123456789abcdef')}") for i in range(200)]
+    bad = [(1000 + i, f"{LINE} {rand(random.choice([28, 32, 40]))} {LINE}") for i in range(100)]
+    good = [(2000 + i, f"{LINE} {' '.join(random.sample(IDENTIFIERS, 3))} {' '.join(numbers())}") for i in range(100)]
+    got = {r["doc_id"]: r["n_markov"] for r in secrets.scan(spark.createDataFrame(rows + bad + good, "doc_id long, text string")).collect()}
+    recall, wrong = sum(got[i] for i, _ in bad) / 100, sum(got[i] for i, _ in good + rows)
+    assert recall >= 0.95 and wrong <= 2, (recall, wrong)
+
+
+def test_secrets_added_spans_are_not_numbers(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for r in secrets.scan(docs).filter("n_markov > 0").join(docs.select("doc_id", "text"), "doc_id").collect():
+        found = [s.split(":")[1:] for s in r["spans"].split(",") if s.startswith("markov")]
+        assert not any(r["text"][int(a) : int(b)].isdigit() for a, b in found)
+
+
 def test_personal(odd, none):
     for docs in (odd, none):
         got = pii.scan(docs).collect()

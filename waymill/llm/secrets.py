@@ -1,8 +1,10 @@
 """Secret scan: fixed patterns, and character Markov models compared by likelihood.
 
-Two order-1 character models are trained from labelled samples of the corpus: the values
-that the fixed patterns match are random strings, all other runs of token characters that
-are too short to be judged are ordinary identifiers. Counting is one pass over every whole text; what is gathered is two
+Two order-1 character models are trained from labelled samples of the corpus. Random strings:
+the values that the fixed patterns match. Ordinary identifiers: of all other runs of token
+characters those too short to be judged, and the long ones that read as identifiers, words in
+camel, snake and kebab case, paths, and numbers without letters (``IDENTIFIER``), so that a long
+card, phone or order number is told by its digits and not by its length. Counting is one pass over every whole text; what is gathered is two
 square tables over a fixed alphabet, whatever the corpus. A second pass scores each long
 token outside the base spans: the sum of the log-likelihood ratios of its transitions
 against ``MIN_RATIO``, the log odds of one secret in a million tokens.
@@ -33,6 +35,9 @@ ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # shorter runs fail anyway
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Words, capitalised words or short runs of capitals, up to four digits behind them, or digits alone; parts joined by separators.
+_PART = "(?:(?:[a-z]{2,}+|[A-Z][a-z]{2,}+|[A-Z]{2,12}(?![a-z]))++[0-9]{0,4}+|[0-9]++)"
+IDENTIFIER = re.compile(f"[+/_=-]*{_PART}(?:[+/_=-]++{_PART})*+[+/_=-]*")
 ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 SIZE = len(ALPHABET) + 1  # the last symbol separates tokens
 MIN_RATIO = math.log(1e6)
@@ -57,8 +62,13 @@ def _transitions(data: bytes) -> np.ndarray:
     return np.bincount(at[:-1] * SIZE + at[1:], minlength=SIZE * SIZE)
 
 
+def _identifier(token: re.Match) -> str:
+    """A long token that is a sample of the ordinary class; else a space."""
+    return token[0] if IDENTIFIER.fullmatch(token[0]) else " "
+
+
 def sample_counts(texts: Iterator[str | None]) -> np.ndarray:
-    """[label, from, to]: label 1 for values of base spans, 0 for the short tokens left."""
+    """[label, from, to]: label 1 for values of base spans, 0 for the short tokens and the long identifiers left."""
     out = np.zeros((2, SIZE * SIZE), np.int64)
     for text in texts:
         text = text if isinstance(text, str) else ""
@@ -68,7 +78,7 @@ def sample_counts(texts: Iterator[str | None]) -> np.ndarray:
             rest.append(text[at : max(at, start)])
             at = max(at, end)
         rest.append(text[at:])
-        out[0] += _transitions(b" " + TOKEN.sub(" ", " ".join(rest)).encode("utf-8", "replace") + b" ")
+        out[0] += _transitions(b" " + TOKEN.sub(_identifier, " ".join(rest)).encode("utf-8", "replace") + b" ")
     return out
 
 
