@@ -7,9 +7,9 @@ import os
 import duckdb
 import pytest
 
-from waymill.queries import annotate, documents, extras, graph, lifecycle, records, spatial, tag_rules
+from waymill.queries import annotate, documents, extras, graph, lifecycle, packs, records, spatial, tag_rules
 
-MODULES = (tag_rules, graph, spatial, records, lifecycle, annotate, extras, documents)
+MODULES = (tag_rules, graph, spatial, records, lifecycle, annotate, extras, documents, packs)
 CASES = [(m, q) for m in MODULES for q in m.QUERIES if q in m.ORACLES]
 
 

@@ -137,6 +137,16 @@ def duration_format(raw: Column) -> Column:
     )
 
 
+def duration_bucket(raw: Column) -> Column:
+    """The form of a duration, as the coverage report names it."""
+    s = F.trim(F.coalesce(raw, F.lit("")))
+    first = F.regexp_extract(s, "^([0-9]+):", 1).try_cast("long")
+    return (
+        F.when(s == "", "empty").when(s.rlike("^[Pp].+$") & F.contains(F.upper(s), F.lit("T")), "iso8601").when(s.rlike(r"^[0-9]+(\.[0-9]+)?$"), "bare_minutes").when(s.rlike("^[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$"), "h_mm_or_hh_mm_ss")
+        .when(s.rlike("^[0-9]{3,}:[0-9]{2}(:[0-9]{2})?$"), F.when(first < 60, "h_mm_three_digit_hours").otherwise("mm_ss_first_ge_60")).when(F.contains(s, F.lit(":")), "other_colon").otherwise("other")
+    )
+
+
 def metric(raw: Column) -> Column:
     """Every t and m letter goes; what is left must be a number."""
     left = F.trim(F.translate(F.lower(F.trim(raw)), "tm", ""))
