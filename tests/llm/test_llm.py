@@ -158,6 +158,19 @@ def test_exact_dedup(odd, none, spark):
     assert exact_dedup.keep_first_of_equal(none).count() == 0
 
 
+def test_digest_index_merges_generations(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "GENERATIONS", 2)
+    docs = lambda *rows: spark.createDataFrame(list(rows), "doc_id long, text string")
+    index = exact_dedup.DigestIndex(spark, str(tmp_path / "merged"), buckets=3)
+    for i in range(5):
+        got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in index.add(docs((10 * i, "a"), (10 * i + 1, f"own {i}"), (10 * i + 2, "A"))).collect()}
+        assert got == {10 * i: (2, 2 * i + 2, False), 10 * i + 1: (10 * i + 1, 1, True), 10 * i + 2: (2, 2 * i + 2, i == 0)}
+    assert index.folders == ["c000003", "g000004"]
+    again = exact_dedup.DigestIndex(spark, str(tmp_path / "merged"), buckets=3).open()
+    assert again.folders == index.folders and again.following == 5
+    assert {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in again.add(docs((99, "own 2"), (98, "a"))).collect()} == {99: (21, 2), 98: (2, 11)}
+
+
 def test_digest_index_persists_and_appends(spark, tmp_path):
     docs = lambda *rows: spark.createDataFrame(list(rows), "doc_id long, text string")
     first = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), buckets=4)
@@ -352,6 +365,14 @@ def test_cross_entropy_prefers_the_target(spark):
     assert got[1] > got[0] + 0.5
 
 
+def test_mixing_of_an_id_on_many_texts_keeps_the_target(spark):
+    rows = [(i % 2, f"text {i}", "a") for i in range(2000)] + [(10 + i, f"other {i}", "b") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for seed in (42, 1, 2):
+        got = {r["source"]: r["n"] for r in mixing.mix(docs, seed=seed).groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert all(abs(n - 2000) < 250 for n in got.values()), got
+
+
 def test_pieces_match_the_library(odd, none):
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     for docs in (odd, none):

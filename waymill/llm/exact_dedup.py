@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 INDEX_SCHEMA = "digest string, keep_id long, group_size long"
 BUCKETS = 64
 BATCHES = 3
+GENERATIONS = 16
 
 
 def normalised(text: Column) -> Column:
@@ -52,33 +54,66 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 class DigestIndex:
-    """Generations of two bucketed tables under one folder: texts first met, and counts of texts met again."""
+    """Generations of two bucketed tables under one folder: texts first met, and counts of texts met again.
+
+    A batch is held against each generation bucket by bucket, so that only the batch is shuffled.
+    Past ``GENERATIONS`` of them all are merged into one (folder ``c`` with the number of the last
+    that it covers), written whole before the old ones go; so a batch meets a bounded number.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS):
         self.spark, self.path, self.buckets = spark, path or shared_path(spark, "digests"), buckets
         self.first: list[DataFrame] = []  # bucketed, one a generation
+        self.again: list[DataFrame] = []
+        self.folders: list[str] = []
+        self.following = 0  # number of the next generation
+
+    def _hold(self, folder: str, first: DataFrame, again: DataFrame) -> None:
+        self.folders.append(folder)
+        self.first.append(first)
+        self.again.append(again)
+        self.following = int(folder[1:]) + 1
 
-    def rows(self) -> DataFrame | None:
-        """One entry a text: digest, the document that stays, the rows seen so far."""
-        if not self.first:
+    def rows(self, of: DataFrame | None = None) -> DataFrame | None:
+        """One entry a text: digest, the document that stays, the rows seen so far; with ``of``, of its digests only."""
+        if not self.folders:
             return None
-        # Read as plain files: this look needs no buckets.
-        every = self.spark.read.schema(INDEX_SCHEMA).parquet(*[f"{self.path}/g{i:06d}/{part}" for i in range(len(self.first)) for part in ("first", "again")])
+        if of is None:  # read as plain files: this look needs no buckets
+            every = self.spark.read.schema(INDEX_SCHEMA).parquet(*[f"{self.path}/{folder}/{part}" for folder in self.folders for part in ("first", "again")])
+        else:
+            wanted = of.select("digest").hint("merge")
+            every = reduce(DataFrame.unionByName, [known.join(wanted, "digest", "left_semi") for known in [*self.first, *self.again]])
         return every.groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
 
+    def _files(self):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        return path, path(self.path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def open(self) -> DigestIndex:
         """Attach the whole generations that an earlier session left under the folder."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        fs = path(self.path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        self.first = []
-        names = sorted(s.getPath().getName() for s in fs.listStatus(path(self.path))) if fs.exists(path(self.path)) else []
-        for name in names:
-            whole = re.fullmatch(r"g\d{6}", name) and all(fs.exists(path(f"{self.path}/{name}/{part}/_SUCCESS")) for part in ("first", "again"))
-            if not whole:
-                break  # what follows was written after a failure
-            self.first.append(self._attached(f"{self.path}/{name}/first"))
+        path, fs = self._files()
+        self.first, self.again, self.folders, self.following = [], [], [], 0
+        names = {s.getPath().getName() for s in fs.listStatus(path(self.path))} if fs.exists(path(self.path)) else set()
+        whole = {n for n in names if re.fullmatch(r"[cg]\d{6}", n) and all(fs.exists(path(f"{self.path}/{n}/{part}/_SUCCESS")) for part in ("first", "again"))}
+        merged = max((n for n in whole if n[0] == "c"), default=None)
+        folder = merged or "g000000"
+        while folder in whole:  # what follows a gap was written after a failure
+            self._hold(folder, *[self._attached(f"{self.path}/{folder}/{part}") for part in ("first", "again")])
+            folder = f"g{self.following:06d}"
         return self
 
+    def compact(self) -> None:
+        """Merge all generations into one and delete them."""
+        old, folder = self.folders, f"c{self.following - 1:06d}"
+        every = self.rows()
+        first = self._written(every, f"{self.path}/{folder}/first")
+        again = self._written(every.limit(0), f"{self.path}/{folder}/again")
+        self.first, self.again, self.folders = [], [], []
+        self._hold(folder, first, again)
+        path, fs = self._files()
+        for name in old:
+            fs.delete(path(f"{self.path}/{name}"), True)
+
     def _attached(self, location: str) -> DataFrame:
         """The bucketed table there; its catalog entry goes as soon as the plan holds its layout."""
         name = f"waymill_digest_{uuid.uuid4().hex}"
@@ -97,21 +132,23 @@ class DigestIndex:
         dealt.select("digest", "keep_id", "group_size").write.mode("overwrite").bucketBy(self.buckets, "digest").sortBy("digest").option("path", location).saveAsTable(name)
         return self._taken(name)
 
-    def append(self, rows: DataFrame) -> None:
-        """Add a batch of (doc_id, digest) rows as a generation."""
+    def append(self, rows: DataFrame) -> DataFrame:
+        """Add a batch of (doc_id, digest) rows as a generation; returns its texts."""
+        if len(self.folders) >= GENERATIONS:
+            self.compact()
         groups = materialize(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "batch")
         new = groups
         for known in self.first:
             new = new.join(known.select("digest").hint("merge"), "digest", "left_anti")
-        folder = f"{self.path}/g{len(self.first):06d}"
-        first = self._written(new, f"{folder}/first")
+        folder = f"g{self.following:06d}"
+        first = self._written(new, f"{self.path}/{folder}/first")
         met = groups.join(first.select("digest").hint("merge"), "digest", "left_anti").withColumn("keep_id", F.lit(None).cast("long"))
-        self._written(met, f"{folder}/again")
-        self.first.append(first)
+        self._hold(folder, first, self._written(met, f"{self.path}/{folder}/again"))
+        return groups
 
-    def decide(self, rows: DataFrame) -> DataFrame:
-        """doc_id, digest, keep_id, group_size, kept of indexed rows (doc_id, digest, row)."""
-        entries = materialize(self.rows(), "entries")
+    def decide(self, rows: DataFrame, of: DataFrame | None = None) -> DataFrame:
+        """doc_id, digest, keep_id, group_size, kept of indexed rows (doc_id, digest, row), whose texts are ``of`` (all if none)."""
+        entries = materialize(self.rows(of), "entries")
         decided = salted_lookup(rows, entries, "digest", "group_size", rows.count(), F.col("row"))
         return decided.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "digest", "keep_id", "group_size", "kept")
 
@@ -123,8 +160,7 @@ class DigestIndex:
         stays. group_size counts the rows of the text over all generations.
         """
         rows = digests(docs)
-        self.append(rows)
-        return self.decide(rows)
+        return self.decide(rows, self.append(rows))
 
 
 def batches(rows: DataFrame, parts: int = BATCHES) -> list[DataFrame]:

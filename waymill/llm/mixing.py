@@ -2,10 +2,10 @@
 
 A source's mean repetition rate is its target share of the rows over its real share. A
 document's count is the inverse of the Poisson distribution with that mean at a uniform
-number from a hash of (seed, doc_id, part); a mean above ``PART_MEAN`` is the sum of equal
+number from a hash of (seed, doc_id, digest of the text, part); a mean above ``PART_MEAN`` is the sum of equal
 parts, so no exponential underflows and no tail is cut (the table of the distribution goes
 on to where 52 bits cannot tell it from 1). Each document is exploded by its count and all
-copies are dealt to partitions and ordered by a hash of (seed, doc_id, copy): a global
+copies are dealt to partitions and ordered by a hash of (seed, doc_id, digest, copy): a global
 shuffle in one exchange. Column functions only.
 
 Rates are one row a source. Sources with at least one in ``BROADCAST_SOURCES`` of the rows, so
@@ -14,8 +14,8 @@ by sort-merge, none of which can be hot. The plan is the same at every size.
 
 Defined cases: a null source is the source ''; a source without a target weight has weight
 0 and goes; weights that are null or negative count as 0; all weights 0 give no rows; rows
-repeated with one doc_id share a count, as copies of one document, but not a partition of the
-shuffle; rows without doc_id each draw by the digest of their text and their place in the input;
+repeated with one doc_id and one text share a count, as copies of one document, but not a partition
+of the shuffle; other rows of one doc_id draw apart; rows without doc_id each draw by the digest of their text and their place in the input;
 null, empty and very long texts are rows like any other; extra columns pass through whatever
 their names, and ``copy_no`` and ``mix_key`` are replaced; an empty table gives an empty result.
 """
@@ -80,7 +80,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, rows: int | None = No
     place = F.monotonically_increasing_id()
     whole = docs.select(
         F.struct(*[c(f"`{x}`") for x in docs.columns if x.lower() not in ("copy_no", "mix_key")]).alias("doc"), F.coalesce("source", F.lit("")).alias("source"), place.alias("place"),
-        F.coalesce(c("doc_id").cast("string"), F.concat_ws(":", F.lit("none"), F.md5(F.coalesce("text", F.lit("")).cast("binary")), place)).alias("name"),
+        F.concat_ws(":", F.coalesce(c("doc_id").cast("string"), F.lit("none")), F.md5(F.coalesce("text", F.lit("")).cast("binary")), F.when(c("doc_id").isNull(), place)).alias("name"),
     )
     near = whole.join(F.broadcast(table.filter(large).drop("n")), "source")
     far = whole.join(F.broadcast(counts.filter(large).select("source")), "source", "left_anti").join(table.filter(~large).drop("n").hint("merge"), "source")

@@ -119,9 +119,9 @@ steps AS (SELECT s, parts, k, sum(exp(k * ln(m) - m - lgamma(k + 1))) OVER (PART
           FROM parts, LATERAL (SELECT unnest(range(0, ceil(m + 12 * sqrt(m) + 40)::INT + 1)) AS k)),
 tables AS (SELECT s, parts, list(c ORDER BY k) AS t FROM steps GROUP BY s, parts),
 drawn AS (SELECT d.*, list_sum(list_transform(range(1, parts + 1), lambda part: len(list_filter(t, lambda c: c <=
-            ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '') || ':' || part::VARCHAR), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0))))::INT AS copies
+            ('0x' || substr(md5('42:' || doc_id::VARCHAR || ':' || md5(coalesce(text, '')) || ':' || part::VARCHAR), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0))))::INT AS copies
           FROM documents d JOIN tables ON coalesce(source, '') = s)
-SELECT doc_id, text, lang, source, n_chars, copy_no::INT AS copy_no, md5('42:order:' || coalesce(doc_id::VARCHAR, '') || ':' || copy_no::VARCHAR) AS mix_key
+SELECT doc_id, text, lang, source, n_chars, copy_no::INT AS copy_no, md5('42:order:' || doc_id::VARCHAR || ':' || md5(coalesce(text, '')) || ':' || copy_no::VARCHAR) AS mix_key
 FROM (SELECT *, unnest(range(1, copies + 1)) AS copy_no FROM drawn WHERE copies > 0)""",
     "op4_quality_rules": LEDGER_SQL
     + """SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM f""",
