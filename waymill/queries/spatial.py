@@ -10,7 +10,7 @@ from waymill.operators import cells
 from waymill.operators.ranks import at_rank
 from waymill.operators.shared import materialize
 from waymill.plans import graph as plan
-from waymill.plans import snap
+from waymill.plans import overlap, snap
 from waymill.queries import graph as g
 from waymill.queries.views import pick, view, with_views
 
@@ -409,6 +409,15 @@ i AS ({sql_inside('l', 'id')}), t AS (SELECT box_id, count(*) AS n FROM l GROUP
 SELECT box_id::INT AS box_id, region_id, round(100 * k / n, 4) AS pct, round(100 * covered / n, 4) AS union_pct FROM p JOIN t USING (box_id) JOIN u USING (box_id) WHERE round(100 * k / n, 4) >= 0.5"""
 
 
+def j16_polygon_overlap(spark, sf):
+    """Leaf polygons, a diamond round each point, over the rings of regions: coverage, overspill, what is kept and why, and the union of a region's leaves."""
+    r = rings(spark, sf).select("region_id", "ring")
+    at = lambda y, x: F.struct((c("lat") + y * c("r")).alias("lat"), (c("lon") + x * c("r")).alias("lon"))
+    leaves = view(spark, sf, "v_points").withColumn("r", (c("point_id") % 5 + 1) * 0.04).select(c("point_id").alias("leaf_id"), F.array(at(1, 0), at(0, 1), at(-1, 0), at(0, -1)).alias("ring"))
+    found = overlap.overlaps(r, leaves)
+    return found.select("region_id", "leaf_id", *[F.round(x, 4).alias(x) for x in ("coverage_pct", "overspill_pct", "error_pct", "union_pct")], "mostly_outside", "reason")
+
+
 def j31_f16_adjacent_boxes(spark, sf):
     """Pairs of regions whose boxes touch within 0.05 degrees, and whether they share a group."""
     r = view(spark, sf, "v_regions").filter(c("max_lon") - c("min_lon") < 120)
@@ -547,7 +556,7 @@ SELECT r, count(*) AS n, round(sum(h), 3) AS sum_m, min(CASE WHEN h < -12000 THE
 
 PAIRS = [
     (j15_points_in_rings, O_J15), (j15_ferry_regions, O_J15F), (j3_k3_ring_tiles, O_J3), (j7_a7_wetland_hazards, O_J7), (j17_j18_smallest_region, O_J17), (j19_pois_within_radius, O_J19), (j20_m24_corridor_band, O_J20), (m24_densified_legs, O_M24),
-    (j21_m11_overnight_safety, O_J21), (j22_m7_barrier_crossings, O_J22), (j23_snap, O_J23), (j23_snap_slow_modes, None), (j6_edge_heights, O_J6), (j10_nearest_feature, O_J10), (j13_ferry_match, O_J13), (j14_wrong_admissions, O_J14), (j16_lattice_overlap, O_J16), (j31_f16_adjacent_boxes, O_J31),
+    (j21_m11_overnight_safety, O_J21), (j22_m7_barrier_crossings, O_J22), (j23_snap, O_J23), (j23_snap_slow_modes, None), (j16_polygon_overlap, None), (j6_edge_heights, O_J6), (j10_nearest_feature, O_J10), (j13_ferry_match, O_J13), (j14_wrong_admissions, O_J14), (j16_lattice_overlap, O_J16), (j31_f16_adjacent_boxes, O_J31),
     (j35_u7_cells_of_rings, O_J35), (a9_region_bounds, O_A9), (f18_hash_sample, None), (m12_m14_grids, O_M12), (m10_m22_m27_rings, O_M10), (m9_points_in_triangles, O_M9), (m6_bearings, O_M6), (s19_pixel_heights, O_S19),
 ]
 QUERIES = {f.__name__: f for f, _ in PAIRS}
