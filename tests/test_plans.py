@@ -10,11 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymill.functions import clock, geo, limits, radio, tags
-from waymill.operators import cells
+from waymill.operators import cells, shared
 from waymill.operators.components import connected_components
 from waymill.operators.ranks import at_rank
 from waymill.operators.skew import salted_lookup
-from waymill.plans import annotate, changes, gates, routing
+from waymill.plans import annotate, changes, gates, graph, routing
+from waymill.queries import graph as graph_queries
 
 
 def test_components(spark):
@@ -71,6 +72,42 @@ def test_batch_paths_equal_dijkstra(spark):
     assert got == {q: dijkstra(adj, a, b, blocked) for q, a, b in pairs}
 
 
+def test_steps_are_released(spark):
+    shared.release_all(spark)
+    step = shared.materialize(spark.range(5), "kept")
+    first, sums = shared.observed(spark.range(4), "seen", n=F.count(F.lit(1)), s=F.sum("id"))
+    assert sums == {"n": 4, "s": 6} and step.count() == 5 and first.count() == 4
+    shared.release(first)
+    assert shared.release_all(spark) == 1 and shared.release_all(spark) == 0
+
+
+def test_option_paths_equal_dijkstra(spark):
+    random.seed(7)
+    rows = [(random.randrange(40), random.randrange(40), random.randint(1, 900) / 4, random.randrange(3), random.sample(range(3), random.randint(0, 3)), random.choice([None, random.randint(1, 400) / 4])) for _ in range(260)]
+    pairs = [(i, random.randrange(40), random.randrange(40), i % 3, i % 2 == 0) for i in range(30)]
+    edges = spark.createDataFrame(rows, "src long, dst long, weight double, surface_rank int, options array<int>, eco_weight double")
+    got = {r["query"]: r["cost"] for r in routing.shortest_paths(edges, spark.createDataFrame(pairs, "query long, start long, goal long, option_id int, use_eco boolean"), spark.createDataFrame([(3,)], "node_id long")).collect()}
+    for q, a, b, option, eco in pairs:
+        adj = {}
+        for src, dst, w, s, options, e in rows:
+            if option in options:
+                adj.setdefault(src, []).append((dst, e if eco and e is not None else w, s))
+        assert got[q] == dijkstra(adj, a, b, {3})
+    assert any(v is not None for v in got.values()) and None in got.values()
+
+
+def test_all_profiles_at_once_equal_single_builds(spark, sf):
+    parts = graph_queries.parts(spark, sf)
+    names = ["edge_id", "src", "dst", "length_m", "weight", "surface_rank", "is_ferry"]
+    row = lambda r: (*r[:3], *[round(x, 6) for x in r[3:5]], *r[5:])
+    got = {}
+    for r in graph.profile_edges(*parts).select("profile", *names).collect():
+        got.setdefault(r[0], []).append(row(tuple(r)[1:]))
+    for p in graph.PROFILES:
+        want = sorted(row(tuple(r)) for r in graph.edges(*parts, p).select(*names).collect())
+        assert sorted(got[p]) == want and want
+
+
 def test_boarding_promotes_the_pier_chain(spark):
     steps = spark.createDataFrame([(10, 1, 2, 200.0), (11, 2, 3, 250.0), (12, 2, 9, 100.0), (13, 5, 6, 800.0)], "way_id long, a long, b long, length_m double")
     roads = spark.createDataFrame([(3, 4, True, True), (6, 7, True, True), (8, 9, True, True), (4, 20, True, True)], "a long, b long, junction_a boolean, junction_b boolean")

@@ -42,3 +42,18 @@ def test_points_of_odd_elements(spark):
     made = documents.elements(spark.createDataFrame([(1, raw), (2, "x"), (3, None), (4, '{"elements": 5}')], "doc int, raw string"))
     got = [[tuple(p) for p in r[0]] for r in made.select(documents.element_points(F.col("element"))).collect()]
     assert sorted(got) == [[], [], [(1.0, 2.0)], [(8.0, 9.0), (7.0, 6.0)]]
+
+
+def test_names_fall_back_to_the_address(spark):
+    data = [("N", "S", "1", None), (None, "S", "1", None), (None, "S", None, None), (None, "S", "2", "cafe"), (None, None, "3", None)]
+    df = spark.createDataFrame(data, "name string, s string, n string, amenity string")
+    keys = {"name": F.col("name"), "amenity": F.col("amenity"), "natural": F.lit(None).cast("string"), "addr:street": F.col("s"), "addr:housenumber": F.col("n")}
+    got = [tuple(r) for r in df.select(*[v.alias(f"x_{k}") for k, v in places.named(keys).items()]).collect()]
+    assert got == [("N", "named"), ("S 1", "addr:housenumber"), ("S", "addr:street"), ("S 2", "amenity:cafe"), (None, None)]
+
+
+def test_route_records_refuse_ids_that_are_not_positive(spark):
+    lines = ['{"osm_relation_id": 5, "kind": "hiking", "name": "", "ref": "E1", "lat": 59.5, "lon": -10.25}', '{"osm_relation_id": 0, "name": "x"}', "", "{", '{"osm_relation_id": 7, "name": ""}']
+    o = places.route_records(F.col("v"))
+    got = rows(spark, lines, id=o["id"], name=o["name"], lat=o["lat_e7"], lon=o["lon_e7"], refused=o["refused"])
+    assert got == [(5, "E1", 595000000, -102500000, False), (0, "x", None, None, True), (None, None, None, None, False), (None, None, None, None, True), (7, None, None, None, False)]

@@ -59,11 +59,22 @@ def icon_key(t: dict[str, Column]) -> Column:
 
 
 def named(t: dict[str, Column]) -> dict[str, Column]:
-    """Name and kind. Maps have no order: shop beats amenity, highway, peak, leisure, tourism, place."""
+    """Name and kind. Maps have no order: shop beats amenity, highway, peak, leisure, tourism, place. Without a name a street address stands for it."""
     kind = F.coalesce(
         *[F.concat(F.lit(f"{k}:"), t[k]) for k in ("shop", "amenity", "highway") if k in t], F.when(t["natural"] == "peak", "natural:peak"), *[F.concat(F.lit(f"{k}:"), t[k]) for k in ("leisure", "tourism", "place") if k in t]
     )
-    return {"name": t["name"], "kind": F.when(t["name"].isNotNull(), F.coalesce(kind, F.lit("named")))}
+    street, number = t.get("addr:street", F.lit(None).cast("string")), t.get("addr:housenumber", F.lit(None).cast("string"))
+    name = F.coalesce(t["name"], F.concat(street, F.lit(" "), number), street)
+    address = F.when(t["name"].isNull(), F.when(number.isNotNull(), "addr:housenumber").otherwise("addr:street"))
+    return {"name": name, "kind": F.when(name.isNotNull(), F.coalesce(kind, address, F.lit("named")))}
+
+
+def route_records(text: Column) -> dict[str, Column]:
+    """A named route from a JSON line: id, kind, name (else the reference), place in 1e-7 degrees; ``refused`` where the id is not above 0, null name where the line has none."""
+    row = F.from_json(text, "osm_relation_id long, kind string, name string, ref string, lat double, lon double")
+    name = F.coalesce(F.nullif(row["name"], F.lit("")), F.nullif(row["ref"], F.lit("")))
+    e7 = lambda v: F.round(v * 1e7).cast("int")
+    return {"id": row["osm_relation_id"], "kind": row["kind"], "name": name, "lat_e7": e7(row["lat"]), "lon_e7": e7(row["lon"]), "refused": F.coalesce(row["osm_relation_id"] <= 0, F.lit(True)) & (F.trim(text) != "")}
 
 
 def route_kind(route: Column, network: Column, pilgrim: Column) -> Column:

@@ -12,6 +12,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
+_WRITTEN: list[str] = []  # steps that are still there
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a fresh one for local tests only."""
     sc = spark.sparkContext
@@ -36,6 +39,7 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.written_to = path
+    _WRITTEN.append(path)
     return back
 
 
@@ -46,10 +50,28 @@ def observed(df: DataFrame, name: str, **sums: Column) -> tuple[DataFrame, dict]
     return back, seen.get
 
 
+def release_all(spark: SparkSession) -> int:
+    """Delete every step that this driver has materialized so far; returns their number.
+
+    A result that an operator returns may still read its steps, so only the caller knows when they
+    can go: call this when the results have been written or collected.
+    """
+    gone = list(_WRITTEN)
+    for path in gone:
+        _delete(spark, path)
+    return len(gone)
+
+
+def _delete(spark: SparkSession, location: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    if location in _WRITTEN:
+        _WRITTEN.remove(location)
+
+
 def release(step: DataFrame) -> None:
     """Delete what ``materialize`` wrote, once no plan that is still to run reads it."""
-    path = step.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(step.written_to)
-    path.getFileSystem(step.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(step.sparkSession, step.written_to)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,26 +10,41 @@ from waymill.functions import geo, tags
 ACCESS = ("motor_vehicle", "access", "foot", "bicycle")
 
 
-def included(ways: DataFrame, profile: str = "car", promoted: DataFrame | None = None) -> DataFrame:
-    """Ways of a profile with their edge attributes: class or ferry, not skipped by access, and for
-    foot and bicycle without a minimum speed. Promoted boarding ways join in as they are."""
+PROFILES = ("car", "truck", "foot", "bicycle")
+
+
+def _is_ferry() -> Column:
+    return tags.is_ferry(F.col("route"), F.col("highway"), F.col("ferry"))
+
+
+def admitted(profile: str) -> Column:
+    """Is a way of the profile: by class or as a ferry, not skipped by access, and for foot and bicycle without a minimum speed."""
     col = F.col
-    ferry = tags.is_ferry(col("route"), col("highway"), col("ferry"))
     admits = tags.ferry_admits(profile, col("motorcar"), col("motor_vehicle"), col("vehicle"), col("access"), col("ferry"), col("foot"), col("bicycle"), F.lit(False))
-    forbidden = tags.access_forbids(profile, *[col(x) for x in ACCESS])
-    plain = tags.road_admits(col("highway"), profile) & ~forbidden
+    plain = tags.road_admits(col("highway"), profile) & ~tags.access_forbids(profile, *[col(x) for x in ACCESS])
     if profile not in tags.MOTOR:
         plain = plain & tags.speed_kmh(col("minspeed")).isNull()
-    keep = ways.filter(F.when(ferry, admits).otherwise(plain))
+    return F.when(_is_ferry(), admits).otherwise(plain)
+
+
+def included(ways: DataFrame, profile: str = "car", promoted: DataFrame | None = None) -> DataFrame:
+    """Ways of a profile with their edge attributes. Promoted boarding ways join in as they are."""
+    keep = ways.filter(admitted(profile))
     if promoted is not None:
         keep = keep.unionByName(ways.join(promoted, "way_id", "left_semi").join(keep.select("way_id"), "way_id", "left_anti"))
+    return keep.select("way_id", *attributes())
+
+
+def attributes() -> list[Column]:
+    """What an edge takes from its way."""
+    col, ferry = F.col, _is_ferry()
     forward = tags.yes(col("junction") == "roundabout") | tags.yes(col("oneway").isin("yes", "true", "1"))
-    return keep.select(
-        "way_id", "highway", "name", ferry.alias("is_ferry"), forward.alias("forward_only"), tags.speed_kmh(col("maxspeed")).alias("kmh"), tags.speed_kmh(col("maxspeed_practical")).alias("practical_kmh"),
+    return [
+        col("highway"), col("name"), ferry.alias("is_ferry"), forward.alias("forward_only"), tags.speed_kmh(col("maxspeed")).alias("kmh"), tags.speed_kmh(col("maxspeed_practical")).alias("practical_kmh"),
         tags.speed_kmh(col("maxspeed_advisory")).alias("advisory_kmh"), tags.speed_kmh(col("minspeed")).alias("min_kmh"), tags.surface_rank(col("highway"), col("surface"), col("tracktype")).alias("surface_rank"),
         tags.duration_seconds(col("duration")).alias("ferry_s"), tags.is_tunnel(col("tunnel")).alias("is_tunnel"), tags.boardwalk(col("bridge"), col("surface")).alias("is_boardwalk"),
         tags.motorway_grade(col("highway"), tags.truthy(col("motorroad")), tags.truthy(col("expressway")), tags.oneway_yes(col("oneway")), tags.lanes(col("lanes")), tags.speed_kmh(col("maxspeed"))).alias("motorway_grade"),
-    )
+    ]
 
 
 def junctions(refs: DataFrame) -> DataFrame:
@@ -82,6 +97,41 @@ def edges(ways: DataFrame, refs: DataFrame, nodes: DataFrame, profile: str = "ca
     )
 
 
+def profile_edges(ways: DataFrame, refs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The edges of every profile, with ``profile``, from one build.
+
+    A way has a bit for each profile that admits it. A node's uses are counted for all profiles in
+    one shuffle; each profile then has cuts of its own along a way, all by one window. Grouping by
+    way, profile and cut needs no further shuffle.
+    """
+    mask = sum((F.when(F.coalesce(admitted(p), F.lit(False)), 1 << i).otherwise(0) for i, p in enumerate(PROFILES)), F.lit(0))
+    keep = ways.withColumn("mask", mask).filter("mask > 0").select("way_id", "mask", *attributes())
+    bit = lambda i: F.col("mask").bitwiseAND(F.lit(1 << i)) > 0
+    used = refs.join(keep.select("way_id", "mask"), "way_id")
+    whole = Window.partitionBy("way_id")
+    ends = used.withColumns({"first": F.min("pos").over(whole), "last": F.max("pos").over(whole)})
+    one = F.when(F.col("pos").isin(F.col("first"), F.col("last")), 2).otherwise(1)
+    uses = ends.groupBy("node_id").agg(*[F.sum(F.when(bit(i), one).otherwise(0)).alias(f"uses_{i}") for i in range(len(PROFILES))])
+    way = Window.partitionBy("way_id").orderBy("pos")
+    points = resolved(used, nodes).join(uses, "node_id").withColumns(
+        {"step": geo.haversine(F.col("lat"), F.col("lon"), F.lead("lat").over(way), F.lead("lon").over(way))} | {f"cut_{i}": F.sum((F.col(f"uses_{i}") > 1).cast("int")).over(way) for i in range(len(PROFILES))}
+    )
+    own = F.array(*[F.when(bit(i) & (F.col(f"cut_{i}") > 0), F.struct(F.lit(p).alias("profile"), F.col(f"cut_{i}").alias("cut"), F.col(f"uses_{i}").alias("uses"))) for i, p in enumerate(PROFILES)])
+    each = points.select("way_id", "pos", "node_id", "lat", "lon", "step", F.explode(F.filter(own, lambda x: x.isNotNull())).alias("o")).select("*", "o.*").drop("o")
+    shape = F.transform(F.array_sort(F.collect_list(F.when(F.col("uses") == 1, F.struct("pos", "lat", "lon")))), lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon")))
+    parts = each.groupBy("way_id", "profile", "cut").agg(F.min_by(F.struct("node_id", "lat", "lon"), "pos").alias("a"), F.sum("step").alias("length_m"), shape.alias("shape"))
+    order = Window.partitionBy("way_id", "profile").orderBy("cut")
+    parts = parts.withColumn("b", F.lead("a").over(order)).filter("b is not null and a.node_id <> b.node_id and length_m > 0").withColumn("seg", F.row_number().over(order) - 1)
+    both = parts.join(keep.drop("mask"), "way_id").withColumn("back", F.explode(F.when(F.col("forward_only"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
+    turn = lambda x, y: F.when(F.col("back"), F.col(y)).otherwise(F.col(x))
+    ferry = F.coalesce(*[F.when(F.col("profile") == p, tags.ferry_weight(F.col("length_m"), F.col("ferry_s"), p)) for p in PROFILES])
+    rest = [c for c in both.columns if c not in ("a", "b", "shape", "back", "seg", "cut")]
+    return both.select(
+        F.concat_ws("-", "way_id", "seg", F.when(F.col("back"), "rev")).alias("edge_id"), turn("a.node_id", "b.node_id").alias("src"), turn("b.node_id", "a.node_id").alias("dst"), turn("a.lat", "b.lat").alias("src_lat"), turn("a.lon", "b.lon").alias("src_lon"),
+        turn("b.lat", "a.lat").alias("dst_lat"), turn("b.lon", "a.lon").alias("dst_lon"), F.when(F.col("back"), F.reverse("shape")).otherwise(F.col("shape")).alias("shape"), F.when(F.col("is_ferry"), ferry).otherwise(F.col("length_m")).alias("weight"), *rest,
+    )
+
+
 def cheapest(edges_: DataFrame, before: Column | None = None) -> DataFrame:
     """The cheapest of parallel edges, given the surface before; ties to the smallest id."""
     cost = F.col("weight") if before is None else F.col("weight") + tags.transition_cost(before, F.col("surface_rank"))

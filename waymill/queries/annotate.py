@@ -178,27 +178,30 @@ def shrunk(nodes: DataFrame, by: float) -> DataFrame:
 
 
 MAX_STOPS, MAX_INHERIT_M = 6, 150_000.0
-_FERRY_REL = f"""SELECT o_custkey AS relation_id, o_orderkey AS way_id, {pick('o_custkey * 3', ['ferry', 'ferry', None, 'ferry'])} AS route, {pick('o_custkey * 5', ['yes', None, 'no', 'designated'])} AS motorcar, {pick('o_orderkey * 7', ['stop', None, 'platform', '', 'Harbour', 'outer', 'forward_stop', 'halt'])} AS node_role FROM {{orders}}"""
+_FERRY_REL = f"""SELECT o_custkey AS relation_id, o_orderkey AS way_id, {pick('o_custkey * 3', ['ferry', 'ferry', None, 'ferry'])} AS route, {pick('o_custkey * 5', ['yes', None, 'no', 'designated', None])} AS motorcar, {pick('o_custkey * 7', [None, 'no', None])} AS access, {pick('o_custkey * 11', [None, 'primary', None, 'Trunk', 'no'])} AS ferry,
+{pick('o_orderkey * 7', ['stop', None, 'platform', '', 'Harbour', 'outer', 'forward_stop', 'halt'])} AS node_role FROM {{orders}}"""
 
 
 def j4_ferry_inheritance(spark, sf):
-    """Ferry ways that inherit car access from a car ferry relation (customer): at most six stops, 150 km in all and 150 km a way."""
-    ways, refs, nodes = g.parts(spark, sf)
-    ferry = ways.filter(tags.is_ferry(c("route"), c("highway"), c("ferry"))).select("way_id")
-    rel = spark.sql(_FERRY_REL, orders=table(spark, sf, "orders")).filter("route = 'ferry' and motorcar in ('yes', 'designated')")
+    """Ways that inherit car access from a relation (customer) that the whole ferry rule admits for cars: at most six stops, 150 km in all and 150 km a way; a way without coordinates counts as 0 m."""
+    _, refs, nodes = g.parts(spark, sf)
+    none = F.lit(None).cast("string")
+    admits = tags.ferry_admits("car", c("motorcar"), none, none, c("access"), c("ferry"), none, none, F.lit(False))
+    rel = spark.sql(_FERRY_REL, orders=table(spark, sf, "orders")).filter(tags.is_ferry(c("route"), none, c("ferry")) & admits)
     role = tags.clean(c("node_role"))
     stop = F.coalesce(role.contains("stop") | role.isin("platform", "terminal", "harbour", "harbor", "port", "halt"), F.lit(False))
-    at = plan.resolved(refs.join(ferry, "way_id", "left_semi"), shrunk(nodes, 4.0))
+    at = plan.resolved(refs.join(rel.select("way_id").distinct(), "way_id", "left_semi"), shrunk(nodes, 4.0)).filter(c("way_id") % 9 != 4)
     order = Window.partitionBy("way_id").orderBy("pos")
     length = at.withColumn("d", geo.haversine(c("lat"), c("lon"), F.lead("lat").over(order), F.lead("lon").over(order), geo.TOOL_RADIUS)).groupBy("way_id").agg(F.coalesce(F.sum("d"), F.lit(0.0)).alias("m"))
     members = rel.select("relation_id", "way_id", stop.alias("stop")).join(length, "way_id", "left").withColumn("own_m", F.coalesce("m", F.lit(0.0)))
     good = members.groupBy("relation_id").agg(F.count_if("stop").alias("stops"), F.sum("own_m").alias("total")).filter((c("stops") <= MAX_STOPS) & (c("total") <= MAX_INHERIT_M))
-    return members.filter((c("own_m") <= MAX_INHERIT_M) & c("m").isNotNull()).join(good, "relation_id", "left_semi").select("way_id", F.round("own_m", 2).alias("m")).distinct()
+    return members.filter(c("own_m") <= MAX_INHERIT_M).join(good, "relation_id", "left_semi").select("way_id", F.round("own_m", 2).alias("m")).distinct()
 
 
-O_J4 = with_views("v_ways", "v_way_nodes", "v_nodes") + f""" s AS (SELECT way_id, {g.hav('lat', 'lon', 'nlat', 'nlon', '6371000.0::DOUBLE')} AS d FROM (SELECT way_id, lat, lon, lead(lat) OVER w AS nlat, lead(lon) OVER w AS nlon FROM (SELECT way_id, pos, 59 + (lat - 59) / 4.0::DOUBLE AS lat, 10 + (lon - 10) / 4.0::DOUBLE AS lon FROM v_way_nodes JOIN v_nodes USING (node_id)) WINDOW w AS (PARTITION BY way_id ORDER BY pos))),
-l AS (SELECT way_id, coalesce(sum(d), 0) AS m FROM s WHERE way_id IN (SELECT way_id FROM v_ways WHERE {t.SQL_FERRY}) GROUP BY 1), b AS (SELECT relation_id, r.way_id, m, node_role FROM ({_FERRY_REL.format(orders='orders')}) r LEFT JOIN l ON l.way_id = r.way_id WHERE route = 'ferry' AND motorcar IN ('yes', 'designated')),
-k AS (SELECT relation_id FROM b GROUP BY 1 HAVING count(*) FILTER (node_role IN ('stop', 'platform', 'Harbour', 'forward_stop', 'halt')) <= 6 AND coalesce(sum(m), 0) <= 150000)
+O_J4 = with_views("v_way_nodes", "v_nodes") + f""" s AS (SELECT way_id, {g.hav('lat', 'lon', 'nlat', 'nlon', '6371000.0::DOUBLE')} AS d FROM (SELECT way_id, lat, lon, lead(lat) OVER w AS nlat, lead(lon) OVER w AS nlon FROM (SELECT way_id, pos, 59 + (lat - 59) / 4.0::DOUBLE AS lat, 10 + (lon - 10) / 4.0::DOUBLE AS lon FROM v_way_nodes JOIN v_nodes USING (node_id) WHERE way_id % 9 <> 4) WINDOW w AS (PARTITION BY way_id ORDER BY pos))),
+l AS (SELECT way_id, coalesce(sum(d), 0) AS m FROM s GROUP BY 1), b AS (SELECT relation_id, r.way_id, coalesce(m, 0) AS m, node_role FROM ({_FERRY_REL.format(orders='orders')}) r LEFT JOIN l ON l.way_id = r.way_id WHERE (coalesce(route = 'ferry', false) OR (ferry IS NOT NULL AND ferry <> 'no'))
+  AND CASE WHEN motorcar IS NOT NULL THEN motorcar IN ('yes', 'designated') WHEN coalesce(access = 'no', false) THEN false ELSE coalesce(lower(ferry) IN ('primary', 'trunk'), false) END),
+k AS (SELECT relation_id FROM b GROUP BY 1 HAVING count(*) FILTER (node_role IN ('stop', 'platform', 'Harbour', 'forward_stop', 'halt')) <= 6 AND sum(m) <= 150000)
 SELECT DISTINCT way_id, round(m, 2) AS m FROM b WHERE m <= 150000 AND relation_id IN (SELECT relation_id FROM k)"""
 
 
@@ -261,15 +264,13 @@ def f33_key_extract(spark, sf):
 O_F33 = with_views("v_ways", "v_way_nodes", "v_nodes") + " u AS (SELECT node_id FROM v_way_nodes WHERE way_id IN (SELECT way_id FROM v_ways WHERE route = 'ferry') UNION SELECT node_id FROM v_nodes WHERE tourism IS NOT NULL) SELECT count(*) AS n_nodes, sum(node_id)::BIGINT AS ids, (SELECT count(*) FROM v_ways WHERE route = 'ferry') AS n_ways FROM u"
 
 
-def i2_batch_paths(spark, sf):
-    """Cheapest paths of one pair a customer, over all graph nodes; blocked barriers are not passed.
+def route_pairs(spark, sf, e: DataFrame) -> DataFrame:
+    """query, start, goal, apart of the pairs of ``v_route_pairs`` on a graph, written out.
 
-    Customers a and b of ``v_route_pairs`` stand at the least node of their share of the node
-    hashes. The goal of every fourth pair is b's node, mostly in another component; that of
-    the others is the node of a's component that b falls on, as most components are small.
-    Pairs in two components have no path and are answered without a search.
+    Customers a and b stand at the least node of their share of the node hashes. The goal of every
+    fourth pair is b's node, mostly in another component (``apart``); that of the others is the node
+    of a's component that b falls on, as most components are small.
     """
-    e = materialize(g.edges(spark, sf).select("edge_id", "src", "dst", "weight", "surface_rank"), "edges")
     comps = materialize(connected_components(e), "components")
     pairs = view(spark, sf, "v_route_pairs")
     sizes = comps.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
@@ -283,12 +284,41 @@ def i2_batch_paths(spark, sf):
     away = c("query") % 4 == 0
     # a component is named by its least node: the goal where no node falls on the slot
     placed = met.select("query", "start", F.when(away, c("far")).otherwise(F.coalesce("near", "component")).alias("goal"), F.coalesce(away & (c("far_component") != c("component")), F.lit(False)).alias("apart"))
-    placed = materialize(placed, "route-pairs")
-    blocked = view(spark, sf, "v_nodes").filter(tags.barrier_blocks(c("barrier"), "car", *[c(x) for x in plan.ACCESS])).select("node_id")
-    found = routing.shortest_paths(e, placed.filter(~c("apart")), blocked)
+    return materialize(placed, "route-pairs")
+
+
+def blocked_nodes(spark, sf) -> DataFrame:
+    return view(spark, sf, "v_nodes").filter(tags.barrier_blocks(c("barrier"), "car", *[c(x) for x in plan.ACCESS])).select("node_id")
+
+
+def i2_batch_paths(spark, sf):
+    """Cheapest paths of one pair a customer, over all graph nodes; blocked barriers are not passed.
+
+    Pairs in two components have no path and are answered without a search.
+    """
+    e = materialize(g.edges(spark, sf).select("edge_id", "src", "dst", "weight", "surface_rank"), "edges")
+    placed = route_pairs(spark, sf, e)
+    found = routing.shortest_paths(e, placed.filter(~c("apart")), blocked_nodes(spark, sf))
     return found.unionByName(placed.filter("apart").select("query", "start", "goal"), allowMissingColumns=True)
 
 
+def option_edges(spark, sf) -> DataFrame:
+    """Edges of the car graph with the options that admit them and an eco weight, the energy in kJ of every edge but one in seven, written out."""
+    allowed = t.allowed_for_options(t.edge_attributes(t.ways(spark, sf)), t.option_rows(), "car", F.to_timestamp(F.lit("2024-06-12 08:30:00")))
+    by_way = allowed.groupBy("way_id").agg(F.collect_set("option_id").alias("options"))
+    eco = F.when(F.pmod(F.xxhash64("edge_id"), F.lit(7)) > 0, geo.flat_energy(c("length_m")) / 1000)
+    e = g.edges(spark, sf).join(by_way, "way_id").select("edge_id", "src", "dst", "weight", "surface_rank", "options", eco.alias("eco_weight"))
+    return materialize(e, "edges")
+
+
+def i2_option_paths(spark, sf):
+    """Cheapest paths under the route options of each pair, every other pair by eco weight."""
+    e = option_edges(spark, sf)
+    placed = route_pairs(spark, sf, e).withColumns({"option_id": (c("query") % len(t.OPTION_ROWS)).cast("int"), "use_eco": c("query") % 2 == 1})
+    found = routing.shortest_paths(e, placed.filter(~c("apart")).drop("apart"), blocked_nodes(spark, sf))
+    return found.unionByName(placed.filter("apart").select("query", "start", "goal", "option_id", "use_eco"), allowMissingColumns=True)
+
+
 def i3_boarding(spark, sf):
     """Boarding ways promoted from ferry ends by chains of at most 500 m, on the map drawn 300 times smaller."""
     ways, refs, nodes = g.parts(spark, sf)
@@ -346,7 +376,7 @@ def r2_stream_windows(spark, sf):
 O_R2S = "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 DAY FROM events) GROUP BY 1, 2"
 
 PAIRS = [
-    (j12_w5_w7_limit_matching, O_J12), (a14_match_report, O_A14), (m4_m5_projections, O_M4), (j8_a8_wet_segments, O_J8), (j4_ferry_inheritance, O_J4), (j36_j38_poi_and_buildings, O_J36), (j37_w17_ring_assembly, O_J37), (f33_key_extract, O_F33), (i2_batch_paths, None), (i3_boarding, None),
+    (j12_w5_w7_limit_matching, O_J12), (a14_match_report, O_A14), (m4_m5_projections, O_M4), (j8_a8_wet_segments, O_J8), (j4_ferry_inheritance, O_J4), (j36_j38_poi_and_buildings, O_J36), (j37_w17_ring_assembly, O_J37), (f33_key_extract, O_F33), (i2_batch_paths, None), (i2_option_paths, None), (i3_boarding, None),
     (r4_stream_changed_content, O_R4S), (r5_stream_failure_runs, O_R5S), (r1_stream_changelog, lifecycle.O_R1), (r2_stream_windows, O_R2S),
 ]
 QUERIES = {f.__name__: f for f, _ in PAIRS}

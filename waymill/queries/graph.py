@@ -178,6 +178,15 @@ def k1_tiled_graph_sink(spark, sf):
 O_K1 = E_SQL + """ SELECT floor(CASE WHEN back THEN blon ELSE alon END)::INT AS tile_col, count(*) AS n, round(sum(length_m), 2) AS m FROM edges WHERE floor(CASE WHEN back THEN blat ELSE alat END) = 59 GROUP BY 1"""
 
 
+def k1_all_profiles(spark, sf):
+    """The graphs of all four profiles from one build, written by profile and tile; tiles without an edge have no folder."""
+    made = graph.profile_edges(*parts(spark, sf)).withColumns({"tile_row": F.floor("src_lat"), "tile_col": F.floor("src_lon")})
+    path = shared_path(spark, "tiles")
+    made.repartition("profile", "tile_row", "tile_col", F.pmod(F.xxhash64("way_id"), F.lit(8))).write.partitionBy("profile", "tile_row", "tile_col").parquet(path)
+    back = spark.read.schema("edge_id string, weight double, length_m double, profile string, tile_row int, tile_col int").parquet(path)
+    return back.groupBy("profile", "tile_row", "tile_col").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("length_m"), 2).alias("m"), F.round(F.sum("weight"), 2).alias("weight"))
+
+
 def u1_merged_tile_graphs(spark, sf):
     """Edges of overlapping tiles united again: as many as there were, if endpoints tell them apart."""
     made = edges(spark, sf)
@@ -276,8 +285,8 @@ SELECT CASE WHEN n IS NULL THEN 'no_road' WHEN s.root = giant THEN 'ok' WHEN n <
 
 PAIRS = [
     (edges_by_class, O_CLASS), (s1_element_scan, O_S1), (w1_w2_edges, O_W1), (j1_m2_way_lengths, O_J1), (a1_junctions, O_A1), (a2_parallel_census, O_A2), (a3_a4_shares_and_minutes, O_A3), (a31_incident_surface, O_A31), (w3_cheapest_parallel, O_W3),
-    (w4_m19_surface_along_ways, O_W4), (w10_path_vertices, O_W10), (j2_way_tiles, O_J2), (k1_tiled_graph_sink, O_K1), (u1_merged_tile_graphs, O_U1), (j5_barriers_on_graph, O_J5), (f17_box_clip, O_F17), (f35_box_extract, O_F35), (m20_m21_energy, O_M20),
+    (w4_m19_surface_along_ways, O_W4), (w10_path_vertices, O_W10), (j2_way_tiles, O_J2), (k1_tiled_graph_sink, O_K1), (k1_all_profiles, None), (u1_merged_tile_graphs, O_U1), (j5_barriers_on_graph, O_J5), (f17_box_clip, O_F17), (f35_box_extract, O_F35), (m20_m21_energy, O_M20),
     (i1_a10_components, O_I1), (a15_i4_ferry_terminals, O_A15),
 ]
 QUERIES = {f.__name__: f for f, _ in PAIRS}
-ORACLES = {f.__name__: sql for f, sql in PAIRS}
+ORACLES = {f.__name__: sql for f, sql in PAIRS if sql}
