@@ -24,7 +24,8 @@ pair in 3 * 10^8 with 32 segments of two bits, one in 5 * 10^4 with 16 of four a
 with 8 of eight, whatever the grid.
 
 Defined cases: null and word-less texts have fingerprint 0 and link like any other; repeated
-rows share a fingerprint; a null doc_id gets the component of its fingerprint and is never
+rows share a fingerprint; a very long text is read whole, in time and memory in proportion to its
+length, and is one fingerprint like any other; a null doc_id gets the component of its fingerprint and is never
 its name unless no other id is there (then null); extra columns are ignored; an empty table
 gives an empty result.
 """
