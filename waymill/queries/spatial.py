@@ -488,8 +488,13 @@ WHERE lat BETWEEN a - 0.01::DOUBLE AND b + 0.01::DOUBLE AND lon BETWEEN c - 0.01
 
 
 def f18_hash_sample(spark, sf):
-    """One in 64 nodes by a hash of the position, whatever the order: a sampling operator."""
-    return view(spark, sf, "v_nodes").filter(F.pmod(F.xxhash64("lat", "lon"), F.lit(64)) == 0).select("node_id")
+    """One in 64 nodes by a hash of the position in 1e-7 degrees, whatever the order: a sampling operator."""
+    place = F.concat_ws(",", F.floor(c("lat") * 1e7).cast("long"), F.floor(c("lon") * 1e7).cast("long"))
+    number = F.conv(F.substring(F.md5(place.cast("binary")), 1, 8), 16, 10).cast("long")
+    return view(spark, sf, "v_nodes").filter(number % 64 == 0).select("node_id")
+
+
+O_F18 = with_views("v_nodes") + " h AS (SELECT node_id, ('0x' || substr(md5(floor(lat * 1e7)::BIGINT || ',' || floor(lon * 1e7)::BIGINT), 1, 8))::BIGINT AS h FROM v_nodes) SELECT node_id FROM h WHERE h % 64 = 0"
 
 
 def m12_m14_grids(spark, sf):
@@ -557,7 +562,7 @@ SELECT r, count(*) AS n, round(sum(h), 3) AS sum_m, min(CASE WHEN h < -12000 THE
 PAIRS = [
     (j15_points_in_rings, O_J15), (j15_ferry_regions, O_J15F), (j3_k3_ring_tiles, O_J3), (j7_a7_wetland_hazards, O_J7), (j17_j18_smallest_region, O_J17), (j19_pois_within_radius, O_J19), (j20_m24_corridor_band, O_J20), (m24_densified_legs, O_M24),
     (j21_m11_overnight_safety, O_J21), (j22_m7_barrier_crossings, O_J22), (j23_snap, O_J23), (j23_snap_slow_modes, None), (j16_polygon_overlap, None), (j6_edge_heights, O_J6), (j10_nearest_feature, O_J10), (j13_ferry_match, O_J13), (j14_wrong_admissions, O_J14), (j16_lattice_overlap, O_J16), (j31_f16_adjacent_boxes, O_J31),
-    (j35_u7_cells_of_rings, O_J35), (a9_region_bounds, O_A9), (f18_hash_sample, None), (m12_m14_grids, O_M12), (m10_m22_m27_rings, O_M10), (m9_points_in_triangles, O_M9), (m6_bearings, O_M6), (s19_pixel_heights, O_S19),
+    (j35_u7_cells_of_rings, O_J35), (a9_region_bounds, O_A9), (f18_hash_sample, O_F18), (m12_m14_grids, O_M12), (m10_m22_m27_rings, O_M10), (m9_points_in_triangles, O_M9), (m6_bearings, O_M6), (s19_pixel_heights, O_S19),
 ]
 QUERIES = {f.__name__: f for f, _ in PAIRS}
 ORACLES = {f.__name__: sql for f, sql in PAIRS if sql}
