@@ -38,6 +38,29 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_components_run_few_tasks(spark):
+    """The driver holds a record a task: with many partitions the rounds must not run a subplan twice."""
+    context = spark.sparkContext._jsc.sc()
+
+    def tasks():
+        context.listenerBus().waitUntilEmpty()
+        return context.statusStore().executorList(True).apply(0).totalTasks()
+
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    edges = shared.materialize(spark.range(1, 500).select(F.col("id").alias("src"), F.when(F.col("id") < 20, F.col("id") - 1).otherwise(0).alias("dst")))
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        before = tasks()
+        assert connected_components(edges).filter("component = 0").count() == 500
+        ran = tasks() - before
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert ran < 1500, ran
+
+
 def test_salted_lookup_keeps_every_row(spark):
     rows = spark.range(30000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"))
     sizes = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))

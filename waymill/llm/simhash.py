@@ -42,7 +42,7 @@ from pyspark.sql.types import LongType
 
 from waymill.llm.simhash_bits import fingerprint
 from waymill.operators.components import connected_components
-from waymill.operators.shared import materialize
+from waymill.operators.shared import materialize, observed
 from waymill.operators.skew import salted_lookup
 
 MAX_BITS = 4
@@ -116,20 +116,26 @@ def near_components(fps: DataFrame, k: int = MAX_BITS, groups: int | None = None
     labels = connected_components(stars)
     labelled = fps.select("fp").join(labels, fps["fp"] == labels["node"], "left").select("fp", F.coalesce("component", "fp").alias("comp"))
     labelled = materialize(labelled, "labels")
-    def apart_pairs(cells: DataFrame, crowd: int | None) -> tuple[DataFrame, DataFrame | None]:
-        """Close pairs of different components; and the cells that were too crowded to join."""
+
+    def cell_heads(cells: DataFrame) -> DataFrame:
+        """Cells with more than one component; ``full``: more than ``CROWD`` pairs to look at."""
         sizes = cells.groupBy("no", "cell", "comp").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n"))
         heads = sizes.groupBy("no", "cell").agg(F.min_by("comp", "fp").alias("head"), F.min_by("n", "fp").alias("n_head"), F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-        full = (F.col("n_all") - F.col("n_head")) * F.col("n_all") > F.lit(crowd)
-        some = heads if crowd is None else heads.filter(~full)
-        apart = cells.alias("a").join(some.alias("h"), same_cell("a", "h") & (F.col("a.comp") != F.col("h.head"))).select("a.*")
+        return heads.select("no", "cell", "head", ((F.col("n_all") - F.col("n_head")) * F.col("n_all") > F.lit(CROWD)).alias("full"))
+
+    def apart_pairs(cells: DataFrame, heads: DataFrame) -> DataFrame:
+        """Close pairs of different components."""
+        apart = cells.alias("a").join(heads.alias("h"), same_cell("a", "h") & (F.col("a.comp") != F.col("h.head"))).select("a.*")
         pairs = apart.alias("a").join(cells.alias("b"), same_cell("a", "b") & (F.col("a.comp") != F.col("b.comp")) & close("a", "b"))
-        return pairs.select(F.col("a.comp").alias("src"), F.col("b.comp").alias("dst")), None if crowd is None else heads.filter(full).select("no", "cell")
+        return pairs.select(F.col("a.comp").alias("src"), F.col("b.comp").alias("dst"))
 
     cells = _cells(labelled, groups, k)
-    pairs, crowded = apart_pairs(cells, CROWD)
-    dense = materialize(cells.join(crowded, ["no", "cell"], "left_semi").select("fp", "comp").distinct(), "dense")
-    pairs = pairs.unionByName(apart_pairs(_cells(dense, FINE_GROUPS, k), None)[0])
+    heads, crowded = observed(cell_heads(cells), "heads", full=F.count_if("full"))
+    pairs = apart_pairs(cells, heads.filter("not full"))
+    if crowded["full"]:
+        dense = materialize(cells.join(heads.filter("full").select("no", "cell"), ["no", "cell"], "left_semi").select("fp", "comp").distinct(), "dense")
+        fine = _cells(dense, FINE_GROUPS, k)
+        pairs = pairs.unionByName(apart_pairs(fine, cell_heads(fine)))
     # What the stars left apart: a graph of components, with few edges.
     merged = connected_components(pairs)
     sizes = labelled.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))

@@ -5,33 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymill.operators.shared import observed, release
+from waymill.operators.shared import materialize, observed, release
 from waymill.operators.skew import salted_lookup
 
 MAX_ROUNDS = 60
 
 
-def _signed(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The edges written out, with their number and a sum of hashes."""
-    star, sums = observed(edges, "edges", n=F.count(F.lit(1)), h=F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
-    return star, (sums["n"], sums["h"])
+def _nodes(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """(u, m, n): each node, the smallest of it and its neighbours, its rows; written out, with the
+    number of rows and of nodes that are neither the middle of a star nor an end with one middle."""
+    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    seen = both.groupBy("u").agg(
+        F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"), F.max("v").alias("high"), F.max(F.when(F.col("v") < F.col("u"), F.col("v"))).alias("low")
+    )
+    unsettled = F.expr("m < u and (high > u or low > m)")
+    nodes, sums = observed(seen.withColumn("unsettled", unsettled), "nodes", rows=F.sum("n"), unsettled=F.count_if("unsettled"))
+    return nodes.select("u", "m", "n"), sums | {"step": nodes}
 
 
-def _large_star(edges: DataFrame, total: int) -> DataFrame:
-    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
-    return salted_lookup(both.filter("v > u"), least, "u", "n", total, F.col("v")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+def _large_star(edges: DataFrame, nodes: DataFrame, total: int) -> DataFrame:
+    ends = edges.select(F.col("u").alias("far"), F.col("v").alias("u"))
+    return materialize(salted_lookup(ends, nodes, "u", "n", total, F.col("far")).select(F.col("far").alias("u"), F.col("m").alias("v")), "large")
 
 
 def _small_star(edges: DataFrame, total: int) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    joined = salted_lookup(edges, least, "u", "n", total, F.col("v"))
-    return (
-        joined.filter("v <> m")
-        .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        .union(least.select("u", F.col("m").alias("v")))
-        .distinct()
-    )
+    least = materialize(edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "least")
+    moved = salted_lookup(edges, least, "u", "n", total, F.col("v")).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    star = materialize(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+    release(least)
+    return star
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -40,19 +42,21 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     Each round halves the depth of the trees, so rounds grow with the logarithm of the
     longest path. A vertex of high degree is only ever pre-aggregated by ``min`` and joined in
     salted parts, never gathered. Self loops keep their node; null ends are ignored.
+
+    What a round reads more than once is written first, so no plan holds a subplan twice, and the
+    rounds end when no node is unsettled, without one more round to see that nothing changes.
     """
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter("a is not null and b is not null")
-    loops = ends.filter("a = b").select(F.col("a").alias("node")).distinct()
-    star, now = _signed(ends.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = None
+    star = materialize(ends.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     for _ in range(MAX_ROUNDS):
-        if before == now or not now[0]:
-            break
-        old, before = star, now
-        star, now = _signed(_small_star(_large_star(star, now[0]), now[0]))
-        release(old)
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
-    roots = star.select(F.col("v").alias("node")).distinct()
-    found = star.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots.select("node", F.col("node").alias("component")))
-    return found.unionByName(loops.join(found, "node", "left_anti").select("node", F.col("node").alias("component")))
+        nodes, sums = _nodes(star)
+        if not sums["unsettled"]:
+            release(star)
+            return nodes.select(F.col("u").alias("node"), F.col("m").alias("component"))
+        total = sums["rows"] // 2
+        large = _large_star(star, nodes, total)
+        release(star)
+        release(sums["step"])
+        star = _small_star(large, total)
+        release(large)
+    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
