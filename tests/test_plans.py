@@ -61,6 +61,31 @@ def test_components_run_few_tasks(spark):
     assert ran < 1500, ran
 
 
+def test_components_take_few_steps(spark):
+    """The edges shrink with their trees: a chain, stars and a star around a large node in few tasks, with as many partitions."""
+    context = spark.sparkContext._jsc.sc()
+
+    def tasks():
+        context.listenerBus().waitUntilEmpty()
+        return context.statusStore().executorList(True).apply(0).totalTasks()
+
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    pairs = [(i, i - 1 if i < 20 else 0) for i in range(1, 500)] + [(2000, 1000 + i) for i in range(100)] + [(3000, 3000)]
+    edges = shared.materialize(spark.createDataFrame(pairs, "src long, dst long"))
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        before = tasks()
+        got = {r["node"]: r["component"] for r in connected_components(edges).collect()}
+        ran = tasks() - before
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {**dict.fromkeys(range(500), 0), **dict.fromkeys([*range(1000, 1100), 2000], 1000), 3000: 3000}
+    assert ran < 700, ran
+
+
 def test_salted_lookup_keeps_every_row(spark):
     rows = spark.range(30000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"))
     sizes = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))

@@ -101,7 +101,7 @@ def _cells(fps: DataFrame, groups: int, k: int) -> DataFrame:
 
 
 def near_components(fps: DataFrame, k: int = MAX_BITS, groups: int | None = None) -> DataFrame:
-    """(fp, comp) for distinct fingerprints: the exact components of links at <= k bits."""
+    """``fps``, of distinct fingerprints, with comp: the exact components of links at <= k bits."""
     groups = groups or grid_groups(fps.count(), k)
 
     def close(a: str, b: str) -> Column:
@@ -111,10 +111,9 @@ def near_components(fps: DataFrame, k: int = MAX_BITS, groups: int | None = None
     heads = cells.groupBy("no", "cell").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n")).filter("n > 1").withColumn("e", embedding(F.col("fp")))
     same_cell = lambda a, b: (F.col(f"{a}.no") == F.col(f"{b}.no")) & (F.col(f"{a}.cell") == F.col(f"{b}.cell"))
     stars = cells.alias("a").join(heads.alias("h"), same_cell("a", "h") & (F.col("a.fp") != F.col("h.fp")) & close("a", "h"))
-    stars = materialize(stars.select(F.col("a.fp").alias("src"), F.col("h.fp").alias("dst")).distinct(), "stars")
 
-    labels = connected_components(stars)
-    labelled = fps.select("fp").join(labels, fps["fp"] == labels["node"], "left").select("fp", F.coalesce("component", "fp").alias("comp"))
+    labels = connected_components(stars.select(F.col("a.fp").alias("src"), F.col("h.fp").alias("dst")))
+    labelled = fps.join(labels, fps["fp"] == labels["node"], "left").select(*fps.columns, F.coalesce("component", "fp").alias("comp"))
     labelled = materialize(labelled, "labels")
 
     def cell_heads(cells: DataFrame) -> DataFrame:
@@ -129,7 +128,7 @@ def near_components(fps: DataFrame, k: int = MAX_BITS, groups: int | None = None
         pairs = apart.alias("a").join(cells.alias("b"), same_cell("a", "b") & (F.col("a.comp") != F.col("b.comp")) & close("a", "b"))
         return pairs.select(F.col("a.comp").alias("src"), F.col("b.comp").alias("dst"))
 
-    cells = _cells(labelled, groups, k)
+    cells = _cells(labelled.select("fp", "comp"), groups, k)
     heads, crowded = observed(cell_heads(cells), "heads", full=F.count_if("full"))
     pairs = apart_pairs(cells, heads.filter("not full"))
     if crowded["full"]:
@@ -140,7 +139,7 @@ def near_components(fps: DataFrame, k: int = MAX_BITS, groups: int | None = None
     merged = connected_components(pairs)
     sizes = labelled.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
     names = materialize(sizes.join(merged, sizes["comp"] == merged["node"], "left").select("comp", "size", F.coalesce("component", "comp").alias("final")), "merged")
-    return salted_lookup(labelled, names, "comp", "size", labelled.count(), F.col("fp")).select("fp", F.col("final").alias("comp"))
+    return salted_lookup(labelled, names, "comp", "size", labelled.count(), F.col("fp")).select(*fps.columns, F.col("final").alias("comp"))
 
 
 def near_groups(docs: DataFrame, k: int = MAX_BITS, groups: int | None = None) -> DataFrame:
@@ -151,7 +150,7 @@ def near_groups(docs: DataFrame, k: int = MAX_BITS, groups: int | None = None) -
 
 def _grouped(rows: DataFrame, k: int, groups: int | None) -> DataFrame:
     fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "distinct")
-    named = materialize(fps.join(near_components(fps, k, groups), "fp"), "named")
+    named = materialize(near_components(fps, k, groups), "named")
     names = named.groupBy("comp").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size"))
     by_fp = materialize(salted_lookup(named, names, "comp", "size", named.count(), F.col("fp")).select("fp", "n", "component_id"), "components")
     return salted_lookup(rows, by_fp, "fp", "n", rows.count(), F.col("row")).select("doc_id", "fp", "component_id")
