@@ -184,9 +184,10 @@ n AS (SELECT point_id FROM d WHERE d < 1000 UNION SELECT point_id FROM i WHERE c
 SELECT CASE WHEN point_id IN (SELECT point_id FROM h) THEN 'building' WHEN point_id IN (SELECT point_id FROM n) AND NOT coalesce({pick('point_id', PLACES)} IN ('cabin', 'network_hut', 'overnight'), false) THEN 'glacier' ELSE 'ok' END AS reason, count(*) AS n, sum(point_id)::BIGINT AS ids FROM v_points GROUP BY 1"""
 
 
-def way_chords(spark, sf) -> DataFrame:
-    """First and last located node of each way."""
+def way_chords(spark, sf, only: DataFrame | None = None) -> DataFrame:
+    """First and last located node of each way, or of the ways in ``only`` (way_id)."""
     _, refs, nodes = g.parts(spark, sf)
+    refs = refs if only is None else refs.join(only, "way_id", "left_semi")
     at = plan.resolved(refs, nodes).groupBy("way_id").agg(F.min_by(F.struct("lat", "lon"), "pos").alias("a"), F.max_by(F.struct("lat", "lon"), "pos").alias("b"))
     return at.select("way_id", c("a.lat").alias("lat1"), c("a.lon").alias("lon1"), c("b.lat").alias("lat2"), c("b.lon").alias("lon2"))
 
@@ -326,7 +327,7 @@ def ferries(spark, sf) -> DataFrame:
     ways, _, _ = g.parts(spark, sf)
     car = tags.old_ferry_class(*[c(x) for x in ("motorcar", "motor_vehicle", "vehicle", "foot", "bicycle")]) == "car"
     some = ways.filter(tags.is_ferry(c("route"), c("highway"), c("ferry"))).select("way_id", F.lower(F.trim("name")).alias("name"), car.alias("is_car"))
-    return way_chords(spark, sf).join(some, "way_id").withColumnRenamed("way_id", "ferry_id")
+    return way_chords(spark, sf, some.select("way_id")).join(some, "way_id").withColumnRenamed("way_id", "ferry_id")
 
 
 def published(f: DataFrame) -> DataFrame:
@@ -339,19 +340,11 @@ def published(f: DataFrame) -> DataFrame:
 
 
 def ferry_pairs(f: DataFrame, p: DataFrame, metres: float, same_name: bool = False) -> DataFrame:
-    """Pairs whose ends lie at most ``metres`` apart in sum, in the better of the two orientations.
-
-    Of such a pair some end is within half of that, so ends meet on cells of that width.
-    """
-    own = lambda a, b, y, x: F.explode(F.array(*[F.struct(c(i).alias(y), c(j).alias(x)) for i, j in (a, b)])).alias("end")
-    left = f.select("ferry_id", "name", own(("lat1", "lon1"), ("lat2", "lon2"), "lat", "lon")).select("ferry_id", "name", "end.*")
-    right = p.select("pack_id", c("pack_name").alias("name") if same_name else F.lit(0).alias("other"), own(("u1", "v1"), ("u2", "v2"), "to_lat", "to_lon")).drop("other").select(*(["pack_id", "name"] if same_name else ["pack_id"]), "end.*")
+    """Pairs whose ends lie at most ``metres`` apart in sum, with ``metres`` of one orientation; a pair that both admit comes twice."""
+    right = p.select("pack_id", *[x for x in ("pack_name",) if x in p.columns], *[c(x).alias(f"to_{y}") for x, y in zip(("u1", "v1", "u2", "v2"), ("lat1", "lon1", "lat2", "lon2"), strict=True)])
     if same_name:
-        left, right = left.filter("name <> ''"), right.filter("name <> ''")
-    met = cells.within(left, right, metres / 2, on=("name",) if same_name else ()).select("ferry_id", "pack_id").distinct()
-    d = lambda a, b, x, y: geo.haversine(c(a), c(b), c(x), c(y), geo.TOOL_RADIUS)
-    both = met.join(f, "ferry_id").join(p, "pack_id")
-    return both.withColumn("metres", F.least(d("lat1", "lon1", "u1", "v1") + d("lat2", "lon2", "u2", "v2"), d("lat1", "lon1", "u2", "v2") + d("lat2", "lon2", "u1", "v1"))).filter(c("metres") <= metres)
+        f, right = f.filter("name <> ''"), right.filter("pack_name <> ''").withColumnRenamed("pack_name", "name")
+    return cells.within_ends(f, right, metres, on=("name",) if same_name else ())
 
 
 PROXIMITY_M = 2500.0
@@ -360,10 +353,11 @@ PROXIMITY_M = 2500.0
 def j13_ferry_match(spark, sf):
     """Each ferry and the published ferry whose ends are nearest in sum, halved for equal names, up to twice 2500 m."""
     f = materialize(ferries(spark, sf), "ferries")
-    p = published(f)
+    p, f = published(f), f.drop("is_car")
     near = ferry_pairs(f, p, 2 * PROXIMITY_M).select("ferry_id", "pack_id", F.when((c("name") != "") & (c("name") == c("pack_name")), c("metres") / 2).otherwise(c("metres")).alias("score"))
     named = ferry_pairs(f, p, 4 * PROXIMITY_M, same_name=True).select("ferry_id", "pack_id", (c("metres") / 2).alias("score"))
-    return near.unionByName(named).groupBy("ferry_id").agg(F.min_by("pack_id", F.struct("score", "pack_id")).alias("pack_id"), F.round(F.min("score"), 2).alias("score"))
+    best = near.unionByName(named).groupBy("ferry_id").agg(F.min(F.struct("score", "pack_id")).alias("m"))
+    return best.select("ferry_id", "m.pack_id", F.round("m.score", 2).alias("score"))
 
 
 _H = lambda a, b, x, y: g.hav(a, b, x, y, "6371000.0::DOUBLE")
@@ -379,7 +373,7 @@ SELECT ferry_id, arg_min(pack_id, (score, pack_id)) AS pack_id, round(min(score)
 def j14_wrong_admissions(spark, sf):
     """Published ferries nearest to a ferry that cars may not take, ends within 1600 m in sum, and nearer to it than to any car ferry."""
     f = materialize(ferries(spark, sf), "ferries")
-    near = ferry_pairs(f, published(f), 1600.0)
+    near = ferry_pairs(f.drop("name"), published(f).drop("pack_name"), 1600.0)
     best = near.groupBy("pack_id").agg(F.min(F.when(~c("is_car"), F.struct("metres", "ferry_id"))).alias("other"), F.min(F.when(c("is_car"), c("metres"))).alias("car_m"))
     return best.filter("other is not null and (car_m is null or other.metres < car_m)").select("pack_id", c("other.ferry_id").alias("ferry_id"), F.round("other.metres", 1).alias("metres"))
 
