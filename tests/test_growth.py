@@ -5,10 +5,13 @@ from __future__ import annotations
 import math
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from waymill.functions import geo
-from waymill.operators import cells, shared
+from waymill.functions import geo, limits
+from waymill.operators import shared
+from waymill.plans import annotate, measures
 from waymill.queries import spatial
 
 
@@ -82,3 +85,46 @@ def test_steps_leave_no_shuffle_files(spark):
     step = shared.materialize(spark.range(1000).repartition(7).groupBy("id").count(), "shuffled")
     assert step.count() == 1000 and there() <= before + 2  # those of the count itself
     shared.release(step)
+
+
+POINTS = "array<struct<lat:double,lon:double>>"
+
+
+def test_segments_measured_in_batches_equal_the_expression(spark, monkeypatch):
+    random.seed(3)
+    path = lambda n: [(59 + random.random() * 1e-3, 10 + random.random() * 1e-3) for _ in range(n)]
+    rows = [(i, path(i % 6), path(i % 5)) for i in range(200)] + [(200, [(59.0, 10.0)] * 3, path(3)), (201, path(400), path(60))]
+    frame = spark.createDataFrame(rows, f"id long, nodes {POINTS}, points {POINTS}")
+    batch = pa.RecordBatch.from_pylist([{"nodes": [{"lat": y, "lon": x} for y, x in a], "points": [{"lat": y, "lon": x} for y, x in b]} for _, a, b in rows], schema=pa.schema([(k, pa.list_(pa.struct([("lat", pa.float64()), ("lon", pa.float64())]))) for k in ("nodes", "points")]))
+    monkeypatch.setattr(measures, "AT_ONCE", 1000)
+    row, segment, out = measures.measured(batch.column("nodes"), batch.column("points"))
+    got = {(int(i), int(j)): {k: v[n] for k, v in out.items()} for n, (i, j) in enumerate(zip(row, segment, strict=True))}
+    legs = frame.select("id", "nodes", F.posexplode(annotate.legs(F.col("points"))).alias("segment", "leg"))
+    want = legs.select("id", "segment", *[annotate.projected(F.col(f"leg.{e}"), F.col("nodes")).alias(e) for e in "ab"], annotate.path_m(F.col("nodes")).alias("way_m"), annotate.heading(F.col("leg.a"), F.col("leg.b")).alias("own")).collect()
+    assert len(want) == len(got) > 300
+    for r in want:
+        g = got[r["id"], r["segment"]]
+        assert [g["d_a"], g["along_a"], g["d_b"], g["along_b"], g["way_m"], g["own"]] == pytest.approx([r["a"]["d"], r["a"]["along"], r["b"]["d"], r["b"]["along"], r["way_m"], r["own"]], abs=1e-6)
+
+
+def test_limits_are_taken_apart_once(spark):
+    values = [None, "", " ", "3.5", "12'6\"", "4 m", "350cm", "13 ft", "3,8", "default", "Below_Default", "-1", "2 @ x", "-3'2", "5 ft,", "6'3in", "1,2,3", "3500 kg", "20 lbs", "yes", "5x", "'", "5.", "5 ft 3 xx", "0", "7;8"]
+    frame = spark.createDataFrame([(v,) for v in values], "raw string")
+    raw = F.col("raw")
+    made = limits.parsed(frame, "raw")
+    assert sorted(map(str, made.collect())) == sorted(map(str, frame.select("raw", limits.value_class(raw).alias("class"), limits.length_metres(raw).alias("length_m"), limits.weight_tonnes(raw).alias("weight_t")).collect()))
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") <= 8  # the expressions that copy their parts have hundreds
+
+
+def test_candidates_meet_in_blocks(spark):
+    random.seed(6)
+    line = lambda: (y := 59 + random.random() * 4e-3, x := 10 + random.random() * 4e-3) and [(y + i * 3e-4, x + i * 1e-4) for i in range(3)]
+    w, f = [(i, line()) for i in range(60)], [(i, line()) for i in range(60)]
+    ways = spark.createDataFrame([(i, "primary", "", False, False, p) for i, p in w], f"way_id long, highway string, name string, is_bridge boolean, is_tunnel boolean, nodes {POINTS}")
+    features = spark.createDataFrame([(i, "primary", "", False, False, p) for i, p in f], f"feature_id long, base string, name string, is_bridge boolean, is_tunnel boolean, points {POINTS}")
+    cell = lambda v: math.floor(v / annotate.CELL)
+    want = {(i, j) for i, p in w for j, q in f if any(abs(cell(a[0]) - cell(b[0])) <= 2 and abs(cell(a[1]) - cell(b[1])) <= 2 for a in p for b in q)}
+    found, pairs = joined(annotate.candidates(ways, features).select("way_id", "feature_id"))
+    assert {tuple(r) for r in found} == want and 100 < len(want) < 3600
+    plan = annotate.candidates(ways, features)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "array(struct" not in plan  # no row for each of 25 cells

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the limit vocabulary.
@@ -81,3 +81,29 @@ def way_class(raws: list[Column]) -> Column:
     classes = F.filter(F.array(*[value_class(r) for r in raws]), lambda c: c != "empty")
     has = lambda c: F.array_contains(classes, c)
     return F.when(F.size(classes) == 0, "unparseable").when(has("numeric"), "numeric").when(has("unknown_value"), "unknown_value").when(has("unparseable"), "unparseable").otherwise("non_numeric_no_limit")
+
+
+def parsed(values: DataFrame, raw: str) -> DataFrame:
+    """``values`` with class, length_m and weight_t of a column of strings: ``value_class``, ``length_metres`` and
+    ``weight_tonnes``, each piece of a value in a column of its own, so nothing is taken apart twice."""
+    df = values.withColumn("__s", F.trim(F.coalesce(F.col(raw), F.lit("")))).withColumn("__low", F.lower("__s"))
+    for i, source in (("1", "__low"), ("2", "__left1")):
+        c = lambda k, i=i: F.col(f"__{k}{i}")
+        df = df.withColumn(f"__digits{i}", F.regexp_extract(source, r"^-?[0-9][0-9.,]*", 0)).withColumn(f"__behind{i}", F.trim(F.substr(source, F.length(c("digits")) + 1)))
+        df = df.withColumns({f"__unit{i}": F.regexp_extract(c("behind"), r"^[a-z]+|^['\"]+", 0), f"__number{i}": F.when(F.right(c("digits"), F.lit(1)).between("0", "9"), F.translate(c("digits"), ",", ".").try_cast("double"))})
+        df = df.withColumn(f"__left{i}", F.trim(F.substr(c("behind"), F.length(c("unit")) + 1)))
+    number, unit, left, inches = F.col("__number1"), F.col("__unit1"), F.col("__left1"), F.col("__number2")
+
+    def measure(units: dict[str, float], default: str) -> Column:
+        factors = F.create_map(*[F.lit(x) for kv in units.items() for x in kv])
+        return F.when((left == "") & (number > 0), number * F.try_element_at(factors, F.when(unit == "", default).otherwise(unit)))
+
+    both = unit.isin(*FEET) & number.isNotNull() & (inches >= 0) & F.col("__unit2").isin(*INCHES) & (F.col("__left2") == "")
+    alone = unit.isin(*FEET) & number.isNotNull() & (left == "") & ~F.contains("__low", F.lit(","))
+    length = F.when(both, number * LENGTH_UNITS["ft"] + inches * LENGTH_UNITS["in"]).when(alone, number * LENGTH_UNITS["ft"]).otherwise(measure(LENGTH_UNITS, "m"))
+    df = df.withColumns({"length_m": length, "weight_t": measure(WEIGHT_UNITS, "t")})
+    word = F.try_element_at(F.create_map(*[F.lit(x) for kv in WORDS.items() for x in kv]), F.col("__low"))
+    plain = ~F.col("__s").rlike("[@;]") & F.coalesce("length_m", "weight_t").isNotNull()
+    df = df.withColumn("class", F.coalesce(word, F.when(plain, "numeric"), F.lit("unparseable")))
+    numeric = lambda k: F.when(F.col("class") == "numeric", F.col(k))
+    return df.select(*values.columns, "class", numeric("length_m").alias("length_m"), numeric("weight_t").alias("weight_t"))

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from waymill.functions import geo
 from waymill.operators import cells
+from waymill.plans import measures
 
 # Fixed limits of the match.
 TOLERANCE_M, BEARING_DEG, BEARING_FROM_M = 8.0, 45.0, 2.0
 OVERLAP, OVERLAP_SHORT, SHORT_WAY_M, TINY_M = 0.70, 0.50, 40.0, 0.5
 CELL = 40 * geo.QUANTUM
+REACH, BLOCK = 2, 5  # cells
 ALIASES = {
     "cycleway": ("cycleway", "footway-bicycle", "path-bicycle"), "footway": ("footway", "footway-bicycle", "footway-sidewalk", "footway-crossing"),
     "path": ("path", "path-bicycle", "path-difficult", "path-expert"), "service": ("service", "service-driveway", "service-parking_aisle"),
@@ -76,38 +78,38 @@ def candidates(ways: DataFrame, features: DataFrame, keep_all: bool = False) ->
     features: feature_id, base, name, is_bridge, is_tunnel, points of the same form; a feature
     may come in several entries. ``keep_all`` adds the projections of both ends and the overlap.
     """
-    w = ways.withColumn("__n", F.explode("nodes"))
-    near = cells.neighbour_cells(w.select("way_id", F.col("__n.lat").alias("la"), F.col("__n.lon").alias("lo")), "la", "lo", CELL, 2).select("way_id", "cy", "cx").distinct()
-    f = features.withColumn("__p", F.explode("points"))
-    at = cells.own_cell(f.select("feature_id", F.col("__p.lat").alias("la"), F.col("__p.lon").alias("lo")), "la", "lo", CELL).select("feature_id", "cy", "cx").distinct()
-    pairs = near.join(at, ["cy", "cx"]).select("way_id", "feature_id").distinct()
+    def placed(df: DataFrame, key: str, points: str) -> DataFrame:
+        at = df.select(key, F.explode(points).alias("p")).select(key, F.col("p.lat").alias("la"), F.col("p.lon").alias("lo"))
+        return cells.own_cell(at, "la", "lo", CELL).select(key, F.col("cy").alias(f"{key}_y"), F.col("cx").alias(f"{key}_x")).distinct()
+
+    # Cells at most REACH apart meet in blocks of several cells: a feature's cell lies in one, a way's cell reaches into four at most.
+    block = lambda v: F.floor(F.col(v) / BLOCK)
+    span = lambda v: F.explode(F.sequence(F.floor((F.col(v) - REACH) / BLOCK), F.floor((F.col(v) + REACH) / BLOCK)))
+    near = placed(ways, "way_id", "nodes").withColumn("by", span("way_id_y")).withColumn("bx", span("way_id_x"))
+    at = placed(features, "feature_id", "points").withColumns({"by": block("feature_id_y"), "bx": block("feature_id_x")})
+    close = (F.abs(F.col("way_id_y") - F.col("feature_id_y")) <= REACH) & (F.abs(F.col("way_id_x") - F.col("feature_id_x")) <= REACH)
+    pairs = near.join(at, ["by", "bx"]).filter(close).select("way_id", "feature_id").distinct()
     side = features.select("feature_id", "base", F.col("name").alias("f_name"), F.col("is_bridge").alias("f_bridge"), F.col("is_tunnel").alias("f_tunnel"), "points")
-    both = pairs.join(ways, "way_id").join(side, "feature_id").withColumn("way_m", path_m(F.col("nodes")))
+    both = pairs.join(ways, "way_id").join(side, "feature_id")
     layer = (
         F.when(~compatible(F.col("highway"), F.col("base")), "class_incompatible").when(F.col("is_bridge") & ~F.col("f_bridge"), "bridge_layer").when(F.col("is_tunnel") & ~F.col("f_tunnel"), "tunnel_layer")
         .when(~F.col("is_bridge") & ~F.col("is_tunnel") & F.col("f_bridge"), "nonbridge_to_bridge").when(~F.col("is_bridge") & ~F.col("is_tunnel") & F.col("f_tunnel"), "nontunnel_to_tunnel")
     )
-    both = both.withColumn("layer", layer)
-    segs = both.select("*", F.posexplode(legs(F.col("points"))).alias("segment", "leg")).drop("points")
-    mid = F.struct(((F.col("leg.a.lat") + F.col("leg.b.lat")) / 2).alias("lat"), ((F.col("leg.a.lon") + F.col("leg.b.lon")) / 2).alias("lon"))
-    # A generator of one row: what it makes is computed once, not once for each later use.
-    once = F.struct(
-        projected(F.col("leg.a"), F.col("nodes")).alias("pa"), projected(F.col("leg.b"), F.col("nodes")).alias("pb"), projected(mid, F.col("nodes"))["heading"].alias("way_heading"), step_m(F.col("leg.a"), F.col("leg.b")).alias("seg_m"),
-        heading(F.col("leg.a"), F.col("leg.b")).alias("own"), step_m(F.element_at("nodes", 1), F.element_at("nodes", -1)).alias("chord_m"), heading(F.element_at("nodes", 1), F.element_at("nodes", -1)).alias("chord"),
-    )
-    segs = segs.withColumn("k", F.explode(F.array(once))).select("*", "k.*").drop("k")
-    ratio = F.abs(F.col("pa.along") - F.col("pb.along")) / F.greatest(F.least(F.col("seg_m"), F.col("way_m")), F.lit(TINY_M))
+    same_layer = (F.col("is_bridge") & F.col("f_bridge")) | (F.col("is_tunnel") & F.col("f_tunnel"))
+    mismatch = F.coalesce((F.col("name") != "") & (F.col("f_name") != "") & (F.col("name") != F.col("f_name")), F.lit(False))
+    rows = both.select("way_id", "feature_id", layer.alias("layer"), same_layer.alias("same_layer"), mismatch.cast("int").alias("mismatch"), "nodes", "points")
+    kinds = dict(rows.dtypes)
+    segs = rows.mapInArrow(measures.segments, ", ".join([f"{k} {kinds[k]}" for k in rows.columns if k not in ("nodes", "points")] + ["segment int"] + [f"{k} double" for k in measures.MEASURES]))
+    ratio = F.abs(F.col("along_a") - F.col("along_b")) / F.greatest(F.least(F.col("seg_m"), F.col("way_m")), F.lit(TINY_M))
     least = F.when(F.col("way_m") <= SHORT_WAY_M, OVERLAP_SHORT).otherwise(OVERLAP)
     turned = lambda other: geo.undirected_angle(F.col("own"), F.col(other)) <= BEARING_DEG
     straight = turned("way_heading") | ((F.col("chord_m") >= TINY_M) & turned("chord"))
-    same_layer = (F.col("is_bridge") & F.col("f_bridge")) | (F.col("is_tunnel") & F.col("f_tunnel"))
     reject = (
-        F.when(F.col("layer").isNotNull(), F.col("layer")).when((F.col("pa.d") > TOLERANCE_M) | (F.col("pb.d") > TOLERANCE_M), "too_far").when((F.col("seg_m") >= TINY_M) & (ratio < least), "overlap")
-        .when(~same_layer & (F.col("seg_m") >= BEARING_FROM_M) & ~straight, "bearing")
+        F.when(F.col("layer").isNotNull(), F.col("layer")).when((F.col("d_a") > TOLERANCE_M) | (F.col("d_b") > TOLERANCE_M), "too_far").when((F.col("seg_m") >= TINY_M) & (ratio < least), "overlap")
+        .when(~F.col("same_layer") & (F.col("seg_m") >= BEARING_FROM_M) & ~straight, "bearing")
     )
-    mismatch = F.coalesce((F.col("name") != "") & (F.col("f_name") != "") & (F.col("name") != F.col("f_name")), F.lit(False))
-    more = [F.col("pa.along").alias("along_a"), F.col("pb.along").alias("along_b"), F.col("pa.d").alias("d_a"), F.col("pb.d").alias("d_b"), ratio.alias("ratio")] if keep_all else []
-    return segs.select("way_id", "feature_id", "segment", "seg_m", *more, mismatch.cast("int").alias("mismatch"), ((F.col("pa.d") + F.col("pb.d")) / 2).alias("mean_m"), reject.alias("reject"))
+    more = ["along_a", "along_b", "d_a", "d_b", ratio.alias("ratio")] if keep_all else []
+    return segs.select("way_id", "feature_id", "segment", "seg_m", *more, "mismatch", ((F.col("d_a") + F.col("d_b")) / 2).alias("mean_m"), reject.alias("reject"))
 
 
 def best_entries(found: DataFrame) -> DataFrame:

@@ -51,12 +51,18 @@ def local_features(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+LIMITS = {"maxheight": "max_height_cm", "maxwidth": "max_width_cm", "maxlength": "max_length_cm", "maxweight": "max_weight_10kg", "maxaxleload": "max_axleload_10kg", "maxbogieweight": "max_bogie_10kg"}
+
+
 def way_limits(spark: SparkSession, sf: str) -> DataFrame:
-    """The limits of each way that has any, as the tags state them."""
+    """The limits of each way that has any, as the tags state them: a row a tag is taken apart, then a row a way is put together."""
     w = view(spark, sf, "v_ways")
-    raw = {k: c(k) for k in ("maxheight", "maxwidth", "maxlength", "maxweight", "maxaxleload", "maxbogieweight")}
-    rated = w.select("way_id", limits.way_class(list(raw.values())).alias("class"), *[v.alias(k) for k, v in limits.limit_columns(raw).items()])
-    return materialize(rated, "limits").filter("class = 'numeric'").drop("class")  # written: its long expressions stay out of the matching plan
+    tagged = w.select("way_id", F.explode(F.filter(F.array(*[F.struct(F.lit(k).alias("tag"), c(k).alias("raw")) for k in LIMITS]), lambda x: x["raw"].isNotNull())).alias("t")).select("way_id", "t.*")
+    value = F.when(c("tag").isin("maxheight", "maxwidth", "maxlength"), c("length_m")).otherwise(c("weight_t"))
+    values = limits.parsed(tagged, "raw").select("way_id", "tag", (c("class") == "numeric").alias("numeric"), limits.hundredths(value).alias("v"))
+    own = values.groupBy("way_id").agg(F.max("numeric").alias("numeric"), *[F.coalesce(F.max(F.when(c("tag") == k, c("v"))), F.lit(0)).alias(name) for k, name in LIMITS.items()])
+    # The filter stands above the aggregate: below it, it would be moved to the values and take each apart again and again.
+    return materialize(own.filter("numeric").drop("numeric"), "limits")  # written: its long expressions stay out of the matching plan
 
 
 def j12_w5_w7_limit_matching(spark, sf):
