@@ -128,3 +128,29 @@ def test_candidates_meet_in_blocks(spark):
     assert {tuple(r) for r in found} == want and 100 < len(want) < 3600
     plan = annotate.candidates(ways, features)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "array(struct" not in plan  # no row for each of 25 cells
+
+
+def test_wet_segments_small_and_wide(spark):
+    random.seed(8)
+    at = lambda w: (59 + random.random() / 50, 10 + random.random() / 50, w)
+    legs = [(i, y, x, y + w, x + w / 2) for i, (y, x, w) in enumerate([at(2e-4) for _ in range(900)] + [at(0.3) for _ in range(20)])]
+    tri = [(1 + i % 2, y, x, y + w, x + w / 3, y, x + w) for i, (y, x, w) in enumerate([at(4e-4) for _ in range(900)] + [at(0.2) for _ in range(6)])]
+    side = lambda a, b, p: (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])
+
+    def hits(p, q, v):
+        for m in (p, q, ((p[0] + q[0]) / 2, (p[1] + q[1]) / 2)):
+            d = [side(v[i], v[(i + 1) % 3], m) for i in range(3)]
+            if not (min(d) < 0 < max(d)):
+                return True
+        return any(side(v[i], v[i - 1], p) * side(v[i], v[i - 1], q) < 0 and side(p, q, v[i]) * side(p, q, v[i - 1]) < 0 for i in range(3))
+
+    want = {}
+    for i, y1, x1, y2, x2 in legs:
+        for k, *v in tri:
+            if hits((x1, y1), (x2, y2), [(v[1], v[0]), (v[3], v[2]), (v[5], v[4])]):
+                want[i] = max(k, want.get(i, 0))
+    s = spark.createDataFrame(legs, "way_id long, lat1 double, lon1 double, lat2 double, lon2 double")
+    t = spark.createDataFrame(tri, "class int, y0 double, x0 double, y1 double, x1 double, y2 double, x2 double")
+    found, pairs = joined(annotate.wet_segments(s, t))
+    assert {r[0]: r[1] for r in found} == want and len(want) > 50
+    assert pairs < 50_000

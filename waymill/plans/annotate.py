@@ -14,6 +14,7 @@ TOLERANCE_M, BEARING_DEG, BEARING_FROM_M = 8.0, 45.0, 2.0
 OVERLAP, OVERLAP_SHORT, SHORT_WAY_M, TINY_M = 0.70, 0.50, 40.0, 0.5
 CELL = 40 * geo.QUANTUM
 REACH, BLOCK = 2, 5  # cells
+COARSE = 64
 ALIASES = {
     "cycleway": ("cycleway", "footway-bicycle", "path-bicycle"), "footway": ("footway", "footway-bicycle", "footway-sidewalk", "footway-crossing"),
     "path": ("path", "path-bicycle", "path-difficult", "path-expert"), "service": ("service", "service-driveway", "service-parking_aisle"),
@@ -139,16 +140,26 @@ def match_report(ways: DataFrame, found: DataFrame, kept: DataFrame) -> DataFram
     return guards.unionByName(totals).unionByName(rows)
 
 
-def wet_segments(segments: DataFrame, triangles: DataFrame, size: float = 0.01) -> DataFrame:
-    """Worst class of the triangles that a segment hits: an end, its middle, or a crossing.
+def wet_segments(segments: DataFrame, triangles: DataFrame, size: float = 0.001) -> DataFrame:
+    """Worst class of the triangles that a segment hits: an end, its middle, or a crossing. Cells are about as wide as both.
 
     segments: key columns and lat1, lon1, lat2, lon2; triangles: class, y0, x0, y1, x1, y2, x2.
     """
     keys = [c for c in segments.columns if c not in ("lat1", "lon1", "lat2", "lon2")]
     low, high = lambda *c: F.least(*map(F.col, c)), lambda *c: F.greatest(*map(F.col, c))
     box = ("min_lat", "min_lon", "max_lat", "max_lon")
-    s = cells.box_in_cells(segments.withColumns(dict(zip(box, (low("lat1", "lat2"), low("lon1", "lon2"), high("lat1", "lat2"), high("lon1", "lon2")), strict=True))), size).drop(*box)
-    t = cells.box_in_cells(triangles.withColumns(dict(zip(box, (low("y0", "y1", "y2"), low("x0", "x1", "x2"), high("y0", "y1", "y2"), high("x0", "x1", "x2")), strict=True))), size).drop(*box)
+
+    def placed(df: DataFrame, limits: tuple[Column, ...], small: tuple[int, ...], large: tuple[int, ...]) -> DataFrame:
+        """Small boxes on the fine grid (kind 0); what is wide, and what may meet it, on one COARSE times as wide."""
+        made = df.withColumns(dict(zip(box, limits, strict=True)))
+        wide = F.greatest(F.col("max_lat") - F.col("min_lat"), F.col("max_lon") - F.col("min_lon")) > 8 * size
+        on = lambda kind: F.transform(geo.box_cells(*[F.col(x) for x in box], size * (COARSE if kind else 1)), lambda x: F.struct(F.lit(kind).alias("kind"), x["cy"].alias("cy"), x["cx"].alias("cx")))
+        both = F.when(wide, F.concat(*map(on, large))).otherwise(F.concat(*map(on, small)))
+        return made.withColumn("__c", F.explode(both)).select(*df.columns, "__c.*")
+
+    # Kind 1: wide segments and all triangles; kind 2: small segments and wide triangles.
+    s = placed(segments, (low("lat1", "lat2"), low("lon1", "lon2"), high("lat1", "lat2"), high("lon1", "lon2")), (0, 2), (1,))
+    t = placed(triangles, (low("y0", "y1", "y2"), low("x0", "x1", "x2"), high("y0", "y1", "y2"), high("x0", "x1", "x2")), (0, 1), (1, 2))
     v = [(F.col(f"x{i}"), F.col(f"y{i}")) for i in range(3)]
     p, q = (F.col("lon1"), F.col("lat1")), (F.col("lon2"), F.col("lat2"))
     mid = ((p[0] + q[0]) / 2, (p[1] + q[1]) / 2)
@@ -157,4 +168,7 @@ def wet_segments(segments: DataFrame, triangles: DataFrame, size: float = 0.01)
         hit = hit | geo.in_triangle(*at, *v)
     for i in range(3):
         hit = hit | geo.segments_meet(p, q, v[i], v[(i + 1) % 3], touching=False)
-    return s.join(t, ["cy", "cx"]).filter(hit).groupBy(*keys).agg(F.max("class").alias("class"))
+    reach = lambda a, b: (F.least(*a) <= F.greatest(*b)) & (F.least(*b) <= F.greatest(*a))
+    boxes = reach([p[0], q[0]], [x for x, _ in v]) & reach([p[1], q[1]], [y for _, y in v])
+    met = s.join(t, ["kind", "cy", "cx"]).filter(boxes)
+    return met.filter(hit).groupBy(*keys).agg(F.max("class").alias("class"))
