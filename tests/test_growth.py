@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymill.functions import geo, limits
-from waymill.operators import shared
+from waymill.operators import around, shared
 from waymill.plans import annotate, measures
 from waymill.queries import spatial
 
@@ -154,3 +154,22 @@ def test_wet_segments_small_and_wide(spark):
     found, pairs = joined(annotate.wet_segments(s, t))
     assert {r[0]: r[1] for r in found} == want and len(want) > 50
     assert pairs < 50_000
+
+
+@pytest.mark.parametrize("degrees", [False, True])
+def test_points_around_equal_all_pairs(spark, monkeypatch, degrees):
+    random.seed(9)
+    monkeypatch.setattr(around, "PART", 150)
+    spot = lambda w: (60 + random.random() * w, 10 + random.random() * w)
+    points = [(i, *spot(0.05 if i % 2 else 0.001)) for i in range(1500)] + [(2000, 60.0, 10.0), (1999, 60.0, 10.0)]
+    asked = [(i, *spot(0.08 if i % 3 else 0.002)) for i in range(150)] + [(900, 60.0, 10.0), (901, 70.0, 10.0)]
+    q, p = spark.createDataFrame(asked, "name long, lat double, lon double"), spark.createDataFrame(points, "name long, to_lat double, to_lon double")
+    want = {}
+    for i, *a in asked:
+        near = [(metres(a, b), (a[0] - b[0]) ** 2 + (a[1] - b[1]) ** 2, j) for j, *b in points]
+        near = [x for x in near if x[0] <= 900]
+        if near:
+            want[i] = (len(near), min(near)[0], min((d if degrees else m, j) for m, d, j in near)[1])
+    found, pairs = joined(around.around(q, p, 900.0, degrees=degrees))
+    assert {r["name"]: (r["n"], pytest.approx(r["metres"], abs=1e-6), r["first"]) for r in found} == want and len(want) > 80
+    assert pairs < 20_000 < sum(n for n, *_ in want.values())  # a join on cells gives a row a pair

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymill.functions import geo, tags
-from waymill.operators import cells
+from waymill.operators import around, cells
 from waymill.operators.ranks import at_rank
 from waymill.operators.shared import materialize
 from waymill.plans import graph as plan
@@ -114,8 +114,9 @@ SELECT point_id, arg_min(region_id, (coarse, area, region_id)) AS region_id, cou
 def j19_pois_within_radius(spark, sf):
     """POIs within 2 km of each point: how many, the nearest and its distance."""
     q = view(spark, sf, "v_points")
-    p = view(spark, sf, "v_pois").select("poi_id", c("lat").alias("to_lat"), c("lon").alias("to_lon"))
-    return cells.within(q, p, 2000.0).groupBy("point_id").agg(F.count(F.lit(1)).alias("n"), F.min_by("poi_id", F.struct("distance_m", "poi_id")).alias("nearest"), F.round(F.min("distance_m"), 3).alias("metres"))
+    p = materialize(view(spark, sf, "v_pois").select(c("poi_id").alias("name"), c("lat").alias("to_lat"), c("lon").alias("to_lon")), "pois")
+    found = around.around(q.select(c("point_id").alias("name"), "lat", "lon"), p, 2000.0)
+    return found.select(c("name").alias("point_id"), "n", c("first").alias("nearest"), F.round("metres", 3).alias("metres"))
 
 
 O_J19 = with_views("v_points", "v_pois") + f""" d AS (SELECT point_id, poi_id, {g.hav('a.lat', 'a.lon', 'b.lat', 'b.lon', '6371000.0::DOUBLE')} AS m FROM v_points a JOIN v_pois b ON abs(a.lat - b.lat) < 0.02)
@@ -310,11 +311,10 @@ def j10_nearest_feature(spark, sf):
     """Each point bound to the way with the nearest middle of a segment in degrees, if that is within 75 m, on a map drawn 20 times smaller."""
     small = lambda y, x: (59 + (y - 59) / DRAWN, 10 + (x - 10) / DRAWN)
     la, lo = small((c("lat1") + c("lat2")) / 2, (c("lon1") + c("lon2")) / 2)
-    mids = way_segments(spark, sf).select("way_id", la.alias("to_lat"), lo.alias("to_lon"))
+    mids = materialize(way_segments(spark, sf).select(c("way_id").alias("name"), la.alias("to_lat"), lo.alias("to_lon")), "middles")
     y, x = small(c("lat"), c("lon"))
-    near = cells.within(view(spark, sf, "v_points").select("point_id", y.alias("lat"), x.alias("lon")), mids, BIND_M)
-    degrees = F.pow(c("lat") - c("to_lat"), 2) + F.pow(c("lon") - c("to_lon"), 2)
-    return near.groupBy("point_id").agg(F.min_by("way_id", F.struct(degrees.alias("d"), "way_id")).alias("way_id"), F.round(F.min("distance_m"), 3).alias("metres"))
+    found = around.around(view(spark, sf, "v_points").select(c("point_id").alias("name"), y.alias("lat"), x.alias("lon")), mids, BIND_M, degrees=True, count=False)
+    return found.select(c("name").alias("point_id"), c("first").alias("way_id"), F.round("metres", 3).alias("metres"))
 
 
 O_J10 = with_views("v_points", "v_way_nodes", "v_nodes") + LEGS + f""", m AS (SELECT way_id, 59 + ((lat1 + lat2) / 2 - 59) / 20.0::DOUBLE AS my, 10 + ((lon1 + lon2) / 2 - 10) / 20.0::DOUBLE AS mx FROM legs), p AS (SELECT point_id, 59 + (lat - 59) / 20.0::DOUBLE AS lat, 10 + (lon - 10) / 20.0::DOUBLE AS lon FROM v_points),
