@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from waymill.functions import geo, limits
 from waymill.operators import around, shared
-from waymill.plans import annotate, measures
+from waymill.plans import annotate, measures, overlap
 from waymill.queries import spatial
 
 
@@ -173,3 +173,20 @@ def test_points_around_equal_all_pairs(spark, monkeypatch, degrees):
     found, pairs = joined(around.around(q, p, 900.0, degrees=degrees))
     assert {r["name"]: (r["n"], pytest.approx(r["metres"], abs=1e-6), r["first"]) for r in found} == want and len(want) > 80
     assert pairs < 20_000 < sum(n for n, *_ in want.values())  # a join on cells gives a row a pair
+
+
+def test_polygon_cells_are_disjoint_and_split_once(spark):
+    """Leaves over several first cells: disjoint cells, areas that add up, and no step a level."""
+    ring = lambda y, x, r: [(y + r, x), (y, x + r), (y - r, x), (y, x - r)]
+    regions = spark.createDataFrame([(1, [(59.1, 10.1), (59.1, 12.3), (60.9, 12.3), (60.9, 10.1)])], f"region_id long, ring {POINTS}")
+    leaves = spark.createDataFrame([(i, ring(59.5 + i / 7, 10.5 + i / 5, 0.1 + i / 10)) for i in range(6)], f"leaf_id long, ring {POINTS}")
+    before = len(shared._WRITTEN)
+    found = overlap.cells(regions, leaves)
+    assert len(shared._WRITTEN) == before  # seven steps before, with the sides of each cell in them
+    rows = found.collect()
+    assert len({r["leaf_id"] for r in rows}) == 6
+    for leaf in range(6):
+        own = {(r["level"], r["y"], r["x"]) for r in rows if r["leaf_id"] == leaf}
+        assert len(own) == sum(r["leaf_id"] == leaf for r in rows) and not any((lv - k, y >> k, x >> k) in own for lv, y, x in own for k in range(1, lv + 1))
+    area = sum(4.0 ** -r["level"] / 4 for r in rows if r["leaf_id"] == 2 and r["inside"])
+    assert area == pytest.approx(2 * 0.3**2, rel=0.05)  # wholly inside the region

@@ -111,15 +111,21 @@ def counted(points: _Bands, lat, lon, metres: float, radius: float) -> np.ndarra
 def first(points: _Bands, lat, lon, metres: float, radius: float, degrees: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The least metres of a point within the limit, and the least (rank, name): by metres, or by the square of plane degrees."""
     least, rank, name = np.full(len(lat), np.inf), np.full(len(lat), np.inf), np.full(len(lat), -1, np.int64)
-    widest = math.degrees(metres / radius) / np.maximum(np.cos(np.radians(np.minimum(np.abs(lat) + math.degrees(metres / radius), 90.0))), 1e-3)
-    box = max(points.last + 1, 1) * points.high * max(float(np.ptp(points.lon)) if len(points.lon) else 0.0, 1e-9)
-    reach, rest = max(math.sqrt(4 * box / max(len(points.lat), 1)) / 2, 1e-7), np.arange(len(lat))
+    if points.last < 0:
+        return least, rank, name
+    widest = math.degrees(metres / radius)
+    shrink = np.maximum(np.cos(np.radians(np.minimum(np.abs(lat) + widest, 90.0))), 1e-3)
+    out = lambda v, w: np.maximum(0.0, np.maximum(w.min() - v, v - w.max()))
+    gap = np.maximum(out(lat, points.lat), out(lon, points.lon) * shrink)  # nothing is nearer to a query outside the points' box
+    box = max((points.last + 1) * points.high * float(np.ptp(points.lon)), 1e-12)
+    more, rest = max(math.sqrt(box / len(points.lat)), 1e-7), np.flatnonzero(gap <= widest)
     while len(rest):
-        low, high = points.reach(lat[rest], np.minimum(reach, widest[rest]))
+        reach = np.minimum(gap[rest] + more, widest)
+        low, high = points.reach(lat[rest], reach)
         for part in _chunks(np.maximum(high - low + 1, 0)):
             q, band = _runs(low[part], high[part] + 1)
+            wide = (reach[part] / shrink[rest[part]])[q]
             q = rest[part][q]
-            wide = np.minimum(reach, widest[q])
             f, l = points.place(band, lon[q] - wide - SAFE), points.place(band, lon[q] + wide + SAFE)
             for some in _chunks(np.maximum(l - f, 0)):
                 owner, at = _runs(f[some], l[some])
@@ -135,11 +141,10 @@ def first(points: _Bands, lat, lon, metres: float, radius: float, degrees: bool)
                 own, at, r = own[one], at[one], r[one]
                 better = (r < rank[own]) | ((r == rank[own]) & (points.name[at] < name[own]))
                 rank[own[better]], name[own[better]] = r[better], points.name[at[better]]
-        # Outside the box of ``reach`` degrees a point is farther than that in degrees, and than this in metres.
-        sure = np.radians(reach) * radius * np.cos(np.radians(np.minimum(np.abs(lat[rest]) + reach, 90.0))) * 0.99
-        done = (least[rest] <= sure) & ((rank[rest] <= reach * reach) if degrees else True)
-        rest = rest[~(done | (reach >= widest[rest]))]
-        reach *= 2
+        # What is left out is farther than ``reach`` in degrees, and in metres of latitude.
+        done = (least[rest] <= np.radians(reach) * radius * 0.99) & ((rank[rest] <= reach * reach) if degrees else True)
+        rest = rest[~(done | (reach >= widest))]
+        more *= 2
     return least, rank, name
 
 

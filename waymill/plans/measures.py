@@ -17,7 +17,7 @@ AT_ONCE = 1 << 20  # (segment, leg) pairs held at a time; one segment's path at
 MEASURES = ("seg_m", "way_m", "chord_m", "along_a", "along_b", "d_a", "d_b", "own", "way_heading", "chord")
 
 
-def _paths(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def paths(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of array<struct<lat, lon>>: where each path starts in the flat points, with the end, and their places."""
     size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     fields = dict(zip([f.name for f in column.type.value_type], column.flatten().flatten(), strict=True))
@@ -40,7 +40,7 @@ def _heading(*ends) -> np.ndarray:
     return np.mod(np.degrees(np.arctan2(east, north)), 360.0)
 
 
-def _spread(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spread(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each of the things that are ``count`` each: its owner and its place there."""
     owner = np.repeat(np.arange(len(count)), count)
     return owner, np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
@@ -66,7 +66,7 @@ def _projected(lat, lon, first, count, legs) -> tuple[np.ndarray, np.ndarray, np
     while lower < len(some):
         upper = max(lower + 1, int(np.searchsorted(upto, (upto[lower - 1] if lower else 0) + AT_ONCE, "right")))
         own = some[lower:upper]
-        owner, place = _spread(count[own])
+        owner, place = spread(count[own])
         leg = first[own][owner] + place
         ay, ax, by, bx, before, long, heading = (x[leg] for x in legs)
         py, px = lat[own][owner], lon[own][owner]
@@ -88,17 +88,17 @@ def _projected(lat, lon, first, count, legs) -> tuple[np.ndarray, np.ndarray, np
 
 def measured(nodes: pa.Array, points: pa.Array) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
     """For each segment of ``points``: its row, its number, and MEASURES against the path ``nodes`` of that row."""
-    w, wy, wx = _paths(nodes)
-    f, fy, fx = _paths(points)
+    w, wy, wx = paths(nodes)
+    f, fy, fx = paths(points)
     n = np.maximum(np.diff(w) - 1, 0)
-    path, place = _spread(n)
+    path, place = spread(n)
     a = w[path] + place
     ends = (wy[a], wx[a], wy[a + 1], wx[a + 1])
     long = _metres(*ends)
     before, way_m = _before(long, n)
     legs = (*ends, before, long, _heading(*ends))
     first = np.cumsum(n) - n
-    row, segment = _spread(np.maximum(np.diff(f) - 1, 0))
+    row, segment = spread(np.maximum(np.diff(f) - 1, 0))
     a = f[row] + segment
     ends = (fy[a], fx[a], fy[a + 1], fx[a + 1])
     on = lambda lat, lon: _projected(lat, lon, first[row], n[row], legs)

@@ -9,11 +9,16 @@ the error bound of the pair. Areas are square degrees times the cosine of a cell
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymill.functions import geo
 from waymill.operators.shared import materialize
+from waymill.plans import measures
 
 SIZE, DEPTH = 0.5, 6
 #: Fixed values of the mapping rule, in per cent.
@@ -22,56 +27,110 @@ INCLUDE_PCT, MICRO_PCT, OUTSIDE_OVERSPILL_PCT, OUTSIDE_COVERAGE_PCT = 0.5, 0.05,
 _KEY = ["region_id", "leaf_id"]
 
 
-def _sides(ring: Column) -> Column:
-    """Of array<struct<lat, lon>>, closed or not: its sides as structs of both ends."""
-    after = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
-    return F.zip_with(ring, after, lambda p, q: F.struct(p["lat"].alias("ay"), p["lon"].alias("ax"), q["lat"].alias("by"), q["lon"].alias("bx")))
+AT_ONCE = 4096  # sides of the pairs that are split together; one pair at least
+
+
+class _Rings:
+    """Rings of a batch: of each row its sides as both ends, in flat arrays, closed or not."""
+
+    def __init__(self, column: pa.Array):
+        start, lat, lon = measures.paths(column)
+        self.count, self.start = np.diff(start), start[:-1]
+        after = np.arange(len(lat)) + 1
+        some = np.flatnonzero(self.count)
+        after[start[some + 1] - 1] = start[some]
+        self.sides = np.stack([lat, lon, lat[after], lon[after]]) if len(lat) else np.zeros((4, 0))
+
+    def of(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each side of each row: its place in ``rows`` and the side."""
+        owner, place = measures.spread(self.count[rows])
+        return owner, self.start[rows][owner] + place
 
+    def hold(self, rows: np.ndarray, lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+        """Ray casting, as ``geo.in_ring``."""
+        owner, side = self.of(rows)
+        (py, px, qy, qx), y, x = self.sides[:, side], lat[owner], lon[owner]
+        flips = ((py > y) != (qy > y)) & (x < (qx - px) * (y - py) / (qy - py + geo.EPSILON) + px)
+        return np.bincount(owner[flips], minlength=len(rows)) % 2 == 1
 
-def _near(sides: Column, size: float) -> Column:
+
+def _near(sides: np.ndarray, y: np.ndarray, x: np.ndarray, half: float) -> np.ndarray:
     """Sides that meet the cell: their boxes overlap, and the cell is not all on one side of their line."""
-    half = size / 2
-    y, x = (F.col("y") + 0.5) * size, (F.col("x") + 0.5) * size
+    ay, ax, by, bx = sides
+    boxes = (np.minimum(ay, by) <= y + half) & (np.maximum(ay, by) >= y - half) & (np.minimum(ax, bx) <= x + half) & (np.maximum(ax, bx) >= x - half)
+    dx, dy = bx - ax, by - ay
+    return boxes & (np.abs(dx * (y - ay) - dy * (x - ax)) <= half * (np.abs(dx) + np.abs(dy)) * (1 + 1e-9))
 
-    def meets(s: Column) -> Column:
-        boxes = (F.least(s["ay"], s["by"]) <= y + half) & (F.greatest(s["ay"], s["by"]) >= y - half) & (F.least(s["ax"], s["bx"]) <= x + half) & (F.greatest(s["ax"], s["bx"]) >= x - half)
-        dx, dy = s["bx"] - s["ax"], s["by"] - s["ay"]
-        return boxes & (F.abs(dx * (y - s["ay"]) - dy * (x - s["ax"])) <= half * (F.abs(dx) + F.abs(dy)) * (1 + 1e-9))
 
-    return F.filter(sides, meets)
+def _split(rings: tuple[_Rings, _Rings], row: np.ndarray, y: np.ndarray, x: np.ndarray, size: float, depth: int) -> Iterator[tuple]:
+    """row, level, y, x, inside, mixed of cells, from the first cells of each row."""
+    held = [np.zeros(len(row), bool) for _ in rings]
+    sides = [r.of(row) for r in rings]
+    for level in range(depth + 1):
+        width, last = size / (1 << level), level == depth
+        lat, lon = (y + 0.5) * width, (x + 0.5) * width
+        keep, unsure = np.ones(len(row), bool), np.zeros(len(row), bool)
+        for k, r in enumerate(rings):
+            cell, side = sides[k]
+            near = _near(r.sides[:, side], lat[cell], lon[cell], width / 2)
+            cell, side = sides[k] = cell[near], side[near]
+            whole = np.bincount(cell, minlength=len(row)) == 0
+            mixed = ~whole & ~held[k]
+            ask = np.flatnonzero(~held[k] & (whole | last))
+            held[k] = held[k].copy()
+            held[k][ask] = r.hold(row[ask], lat[ask], lon[ask])
+            keep &= held[k] | mixed
+            unsure |= mixed
+        inside = held[0] & held[1]
+        done = keep & (inside | last)
+        yield row[done], level, y[done], x[done], inside[done], unsure[done]
+        if last:
+            return
+        go = np.flatnonzero(keep & ~inside)
+        at = np.full(len(row), -1)
+        at[go] = np.arange(len(go))
+        row, held = np.repeat(row[go], 4), [np.repeat(h[go], 4) for h in held]
+        y, x = (y[go][:, None] * 2 + np.array([0, 0, 1, 1])).ravel(), (x[go][:, None] * 2 + np.array([0, 1, 0, 1])).ravel()
+        for k, (cell, side) in enumerate(sides):
+            cell, side = at[cell[at[cell] >= 0]], side[at[cell] >= 0]
+            sides[k] = (cell[:, None] * 4 + np.arange(4)).ravel(), np.repeat(side, 4)
 
 
 def cells(regions: DataFrame, leaves: DataFrame, size: float = SIZE, depth: int = DEPTH) -> DataFrame:
     """region_id, leaf_id, level, y, x, inside, mixed: the disjoint cells inside both polygons of a pair, and all cells
     that are still mixed at the end, whose middle says if they are inside.
 
-    regions and leaves: an id and ``ring``. Each level is written to the shared folder.
+    regions and leaves: an id and ``ring``. A pair meets in the first cell that both boxes touch, and is split there by Arrow batches.
     """
-    boxed = lambda df, key: df.select(key, "ring", F.explode(geo.box_cells(*[geo.ring_bounds(F.col("ring"))[k] for k in ("min_lat", "min_lon", "max_lat", "max_lon")], size)).alias("c")).select(key, "ring", F.col("c.cy").alias("y"), F.col("c.cx").alias("x"))
-    a, b = boxed(regions, "region_id").withColumn("a_sides", _sides(F.col("ring"))).drop("ring"), boxed(leaves, "leaf_id").withColumn("b_sides", _sides(F.col("ring"))).drop("ring")
-    now = a.join(b, ["y", "x"]).withColumns({"a_in": F.lit(False), "b_in": F.lit(False)})
-    found = None
-    for level in range(depth + 1):
-        width = size / (1 << level)
-        near = now.withColumns({"a_sides": _near(F.col("a_sides"), width), "b_sides": _near(F.col("b_sides"), width)})
-        lat, lon = (F.col("y") + 0.5) * width, (F.col("x") + 0.5) * width
-        last = F.lit(level == depth)
-        judged = near.join(regions.select("region_id", F.col("ring").alias("a_ring")), "region_id").join(leaves.select("leaf_id", F.col("ring").alias("b_ring")), "leaf_id")
-        for side in ("a", "b"):
-            whole = F.size(f"{side}_sides") == 0
-            inside = F.when(F.col(f"{side}_in"), True).when(whole | last, geo.in_ring(lat, lon, F.col(f"{side}_ring")))
-            judged = judged.withColumns({f"{side}_now": inside, f"{side}_mixed": ~whole & ~F.col(f"{side}_in")})
-        out = lambda side: F.col(f"{side}_now").eqNullSafe(F.lit(False)) & ~F.col(f"{side}_mixed")
-        kept = judged.filter(~out("a") & ~out("b")).drop("a_ring", "b_ring")
-        state = materialize(kept.select(*_KEY, "y", "x", "a_sides", "b_sides", F.coalesce("a_now", F.lit(False)).alias("a_in"), F.coalesce("b_now", F.lit(False)).alias("b_in"), (F.col("a_mixed") | F.col("b_mixed")).alias("mixed")), "cells")
-        inside = F.col("a_in") & F.col("b_in")
-        done = state.filter(F.lit(level == depth) | inside).select(*_KEY, F.lit(level).alias("level"), "y", "x", inside.alias("inside"), "mixed")
-        found = done if found is None else found.unionByName(done)
-        if level == depth:
-            return found
-        quarters = F.array(*[F.struct(F.lit(i).alias("y"), F.lit(j).alias("x")) for i in (0, 1) for j in (0, 1)])
-        now = state.filter("not (a_in and b_in)").drop("mixed").withColumn("q", F.explode(quarters)).withColumns({"y": F.col("y") * 2 + F.col("q.y"), "x": F.col("x") * 2 + F.col("q.x")}).drop("q")
-    raise AssertionError
+
+    def boxed(df: DataFrame, key: str, side: str) -> DataFrame:
+        b = geo.ring_bounds(F.col("ring"))
+        made = df.select(key, F.col("ring").alias(f"{side}_ring"), *[F.floor(b[k] / size).alias(f"{side}_{k}") for k in b])
+        rows = made.withColumn("y", F.explode(F.sequence(f"{side}_min_lat", f"{side}_max_lat")))
+        return rows.withColumn("x", F.explode(F.sequence(f"{side}_min_lon", f"{side}_max_lon")))
+
+    first = (F.col("y") == F.greatest("a_min_lat", "b_min_lat")) & (F.col("x") == F.greatest("a_min_lon", "b_min_lon"))
+    met = boxed(regions, "region_id", "a").join(boxed(leaves, "leaf_id", "b"), ["y", "x"]).filter(first)
+    pairs = met.select(*_KEY, "a_ring", "b_ring", "y", "x", F.least("a_max_lat", "b_max_lat").alias("y_end"), F.least("a_max_lon", "b_max_lon").alias("x_end"))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rings = _Rings(batch.column("a_ring")), _Rings(batch.column("b_ring"))
+            y, x, y_end, x_end = (batch.column(k).to_numpy() for k in ("y", "x", "y_end", "x_end"))
+            wide = x_end - x + 1
+            count = (y_end - y + 1) * wide
+            upto, lower = np.cumsum(count * (rings[0].count + rings[1].count)), 0
+            while lower < batch.num_rows:
+                upper = max(lower + 1, int(np.searchsorted(upto, (upto[lower - 1] if lower else 0) + AT_ONCE, "right")))
+                owner, place = measures.spread(count[lower:upper])
+                row = owner + lower
+                for at, level, cy, cx, inside, mixed in _split(rings, row, y[row] + place // wide[row], x[row] + place % wide[row], size, depth):
+                    ids = batch.select(_KEY).take(pa.array(at))
+                    yield pa.RecordBatch.from_arrays([*ids.columns, pa.array(np.full(len(at), level), pa.int32()), pa.array(cy), pa.array(cx), pa.array(inside), pa.array(mixed)], [*_KEY, "level", "y", "x", "inside", "mixed"])
+                lower = upper
+
+    kinds = dict(pairs.dtypes)
+    return pairs.mapInArrow(split, ", ".join(f"{k} {kinds[k]}" for k in _KEY) + ", level int, y long, x long, inside boolean, mixed boolean")
 
 
 def _area(size: float) -> Column:
